@@ -2,64 +2,117 @@
 
 from pyspark.sql import types as T
 
+BIGINT, DOUBLE, STRING = T.LongType(), T.DoubleType(), T.StringType()
+BOOLEAN, DATE, INSTANT = T.BooleanType(), T.DateType(), T.TimestampType()
 
-def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
 
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-HIT = """struct<
-  type: string, hitNumber: bigint, time: bigint,
-  isInteraction: boolean, isEntrance: boolean, isExit: boolean, referer: string,
-  page: struct<pagePath: string, pageTitle: string>,
-  product: array<struct<productSKU: string, v2ProductName: string>>,
-  contentGroup: struct<contentGroup1: string>,
-  eventInfo: struct<eventCategory: string, eventAction: string, eventLabel: string>,
-  experiment: array<struct<experimentId: string, experimentVariant: string>>,
-  customDimensions: array<struct<index: bigint, value: string>>>"""
 
-SESSIONS = _schema(f"""
-  date string, fullVisitorId string, visitId bigint, visitNumber bigint,
-  channelGrouping string, visitStartTime bigint,
-  totals struct<visits: bigint, hits: bigint, pageviews: bigint, timeOnSite: bigint,
-    transactions: bigint, totalTransactionRevenue: bigint, bounces: bigint>,
-  trafficSource struct<referralPath: string, campaign: string, source: string,
-    medium: string, keyword: string, adContent: string>,
-  device struct<browser: string, operatingSystem: string, isMobile: boolean,
-    mobileDeviceBranding: string, mobileDeviceModel: string, mobileDeviceInfo: string,
-    deviceCategory: string>,
-  geoNetwork struct<continent: string, subContinent: string, country: string,
-    region: string, metro: string, city: string>,
-  hits array<{HIT}>""")
+def texts(names: str) -> T.StructType:
+    """A struct of string fields."""
+    return record(**{name: STRING for name in names.split()})
 
-ADS_CAMPAIGN = _schema(
-    "CampaignId bigint, CampaignName string, AdvertisingChannelType string, _PARTITIONTIME timestamp"
+
+HIT = record(
+    type=STRING,
+    hitNumber=BIGINT,
+    time=BIGINT,
+    isInteraction=BOOLEAN,
+    isEntrance=BOOLEAN,
+    isExit=BOOLEAN,
+    referer=STRING,
+    page=texts("pagePath pageTitle"),
+    product=T.ArrayType(texts("productSKU v2ProductName")),
+    contentGroup=texts("contentGroup1"),
+    eventInfo=texts("eventCategory eventAction eventLabel"),
+    experiment=T.ArrayType(texts("experimentId experimentVariant")),
+    customDimensions=T.ArrayType(record(index=BIGINT, value=STRING)),
 )
-ADS_CUSTOMER = _schema(
-    "ExternalCustomerId bigint, AccountDescriptiveName string, AccountCurrencyCode string,"
-    " _PARTITIONTIME timestamp"
+
+SESSIONS = record(
+    date=STRING,
+    fullVisitorId=STRING,
+    visitId=BIGINT,
+    visitNumber=BIGINT,
+    channelGrouping=STRING,
+    visitStartTime=BIGINT,
+    totals=record(
+        visits=BIGINT,
+        hits=BIGINT,
+        pageviews=BIGINT,
+        timeOnSite=BIGINT,
+        transactions=BIGINT,
+        totalTransactionRevenue=BIGINT,
+        bounces=BIGINT,
+    ),
+    trafficSource=texts("referralPath campaign source medium keyword adContent"),
+    device=record(
+        browser=STRING,
+        operatingSystem=STRING,
+        isMobile=BOOLEAN,
+        mobileDeviceBranding=STRING,
+        mobileDeviceModel=STRING,
+        mobileDeviceInfo=STRING,
+        deviceCategory=STRING,
+    ),
+    geoNetwork=texts("continent subContinent country region metro city"),
+    hits=T.ArrayType(HIT),
 )
-ADS_CAMPAIGN_STATS = _schema(
-    "Date date, CampaignId bigint, CurrentModelAttributedConversions double"
+
+ADS_CAMPAIGN = record(
+    CampaignId=BIGINT, CampaignName=STRING, AdvertisingChannelType=STRING, _PARTITIONTIME=INSTANT
 )
-ADS_BASIC_STATS = _schema(
-    "Date date, ExternalCustomerId bigint, CampaignId bigint, Clicks bigint, Impressions bigint,"
-    " Cost bigint, Slot string, ViewThroughConversions bigint, Conversions double"
+ADS_CUSTOMER = record(
+    ExternalCustomerId=BIGINT,
+    AccountDescriptiveName=STRING,
+    AccountCurrencyCode=STRING,
+    _PARTITIONTIME=INSTANT,
 )
-ADS_COOKIE_STATS = _schema("Date date, CampaignId bigint, AbsoluteTopImpressionPercentage string")
-ADS_HISTORY = _schema(
-    "Account string, Date date, Campaign_name string, Advertising_channel_type string,"
-    " Currency_code string, Clicks bigint, impressions bigint, CTR double, CPC double, Cost double,"
-    " Absolute_top_impression_percentage double, Top_impression_percentage double,"
-    " Conversions bigint, View_through_conversions bigint, Cost_per_conversion double,"
-    " Conversion_rate double"
+ADS_CAMPAIGN_STATS = record(Date=DATE, CampaignId=BIGINT, CurrentModelAttributedConversions=DOUBLE)
+ADS_BASIC_STATS = record(
+    Date=DATE,
+    ExternalCustomerId=BIGINT,
+    CampaignId=BIGINT,
+    Clicks=BIGINT,
+    Impressions=BIGINT,
+    Cost=BIGINT,
+    Slot=STRING,
+    ViewThroughConversions=BIGINT,
+    Conversions=DOUBLE,
 )
-INTEREST = _schema(
-    "date date, hits bigint, keyword string, is_luxe boolean, updated_datetime timestamp"
+ADS_COOKIE_STATS = record(Date=DATE, CampaignId=BIGINT, AbsoluteTopImpressionPercentage=STRING)
+ADS_HISTORY = record(
+    Account=STRING,
+    Date=DATE,
+    Campaign_name=STRING,
+    Advertising_channel_type=STRING,
+    Currency_code=STRING,
+    Clicks=BIGINT,
+    impressions=BIGINT,
+    CTR=DOUBLE,
+    CPC=DOUBLE,
+    Cost=DOUBLE,
+    Absolute_top_impression_percentage=DOUBLE,
+    Top_impression_percentage=DOUBLE,
+    Conversions=BIGINT,
+    View_through_conversions=BIGINT,
+    Cost_per_conversion=DOUBLE,
+    Conversion_rate=DOUBLE,
 )
-BEACON = _schema(
-    "event_name string, event_start_at date, event_end_at date, receiver_uid string,"
-    " event_type string, event_time timestamp, first_follow timestamp, bind_date string,"
-    " brand_id string"
+INTEREST = record(date=DATE, hits=BIGINT, keyword=STRING, is_luxe=BOOLEAN, updated_datetime=INSTANT)
+KEYWORDS = record(keyword=STRING, is_luxe=BOOLEAN)
+BEACON = record(
+    event_name=STRING,
+    event_start_at=DATE,
+    event_end_at=DATE,
+    receiver_uid=STRING,
+    event_type=STRING,
+    event_time=INSTANT,
+    first_follow=INSTANT,
+    bind_date=STRING,
+    brand_id=STRING,
 )
-MEDIUM_LOOKUP = _schema("utm_medium string, mapping_type string")
-BRAND_SALES = _schema("brand string, sales double")
+MEDIUM_LOOKUP = texts("utm_medium mapping_type")
+BRAND_SALES = record(brand=STRING, sales=DOUBLE)

@@ -358,7 +358,7 @@ def interest_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keywords(spark: SparkSession) -> DataFrame:
     """Wanted keywords; kw30 is not."""
     rows = [(f"kw{n}", n < 15) for n in range(KEYWORDS - 1)]
-    return small_table(spark, rows, schemas.T.StructType.fromDDL("keyword string, is_luxe boolean"))
+    return small_table(spark, rows, schemas.KEYWORDS)
 
 
 def interest(spark: SparkSession, sf_dir: str) -> DataFrame:

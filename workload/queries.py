@@ -63,7 +63,7 @@ def rounded(frame: DataFrame, names: Sequence[str], digits: int) -> DataFrame:
 
 def civil_utc(instant: Column) -> Column:
     """An instant as civil UTC time, to compare without a zone."""
-    return epoch_to_civil(F.unix_micros(instant) / 1000, "ms")
+    return epoch_to_civil(F.unix_micros(instant), "us")
 
 
 # ---- session hits ----------------------------------------------------------------
@@ -511,8 +511,10 @@ def json_pages_flatten(spark, sf_dir):
     )
     path = scratch_folder(spark, "pages")
     pages.select(F.to_json("response").alias("value")).write.text(path)
-    schema = schemas.T.StructType.fromDDL(
-        "event_id bigint, who struct<user_id: bigint, k: bigint>, event_type string"
+    schema = schemas.record(
+        event_id=schemas.BIGINT,
+        who=schemas.record(user_id=schemas.BIGINT, k=schemas.BIGINT),
+        event_type=schemas.STRING,
     )
     records = read_json_pages(spark, path, schema, document_per_file=False)
     return records.withColumnsRenamed({"who.user_id": "who_user_id", "who.k": "who_k"})
