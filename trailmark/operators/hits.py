@@ -42,7 +42,9 @@ def unnest_hits(sessions: DataFrame, fields: Sequence[str] | None = None) -> Dat
     hits = F.col("hits")
     if fields:
         hits = F.arrays_zip(*[F.col(f"hits.{name}").alias(name) for name in fields])
-    return sessions.withColumn("hit", F.explode(hits)).drop("hits")
+    # Same as a plain explode, for which Spark would add a filter on the array's size
+    # ahead of it and build the zipped array a second time there.
+    return sessions.withColumn("hit", F.explode_outer(hits)).drop("hits").where(F.col("hit").isNotNull())
 
 
 def repack(struct: str, fields: Sequence[str]) -> Column:
@@ -80,13 +82,14 @@ def hit_ids(sessions: DataFrame, id_keys: IdKeys) -> DataFrame:
 def flatten_hits(
     sessions: DataFrame,
     brand: str | None,
-    id_keys: IdKeys,
+    id_keys: IdKeys | None,
     offset_hours: int = LOCAL_OFFSET_HOURS,
 ) -> DataFrame:
     """One row per hit with the session's narrowed structs and the visitor's member id.
 
     ``brand`` is the code of the table's brand; None if the sessions of several brands
-    come in one table with a ``brand`` column, with ``id_keys`` by brand.
+    come in one table with a ``brand`` column, with ``id_keys`` by brand. Without
+    ``id_keys`` the member id is NULL, for reports that do not use it.
 
     The member id is attached to the session rows and the hits unnested afterwards:
     a shuffle then moves every session struct once rather than once per hit.
@@ -94,7 +97,6 @@ def flatten_hits(
     if brand is not None:
         sessions = sessions.withColumn("brand", F.lit(brand))
     visitor = ["brand", "fullVisitorId"]
-    known = last_known(hit_ids(sessions, id_keys), "marsId", visitor, ["visitNumber", "hitNumber"])
     narrow = sessions.select(
         *visitor,
         joined_key(F.col("date"), F.col("fullVisitorId"), F.col("visitId")).alias("sessionId"),
@@ -105,7 +107,12 @@ def flatten_hits(
         *[repack(name, fields) for name, fields in SESSION_STRUCTS.items()],
         F.arrays_zip(*[F.col(f"hits.{name}").alias(name) for name in HIT_FIELDS]).alias("hits"),
     )
-    identified = attach_by_key(narrow, known, visitor, ["visitId"])
+    if id_keys is None:
+        identified = narrow.withColumn("marsId", F.lit(None).cast("string"))
+    else:
+        own = hit_ids(sessions, id_keys)
+        known = last_known(own, "marsId", visitor, ["visitNumber", "hitNumber"])
+        identified = attach_by_key(narrow, known, visitor, ["visitId"])
     hit_time = F.col("visitStartTime") * 1000 + F.col("hit.time")
     return unnest_hits(identified).select(
         "brand",

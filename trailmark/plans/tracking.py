@@ -22,9 +22,12 @@ def all_hits(sessions_by_brand: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([brand_hits(sessions, brand) for brand, sessions in sessions_by_brand.items()])
 
 
-def branded_hits(sessions: DataFrame) -> DataFrame:
-    """Hits of several brands kept in one table with a ``brand`` column, in one pass."""
-    return flatten_hits(sessions, None, BRAND_ID_KEYS)
+def branded_hits(sessions: DataFrame, identify: bool = True) -> DataFrame:
+    """Hits of several brands kept in one table with a ``brand`` column, in one pass.
+
+    ``identify`` off leaves the member id NULL and saves its join.
+    """
+    return flatten_hits(sessions, None, BRAND_ID_KEYS if identify else None)
 
 
 def write_hits(hits: DataFrame, table: str, schema: str | None = None) -> None:

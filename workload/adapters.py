@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from trailmark import schemas
 from trailmark.fixed_values import BRAND_ID_KEYS, MEDIUM_GROUPS
-from trailmark.operators.attach import attach_by_key
 from trailmark.operators.tagging import tag_series
-from trailmark.sources import small_table
+from trailmark.sources import scratch_folder, small_table, write_files
 
 BRANDS = tuple(BRAND_ID_KEYS)
+BRANDED_SESSIONS = schemas.record(brand=schemas.STRING, **{f.name: f.dataType for f in schemas.SESSIONS})
 
 # A session is one visitor's events of a day within a block of consecutive event ids, so
 # no hits array is longer than a block however active a visitor is.
@@ -77,133 +77,141 @@ def brand_of(user: Column) -> Column:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "ts",
         "user_id",
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.to_date("ts").alias("day"),
-        F.floor(F.col("event_id") / BLOCK).alias("block"),
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
+        "to_date(ts) AS day",
+        f"event_id DIV {BLOCK} AS block",
     )
 
 
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
+
+
+def _pick(values: tuple, position: str) -> str:
+    """``pick`` as SQL text."""
+    return f"element_at(array({', '.join(map(_text, values))}), CAST({position} AS INT) + 1)"
+
+
+def _micros(civil: str) -> str:
+    """``epoch_micros`` as SQL text."""
+    since = f"CAST({civil} - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
+    return f"CAST(CAST({since} AS DECIMAL(18,6)) * 1000000 AS BIGINT)"
+
+
+# The parts of a hit that depend on the event alone, sorted by time and event.
+_EVENT = f"""struct(
+  ts, event_id,
+  {_micros("ts")} DIV 1000 AS millis,
+  k % 4 <> 0 AS isInteraction,
+  named_struct('pagePath', '/' || event_type, 'pageTitle', CAST(NULL AS STRING)) AS page,
+  array(named_struct('productSKU', 'p' || k, 'v2ProductName', CAST(NULL AS STRING))) AS product,
+  named_struct('contentGroup1', event_type) AS contentGroup,
+  named_struct(
+    'eventCategory', {_pick(tuple(c for c, _ in EVENTS), f"(k % {len(EVENTS)})")},
+    'eventAction', {_pick(tuple(a for _, a in EVENTS), f"(k % {len(EVENTS)})")},
+    'eventLabel', CASE WHEN k % 3 <> 1 THEN 'label ' || (k % 5) END) AS eventInfo,
+  array_compact(array(
+    named_struct('index', 1L, 'value', 'x' || (k % 3)),
+    CASE WHEN known THEN named_struct(
+      'index', CASE WHEN brand IN ('15', '40') THEN 10L ELSE 178L END, 'value', member) END,
+    CASE WHEN known AND brand = '16' AND k % 6 = 0 THEN named_struct(
+      'index', 182L, 'value', member || 'b') END)) AS customDimensions) AS event"""
+
+# A hit from its event and its position in the session.
+_HIT = """transform(events, (e, i) -> named_struct(
+  'type', 'EVENT',
+  'hitNumber', CAST(i + 1 AS BIGINT),
+  'time', e.millis - visitStartTime * 1000,
+  'isInteraction', e.isInteraction,
+  'isEntrance', i = 0,
+  'isExit', i + 1 = n,
+  'referer', CAST(NULL AS STRING),
+  'page', e.page,
+  'product', e.product,
+  'contentGroup', e.contentGroup,
+  'eventInfo', e.eventInfo,
+  'experiment', CAST(array() AS ARRAY<STRUCT<experimentId: STRING, experimentVariant: STRING>>),
+  'customDimensions', e.customDimensions)) AS hits"""
+
+
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of all brands, with a ``brand`` column."""
-    purchase = F.col("event_type") == "purchase"
-    cents = F.round(F.col("value") * 100).cast("bigint")
+    # Collecting lists gains nothing from combining on the map side, so the few raw columns
+    # are shuffled first and everything else is built behind the shuffle.
+    raw = events(spark, sf_dir).repartition("user_id", "day", "block")
+    tagged = raw.selectExpr(
+        "*",
+        f"{_pick(BRANDS, f'(user_id % {len(BRANDS)})')} AS brand",
+        "'u' || ((user_id + k % 2) % 40) AS member",
+        "k % 3 = 0 AND user_id % 3 > 0 AS known",
+    )
     collected = (
-        events(spark, sf_dir)
+        tagged.selectExpr("user_id", "day", "block", "event_type", "value", _EVENT)
         .groupBy("user_id", "day", "block")
         .agg(
-            F.sort_array(F.collect_list(F.struct("ts", "event_id", "event_type", "k"))).alias("raw"),
-            F.min("ts").alias("start"),
-            F.max("ts").alias("end"),
-            F.min("event_id").alias("visitId"),
-            F.count("*").alias("n"),
-            F.count_if(F.col("event_type") == "view").alias("pageviews"),
-            F.sum(F.when(purchase, 1)).alias("transactions"),
-            F.sum(F.when(purchase, cents * 10000)).alias("revenue"),
-        )
-    )
-    first = table(spark, sf_dir, "events").groupBy("user_id").agg(F.to_date(F.min("ts")).alias("first_day"))
-    dated = attach_by_key(collected, first, ["user_id"], ["visitId"])
-
-    user, visit = F.col("user_id"), F.col("visitId")
-    brand = brand_of(user)
-    start_second = F.floor(epoch_micros(F.col("start")) / 1000000)
-    null = F.lit(None).cast("string")
-
-    def hit(raw: Column, position: Column) -> Column:
-        k = raw["k"]
-        member = F.concat(F.lit("u"), ((user + k % 2) % 40).cast("string"))
-        known = (k % 3 == 0) & (user % 3 > 0)
-        index = F.when(brand.isin("15", "40"), 10).otherwise(178).cast("bigint")
-        second = known & (brand == "16") & (k % 6 == 0)
-
-        def dimension(index: Column, value: Column) -> Column:
-            return F.struct(index.cast("bigint").alias("index"), value.alias("value"))
-
-        return F.struct(
-            F.lit("EVENT").alias("type"),
-            (position + 1).cast("bigint").alias("hitNumber"),
-            (F.floor(epoch_micros(raw["ts"]) / 1000) - start_second * 1000).alias("time"),
-            (k % 4 != 0).alias("isInteraction"),
-            (position == 0).alias("isEntrance"),
-            (position + 1 == F.col("n")).alias("isExit"),
-            null.alias("referer"),
-            F.struct(F.concat(F.lit("/"), raw["event_type"]).alias("pagePath"), null.alias("pageTitle")).alias("page"),
-            F.array(
-                F.struct(
-                    F.concat(F.lit("p"), k.cast("string")).alias("productSKU"),
-                    null.alias("v2ProductName"),
-                )
-            ).alias("product"),
-            F.struct(raw["event_type"].alias("contentGroup1")).alias("contentGroup"),
-            F.struct(
-                pick(tuple(c for c, _ in EVENTS), k % len(EVENTS)).alias("eventCategory"),
-                pick(tuple(a for _, a in EVENTS), k % len(EVENTS)).alias("eventAction"),
-                F.when(k % 3 != 1, F.concat(F.lit("label "), (k % 5).cast("string"))).alias("eventLabel"),
-            ).alias("eventInfo"),
-            F.expr("CAST(array() AS array<struct<experimentId: string, experimentVariant: string>>)").alias(
-                "experiment"
+            F.expr("sort_array(collect_list(event)) AS events"),
+            F.expr("min(event.ts) AS start"),
+            F.expr("max(event.ts) AS end"),
+            F.expr("min(event.event_id) AS visitId"),
+            F.expr("count(*) AS n"),
+            F.expr("count_if(event_type = 'view') AS pageviews"),
+            F.expr("sum(CASE WHEN event_type = 'purchase' THEN 1 END) AS transactions"),
+            F.expr(
+                "sum(CASE WHEN event_type = 'purchase' THEN CAST(round(value * 100) AS BIGINT) * 10000 END)"
+                " AS revenue"
             ),
-            F.array_compact(
-                F.array(
-                    dimension(F.lit(1), F.concat(F.lit("x"), (k % 3).cast("string"))),
-                    F.when(known, dimension(index, member)),
-                    F.when(second, dimension(F.lit(182), F.concat(member, F.lit("b")))),
-                )
-            ).alias("customDimensions"),
         )
-
-    return dated.select(
-        brand.alias("brand"),
-        F.date_format("day", "yyyyMMdd").alias("date"),
-        user.cast("string").alias("fullVisitorId"),
+    )
+    timed = collected.selectExpr(
+        "*",
+        f"{_pick(BRANDS, f'(user_id % {len(BRANDS)})')} AS brand",
+        f"{_micros('start')} DIV 1000000 AS visitStartTime",
+        f"{_micros('end')} DIV 1000000 AS lastTime",
+    )
+    null = "CAST(NULL AS STRING)"
+    return timed.selectExpr(
+        "brand",
+        "date_format(day, 'yyyyMMdd') AS date",
+        "CAST(user_id AS STRING) AS fullVisitorId",
         "visitId",
-        (F.datediff("day", "first_day") + 1).cast("bigint").alias("visitNumber"),
-        pick(CHANNELS, visit % len(CHANNELS)).alias("channelGrouping"),
-        start_second.alias("visitStartTime"),
-        F.struct(
-            F.when(visit % 20 != 0, 1).cast("bigint").alias("visits"),
-            F.col("n").alias("hits"),
-            "pageviews",
-            F.when(F.col("n") > 1, F.floor(epoch_micros(F.col("end")) / 1000000) - start_second).alias("timeOnSite"),
-            F.col("transactions").cast("bigint").alias("transactions"),
-            F.col("revenue").alias("totalTransactionRevenue"),
-            F.when(F.col("n") == 1, 1).cast("bigint").alias("bounces"),
-        ).alias("totals"),
-        F.struct(
-            null.alias("referralPath"),
-            F.concat(F.lit("c"), (user % 5).cast("string")).alias("campaign"),
-            F.concat(F.lit("s"), (user % 4).cast("string")).alias("source"),
-            pick(MEDIUMS, user % len(MEDIUMS)).alias("medium"),
-            null.alias("keyword"),
-            null.alias("adContent"),
-        ).alias("trafficSource"),
-        F.struct(
-            pick(("Chrome", "Safari"), user % 2).alias("browser"),
-            pick(("Android", "iOS", "Windows"), user % 3).alias("operatingSystem"),
-            (user % 3 != 2).alias("isMobile"),
-            null.alias("mobileDeviceBranding"),
-            null.alias("mobileDeviceModel"),
-            null.alias("mobileDeviceInfo"),
-            pick(("mobile", "mobile", "desktop"), user % 3).alias("deviceCategory"),
-        ).alias("device"),
-        F.struct(
-            F.lit("Asia").alias("continent"),
-            F.lit("Eastern Asia").alias("subContinent"),
-            F.lit("Taiwan").alias("country"),
-            null.alias("region"),
-            null.alias("metro"),
-            F.concat(F.lit("city"), (user % 6).cast("string")).alias("city"),
-        ).alias("geoNetwork"),
-        F.transform("raw", hit).alias("hits"),
+        "CAST(greatest(1, datediff(day, DATE '2023-12-31') - user_id % 5) AS BIGINT) AS visitNumber",
+        f"{_pick(CHANNELS, f'(visitId % {len(CHANNELS)})')} AS channelGrouping",
+        "visitStartTime",
+        """named_struct(
+          'visits', CASE WHEN visitId % 20 <> 0 THEN 1L END, 'hits', n, 'pageviews', pageviews,
+          'timeOnSite', CASE WHEN n > 1 THEN lastTime - visitStartTime END,
+          'transactions', transactions, 'totalTransactionRevenue', revenue,
+          'bounces', CASE WHEN n = 1 THEN 1L END) AS totals""",
+        f"""named_struct(
+          'referralPath', {null}, 'campaign', 'c' || (user_id % 5), 'source', 's' || (user_id % 4),
+          'medium', {_pick(MEDIUMS, f"(user_id % {len(MEDIUMS)})")},
+          'keyword', {null}, 'adContent', {null}) AS trafficSource""",
+        f"""named_struct(
+          'browser', {_pick(("Chrome", "Safari"), "(user_id % 2)")},
+          'operatingSystem', {_pick(("Android", "iOS", "Windows"), "(user_id % 3)")},
+          'isMobile', user_id % 3 <> 2, 'mobileDeviceBranding', {null}, 'mobileDeviceModel', {null},
+          'mobileDeviceInfo', {null},
+          'deviceCategory', {_pick(("mobile", "mobile", "desktop"), "(user_id % 3)")}) AS device""",
+        f"""named_struct(
+          'continent', 'Asia', 'subContinent', 'Eastern Asia', 'country', 'Taiwan', 'region', {null},
+          'metro', {null}, 'city', 'city' || (user_id % 6)) AS geoNetwork""",
+        _HIT,
     )
 
 
+def stored_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions as a stored table, as reports that read them more than once find them."""
+    path = scratch_folder(spark, "sessions")
+    write_files(sessions(spark, sf_dir), path)
+    return spark.read.schema(BRANDED_SESSIONS).parquet(path)
+
+
 def mediums(spark: SparkSession) -> DataFrame:
     return small_table(spark, MEDIUM_GROUPS, schemas.MEDIUM_LOOKUP)
 

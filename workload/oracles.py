@@ -54,7 +54,6 @@ SELECT *,
        row_number() OVER (s ORDER BY ts, event_id) AS hitNumber,
        count(*) OVER s AS n, min(ts) OVER s AS s_start, max(ts) OVER s AS s_end,
        min(event_id) OVER s AS visitId,
-       min(day) OVER (PARTITION BY user_id) AS first_day,
        sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) OVER s AS pageviews,
        sum(CASE WHEN event_type = 'purchase' THEN 1 END) OVER s AS transactions,
        sum(CASE WHEN event_type = 'purchase' THEN CAST(round(value * 100) AS BIGINT) * 10000 END)
@@ -65,7 +64,7 @@ CTES["own"] = f"""
 SELECT *, {pick(BRANDS, f"user_id % {len(BRANDS)}")} AS brand,
        CASE WHEN k % 3 = 0 AND user_id % 3 > 0 THEN 'u' || CAST((user_id + k % 2) % 40 AS VARCHAR) END AS member,
        CAST(user_id AS VARCHAR) AS fullVisitorId,
-       CAST(day - first_day + 1 AS BIGINT) AS visitNumber,
+       CAST(greatest(1, day - DATE '2023-12-31' - user_id % 5) AS BIGINT) AS visitNumber,
        date_diff('second', TIMESTAMP '1970-01-01', s_start) AS visitStartTime
 FROM grouped"""
 

@@ -70,7 +70,12 @@ def civil_utc(instant: Column) -> Column:
 
 
 def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.branded_hits(inputs.sessions(spark, sf_dir))
+    return tracking.branded_hits(inputs.stored_sessions(spark, sf_dir))
+
+
+def anonymous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hits without member ids, for reports that do not use them."""
+    return tracking.branded_hits(inputs.sessions(spark, sf_dir), identify=False)
 
 
 def scalars(hits: DataFrame) -> DataFrame:
@@ -101,7 +106,7 @@ def flat_hits(spark, sf_dir):
 @query
 def union_all_brands(spark, sf_dir):
     """The same from a session table per brand."""
-    all_sessions = inputs.sessions(spark, sf_dir)
+    all_sessions = inputs.stored_sessions(spark, sf_dir)
     by_brand = {code: all_sessions.where(F.col("brand") == code).drop("brand") for code in BRAND_ID_KEYS}
     hits = tracking.all_hits(by_brand)
     return hits.select(
@@ -175,7 +180,7 @@ def epoch_ms_to_local(spark, sf_dir):
 
 @query
 def identity_fill(spark, sf_dir):
-    own = hit_ids(inputs.sessions(spark, sf_dir), BRAND_ID_KEYS)
+    own = hit_ids(inputs.stored_sessions(spark, sf_dir), BRAND_ID_KEYS)
     return fill_identity(own, "marsId", ["brand", "fullVisitorId"], ["visitNumber", "hitNumber"])
 
 
@@ -198,7 +203,7 @@ def first_day_flag_query(spark, sf_dir):
 
 @query
 def lookup_left_join(spark, sf_dir):
-    hits = journey.with_medium_group(flat(spark, sf_dir), inputs.mediums(spark))
+    hits = journey.with_medium_group(anonymous(spark, sf_dir), inputs.mediums(spark))
     return hits.select(
         "sessionId",
         F.col("hit.hitNumber").alias("hitNumber"),
@@ -209,7 +214,7 @@ def lookup_left_join(spark, sf_dir):
 
 @query
 def visit_filter(spark, sf_dir):
-    hits = flat(spark, sf_dir).where(F.col("totals.visits") == 1)
+    hits = anonymous(spark, sf_dir).where(F.col("totals.visits") == 1)
     return hits.groupBy("brand").agg(F.count("*").alias("hits"), F.max("visitNumber").alias("last_visit"))
 
 
@@ -219,7 +224,7 @@ def _local_day() -> Column:
 
 @query
 def bool_or_flag(spark, sf_dir):
-    return flat(spark, sf_dir).groupBy("brand", _local_day()).agg(F.bool_or("isNewVisit").alias("isNewVisit"))
+    return anonymous(spark, sf_dir).groupBy("brand", _local_day()).agg(F.bool_or("isNewVisit").alias("isNewVisit"))
 
 
 def _brand_day() -> dict[str, Column]:
@@ -237,7 +242,7 @@ def cond_distinct(spark, sf_dir):
     }
     visitors = {"users": None, "new_users": F.col("visitNumber") == 1}
     return facet_report(
-        flat(spark, sf_dir),
+        anonymous(spark, sf_dir),
         _brand_day(),
         [Facet(F.col("sessionId"), shop), Facet(F.col("fullVisitorId"), visitors)],
     )
@@ -248,7 +253,7 @@ def cond_sum(spark, sf_dir):
     """The two kinds of conditional sum: NULL or 0 when nothing qualifies."""
     time = F.col("totals.timeOnSite")
     direct = F.col("channelGrouping") == "Direct"
-    return flat(spark, sf_dir).groupBy("brand", "sessionId").agg(
+    return anonymous(spark, sf_dir).groupBy("brand", "sessionId").agg(
         F.sum(F.when(direct, time)).alias("or_null"),
         F.sum(F.when(direct, time).otherwise(0)).alias("or_zero"),
     )
@@ -257,12 +262,12 @@ def cond_sum(spark, sf_dir):
 @query
 def composite_distinct(spark, sf_dir):
     events = Facet(site.event_key(), {"unique_events": None})
-    return facet_report(flat(spark, sf_dir), _brand_day(), [events])
+    return facet_report(anonymous(spark, sf_dir), _brand_day(), [events])
 
 
 @query
 def apportioned_totals(spark, sf_dir):
-    totals = flat(spark, sf_dir).groupBy("sessionId").agg(
+    totals = anonymous(spark, sf_dir).groupBy("sessionId").agg(
         *[F.sum(site.per_hit(F.col(f"totals.{n}"))).alias(n) for n in ("timeOnSite", "pageviews", "hits")]
     )
     return rounded(totals, ["timeOnSite", "pageviews", "hits"], 0)
@@ -270,7 +275,7 @@ def apportioned_totals(spark, sf_dir):
 
 @query
 def ratio_metrics(spark, sf_dir):
-    return site.site_metrics(flat(spark, sf_dir))
+    return site.site_metrics(anonymous(spark, sf_dir))
 
 
 @query
@@ -322,7 +327,7 @@ def account_click_join(spark, sf_dir):
 
 @query
 def full_outer_daily(spark, sf_dir):
-    hits = flat(spark, sf_dir).groupBy("brand", _local_day()).agg(F.count("*").alias("hits"))
+    hits = anonymous(spark, sf_dir).groupBy("brand", _local_day()).agg(F.count("*").alias("hits"))
     clicks = site.ad_clicks(inputs.basic_stats(spark, sf_dir), inputs.customers(spark, sf_dir))
     return full_outer_report(clicks, hits, ["brand", "date"])
 
@@ -330,7 +335,7 @@ def full_outer_daily(spark, sf_dir):
 @query
 def daily_report(spark, sf_dir):
     return site.daily_report(
-        flat(spark, sf_dir), inputs.basic_stats(spark, sf_dir), inputs.customers(spark, sf_dir)
+        anonymous(spark, sf_dir), inputs.basic_stats(spark, sf_dir), inputs.customers(spark, sf_dir)
     )
 
 
