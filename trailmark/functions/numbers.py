@@ -10,10 +10,11 @@ def settled_round(value: Column, digits: int = 0) -> Column:
     """Round half away from zero, independent of summation order.
 
     A distributed double sum differs in its last bits from run to run, which can
-    push a value lying on a rounding tie to either side. Rounding to a few spare
+    push a value lying on a rounding tie to either side. Settling it at a few spare
     digits first removes those bits.
     """
-    return F.round(F.round(value, digits + SPARE_DIGITS), digits)
+    scale = F.lit(10.0 ** (digits + SPARE_DIGITS))
+    return F.round(F.rint(value * scale) / scale, digits)
 
 
 def safe_ratio(numerator: Column, denominator: Column, digits: int) -> Column:

@@ -18,12 +18,16 @@ UNDATED = "0001-01-01"
 
 
 def last_known(rows: DataFrame, value: str, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per ``by`` group, the last non-NULL ``value`` in ``order``; ties take the largest value."""
-    last = F.max(F.struct(*order, value))
+    """Per ``by`` group, the last non-NULL ``value`` in ``order``; ties take the largest value.
+
+    Groups without one are left out behind the aggregate: a filter ahead of it would
+    evaluate the expression behind ``value`` a second time for every row.
+    """
+    known = F.when(F.col(value).isNotNull(), F.struct(*order, value))
     return (
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*by)
-        .agg(last.alias("_last"))
+        rows.groupBy(*by)
+        .agg(F.max(known).alias("_last"))
+        .where(F.col("_last").isNotNull())
         .select(*by, F.col(f"_last.{value}").alias(value))
     )
 

@@ -15,11 +15,14 @@ def table_name(table: str, schema: str | None = None, default_schema: str | None
 def _prepared(
     rows: DataFrame, mode: str, cluster_by: Sequence[str], partition_by: Sequence[str]
 ) -> DataFrameWriter:
-    layout = [*partition_by, *[c for c in cluster_by if c not in partition_by]]
-    if layout:
+    if cluster_by:
         # Ranges of the layout columns give files with narrow min/max statistics. The row
         # hash comes last so that one value held by many rows still spreads over ranges.
+        layout = [*partition_by, *[c for c in cluster_by if c not in partition_by]]
         rows = rows.repartitionByRange(*layout, F.xxhash64(*rows.columns)).sortWithinPartitions(*layout)
+    elif partition_by:
+        # One task per folder where it is small, several where it is large.
+        rows = rows.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = rows.write.format("parquet").mode(mode).option("partitionOverwriteMode", "static")
     return writer.partitionBy(*partition_by) if partition_by else writer
 
@@ -54,8 +57,7 @@ def load_day(rows: DataFrame, path: str, day_column: str) -> None:
 
     Only the days present in ``rows`` are replaced; earlier days stay.
     """
-    writer = rows.write.format("parquet").mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(day_column).save(path)
+    _prepared(rows, "overwrite", (), [day_column]).option("partitionOverwriteMode", "dynamic").save(path)
 
 
 def publish_view(rows: DataFrame, name: str) -> None:

@@ -413,8 +413,11 @@ def faulty_beacon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales by part brand, in whole units so that their sum is exact."""
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity")
+    """Sales by part with the part's brand, in whole units so that their sum is exact.
+
+    Summed by part ahead of the join, as one part may be on very many lines.
+    """
+    by_part = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("sales"))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    joined = lines.join(parts, lines["l_partkey"] == parts["p_partkey"], "left")
-    return joined.select(F.col("p_brand").alias("brand"), F.col("l_quantity").alias("sales"))
+    joined = by_part.join(parts, by_part["l_partkey"] == parts["p_partkey"], "left")
+    return joined.select(F.col("p_brand").alias("brand"), "sales")
