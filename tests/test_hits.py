@@ -1,0 +1,140 @@
+from datetime import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tests.helpers import hit, plan, rows_of, same_rows, session, session_frame
+from trailmark.fixed_values import BRAND_ID_KEYS
+from trailmark.operators.hits import flatten_hits, hit_ids, unnest_hits
+from trailmark.plans import tracking
+
+
+def ids(hits):
+    return sorted(rows_of(hits.select("sessionId", "hit.hitNumber", "marsId")))
+
+
+def test_output_columns(spark):
+    hits = tracking.brand_hits(session_frame(spark, [session()]), "07")
+    assert hits.columns == [
+        "brand", "marsId", "sessionId", "fullVisitorId", "visitId", "visitNumber", "channelGrouping",
+        "isNewVisit", "visitStartDateTime", "totals", "trafficSource", "device", "geoNetwork", "hit",
+    ]
+    names = hits.schema["hit"].dataType.names
+    assert "customDimensions" not in names and "time" not in names and names[2] == "hitDateTime"
+    row = hits.first()
+    assert (row.brand, row.sessionId, row.isNewVisit) == ("07", "20240101-v1-1", True)
+    assert row.visitStartDateTime == datetime(2024, 1, 1, 8)
+
+
+def test_sessions_without_hits_vanish(spark):
+    empty = session(visit=2, hits=[])
+    missing = session(visit=3) | {"hits": None}
+    hits = tracking.brand_hits(session_frame(spark, [session(), empty, missing]), "01")
+    assert [r[0] for r in rows_of(hits.select("visitId"))] == [1]
+    assert unnest_hits(session_frame(spark, [empty, missing])).count() == 0
+
+
+def test_last_known_id_fills_all_hits_of_a_visitor(spark):
+    rows = [
+        session(visit=1, number=1, hits=[hit(1), hit(2, [(178, "old")])]),
+        session(visit=2, number=2, hits=[hit(1), hit(2, [(178, "new")]), hit(3)]),
+        session(visit=3, number=3, hits=[hit(1)]),
+        session(visitor="v2", visit=4, hits=[hit(1, [(10, "other index")])]),
+    ]
+    found = ids(tracking.brand_hits(session_frame(spark, rows), "01"))
+    assert {m for s, _, m in found if "-v1-" in s} == {"new"}
+    assert {m for s, _, m in found if "-v2-" in s} == {None}
+    assert len(found) == 7
+
+
+def test_ties_take_the_largest_id(spark):
+    rows = [
+        session(visit=1, number=1, hits=[hit(1, [(178, "a")])]),
+        session(visit=2, number=1, hits=[hit(1, [(178, "b")])]),
+    ]
+    assert {m for _, _, m in ids(tracking.brand_hits(session_frame(spark, rows), "01"))} == {"b"}
+
+
+def test_fallback_brand(spark):
+    rows = [
+        session(visitor="v1", hits=[hit(1, [(182, "first"), (178, "second")])]),
+        session(visitor="v2", hits=[hit(1, [(178, "second")])]),
+    ]
+    found = rows_of(tracking.brand_hits(session_frame(spark, rows), "16").select("fullVisitorId", "marsId"))
+    assert sorted(found) == [("v1", "first"), ("v2", "second")]
+
+
+def test_repeated_index_is_an_error(spark):
+    rows = [session(hits=[hit(1, [(178, "a"), (178, "b")])])]
+    with pytest.raises(PySparkException, match="more than once"):
+        tracking.brand_hits(session_frame(spark, rows), "01").collect()
+
+
+def test_missing_visitors_form_one_group(spark):
+    rows = [session(visitor=None, visit=n, number=n, hits=[hit(1, [(178, f"m{n}")])]) for n in (1, 2, 3)]
+    hits = tracking.brand_hits(session_frame(spark, rows), "01")
+    assert [r[0] for r in rows_of(hits.select("marsId"))] == ["m3"] * 3
+    assert [r[0] for r in rows_of(hits.select("sessionId"))] == [None] * 3
+
+
+def test_hit_time_is_local(spark):
+    start = 1704124790  # 23:59:50 at +8
+    rows = [session(start=start, hits=[hit(1), hit(2, time=15250)])]
+    times = rows_of(tracking.brand_hits(session_frame(spark, rows), "01").select("hit.hitDateTime"))
+    assert sorted(times) == [(datetime(2024, 1, 1, 23, 59, 50),), (datetime(2024, 1, 2, 0, 0, 5, 250000),)]
+
+
+def many_sessions(brands=("01", "16", "40")):
+    return [
+        session(
+            visitor=f"v{n % 7}",
+            visit=n,
+            number=n // 7,
+            brand=brands[n % len(brands)],
+            hits=[hit(i, [(k, f"m{n * i % 5}")] if (n + i) % 3 else []) for i, k in ((1, 178), (2, 10), (3, 182))],
+        )
+        for n in range(60)
+    ]
+
+
+def test_one_table_equals_a_table_per_brand(spark):
+    sessions = session_frame(spark, many_sessions())
+    by_brand = {b: sessions.where(F.col("brand") == b).drop("brand") for b in ("01", "16", "40")}
+    columns = ["brand", "marsId", "sessionId", "hit.hitNumber"]
+    same_rows(tracking.branded_hits(sessions).select(*columns), tracking.all_hits(by_brand).select(*columns))
+
+
+def test_equals_the_window_form(spark):
+    sessions = session_frame(spark, many_sessions())
+    own = hit_ids(sessions, BRAND_ID_KEYS)
+    whole = (
+        Window.partitionBy("brand", "fullVisitorId")
+        .orderBy("visitNumber", "hitNumber", F.asc_nulls_first("marsId"))
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    columns = ["brand", "fullVisitorId", "visitNumber", "hitNumber", "marsId"]
+    windowed = own.withColumn("marsId", F.last("marsId", ignorenulls=True).over(whole)).select(*columns)
+    flat = tracking.branded_hits(sessions).withColumn("hitNumber", F.col("hit.hitNumber"))
+    same_rows(flat.select(*columns), windowed)
+
+
+def test_scans_read_only_the_fields_they_need(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    session_frame(spark, many_sessions()).write.parquet(path)
+    sessions = spark.read.parquet(path)
+    text = " ".join(plan(flatten_hits(sessions, None, BRAND_ID_KEYS)).split())
+    assert "Window" not in text and "CartesianProduct" not in text
+    narrow = hit_ids(sessions, BRAND_ID_KEYS)._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    fields = narrow.requiredSchema().json()
+    assert '"hitNumber"' in fields and '"customDimensions"' in fields
+    assert '"eventInfo"' not in fields and '"trafficSource"' not in fields
+    main = flatten_hits(sessions, None, None)._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    assert '"customDimensions"' not in main.requiredSchema().json()
+
+
+def test_without_id_keys_nothing_is_joined(spark):
+    hits = tracking.branded_hits(session_frame(spark, many_sessions()), identify=False)
+    assert "Join" not in plan(hits)
+    assert rows_of(hits.select("marsId").distinct()) == [(None,)]

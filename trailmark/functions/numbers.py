@@ -4,6 +4,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPARE_DIGITS = 8
+# Doubles below this have a unit in the last place under one.
+WHOLE_DOUBLES = 2.0**52
 
 
 def settled_round(value: Column, digits: int = 0) -> Column:
@@ -14,7 +16,10 @@ def settled_round(value: Column, digits: int = 0) -> Column:
     digits first removes those bits.
     """
     scale = F.lit(10.0 ** (digits + SPARE_DIGITS))
-    return F.round(F.rint(value * scale) / scale, digits)
+    scaled = value * scale
+    # Larger values have no such digits, and scaling would disturb their last bit.
+    settled = F.when(F.abs(scaled) < WHOLE_DOUBLES, F.rint(scaled) / scale).otherwise(value)
+    return F.round(settled, digits)
 
 
 def safe_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
