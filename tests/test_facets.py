@@ -73,8 +73,8 @@ def test_journey_equals_the_plain_form(spark, hits):
 def test_journey_plan(spark, hits):
     text = plan(journey.customer_journey(hits, mediums(spark)))
     expand = next(line for line in text.splitlines() if " Expand " in line)
-    # One copy per facet, not one per distinct count.
-    assert len([part for part in expand.split("], [") if "_mask" in part]) == 4
+    # One copy per facet, not one per distinct count; the fifth list names the output.
+    assert len([part for part in expand.split("], [") if "_mask" in part]) == 4 + 1
     assert "Window" not in text and "collect_" not in text and "ObjectHashAggregate" not in text
     assert "BroadcastHashJoin" in text
 

@@ -77,12 +77,14 @@ def ads_ongoing(
     cookies = union_distinct(cookie_stats).select(
         "Date", "CampaignId", top_share.alias("Absolute_top_impression_percentage")
     )
+    # The two small sides with the same key are joined first, so that the large one meets
+    # that key in a single join, which adaptive execution may then split.
+    by_campaign_day = campaign_day_conversions(campaign_stats).join(cookies, ["Date", "CampaignId"], "inner")
     report = (
         campaign_day_stats(basic_stats)
         .join(campaign, "CampaignId", "inner")
         .join(customer, "ExternalCustomerId", "inner")
-        .join(campaign_day_conversions(campaign_stats), ["Date", "CampaignId"], "inner")
-        .join(cookies, ["Date", "CampaignId"], "inner")
+        .join(by_campaign_day, ["Date", "CampaignId"], "inner")
         .select(
             "Account",
             "Date",

@@ -8,7 +8,8 @@ SETTINGS = {
     "spark.sql.caseSensitive": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Recording the call site of every column expression makes plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

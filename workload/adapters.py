@@ -57,8 +57,43 @@ INTEREST_RUN = datetime(2001, 8, 2, 4, 0, tzinfo=timezone(timedelta(hours=8)))
 KEYWORDS = 31
 
 
+NTZ, INT = schemas.T.TimestampNTZType(), schemas.T.IntegerType()
+BIGINT, DOUBLE, STRING = schemas.BIGINT, schemas.DOUBLE, schemas.STRING
+TABLES = {
+    "events": schemas.record(
+        event_id=BIGINT, ts=NTZ, user_id=BIGINT, event_type=STRING, value=DOUBLE, props=STRING
+    ),
+    "orders": schemas.record(
+        o_orderkey=BIGINT,
+        o_custkey=BIGINT,
+        o_orderstatus=STRING,
+        o_totalprice=DOUBLE,
+        o_orderdate=NTZ,
+        o_orderpriority=STRING,
+    ),
+    "lineitem": schemas.record(
+        l_orderkey=BIGINT,
+        l_partkey=BIGINT,
+        l_suppkey=BIGINT,
+        l_linenumber=INT,
+        l_quantity=DOUBLE,
+        l_extendedprice=DOUBLE,
+        l_discount=DOUBLE,
+        l_tax=DOUBLE,
+        l_returnflag=STRING,
+        l_linestatus=STRING,
+        l_shipdate=NTZ,
+    ),
+    "supplier": schemas.record(s_suppkey=BIGINT, s_name=STRING, s_nationkey=INT, s_acctbal=DOUBLE),
+    "part": schemas.record(
+        p_partkey=BIGINT, p_name=STRING, p_brand=STRING, p_type=STRING, p_size=INT, p_retailprice=DOUBLE
+    ),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table, with its schema stated so that Spark need not read it from the files."""
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: tuple, position: Column) -> Column:

@@ -392,6 +392,11 @@ ORACLES: dict[str, str] = {
     "union_all_brands": with_ctes(
         "SELECT brand, marsId, sessionId, hitNumber, visitStartDateTime FROM flat", "flat"
     ),
+    "shard_scan": with_ctes(
+        """SELECT brand, sessionId[1:8] AS date, visitId, visitNumber, CAST(count(*) AS INTEGER) AS hits
+           FROM flat0 GROUP BY ALL""",
+        "flat0",
+    ),
     "unnest_hits": with_ctes("SELECT visitId, hitNumber, eventCategory, eventAction FROM flat0", "flat0"),
     "kv_lookup": with_ctes(
         """SELECT visitId, hitNumber, CASE WHEN brand NOT IN ('15', '40') THEN member END AS key_178,

@@ -40,7 +40,14 @@ from trailmark.operators.snapshots import latest_snapshot
 from trailmark.plans import ads, journey, site, tracking, trends
 from trailmark.plans.beacon import beacon_stage
 from trailmark.plans.sales import brand_sales
-from trailmark.sources import load_day, read_csv_positional, read_json_pages, scratch_folder, write_files
+from trailmark.sources import (
+    load_day,
+    read_csv_positional,
+    read_json_pages,
+    read_shards,
+    scratch_folder,
+    write_files,
+)
 from trailmark.streaming.landing import append_new, landed_csv
 from workload import adapters as inputs
 
@@ -114,6 +121,16 @@ def union_all_brands(spark, sf_dir):
     )
 
 
+@query
+def shard_scan(spark, sf_dir):
+    """Sessions kept in a folder per day, read back by wildcard."""
+    root = scratch_folder(spark, "shards")
+    sharded = inputs.sessions(spark, sf_dir).withColumn("sessions_of", F.col("date"))
+    write_files(sharded, root, partition_by=["sessions_of"])
+    stored = read_shards(spark, root, "sessions_of=", inputs.BRANDED_SESSIONS)
+    return stored.select("brand", "date", "visitId", "visitNumber", F.size("hits").alias("hits"))
+
+
 @query
 def unnest_hits_query(spark, sf_dir):
     hits = unnest_hits(inputs.sessions(spark, sf_dir), ["hitNumber", "eventInfo"])
