@@ -139,62 +139,63 @@ def _micros(civil: str) -> str:
     return f"CAST(CAST({since} AS DECIMAL(18,6)) * 1000000 AS BIGINT)"
 
 
-# The parts of a hit that depend on the event alone, sorted by time and event.
-_EVENT = f"""struct(
-  ts, event_id,
-  {_micros("ts")} DIV 1000 AS millis,
-  k % 4 <> 0 AS isInteraction,
-  named_struct('pagePath', '/' || event_type, 'pageTitle', CAST(NULL AS STRING)) AS page,
-  array(named_struct('productSKU', 'p' || k, 'v2ProductName', CAST(NULL AS STRING))) AS product,
-  named_struct('contentGroup1', event_type) AS contentGroup,
-  named_struct(
-    'eventCategory', {_pick(tuple(c for c, _ in EVENTS), f"(k % {len(EVENTS)})")},
-    'eventAction', {_pick(tuple(a for _, a in EVENTS), f"(k % {len(EVENTS)})")},
-    'eventLabel', CASE WHEN k % 3 <> 1 THEN 'label ' || (k % 5) END) AS eventInfo,
-  array_compact(array(
-    named_struct('index', 1L, 'value', 'x' || (k % 3)),
-    CASE WHEN known THEN named_struct(
-      'index', CASE WHEN brand IN ('15', '40') THEN 10L ELSE 178L END, 'value', member) END,
-    CASE WHEN known AND brand = '16' AND k % 6 = 0 THEN named_struct(
-      'index', 182L, 'value', member || 'b') END)) AS customDimensions) AS event"""
-
-# A hit from its event and its position in the session.
-_HIT = """transform(events, (e, i) -> named_struct(
+# A hit, its fields in the order of the schema; sorting puts hits in order of number.
+_HIT = f"""named_struct(
   'type', 'EVENT',
-  'hitNumber', CAST(i + 1 AS BIGINT),
-  'time', e.millis - visitStartTime * 1000,
-  'isInteraction', e.isInteraction,
-  'isEntrance', i = 0,
-  'isExit', i + 1 = n,
+  'hitNumber', CAST(number AS BIGINT),
+  'time', {_micros("ts")} DIV 1000 - visitStartTime * 1000,
+  'isInteraction', k % 4 <> 0,
+  'isEntrance', number = 1,
+  'isExit', number = n,
   'referer', CAST(NULL AS STRING),
-  'page', e.page,
-  'product', e.product,
-  'contentGroup', e.contentGroup,
-  'eventInfo', e.eventInfo,
+  'page', named_struct('pagePath', '/' || event_type, 'pageTitle', CAST(NULL AS STRING)),
+  'product', array(named_struct('productSKU', 'p' || k, 'v2ProductName', CAST(NULL AS STRING))),
+  'contentGroup', named_struct('contentGroup1', event_type),
+  'eventInfo', named_struct(
+    'eventCategory', {_pick(tuple(c for c, _ in EVENTS), f"(k % {len(EVENTS)})")},
+    'eventAction', {_pick(tuple(a for _, a in EVENTS), f"(k % {len(EVENTS)})")},
+    'eventLabel', CASE WHEN k % 3 <> 1 THEN 'label ' || (k % 5) END),
   'experiment', CAST(array() AS ARRAY<STRUCT<experimentId: STRING, experimentVariant: STRING>>),
-  'customDimensions', e.customDimensions)) AS hits"""
+  'customDimensions', CASE
+    WHEN NOT known THEN array(named_struct('index', 1L, 'value', 'x' || (k % 3)))
+    WHEN brand = '16' AND k % 6 = 0 THEN array(
+      named_struct('index', 1L, 'value', 'x' || (k % 3)),
+      named_struct('index', 178L, 'value', member),
+      named_struct('index', 182L, 'value', member || 'b'))
+    ELSE array(
+      named_struct('index', 1L, 'value', 'x' || (k % 3)),
+      named_struct('index', CASE WHEN brand IN ('15', '40') THEN 10L ELSE 178L END, 'value', member))
+    END) AS hit"""
+
+_SESSION = ("user_id", "day", "block")
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of all brands, with a ``brand`` column."""
     # Collecting lists gains nothing from combining on the map side, so the few raw columns
     # are shuffled first and everything else is built behind the shuffle.
-    raw = events(spark, sf_dir).repartition("user_id", "day", "block")
-    tagged = raw.selectExpr(
+    raw = events(spark, sf_dir).repartition(*_SESSION)
+    of_session = f"OVER (PARTITION BY {', '.join(_SESSION)}"
+    numbered = raw.selectExpr(
+        "*",
+        f"row_number() {of_session} ORDER BY ts, event_id) AS number",
+        f"count(*) {of_session}) AS n",
+        f"min(ts) {of_session}) AS start",
+    )
+    tagged = numbered.selectExpr(
         "*",
         f"{_pick(BRANDS, f'(user_id % {len(BRANDS)})')} AS brand",
         "'u' || ((user_id + k % 2) % 40) AS member",
         "k % 3 = 0 AND user_id % 3 > 0 AS known",
+        f"{_micros('start')} DIV 1000000 AS visitStartTime",
     )
     collected = (
-        tagged.selectExpr("user_id", "day", "block", "event_type", "value", _EVENT)
-        .groupBy("user_id", "day", "block")
+        tagged.selectExpr(*_SESSION, "brand", "n", "visitStartTime", "ts", "event_id", "event_type", "value", _HIT)
+        .groupBy(*_SESSION, "brand", "n", "visitStartTime")
         .agg(
-            F.expr("sort_array(collect_list(event)) AS events"),
-            F.expr("min(event.ts) AS start"),
-            F.expr("max(event.ts) AS end"),
-            F.expr("min(event.event_id) AS visitId"),
-            F.expr("count(*) AS n"),
+            F.expr("sort_array(collect_list(hit)) AS hits"),
+            F.expr("max(ts) AS end"),
+            F.expr("min(event_id) AS visitId"),
             F.expr("count_if(event_type = 'view') AS pageviews"),
             F.expr("sum(CASE WHEN event_type = 'purchase' THEN 1 END) AS transactions"),
             F.expr(
@@ -203,12 +204,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         )
     )
-    timed = collected.selectExpr(
-        "*",
-        f"{_pick(BRANDS, f'(user_id % {len(BRANDS)})')} AS brand",
-        f"{_micros('start')} DIV 1000000 AS visitStartTime",
-        f"{_micros('end')} DIV 1000000 AS lastTime",
-    )
+    timed = collected.selectExpr("*", f"{_micros('end')} DIV 1000000 AS lastTime")
     null = "CAST(NULL AS STRING)"
     return timed.selectExpr(
         "brand",
@@ -236,7 +232,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""named_struct(
           'continent', 'Asia', 'subContinent', 'Eastern Asia', 'country', 'Taiwan', 'region', {null},
           'metro', {null}, 'city', 'city' || (user_id % 6)) AS geoNetwork""",
-        _HIT,
+        "hits",
     )
 
 
