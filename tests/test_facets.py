@@ -3,18 +3,11 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan, random_hits, same_rows
 from trailmark import schemas
-from trailmark.fixed_values import (
-    JOURNEY_CATEGORY_TEXTS,
-    JOURNEY_CHANNELS,
-    JOURNEY_EVENTS,
-    JOURNEY_MEDIUMS,
-    MEDIUM_GROUPS,
-)
-from trailmark.functions import settled_round
+from trailmark.fixed_values import MEDIUM_GROUPS
 from trailmark.operators.facets import Facet, Total, facet_report
-from trailmark.operators.identity import first_day_flag, stitch_identity
 from trailmark.plans import journey, site
 from trailmark.sources import small_table
+from workload.plain import plain_journey
 
 
 @pytest.fixture(scope="module")
@@ -26,48 +19,10 @@ def mediums(spark):
     return small_table(spark, MEDIUM_GROUPS, schemas.MEDIUM_LOOKUP)
 
 
-def naive_journey(hits, mediums):
-    """The report the plain way: identity on hits, a distinct aggregate per column."""
-    visits = journey.with_medium_group(hits.where(F.col("totals.visits") == 1), mediums)
-    visits = first_day_flag(visits, "marsId", "visitStartDateTime")
-    visits = stitch_identity(visits, "marsId", "fullVisitorId", "visitStartDateTime")
-    session, time = F.col("sessionId"), site.per_hit(F.col("totals.timeOnSite"))
-    category, action = F.col("hit.eventInfo.eventCategory"), F.col("hit.eventInfo.eventAction")
-
-    def sessions(condition):
-        return F.count_distinct(F.when(condition, session))
-
-    def total(column):
-        return settled_round(F.sum(site.per_hit(F.col(f"totals.{column}"))))
-
-    aggregates = {
-        "isNewVisit": F.bool_or("isNewVisit"),
-        "sessions": F.count_distinct(session),
-        "channels": F.count_distinct("channelGrouping"),
-        "mediums": F.count_distinct("mediumGrouping"),
-        "events": F.count_distinct(F.when(F.col("hit.isInteraction"), category)),
-        "browsing_time": total("timeOnSite"),
-        "pageviews": total("pageviews"),
-        "hits": total("hits"),
-    }
-    for column, values in (("channelGrouping", JOURNEY_CHANNELS), ("mediumGrouping", JOURNEY_MEDIUMS)):
-        for name, value in values.items():
-            match = F.col(column) == value
-            aggregates[f"{name}_sessions"] = sessions(match)
-            aggregates[f"{name}_browsing_time"] = settled_round(F.sum(F.when(match, time).otherwise(F.lit(0))))
-    for name, (c, a) in JOURNEY_EVENTS.items():
-        aggregates[f"{name}_sessions"] = sessions((category == c) & (action == a))
-    for name, (text, ignore_case) in JOURNEY_CATEGORY_TEXTS.items():
-        found = (F.lower(category) if ignore_case else category).like(f"%{text}%")
-        aggregates[f"{name}_sessions"] = sessions(found)
-    keys = ["brand", "marsId", "fullVisitorId", F.to_date("visitStartDateTime").alias("date")]
-    return visits.groupBy(*keys).agg(*[c.alias(n) for n, c in aggregates.items()])
-
-
 def test_journey_equals_the_plain_form(spark, hits):
     got = journey.customer_journey(hits, mediums(spark))
     assert len(got.columns) == 55
-    same_rows(got, naive_journey(hits, mediums(spark)))
+    same_rows(got, plain_journey(hits, mediums(spark)))
 
 
 def test_journey_plan(spark, hits):

@@ -1,10 +1,10 @@
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.helpers import final_plan, plan, random_hits, rows_of, same_rows
 from trailmark.operators.attach import attach_by_key, full_outer_report
 from trailmark.operators.identity import fill_identity, first_day_flag, stitch_identity
+from workload.plain import plain_first_day, plain_stitch, whole
 
 COLUMNS = ["brand", "marsId", "sessionId", "fullVisitorId", "visitStartDateTime"]
 
@@ -14,17 +14,9 @@ def hits(spark):
     return random_hits(spark, 600).select(*COLUMNS).cache()
 
 
-def whole(*by):
-    return Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-
 def test_stitch_equals_the_window_and_crosses_brands(spark, hits):
-    last = F.last("fullVisitorId").over(whole("marsId").orderBy("visitStartDateTime", "fullVisitorId"))
-    expected = hits.withColumn(
-        "fullVisitorId", F.when(F.col("marsId").isNotNull(), last).otherwise(F.col("fullVisitorId"))
-    )
     got = stitch_identity(hits, "marsId", "fullVisitorId", "visitStartDateTime")
-    same_rows(got.select(*COLUMNS), expected.select(*COLUMNS))
+    same_rows(got.select(*COLUMNS), plain_stitch(hits).select(*COLUMNS))
     known = got.where("marsId IS NOT NULL").groupBy("marsId").agg(
         F.count_distinct("fullVisitorId").alias("n"), F.count_distinct("brand").alias("brands")
     )
@@ -32,10 +24,8 @@ def test_stitch_equals_the_window_and_crosses_brands(spark, hits):
 
 
 def test_first_day_equals_the_window_with_one_anonymous_group(spark, hits):
-    ranked = F.dense_rank().over(Window.partitionBy("marsId").orderBy(F.to_date("visitStartDateTime")))
-    expected = hits.withColumn("isNewVisit", ranked == 1)
     got = first_day_flag(hits, "marsId", "visitStartDateTime")
-    same_rows(got.select(*COLUMNS, "isNewVisit"), expected.select(*COLUMNS, "isNewVisit"))
+    same_rows(got.select(*COLUMNS, "isNewVisit"), plain_first_day(hits).select(*COLUMNS, "isNewVisit"))
     anonymous = got.where("marsId IS NULL AND isNewVisit").select(F.to_date("visitStartDateTime")).distinct()
     assert anonymous.count() == 1
 

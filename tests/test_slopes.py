@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan
 from trailmark import schemas
-from trailmark.functions import utc_date
 from trailmark.plans.trends import trend_report, trend_slopes
+from workload.plain import plain_slope
 
 ASOF = datetime(2022, 6, 30, 20, 0)  # UTC; already 1 July at +8
 
@@ -23,22 +23,10 @@ def series(keyword, n, step=7, seed=0, at=ASOF):
     return [(keyword, at.date() - timedelta(days=step * i), chance.randrange(100), at) for i in range(n)]
 
 
-def naive(rows, days):
-    w = Window.partitionBy("keyword").orderBy("date", "hits")
-    everything = Window.partitionBy()
-    numbered = rows.where(F.col("date") >= F.date_sub(utc_date(F.col("updated_datetime")), days)).select(
-        "keyword", F.row_number().over(w).alias("x"), F.col("hits").alias("y")
-    )
-    centred = numbered.withColumns({f"{c}_bar": F.avg(c).over(everything) for c in "xy"})
-    dx, dy = F.col("x") - F.col("x_bar"), F.col("y") - F.col("y_bar")
-    slopes = centred.groupBy("keyword").agg((F.sum(dx * dy) / F.sum(dx * dx)).alias("slope"))
-    return dict(slopes.collect())
-
-
 def check(rows):
     got = {r.keyword: r for r in trend_slopes(rows).collect()}
     for name, days in (("slope_3m", 90), ("slope_6m", 180), ("slope_1y", 365)):
-        expected = naive(rows, days)
+        expected = dict(plain_slope(rows, days).collect())
         assert {k for k, r in got.items() if r[name] is not None} == {k for k, v in expected.items() if v is not None}
         for keyword, slope in expected.items():
             assert got[keyword][name] == (None if slope is None else pytest.approx(slope, rel=1e-9, abs=1e-12))
