@@ -407,39 +407,45 @@ def interest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- beacon and sales ------------------------------------------------------------
 
 
-def beacon(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _beacon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Beacon events, with the event's own type and number as ``kind`` and ``k``."""
     k, user = F.col("k"), F.col("user_id")
     kind = F.col("event_type")
-    instant = F.timestamp_micros(epoch_micros(F.col("ts")))
-    return events(spark, sf_dir).select(
+    micros = F.col("micros")
+    return events(spark, sf_dir).withColumn("micros", epoch_micros(F.col("ts"))).select(
         F.concat("event_type", F.lit("_store"), k.cast("string")).alias("event_name"),
         F.date_sub("day", 3).alias("event_start_at"),
         F.date_add("day", 3).alias("event_end_at"),
         F.concat(F.lit("U"), F.lpad(user.cast("string"), 32, "0")).alias("receiver_uid"),
         F.when(kind == "click", "enter").when(kind == "view", "push").otherwise("banner").alias("event_type"),
-        instant.alias("event_time"),
-        F.timestamp_micros(epoch_micros(F.col("ts")) - 86400000000).alias("first_follow"),
+        F.timestamp_micros(micros).alias("event_time"),
+        F.timestamp_micros(micros - 86400000000).alias("first_follow"),
         F.when(k % 5 != 0, F.date_format("day", "yyyy-MM-dd")).alias("bind_date"),
         brand_of(user).alias("brand_id"),
+        kind.alias("kind"),
+        "k",
     )
 
 
+def beacon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _beacon(spark, sf_dir).drop("kind", "k")
+
+
 def faulty_beacon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Beacon events with faults for every check to find."""
-    uid, brand = F.col("receiver_uid"), F.col("brand_id")
-    store = F.split("event_name", "_store")[1].cast("bigint")
-    kind = F.split("event_name", "_store")[0]
-    return beacon(spark, sf_dir).select(
-        F.when(store != 11, F.col("event_name")).alias("event_name"),
+    uid, k = F.col("receiver_uid"), F.col("k")
+    second = F.unix_seconds("event_time")
+    return _beacon(spark, sf_dir).select(
+        F.when(k != 11, F.col("event_name")).alias("event_name"),
         "event_start_at",
         "event_end_at",
-        F.when(store == 7, F.substring(uid, 1, 32)).when(store != 13, uid).alias("receiver_uid"),
-        F.when(kind == "error", "error").otherwise(F.col("event_type")).alias("event_type"),
+        F.when(k == 7, F.substring(uid, 1, 32)).when(k != 13, uid).alias("receiver_uid"),
+        F.when(F.col("kind") == "error", "error").otherwise(F.col("event_type")).alias("event_type"),
         # Only the day is left of the time, so that keys repeat.
-        F.timestamp_seconds(F.unix_seconds("event_time") - F.unix_seconds("event_time") % 86400).alias("event_time"),
+        F.timestamp_seconds(second - second % 86400).alias("event_time"),
         "first_follow",
         "bind_date",
-        F.when(store == 9, None).when(store == 10, "99").otherwise(brand).alias("brand_id"),
+        F.when(k == 9, None).when(k == 10, "99").otherwise(F.col("brand_id")).alias("brand_id"),
     )
 
 
