@@ -25,7 +25,6 @@ from trailmark.functions import (
     kv_lookup,
     micros,
     round_to_long,
-    safe_ratio,
     settled_round,
     split_field,
     utc_date,
