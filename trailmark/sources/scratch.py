@@ -1,19 +1,16 @@
 """Folder for intermediate tables."""
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the cluster's shared checkpoint folder.
+    """A new folder name where every executor can read and write.
 
-    Only a local session without that setting gets a folder of this machine.
+    That is the cluster's checkpoint folder, or the session's warehouse if none is set.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{purpose}-{uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return f"{tempfile.mkdtemp(prefix='trailmark-')}/{purpose}"
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/{purpose}-{uuid4().hex}"
