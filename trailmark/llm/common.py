@@ -32,11 +32,22 @@ def free_name(frame: DataFrame, name: str) -> str:
     return name
 
 
+#: Shuffle files of a written step are of no more use.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """Written to the shared folder and read again: cuts lineage, survives lost executors."""
+    """Written to the shared folder and read again: cuts lineage, survives lost executors. The step's
+    shuffle files are removed when it is written.
+    """
     spark = frame.sparkSession
     path = scratch_folder(spark, purpose)
-    frame.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

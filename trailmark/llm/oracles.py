@@ -24,4 +24,34 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
 """
 
-LLM_ORACLES: dict[str, str] = {"op9_decontamination": DECONTAMINATION}
+_SPACE = r"[\x20\x09-\x0D]+"
+
+LINE_DEDUP = rf"""
+WITH lines AS (
+    SELECT doc_id, no, body,
+        list_filter(regexp_split_to_array(lower(body), '{_SPACE}'), lambda w: w <> '') AS words
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents)
+),
+shingled AS (
+    SELECT doc_id, no, CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))) END AS tokens
+    FROM lines WHERE len(words) > 0
+),
+sets AS (SELECT list_sort(tokens) AS tokens, min((doc_id, no)) AS first FROM shingled GROUP BY 1),
+tokens AS (SELECT first, len(tokens) AS n, unnest(tokens) AS token FROM sets),
+matched AS (
+    SELECT DISTINCT x FROM (
+        SELECT a.first AS x, b.first AS y, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS common
+        FROM tokens a JOIN tokens b ON a.token = b.token AND b.first < a.first GROUP BY 1, 2
+    ) WHERE 5 * common >= 4 * (n + m - common)
+),
+gone AS (
+    SELECT doc_id, no FROM shingled s JOIN sets ON list_sort(s.tokens) = sets.tokens
+    WHERE first < (doc_id, no) OR first IN (SELECT x FROM matched)
+)
+SELECT l.doc_id, count(*) AS n_lines, count(g.no) AS n_removed,
+    coalesce(string_agg(CASE WHEN g.no IS NULL THEN l.body END, chr(10) ORDER BY l.no), '') AS text
+FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.no = g.no GROUP BY l.doc_id
+"""
+
+LLM_ORACLES: dict[str, str] = {"op7_line_dedup": LINE_DEDUP, "op9_decontamination": DECONTAMINATION}

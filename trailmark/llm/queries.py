@@ -8,11 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trailmark.llm.common import table
+from trailmark.llm.common import held_out, table
 from trailmark.llm.contamination import find_contamination
+from trailmark.llm.language import identify_language, learn_languages
+from trailmark.llm.lines import dedup_lines
 from trailmark.llm.packing import pack
+from trailmark.llm.quality import learn_quality, rate_quality
+from trailmark.llm.rules import judge
 from trailmark.llm.simhash import near_duplicates
 from trailmark.llm.tokens import count_tokens
+from trailmark.llm.toxicity import learn_toxicity, score_toxicity
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = identify_language(documents.select("doc_id", "text"), learn_languages(documents))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rated = rate_quality(documents, learn_quality(documents, table(spark, sf_dir, "labels")))
+    return rated.select("doc_id", "expected_grade", "tail_probability", "selected")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +51,24 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = score_toxicity(documents, learn_toxicity(documents, table(spark, sf_dir, "labels")))
+    score = F.col("toxicity.score")
+    return found.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        score.alias("score"),
+        (score >= 0.3).cast("int").alias("predicted"),
+        F.col("toxicity.spans").alias("spans"),
+    )
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(documents, table(spark, sf_dir, "benchmark"))
@@ -48,6 +83,24 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_counts, op5_simhash, op6_packing, op9_decontamination)
+    f.__name__: f
+    for f in (
+        op1_language,
+        op2_quality,
+        op4_token_counts,
+        op5_simhash,
+        op6_packing,
+        op7_line_dedup,
+        op8_toxicity,
+        op9_decontamination,
+        op10_quality_rules,
+    )
 }
