@@ -32,8 +32,12 @@ HASH_BITS = 63 - CLASS_BITS
 
 def numbered_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(line, body) of every line that has a word. line: struct of doc_id, text's hash and number."""
+    # The outer forms of explode: the others filter by the array's size, and making the array again
+    # for that costs more than all else.
     lines = documents.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.posexplode(F.split(F.col(text), "\n")).alias("no", "body")
+        F.col(doc_id).alias("doc_id"),
+        F.xxhash64(text).alias("version"),
+        F.posexplode_outer(F.split(F.col(text), "\n")).alias("no", "body"),
     )
     lines = lines.where(F.col("body").rlike(r"[^\x20\x09-\x0D]"))
     return lines.select(F.struct("doc_id", "version", "no").alias("line"), "body")
@@ -41,12 +45,16 @@ def numbered_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def with_hashes(lines: DataFrame, shingle: int) -> DataFrame:
     """Lines with hashes, an array of their tokens' hashes, with repeats."""
-    bare = F.lower(F.regexp_replace("body", rf"^{SPACE}|{SPACE}\z", ""))
-    worded = lines.withColumn("words", F.transform(F.split(bare, SPACE), lambda w: F.xxhash64(w))).drop("body")
+    # Plain replacing and splitting cost less than patterns.
+    body = F.lower("body")
+    for space in "\t\x0b\x0c\r":
+        body = F.replace(body, F.lit(space), F.lit(" "))
+    split = F.array_remove(F.split(body, " "), "")
+    worded = lines.withColumn("words", F.transform(split, lambda w: F.xxhash64(w))).drop("body")
     words = F.col("words")
     runs = F.transform(
-        F.sequence(F.lit(0), F.size(words) - shingle),
-        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(shingle)]),
+        F.slice(words, F.lit(1), F.greatest(F.size(words) - (shingle - 1), F.lit(0))),
+        lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, shingle)]),
     )
     return worded.withColumn("hashes", F.when(F.size(words) >= shingle, runs).otherwise(F.array(F.xxhash64(words)))).drop("words")
 
@@ -58,7 +66,7 @@ def rarity(lines: DataFrame) -> Column:
     """
     places = 1 << COUNTED_BITS
     last = F.col("hash").bitwiseAND(F.lit(places - 1)).cast("int")
-    counts = dict(lines.select(F.explode("hashes").alias("hash")).groupBy(last.alias("last")).agg(F.count("*").alias("n")).collect())
+    counts = dict(lines.select(F.explode_outer("hashes").alias("hash")).groupBy(last.alias("last")).agg(F.count("*").alias("n")).collect())
     top = math.log2(max(counts.values(), default=1) + 1)
     classes = (int((2**CLASS_BITS - 1) * math.log2(counts.get(i, 0) + 1) / top) << HASH_BITS for i in range(places))
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
@@ -119,7 +127,7 @@ def repeated_lines(
 
     # One line of each token set, the first, meets others by the tokens of its prefix.
     sets = all_lines.groupBy("k1", "k2").agg(F.min(F.struct("line", "n", "prefix")).alias("s"))
-    tokens = sets.select(F.col("s.line").alias("line"), F.col("s.n").alias("n"), F.posexplode("s.prefix").alias("pos", "token"))
+    tokens = sets.select(F.col("s.line").alias("line"), F.col("s.n").alias("n"), F.posexplode_outer("s.prefix").alias("pos", "token"))
     of_token = Window.partitionBy("token").orderBy("line")
     member = F.struct("line", "n", "pos")
     met = tokens.select(
