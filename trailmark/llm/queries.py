@@ -15,6 +15,7 @@ from trailmark.llm.lines import dedup_lines
 from trailmark.llm.packing import pack
 from trailmark.llm.quality import learn_quality, rate_quality
 from trailmark.llm.rules import judge
+from trailmark.llm.secret_scan import scan_secrets
 from trailmark.llm.simhash import near_duplicates
 from trailmark.llm.tokens import count_tokens
 from trailmark.llm.toxicity import learn_toxicity, score_toxicity
@@ -32,6 +33,19 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.select("doc_id", "expected_grade", "tail_probability", "selected")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.col("word_no").cast("long").alias("word_no"),
+        F.col("part_no").cast("long").alias("part_no"),
+        F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
+        F.length("value").cast("long").alias("length"),
+        "probability",
+        "is_secret",
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(documents, public_tokenizers.path("piece_bpe_32k.model"))
@@ -95,6 +109,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language,
         op2_quality,
+        op3_secrets,
         op4_token_counts,
         op5_simhash,
         op6_packing,
