@@ -23,7 +23,7 @@ def main() -> None:
         write_files(frame, path)
         return spark.read.parquet(path)
 
-    hits = stored(tracking.branded_hits(adapters.stored_sessions(spark, sf_dir)), "hits")
+    hits = stored(tracking.branded_hits(adapters.sessions(spark, sf_dir)), "hits")
     interest = stored(adapters.interest(spark, sf_dir), "interest")
     mediums = adapters.mediums(spark)
     member, device, at = "marsId", "fullVisitorId", "visitStartDateTime"

@@ -28,8 +28,8 @@ def test_journey_equals_the_plain_form(spark, hits):
 def test_journey_plan(spark, hits):
     text = plan(journey.customer_journey(hits, mediums(spark)))
     expand = next(line for line in text.splitlines() if " Expand " in line)
-    # One copy per facet, not one per distinct count; the fifth list names the output.
-    assert len([part for part in expand.split("], [") if "_mask" in part]) == 4 + 1
+    # One copy per facet and two for totals, not one per distinct count; the last list names the output.
+    assert len([part for part in expand.split("], [") if "_mask" in part]) == 6 + 1
     assert "Window" not in text and "collect_" not in text and "ObjectHashAggregate" not in text
     assert "BroadcastHashJoin" in text
 
@@ -78,10 +78,24 @@ def test_missing_values_are_not_counted(spark):
     assert sorted(got.collect()) == [("j", 0, 0), ("k", 1, 0)]
 
 
-def test_too_many_predicates(spark):
-    rows = spark.range(1)
-    with pytest.raises(ValueError, match="at most 63"):
-        facet_report(rows, {"id": F.col("id")}, [Facet(F.col("id"), {f"p{n}": None for n in range(64)})])
-    counts = {f"p{n}": F.col("id") == 0 for n in range(63)}
-    wide = facet_report(rows, {"id": F.col("id")}, [Facet(F.lit("x"), counts)])
-    assert set(wide.first()[1:]) == {1}
+def test_more_predicates_than_one_mask_holds(spark):
+    rows = spark.range(2)
+    counts = {f"p{n}": F.col("id") == n % 2 for n in range(150)}
+    found = facet_report(rows, {"k": F.lit(1)}, [Facet(F.col("id"), counts), Facet(F.lit("x"), {"any": None})]).first()
+    assert set(found[1:]) == {1}
+
+
+def test_totals_do_not_depend_on_the_order_of_summation(spark):
+    """Totals above 45 million in seven shares each, dealt out in different ways."""
+    shares = spark.range(700).select(
+        (F.col("id") % 2).alias("k"), (F.col("id") / 7).cast("int").alias("s"),
+        (F.lit(90000001) + F.floor(F.col("id") / 7)).alias("total"), F.lit(7).alias("parts"),
+    )
+    session = Facet(F.col("s"), {"sessions": None}, {"total": Total("total")})
+
+    def report(rows):
+        return sorted(facet_report(rows, {"k": F.col("k")}, [session], {"total": F.col("total")}, F.col("parts")).collect())
+
+    first = report(shares.withColumn("k", F.lit(0)))
+    assert first == [(0, 100, float(sum(90000001 + n for n in range(100))))]
+    assert all(report(shares.repartition(n)) == report(shares) for n in (1, 3, 7))

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tests.helpers import hit, plan, rows_of, same_rows, session, session_frame
 from trailmark.fixed_values import BRAND_ID_KEYS
 from trailmark.operators.hits import flatten_hits, hit_ids, unnest_hits
-from trailmark.plans import tracking
+from trailmark import schemas
+from trailmark.fixed_values import MEDIUM_GROUPS
+from trailmark.plans import journey, site, tracking
+from trailmark.sources import small_table
 
 
 def ids(hits):
@@ -126,12 +129,43 @@ def test_scans_read_only_the_fields_they_need(spark, tmp_path):
     sessions = spark.read.parquet(path)
     text = " ".join(plan(flatten_hits(sessions, None, BRAND_ID_KEYS)).split())
     assert "Window" not in text and "CartesianProduct" not in text
-    narrow = hit_ids(sessions, BRAND_ID_KEYS)._jdf.queryExecution().sparkPlan().collectLeaves().head()
-    fields = narrow.requiredSchema().json()
-    assert '"hitNumber"' in fields and '"customDimensions"' in fields
-    assert '"eventInfo"' not in fields and '"trafficSource"' not in fields
-    main = flatten_hits(sessions, None, None)._jdf.queryExecution().sparkPlan().collectLeaves().head()
-    assert '"customDimensions"' not in main.requiredSchema().json()
+
+
+def leaves(frame):
+    """What the frame's scans read, as JSON."""
+    found = frame._jdf.queryExecution().sparkPlan().collectLeaves()
+    return [found.apply(n).requiredSchema().json() for n in range(found.size())]
+
+
+def test_reports_read_only_the_hit_fields_they_use(spark, tmp_path):
+    path = str(tmp_path / "sessions")
+    session_frame(spark, many_sessions()).write.parquet(path)
+    sessions = spark.read.parquet(path)
+    for scan in leaves(hit_ids(sessions, BRAND_ID_KEYS)):
+        assert '"hitNumber"' in scan and '"customDimensions"' in scan
+        assert '"eventInfo"' not in scan and '"trafficSource"' not in scan
+    (scan,) = leaves(tracking.branded_hits(sessions, identify=False, hit_fields=site.SITE_HIT_FIELDS))
+    assert '"eventInfo"' in scan and '"page"' not in scan and '"customDimensions"' not in scan
+    scans = leaves(tracking.branded_visits(sessions))
+    assert scans and all('"eventInfo"' not in s and '"page"' not in s and '"experiment"' not in s for s in scans)
+    scans = leaves(tracking.branded_hits(sessions, hit_fields=journey.JOURNEY_HIT_FIELDS))
+    assert any('"eventInfo"' in s for s in scans)
+    assert all('"page"' not in s and '"product"' not in s for s in scans)
+
+
+def test_member_ids_come_from_session_rows(spark):
+    text = plan(tracking.branded_visits(session_frame(spark, many_sessions())))
+    # The only rows made are the copies of the lookup row for missing keys.
+    assert text.count("Generate") == 1 and "Window" not in text
+
+
+def test_journey_with_session_rows_is_the_same(spark):
+    sessions = session_frame(spark, [*many_sessions(), session("empty", 99, hits=[], brand="01")])
+    lookup = small_table(spark, MEDIUM_GROUPS, schemas.MEDIUM_LOOKUP)
+    hits = tracking.branded_hits(sessions)
+    same_rows(
+        journey.customer_journey(hits, lookup, tracking.branded_visits(sessions)), journey.customer_journey(hits, lookup)
+    )
 
 
 def test_without_id_keys_nothing_is_joined(spark):

@@ -44,7 +44,7 @@ def test_fill_equals_the_window(spark):
     order = ["visitNumber", "hitNumber"]
     window = whole("brand", "fullVisitorId").orderBy(*order, F.asc_nulls_first("marsId"))
     expected = hits.withColumn("marsId", F.last("marsId", ignorenulls=True).over(window))
-    got = fill_identity(hits, "marsId", ["brand", "fullVisitorId"], order).select(*hits.columns)
+    got = fill_identity(hits, "marsId", ["brand", "fullVisitorId"], order, ["fullVisitorId", *order]).select(*hits.columns)
     same_rows(got, expected)
 
 

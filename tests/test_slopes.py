@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tests.helpers import plan
+from tests.helpers import final_plan, plan
 from trailmark import schemas
 from trailmark.plans.trends import trend_report, trend_slopes
 from workload.plain import plain_slope
@@ -90,3 +90,14 @@ def test_one_row_per_keyword_and_update(spark):
 
 def test_no_single_partition(spark):
     assert "SinglePartition" not in plan(trend_report(interest(spark, series("a", 20))))
+
+
+def test_runs_are_built_once_from_recent_points(spark, tmp_path):
+    interest(spark, series("a", 50) + series("b", 20)).write.parquet(str(tmp_path / "interest"))
+    text = final_plan(trend_slopes(spark.read.parquet(str(tmp_path / "interest"))))
+    final = text.split("Initial Plan")[0]
+    assert len([line for line in final.splitlines() if "Window [" in line or " Window " in line]) == 1
+    # Old points go ahead of the first grouping.
+    lines = final.splitlines()
+    scan = next(n for n, line in enumerate(lines) if "FileScan" in line)
+    assert any("Filter" in line and "date_sub" in line for line in lines[scan - 4 : scan])

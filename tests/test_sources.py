@@ -11,7 +11,7 @@ from trailmark.fixed_values import MEDIUM_GROUPS
 from trailmark.operators.tagging import tag_series
 from trailmark.plans import journey, tracking
 from trailmark.sources import (
-    load_day,
+    load_run,
     publish_view,
     read_csv_positional,
     read_json_pages,
@@ -120,12 +120,30 @@ def test_tables_are_replaced_or_appended_to(spark):
     assert spark.table("seven").count() == 7
 
 
-def test_a_repeated_day_load_replaces_its_day_only(spark, tmp_path):
-    path = str(tmp_path / "days")
-    load_day(spark.createDataFrame([(1, "d1"), (2, "d1")], "id int, day string"), path, "day")
-    load_day(spark.createDataFrame([(3, "d2")], "id int, day string"), path, "day")
-    load_day(spark.createDataFrame([(4, "d2"), (5, "d2")], "id int, day string"), path, "day")
-    assert sorted(rows_of(spark.read.parquet(path).select("id", "day"))) == [(1, "d1"), (2, "d1"), (4, "d2"), (5, "d2")]
+def test_loads_of_several_sources_and_days_stay_apart(spark, tmp_path):
+    path = str(tmp_path / "loads")
+
+    def load(ids, source, day):
+        load_run(spark.createDataFrame([(i, f"event day {i % 2}") for i in ids], "id int, day string"), path, source, day)
+
+    load([1, 2], "lan", "d1")
+    load([3], "gab", "d1")
+    load([4, 5], "lan", "d2")
+    load([6, 7], "lan", "d2")
+    found = spark.read.parquet(path).select("id", "load_source", "load_day")
+    expected = [(1, "lan", "d1"), (2, "lan", "d1"), (3, "gab", "d1"), (6, "lan", "d2"), (7, "lan", "d2")]
+    assert sorted(rows_of(found)) == expected
+    with pytest.raises(ValueError, match="load_day"):
+        load_run(spark.read.parquet(path), path, "lan", "d3")
+
+
+def test_loads_keep_local_days_that_share_a_utc_date(spark, tmp_path):
+    path = str(tmp_path / "loads")
+    # Hours of two local days at +8; each spans two UTC dates.
+    hours = spark.range(48).withColumn("at", F.timestamp_seconds(F.lit(1704038400) + F.col("id") * 3600))
+    for n in (0, 1):
+        load_run(hours.where(F.floor(F.col("id") / 24) == n), path, "lan", f"day {n}")
+    assert spark.read.parquet(path).count() == 48
 
 
 def test_clustered_files_cover_narrow_ranges(spark, tmp_path):
@@ -179,13 +197,10 @@ def test_scratch_folder(spark):
     one, other = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert one != other and one.startswith(shared)
 
-    def without_shared_folder(master):
-        return SimpleNamespace(conf=SimpleNamespace(get={"spark.master": master}.get))
-
-    # Only a local session may use this machine's temporary folder.
-    assert scratch_folder(without_shared_folder("local[2]"), "x").endswith("/x")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(without_shared_folder("yarn"), "x")
+    # Without a shared folder, under the warehouse, whatever the master.
+    settings = {"spark.master": "local[2]", "spark.sql.warehouse.dir": "/shared/warehouse"}
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+    assert scratch_folder(bare, "x").startswith("/shared/warehouse/_scratch/x-")
 
 
 def test_tag_series(spark):

@@ -1,5 +1,5 @@
 from trailmark.functions.lookup import kv_lookup
-from trailmark.functions.numbers import micros, round_to_long, safe_ratio, settled_round
+from trailmark.functions.numbers import micros, round_to_long, safe_ratio
 from trailmark.functions.text import classify_prefix, joined_key, split_field
 from trailmark.functions.times import civil_date, epoch_to_civil, utc_date
 
@@ -12,7 +12,6 @@ __all__ = [
     "micros",
     "round_to_long",
     "safe_ratio",
-    "settled_round",
     "split_field",
     "utc_date",
 ]

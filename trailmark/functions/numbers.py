@@ -3,28 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPARE_DIGITS = 8
-# Doubles below this have a unit in the last place under one.
-WHOLE_DOUBLES = 2.0**52
-
-
-def settled_round(value: Column, digits: int = 0) -> Column:
-    """Round half away from zero, independent of summation order.
-
-    A distributed double sum differs in its last bits from run to run, which can
-    push a value lying on a rounding tie to either side. Settling it at a few spare
-    digits first removes those bits.
-    """
-    scale = F.lit(10.0 ** (digits + SPARE_DIGITS))
-    scaled = value * scale
-    # Larger values have no such digits, and scaling would disturb their last bit.
-    settled = F.when(F.abs(scaled) < WHOLE_DOUBLES, F.rint(scaled) / scale).otherwise(value)
-    return F.round(settled, digits)
-
 
 def safe_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Rounded quotient; NULL when the denominator is zero or NULL."""
-    return settled_round(F.try_divide(numerator, denominator), digits)
+    """Quotient rounded half away from zero; NULL when the denominator is zero or NULL."""
+    return F.round(F.try_divide(numerator, denominator), digits)
 
 
 def round_to_long(value: Column) -> Column:

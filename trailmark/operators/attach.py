@@ -6,7 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
+#: Copies of the lookup row for missing keys: this setting of the session, or 64.
+SALTS_SETTING, SALTS = "spark.trailmark.salts", 64
 _SALT = "_salt"
 
 
@@ -19,7 +20,7 @@ def attach_by_key(
     lookup: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """``rows`` left-joined with ``lookup`` (unique on ``keys``); NULL matches NULL.
 
@@ -30,6 +31,7 @@ def attach_by_key(
     the same keys, which would stop that split. No broadcast is forced: Spark
     broadcasts the lookup only when its measured size allows.
     """
+    salts = salts or int(rows.sparkSession.conf.get(SALTS_SETTING, str(SALTS)))
     missing = _any_null(keys)
     salted_rows = rows.withColumn(
         _SALT,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trailmark.fixed_values import LOCAL_OFFSET_HOURS
 from trailmark.functions import epoch_to_civil, joined_key, kv_lookup
 from trailmark.operators.attach import attach_by_key
-from trailmark.operators.identity import last_known
+from trailmark.operators.identity import last_known_of_sessions
 
 IdKeys = Sequence[int] | Mapping[str, Sequence[int]]
 
@@ -79,41 +79,66 @@ def hit_ids(sessions: DataFrame, id_keys: IdKeys) -> DataFrame:
     )
 
 
+def visitor_ids(sessions: DataFrame, id_keys: IdKeys) -> DataFrame:
+    """Each visitor's last known member id, from session rows (narrow scan)."""
+    pairs = F.arrays_zip(
+        F.col("hits.hitNumber").alias("hitNumber"), F.col("hits.customDimensions").alias("customDimensions")
+    )
+    candidates = F.transform(
+        pairs,
+        lambda h: F.struct(
+            h["hitNumber"].alias("number"), member_id(h["customDimensions"], id_keys, F.col("brand")).alias("value")
+        ),
+    )
+    return last_known_of_sessions(sessions, "marsId", ["brand", "fullVisitorId"], "visitNumber", candidates)
+
+
+def identified_sessions(
+    sessions: DataFrame,
+    brand: str | None,
+    id_keys: IdKeys | None,
+    columns: Sequence[Column | str],
+) -> DataFrame:
+    """The columns of each session, with ``brand``, ``fullVisitorId`` and ``marsId``."""
+    if brand is not None:
+        sessions = sessions.withColumn("brand", F.lit(brand))
+    visitor = ["brand", "fullVisitorId"]
+    narrow = sessions.select(*visitor, "visitId", *columns)
+    if id_keys is None:
+        return narrow.withColumn("marsId", F.lit(None).cast("string"))
+    return attach_by_key(narrow, visitor_ids(sessions, id_keys), visitor, ["visitId"])
+
+
 def flatten_hits(
     sessions: DataFrame,
     brand: str | None,
     id_keys: IdKeys | None,
     offset_hours: int = LOCAL_OFFSET_HOURS,
+    hit_fields: Sequence[str] = HIT_FIELDS,
 ) -> DataFrame:
     """One row per hit with the session's narrowed structs and the visitor's member id.
 
     ``brand`` is the code of the table's brand; None if the sessions of several brands
     come in one table with a ``brand`` column, with ``id_keys`` by brand. Without
-    ``id_keys`` the member id is NULL, for reports that do not use it.
+    ``id_keys`` the member id is NULL, for reports that do not use it. ``hit_fields``
+    are the fields of each hit that are read from storage and kept, one at least.
 
     The member id is attached to the session rows and the hits unnested afterwards:
     a shuffle then moves every session struct once rather than once per hit.
     """
-    if brand is not None:
-        sessions = sessions.withColumn("brand", F.lit(brand))
-    visitor = ["brand", "fullVisitorId"]
-    narrow = sessions.select(
-        *visitor,
-        joined_key(F.col("date"), F.col("fullVisitorId"), F.col("visitId")).alias("sessionId"),
-        "visitId",
-        "visitNumber",
-        "channelGrouping",
-        "visitStartTime",
-        *[repack(name, fields) for name, fields in SESSION_STRUCTS.items()],
-        F.arrays_zip(*[F.col(f"hits.{name}").alias(name) for name in HIT_FIELDS]).alias("hits"),
+    identified = identified_sessions(
+        sessions,
+        brand,
+        id_keys,
+        [
+            joined_key(F.col("date"), F.col("fullVisitorId"), F.col("visitId")).alias("sessionId"),
+            "visitNumber",
+            "channelGrouping",
+            "visitStartTime",
+            *[repack(name, fields) for name, fields in SESSION_STRUCTS.items()],
+            F.arrays_zip(*[F.col(f"hits.{name}").alias(name) for name in hit_fields]).alias("hits"),
+        ],
     )
-    if id_keys is None:
-        identified = narrow.withColumn("marsId", F.lit(None).cast("string"))
-    else:
-        own = hit_ids(sessions, id_keys)
-        known = last_known(own, "marsId", visitor, ["visitNumber", "hitNumber"])
-        identified = attach_by_key(narrow, known, visitor, ["visitId"])
-    hit_time = F.col("visitStartTime") * 1000 + F.col("hit.time")
     return unnest_hits(identified).select(
         "brand",
         "marsId",
@@ -127,10 +152,10 @@ def flatten_hits(
         *SESSION_STRUCTS,
         F.struct(
             *[
-                epoch_to_civil(hit_time, "ms", offset_hours).alias("hitDateTime")
+                epoch_to_civil(F.col("visitStartTime") * 1000 + F.col("hit.time"), "ms", offset_hours).alias("hitDateTime")
                 if name == "time"
                 else F.col(f"hit.{name}").alias(name)
-                for name in HIT_FIELDS
+                for name in hit_fields
             ]
         ).alias("hit"),
     )

@@ -37,14 +37,36 @@ def fill_identity(
     id_col: str,
     by: Sequence[str],
     order: Sequence[str],
-    spread_by: Sequence[str] | None = None,
+    spread_by: Sequence[str],
 ) -> DataFrame:
-    """Give every row of a visitor the visitor's last known id."""
+    """Give every row of a visitor the visitor's last known id.
+
+    ``spread_by`` tells rows of missing keys apart, which are many; ``order`` may not.
+    """
     known = last_known(rows, id_col, by, order).withColumnRenamed(id_col, "_filled")
-    filled = attach_by_key(rows, known, by, spread_by or order)
+    filled = attach_by_key(rows, known, by, spread_by)
     return filled.withColumn(id_col, F.col("_filled")).drop("_filled")
 
 
+def last_known_of_sessions(
+    sessions: DataFrame, value: str, by: Sequence[str], order: str, candidates: Column
+) -> DataFrame:
+    """``last_known`` from session rows, without unnesting.
+
+    ``candidates`` is an array of (number, value) structs of a session's hits; NULL values do
+    not count. The last of each session is found within its row, then the last session's.
+    """
+    known = F.filter(candidates, lambda c: c["value"].isNotNull())
+    rows = sessions.select(*by, F.col(order).alias("_order"), F.array_max(known).alias("_last"))
+    last = F.when(F.col("_last").isNotNull(), F.struct("_order", "_last.number", "_last.value"))
+    return (
+        rows.groupBy(*by)
+        .agg(F.max(last).alias("_last"))
+        .where(F.col("_last").isNotNull())
+        .select(*by, F.col("_last.value").alias(value))
+    )
+
+
 def ranked_day(at: Column) -> Column:
     return F.coalesce(civil_date(at), F.lit(UNDATED).cast("date"))
 
@@ -73,10 +95,18 @@ def stitched_device(person: str, device: str) -> Column:
 
 
 def stitch_identity(
-    rows: DataFrame, person: str, device: str, at: str, spread_by: Sequence[str] | None = None
+    rows: DataFrame,
+    person: str,
+    device: str,
+    at: str,
+    spread_by: Sequence[str] | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Replace ``device`` by the last device of the same known person."""
-    profile = person_profile(rows, person, device, at).drop("first_day")
+    """Replace ``device`` by the last device of the same known person.
+
+    ``seen`` holds the same persons, devices and times in fewer or narrower rows.
+    """
+    profile = person_profile(rows if seen is None else seen, person, device, at).drop("first_day")
     attached = attach_by_key(rows, profile, [person], spread_by or [device, at])
     return attached.withColumn(device, stitched_device(person, device)).drop("last_device")
 
@@ -87,8 +117,12 @@ def first_day_flag(
     at: str,
     flag: str = "isNewVisit",
     spread_by: Sequence[str] | None = None,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
-    """TRUE on the rows of a person's first day; all unknown persons count as one."""
-    first = rows.groupBy(person).agg(F.min(ranked_day(F.col(at))).alias("first_day"))
+    """TRUE on the rows of a person's first day; all unknown persons count as one.
+
+    ``seen`` holds the same persons and times in fewer or narrower rows.
+    """
+    first = (rows if seen is None else seen).groupBy(person).agg(F.min(ranked_day(F.col(at))).alias("first_day"))
     attached = attach_by_key(rows, first, [person], spread_by or [at])
     return attached.withColumn(flag, ranked_day(F.col(at)) == F.col("first_day")).drop("first_day")

@@ -11,29 +11,37 @@ def within_days(day: Column, as_of: Column, days: Column | int) -> Column:
     return day >= F.date_sub(as_of, days)
 
 
-def numbered_runs(series: DataFrame, horizons: Mapping[str, int]) -> DataFrame:
-    """Points within each horizon, with their row numbers.
+def recent_points(series: DataFrame, horizons: Mapping[str, int]) -> DataFrame:
+    """Points within each horizon, equal ones of a key merged to one row with a count ``n``.
 
-    Input columns: key, day, as_of, y. Equal points of a key are first merged to one row
-    with a count ``n``; the row numbers of its points are ``before + 1 .. before + n``.
-    So the window orders distinct (day, value) pairs of a bounded range of days, however
-    many rows a key has. Points of the same day are numbered by value.
+    Input columns: key, day, as_of, y. Older points than any horizon are left out ahead of the
+    first shuffle.
     """
     days = F.array(*[F.struct(F.lit(h).alias("horizon"), F.lit(d).alias("days")) for h, d in horizons.items()])
-    merged = series.groupBy("key", "day", "as_of", "y").agg(F.count("*").alias("n"))
+    recent = series.where(within_days(F.col("day"), F.col("as_of"), max(horizons.values())))
+    merged = recent.groupBy("key", "day", "as_of", "y").agg(F.count("*").alias("n"))
     # as_of differs only between loads; merge again without it after the filter.
-    recent = (
+    return (
         merged.select("*", F.inline(days))
         .where(within_days(F.col("day"), F.col("as_of"), F.col("days")))
         .groupBy("horizon", "key", "day", "y")
         .agg(F.sum("n").alias("n"))
     )
+
+
+def numbered(points: DataFrame) -> DataFrame:
+    """The points' row numbers in their series: ``before + 1 .. before + n``.
+
+    The window orders distinct (day, value) pairs of a bounded range of days, however many rows
+    a key has; it stays small as long as a day of a key has few different values. Points of the
+    same day are numbered by value.
+    """
     earlier = (
         Window.partitionBy("horizon", "key")
         .orderBy("day", "y")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return recent.withColumn("before", F.sum("n").over(earlier) - F.col("n"))
+    return points.withColumn("before", F.sum("n").over(earlier) - F.col("n"))
 
 
 def _run_sums() -> tuple[Column, Column]:
@@ -60,15 +68,27 @@ def series_sums(runs: DataFrame) -> DataFrame:
     )
 
 
-def with_means(sums: DataFrame, pooled: bool) -> DataFrame:
-    """Add the means: of all series of the horizon (pooled), or of each series alone."""
-    if not pooled:
-        own = {"x_bar": F.col("sx") / F.col("n"), "y_bar": F.try_divide(F.col("sy"), F.col("n_y"))}
-        return sums.withColumns(own)
-    means = sums.groupBy("horizon").agg(
-        (F.sum("sx") / F.sum("n")).alias("x_bar"),
+def pooled_means(points: DataFrame) -> DataFrame:
+    """Means over all series of a horizon, one row each. Row numbers add up to n (n + 1) / 2, so
+    the points need not be numbered for it.
+    """
+    known = F.col("y").isNotNull()
+    each = points.groupBy("horizon", "key").agg(
+        F.sum("n").cast("double").alias("n"),
+        F.sum(F.when(known, F.col("n"))).cast("double").alias("n_y"),
+        F.sum(F.when(known, F.col("n") * F.col("y"))).cast("double").alias("sy"),
+    )
+    return each.groupBy("horizon").agg(
+        (F.sum(F.col("n") * (F.col("n") + 1) / 2) / F.sum("n")).alias("x_bar"),
         F.try_divide(F.sum("sy"), F.sum("n_y")).alias("y_bar"),
     )
+
+
+def with_means(sums: DataFrame, means: DataFrame | None = None) -> DataFrame:
+    """Add the means: the given ones of a horizon, or those of each series alone."""
+    if means is None:
+        own = {"x_bar": F.col("sx") / F.col("n"), "y_bar": F.try_divide(F.col("sy"), F.col("n_y"))}
+        return sums.withColumns(own)
     # One row per horizon.
     return sums.join(F.broadcast(means), "horizon")
 
@@ -88,10 +108,9 @@ def pooled_slopes(
     its series. The means are taken over all series unless ``pooled`` is off, so the
     slope of a series shorter than the others differs from its own regression.
     """
-    points = series.select(
-        F.col(key).alias("key"), day.alias("day"), as_of.alias("as_of"), value.alias("y")
-    )
-    sums = with_means(series_sums(numbered_runs(points, horizons)), pooled)
+    rows = series.select(F.col(key).alias("key"), day.alias("day"), as_of.alias("as_of"), value.alias("y"))
+    points = recent_points(rows, horizons)
+    sums = with_means(series_sums(numbered(points)), pooled_means(points) if pooled else None)
     c = F.col
     covariance = c("sxy") - c("x_bar") * c("sy") - c("y_bar") * c("sx_y") + c("n_y") * c("x_bar") * c("y_bar")
     variance = c("sxx") - 2 * c("x_bar") * c("sx") + c("n") * c("x_bar") * c("x_bar")

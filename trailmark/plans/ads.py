@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark import schemas
 from trailmark.fixed_values import ACCOUNT_PREFIXES, HISTORY_ENDS, SEARCH_SLOTS, TOP_SLOT
 from trailmark.functions import classify_prefix, micros, round_to_long, safe_ratio
 from trailmark.operators.setops import union_distinct
@@ -60,9 +61,21 @@ def ads_ongoing(
 ) -> DataFrame:
     """One row per account, date and campaign, 16 columns.
 
+    Give the tables with all their columns: rows that differ in any are kept apart.
+
     Rows multiply where a campaign or customer has different latest rows in two
     accounts, and where cookie stats have several rows for a date and campaign.
     """
+    inputs = [
+        (campaigns, schemas.ADS_CAMPAIGN),
+        (customers, schemas.ADS_CUSTOMER),
+        (campaign_stats, schemas.ADS_CAMPAIGN_STATS),
+        (basic_stats, schemas.ADS_BASIC_STATS),
+        (cookie_stats, schemas.ADS_COOKIE_STATS),
+    ]
+    for accounts, columns in inputs:
+        for rows in accounts:
+            schemas.require(rows, columns)
     campaign = latest_of_accounts(campaigns, ["CampaignId"]).select(
         "CampaignId",
         F.col("CampaignName").alias("Campaign_name"),

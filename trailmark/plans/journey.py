@@ -10,11 +10,11 @@ from trailmark.fixed_values import (
     JOURNEY_MEDIUMS,
     UNMAPPED_MEDIUM,
 )
-from trailmark.functions import civil_date, settled_round
+from trailmark.functions import civil_date
 from trailmark.operators.attach import attach_by_key
 from trailmark.operators.facets import Facet, Total, facet_report
 from trailmark.operators.identity import person_profile, ranked_day, stitched_device
-from trailmark.plans.site import per_hit
+from trailmark.plans.site import HITS
 from trailmark.sources.writers import write_table
 
 KEYS = ["brand", "marsId", "fullVisitorId", "date"]
@@ -73,16 +73,25 @@ def journey_counts(visits: DataFrame, keys: dict[str, Column]) -> DataFrame:
             Facet(interactive_category, {"events": None}),
         ],
         measures={
-            "browsing_time": per_hit(F.col("totals.timeOnSite")),
-            "pageviews": per_hit(F.col("totals.pageviews")),
-            "hits": per_hit(F.col("totals.hits")),
+            "browsing_time": F.col("totals.timeOnSite"),
+            "pageviews": F.col("totals.pageviews"),
+            "hits": F.col(HITS),
         },
+        divisor=F.col(HITS),
     )
 
 
-def customer_journey(hits: DataFrame, mediums: DataFrame) -> DataFrame:
+#: What the journey reads of a hit.
+JOURNEY_HIT_FIELDS = ("isInteraction", "eventInfo")
+
+
+def customer_journey(hits: DataFrame, mediums: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
     """The journey table, 55 columns.
 
+    ``sessions`` are the same visits with one row each (``tracking.branded_visits``): where
+    the hits are no stored table, members' devices and first days then come from these rows
+    instead of unnesting and joining all hits a second time.
+
     A known member's visitor id is replaced by that of the member's last visit, over all
     brands, so it depends on the member alone. Grouping by member (and by visitor only
     where the member is unknown) therefore gives the same groups, and the member's visitor
@@ -99,14 +108,15 @@ def customer_journey(hits: DataFrame, mediums: DataFrame) -> DataFrame:
             "date": civil_date(F.col("visitStartDateTime")),
         },
     )
-    profile = person_profile(visits, "marsId", "fullVisitorId", "visitStartDateTime")
+    once = visits if sessions is None else sessions.where(F.col("visits") == 1)
+    profile = person_profile(once, "marsId", "fullVisitorId", "visitStartDateTime")
     attached = attach_by_key(counts, profile, ["marsId"], ["brand", "fullVisitorId", "date"])
     computed = {
         "fullVisitorId": stitched_device("marsId", "fullVisitorId"),
         "isNewVisit": ranked_day(F.col("date")) == F.col("first_day"),
     }
     rounded = {
-        name: settled_round(F.col(name))
+        name: F.round(F.col(name))
         for name in attached.columns
         if name in GENERAL_TOTALS or name.endswith("_browsing_time")
     }

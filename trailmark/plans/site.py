@@ -13,7 +13,6 @@ from trailmark.functions import (
     micros,
     round_to_long,
     safe_ratio,
-    settled_round,
 )
 from trailmark.operators.attach import full_outer_report
 from trailmark.operators.facets import Facet, Total, facet_report
@@ -27,9 +26,12 @@ DAILY_COLUMNS = [
 ]
 
 
-def per_hit(total: Column) -> Column:
-    """A hit's share of its session's total; summed over the hits it gives the total."""
-    return total / F.col("totals.hits")
+#: A hit's share of a session total is the total over this; summed over the hits it gives the total.
+HITS = "totals.hits"
+
+
+#: What the report reads of a hit.
+SITE_HIT_FIELDS = ("eventInfo",)
 
 
 def event_key() -> Column:
@@ -59,18 +61,19 @@ def site_counts(hits: DataFrame) -> DataFrame:
                 {
                     "visit_pageviews": Total("visit_pageviews"),
                     "time_on_site": Total("time_on_site"),
-                    "revenue_units": Total("revenue_units"),
+                    "revenue_micros": Total("revenue_micros"),
                     "transactions": Total("transactions"),
                 },
             ),
             Facet(event_key(), {"unique_events": None}),
         ],
         measures={
-            "visit_pageviews": F.when(visit, per_hit(F.col("totals.pageviews"))),
-            "time_on_site": per_hit(F.col("totals.timeOnSite")),
-            "revenue_units": per_hit(micros(F.col("totals.totalTransactionRevenue"))),
-            "transactions": per_hit(F.col("totals.transactions")),
+            "visit_pageviews": F.when(visit, F.col("totals.pageviews")),
+            "time_on_site": F.col("totals.timeOnSite"),
+            "revenue_micros": F.col("totals.totalTransactionRevenue"),
+            "transactions": F.col("totals.transactions"),
         },
+        divisor=F.col(HITS),
     )
 
 
@@ -85,7 +88,7 @@ def site_metrics(hits: DataFrame) -> DataFrame:
         safe_ratio(F.col("time_on_site"), sessions, 2).alias("avg_session_duration"),
         safe_ratio(F.col("new_sessions"), sessions, 4).alias("new_sessions_ratio"),
         safe_ratio(F.col("bounced_sessions"), sessions, 4).alias("bounce_rate"),
-        round_to_long(settled_round(F.col("revenue_units"))).alias("revenue"),
+        round_to_long(micros(F.col("revenue_micros"))).alias("revenue"),
         "unique_events",
         safe_ratio(F.col("transactions"), sessions, 4).alias("ecommerce_conversion_rate"),
     )

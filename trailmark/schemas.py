@@ -1,5 +1,6 @@
 """Input schemas. All columns are nullable."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 BIGINT, DOUBLE, STRING = T.LongType(), T.DoubleType(), T.StringType()
@@ -15,6 +16,15 @@ def texts(names: str) -> T.StructType:
     return record(**{name: STRING for name in names.split()})
 
 
+def require(frame: DataFrame, columns: T.StructType) -> DataFrame:
+    """The frame itself, all its columns, if it has the given ones with their types."""
+    have = {f.name: f.dataType for f in frame.schema.fields}
+    wrong = [f"{f.name} {f.dataType.simpleString()}" for f in columns.fields if have.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError(f"columns are missing or have another type: {', '.join(wrong)}")
+    return frame
+
+
 HIT = record(
     type=STRING,
     hitNumber=BIGINT,
@@ -61,6 +71,8 @@ SESSIONS = record(
     hits=T.ArrayType(HIT),
 )
 
+# Columns the ads reports use. The tables have more, and their distinct unions compare all of
+# them, so they are read without a stated schema and checked with ``require``.
 ADS_CAMPAIGN = record(
     CampaignId=BIGINT, CampaignName=STRING, AdvertisingChannelType=STRING, _PARTITIONTIME=INSTANT
 )

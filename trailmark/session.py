@@ -13,7 +13,15 @@ SETTINGS = {
 }
 
 
-def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
+def with_settings(builder: SparkSession.Builder, shuffle_partitions: int | None = None) -> SparkSession.Builder:
+    """The settings, and how many partitions a shuffle starts with.
+
+    Adaptive execution merges small shuffle partitions but does not split those of aggregates
+    and range writes, so start with the largest shuffle's size over 200 MB, and at least the
+    number of cores.
+    """
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", shuffle_partitions)
     return builder

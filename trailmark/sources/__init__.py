@@ -1,9 +1,10 @@
 from trailmark.sources.readers import read_csv_positional, read_json_pages, read_shards, small_table
 from trailmark.sources.scratch import scratch_folder
-from trailmark.sources.writers import load_day, publish_view, table_name, write_files, write_table
+from trailmark.sources.writers import LOAD_KEYS, load_run, publish_view, table_name, write_files, write_table
 
 __all__ = [
-    "load_day",
+    "LOAD_KEYS",
+    "load_run",
     "publish_view",
     "read_csv_positional",
     "read_json_pages",

@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 
+#: Columns that name the load a row came with.
+LOAD_KEYS = ("load_source", "load_day")
+
+
 def table_name(table: str, schema: str | None = None, default_schema: str | None = None) -> str:
     """Qualified name: the given schema as is, else the default, else the bare table."""
     chosen = schema.strip() if schema is not None else default_schema
@@ -52,12 +56,18 @@ def write_files(
     _prepared(rows, mode, cluster_by, partition_by).save(path)
 
 
-def load_day(rows: DataFrame, path: str, day_column: str) -> None:
-    """Append rows partitioned by load day so that a repeated load is harmless.
+def load_run(rows: DataFrame, path: str, source: str, run_day: str) -> None:
+    """Append the rows of one load, known by its source and the day of its run.
 
-    Only the days present in ``rows`` are replaced; earlier days stay.
+    Repeating a load replaces what it loaded before and nothing else, so several sources may
+    load the same day, and the days of their events may overlap. A repeat without rows leaves
+    the former ones.
     """
-    _prepared(rows, "overwrite", (), [day_column]).option("partitionOverwriteMode", "dynamic").save(path)
+    taken = {c.lower() for c in rows.columns} & set(LOAD_KEYS)
+    if taken:
+        raise ValueError(f"rows carry a load's key already: {sorted(taken)}")
+    stamped = rows.withColumns({name: F.lit(value) for name, value in zip(LOAD_KEYS, (source, run_day), strict=True)})
+    _prepared(stamped, "overwrite", (), LOAD_KEYS).option("partitionOverwriteMode", "dynamic").save(path)
 
 
 def publish_view(rows: DataFrame, name: str) -> None:

@@ -14,13 +14,20 @@ from pyspark.sql.streaming import StreamingQuery
 from trailmark.sources.readers import page_records, page_schema
 
 
-def landed_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+def landed_csv(
+    spark: SparkSession, folder: str, schema: T.StructType, quoted_newlines: bool = True
+) -> DataFrame:
+    """As ``read_csv_positional``: without quoted newlines Spark can split large files."""
     reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", True)
-    return reader.option("multiLine", True).option("escape", '"').option("mode", "FAILFAST").csv(folder)
+    reader = reader.option("multiLine", quoted_newlines).option("escape", '"')
+    return reader.option("mode", "FAILFAST").csv(folder)
 
 
-def landed_json_pages(spark: SparkSession, folder: str, record_schema: T.StructType) -> DataFrame:
-    reader = spark.readStream.schema(page_schema(record_schema)).option("multiLine", True)
+def landed_json_pages(
+    spark: SparkSession, folder: str, record_schema: T.StructType, document_per_file: bool = True
+) -> DataFrame:
+    """As ``read_json_pages``: a document per line lets Spark split large files."""
+    reader = spark.readStream.schema(page_schema(record_schema)).option("multiLine", document_per_file)
     return page_records(reader.option("mode", "FAILFAST").json(folder))
 
 

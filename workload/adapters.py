@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from trailmark import schemas
 from trailmark.fixed_values import BRAND_ID_KEYS, MEDIUM_GROUPS
 from trailmark.operators.tagging import tag_series
-from trailmark.sources import scratch_folder, small_table, write_files
+from trailmark.sources import small_table
 
 BRANDS = tuple(BRAND_ID_KEYS)
 BRANDED_SESSIONS = schemas.record(brand=schemas.STRING, **{f.name: f.dataType for f in schemas.SESSIONS})
@@ -55,6 +55,8 @@ SLOTS = {"A": "SearchTop", "N": "SearchOther", "R": "Content"}
 SHIFT_DAYS = 8766
 INTEREST_RUN = datetime(2001, 8, 2, 4, 0, tzinfo=timezone(timedelta(hours=8)))
 KEYWORDS = 31
+# Every so many accounts and campaigns is not in the master tables.
+UNKNOWN_ACCOUNTS, UNKNOWN_CAMPAIGNS, HOT_ACCOUNT = 11, 13, 1
 
 
 NTZ, INT = schemas.T.TimestampNTZType(), schemas.T.IntegerType()
@@ -96,8 +98,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
+
+
+def _pick(values: tuple, position: str) -> str:
+    """The value at a position (from 0) of a fixed list, as SQL text."""
+    return f"element_at(array({', '.join(map(_text, values))}), CAST({position} AS INT) + 1)"
+
+
 def pick(values: tuple, position: Column) -> Column:
-    """The value at a position (from 0) of a fixed list."""
     return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), position.cast("int") + 1)
 
 
@@ -124,15 +134,6 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _text(value: str | None) -> str:
-    return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
-
-
-def _pick(values: tuple, position: str) -> str:
-    """``pick`` as SQL text."""
-    return f"element_at(array({', '.join(map(_text, values))}), CAST({position} AS INT) + 1)"
-
-
 def _micros(civil: str) -> str:
     """``epoch_micros`` as SQL text."""
     since = f"CAST({civil} - TIMESTAMP_NTZ '1970-01-01 00:00:00' AS INTERVAL SECOND)"
@@ -236,13 +237,6 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stored_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions as a stored table, as reports that read them more than once find them."""
-    path = scratch_folder(spark, "sessions")
-    write_files(sessions(spark, sf_dir), path)
-    return spark.read.schema(BRANDED_SESSIONS).parquet(path)
-
-
 def mediums(spark: SparkSession) -> DataFrame:
     return small_table(spark, MEDIUM_GROUPS, schemas.MEDIUM_LOOKUP)
 
@@ -255,8 +249,9 @@ def _ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         "*",
         shifted.alias("Date"),
-        (F.col("l_suppkey") % 10).alias("ExternalCustomerId"),
-        (F.col("l_partkey") % 20).alias("CampaignId"),
+        # One account holds a third of the lines.
+        F.when(F.col("l_orderkey") % 3 == 0, HOT_ACCOUNT).otherwise(F.col("l_suppkey")).alias("ExternalCustomerId"),
+        F.col("l_partkey").alias("CampaignId"),
         F.col("l_quantity").cast("bigint").alias("Clicks"),
     )
 
@@ -268,11 +263,13 @@ def _two_accounts(lines: DataFrame, *columns: Column | str) -> list[DataFrame]:
 
 
 def basic_stats(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Lines numbered 2 come twice, alike in all but the device."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     flag = F.col("l_returnflag")
     slot = F.when(flag == "A", SLOTS["A"]).when(flag == "N", SLOTS["N"]).otherwise(SLOTS["R"])
+    devices = F.when(F.col("l_linenumber") == 2, F.array(F.lit("HIGH_END_MOBILE"), F.lit("DESKTOP")))
     return _two_accounts(
-        _ad_lines(spark, sf_dir),
+        _ad_lines(spark, sf_dir).withColumn("Device", F.explode(F.coalesce(devices, F.array(F.lit("DESKTOP"))))),
         "Date",
         "ExternalCustomerId",
         "CampaignId",
@@ -282,12 +279,15 @@ def basic_stats(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         slot.alias("Slot"),
         F.col("l_linenumber").cast("bigint").alias("ViewThroughConversions"),
         (F.col("l_quantity") / 2).alias("Conversions"),
+        "Device",
     )
 
 
 def campaign_stats(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Many rows of a campaign's day are alike in all but the ad group."""
     conversions = (F.col("l_quantity") / 2).alias("CurrentModelAttributedConversions")
-    return _two_accounts(_ad_lines(spark, sf_dir), "Date", "CampaignId", conversions)
+    group = (F.col("l_orderkey") % 1000).alias("AdGroupId")
+    return _two_accounts(_ad_lines(spark, sf_dir), "Date", "CampaignId", conversions, group)
 
 
 def cookie_stats(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -304,7 +304,7 @@ def cookie_stats(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     text = (F.col("share") + F.col("more")).cast("string").alias("AbsoluteTopImpressionPercentage")
     return [
         rows.where(half).select("Date", "CampaignId", text)
-        for half in (F.col("CampaignId") < 12, F.col("CampaignId") >= 8)
+        for half in (F.col("CampaignId") % 20 < 12, F.col("CampaignId") % 20 >= 8)
     ]
 
 
@@ -324,8 +324,12 @@ def _snapshot_days() -> Column:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    """Account names; some change on the last day, accounts of nations 10-12 are in both."""
-    snapshots = table(spark, sf_dir, "supplier").withColumn("day", _snapshot_days())
+    """Account names; some change on the last day, accounts of nations 10-12 are in both.
+
+    Some accounts with stats are in neither. One of the two names a time zone of its own.
+    """
+    suppliers = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % UNKNOWN_ACCOUNTS != 0)
+    snapshots = suppliers.withColumn("day", _snapshot_days())
     key, nation = F.col("s_suppkey"), F.col("s_nationkey")
     moved = F.when((F.col("day.n") == 2) & (key % 4 == 0), 1).otherwise(0)
     return [
@@ -333,6 +337,7 @@ def customers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
             key.alias("ExternalCustomerId"),
             pick(ACCOUNT_NAMES, (key + moved + extra) % len(ACCOUNT_NAMES)).alias("AccountDescriptiveName"),
             F.lit("TWD").alias("AccountCurrencyCode"),
+            F.when(key % 3 == extra, "Asia/Taipei").alias("CustomerTimeZone"),
             F.col("day._PARTITIONTIME").alias("_PARTITIONTIME"),
         )
         for held, extra in ((nation <= 12, 0), (nation >= 10, 2))
@@ -340,7 +345,9 @@ def customers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 
 def campaigns(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    snapshots = table(spark, sf_dir, "part").withColumn("day", _snapshot_days())
+    """Some campaigns with stats are in neither account, some in both under two names."""
+    parts = table(spark, sf_dir, "part").where(F.col("p_partkey") % UNKNOWN_CAMPAIGNS != 0)
+    snapshots = parts.withColumn("day", _snapshot_days())
     name = F.concat("p_name", F.lit(" v"), F.col("day.n").cast("string"))
     size = F.col("p_size")
     return [

@@ -14,7 +14,19 @@ from trailmark.fixed_values import (
     MEDIUM_GROUPS,
     TREND_HORIZONS,
 )
-from workload.adapters import ACCOUNT_NAMES, BLOCK, BRANDS, CHANNELS, EVENTS, KEYWORDS, MEDIUMS, SHIFT_DAYS
+from workload.adapters import (
+    ACCOUNT_NAMES,
+    BLOCK,
+    BRANDS,
+    CHANNELS,
+    EVENTS,
+    HOT_ACCOUNT,
+    KEYWORDS,
+    MEDIUMS,
+    SHIFT_DAYS,
+    UNKNOWN_ACCOUNTS,
+    UNKNOWN_CAMPAIGNS,
+)
 
 
 def literal(value) -> str:
@@ -28,14 +40,19 @@ def pick(values, position: str) -> str:
 
 
 def rounded(value: str, digits: int) -> str:
-    """Round half away from zero in decimal arithmetic."""
-    return f"CAST(round(CAST({value} AS DECIMAL(38,{digits + 8})), {digits}) AS DOUBLE)"
+    """Round half away from zero, of the number as it is written."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
 def ratio(numerator: str, denominator: str, digits: int) -> str:
     return rounded(f"({numerator}) / nullif(CAST({denominator} AS DOUBLE), 0)", digits)
 
 
+def whole(total: str) -> str:
+    """A session total summed over all sessions: every hit of a session is there, and its first counts."""
+    return f"CAST(sum(CASE WHEN hitNumber = 1 THEN {total} END) AS DOUBLE)"
+
+
 def brand_case(name: str) -> str:
     cases = " ".join(f"WHEN {name} LIKE {literal(p + '%')} THEN {literal(c)}" for p, c in ACCOUNT_PREFIXES)
     return f"CASE {cases} END"
@@ -108,7 +125,8 @@ CTES["mediums"] = "SELECT * FROM (VALUES " + ", ".join(
 
 CTES["lines"] = f"""
 SELECT *, CAST(date_trunc('week', l_shipdate) AS DATE) + {SHIFT_DAYS} AS Date,
-       l_suppkey % 10 AS ExternalCustomerId, l_partkey % 20 AS CampaignId,
+       CASE WHEN l_orderkey % 3 = 0 THEN {HOT_ACCOUNT} ELSE l_suppkey END AS ExternalCustomerId,
+       l_partkey AS CampaignId,
        CAST(l_quantity AS BIGINT) AS Clicks
 FROM lineitem"""
 
@@ -116,12 +134,13 @@ _STATS = """
 SELECT Date, ExternalCustomerId, CampaignId, Clicks, Clicks * (10 + l_linenumber) AS Impressions,
        CAST(round(l_extendedprice * 100) AS BIGINT) * 10000 AS Cost,
        CASE l_returnflag WHEN 'A' THEN 'SearchTop' WHEN 'N' THEN 'SearchOther' ELSE 'Content' END AS Slot,
-       CAST(l_linenumber AS BIGINT) AS ViewThroughConversions, l_quantity / 2 AS Conversions
-FROM lines WHERE l_linestatus = '{}' OR l_linenumber = 1"""
+       CAST(l_linenumber AS BIGINT) AS ViewThroughConversions, l_quantity / 2 AS Conversions, Device
+FROM lines JOIN (VALUES ('DESKTOP'), ('HIGH_END_MOBILE')) AS v(Device) ON Device = 'DESKTOP' OR l_linenumber = 2
+WHERE l_linestatus = '{}' OR l_linenumber = 1"""
 CTES["stats"] = _STATS.format("F") + "\nUNION" + _STATS.format("O")
 
 _CONVERSIONS = """
-SELECT Date, CampaignId, l_quantity / 2 AS CurrentModelAttributedConversions
+SELECT Date, CampaignId, l_quantity / 2 AS CurrentModelAttributedConversions, l_orderkey % 1000 AS AdGroupId
 FROM lines WHERE l_linestatus = '{}' OR l_linenumber = 1"""
 CTES["conversions"] = _CONVERSIONS.format("F") + "\nUNION" + _CONVERSIONS.format("O")
 
@@ -132,15 +151,17 @@ JOIN (VALUES (0), (100)) AS v(more) ON more = 0 OR CampaignId % 10 = 0"""
 
 _CUSTOMER = """
 SELECT s_suppkey AS ExternalCustomerId, {name} AS AccountDescriptiveName,
-       'TWD' AS AccountCurrencyCode, n AS load
-FROM supplier, (VALUES (0), (1), (2)) AS v(n) WHERE s_nationkey {held}"""
+       'TWD' AS AccountCurrencyCode, CASE WHEN s_suppkey % 3 = {extra} THEN 'Asia/Taipei' END AS CustomerTimeZone,
+       n AS load
+FROM supplier, (VALUES (0), (1), (2)) AS v(n) WHERE s_nationkey {held} AND s_suppkey % {unknown} <> 0"""
 
 
 def _customer(extra: int, held: str) -> str:
     moved = "CASE WHEN n = 2 AND s_suppkey % 4 = 0 THEN 1 ELSE 0 END"
     return _CUSTOMER.format(
-        name=pick(ACCOUNT_NAMES, f"(s_suppkey + {moved} + {extra}) % {len(ACCOUNT_NAMES)}"), held=held
-    )
+        name=pick(ACCOUNT_NAMES, f"(s_suppkey + {moved} + {extra}) % {len(ACCOUNT_NAMES)}"),
+        held=held, extra=extra, unknown=UNKNOWN_ACCOUNTS,
+    )
 
 
 CTES["customers_a"] = _customer(0, "<= 12")
@@ -161,9 +182,9 @@ CTES["customer_now"] = _latest("customers", "ExternalCustomerId")
 _CAMPAIGN = """
 SELECT p_partkey AS CampaignId, p_name || ' v' || CAST(n AS VARCHAR) || '{}' AS CampaignName,
        p_type AS AdvertisingChannelType, n AS load
-FROM part, (VALUES (0), (1), (2)) AS v(n) WHERE p_size {}"""
-CTES["campaigns_a"] = _CAMPAIGN.format("", "<= 30")
-CTES["campaigns_b"] = _CAMPAIGN.format(" coop", ">= 25")
+FROM part, (VALUES (0), (1), (2)) AS v(n) WHERE p_size {} AND p_partkey % {} <> 0"""
+CTES["campaigns_a"] = _CAMPAIGN.format("", "<= 30", UNKNOWN_CAMPAIGNS)
+CTES["campaigns_b"] = _CAMPAIGN.format(" coop", ">= 25", UNKNOWN_CAMPAIGNS)
 CTES["campaign_now"] = _latest("campaigns", "CampaignId")
 
 CTES["clicks"] = """
@@ -303,15 +324,15 @@ SITE_METRICS = f"""
 SELECT brand, date, count(DISTINCT fullVisitorId) AS users,
        count(DISTINCT CASE WHEN visitNumber = 1 THEN fullVisitorId END) AS new_users,
        {SESSION_COUNT} AS sessions,
-       {ratio("sum(CASE WHEN visits = 1 THEN pageviews / totals_hits END)", SESSION_COUNT, 2)} AS pages_per_session,
-       {ratio("sum(timeOnSite / totals_hits)", SESSION_COUNT, 2)} AS avg_session_duration,
+       {ratio(whole("CASE WHEN visits = 1 THEN pageviews END"), SESSION_COUNT, 2)} AS pages_per_session,
+       {ratio(whole("timeOnSite"), SESSION_COUNT, 2)} AS avg_session_duration,
        {ratio("count(DISTINCT CASE WHEN visitNumber = 1 AND visits = 1 THEN sessionId END)", SESSION_COUNT, 4)}
            AS new_sessions_ratio,
        {ratio("count(DISTINCT CASE WHEN bounces = 1 AND visits = 1 THEN sessionId END)", SESSION_COUNT, 4)}
            AS bounce_rate,
-       CAST({rounded("sum(totalTransactionRevenue / 1000000 / totals_hits)", 0)} AS BIGINT) AS revenue,
+       CAST({rounded(whole("totalTransactionRevenue") + " / 1000000", 0)} AS BIGINT) AS revenue,
        count(DISTINCT {EVENT_KEY}) AS unique_events,
-       {ratio("sum(transactions / totals_hits)", SESSION_COUNT, 4)} AS ecommerce_conversion_rate
+       {ratio(whole("transactions"), SESSION_COUNT, 4)} AS ecommerce_conversion_rate
 FROM flat GROUP BY brand, date"""
 
 
@@ -397,6 +418,11 @@ ORACLES: dict[str, str] = {
            FROM flat0 GROUP BY ALL""",
         "flat0",
     ),
+    "shard_scan_bounded": with_ctes(
+        """SELECT brand, sessionId[1:8] AS date, visitId, CAST(count(*) AS INTEGER) AS hits
+           FROM flat0 WHERE sessionId[1:8] BETWEEN '20240105' AND '20240114' GROUP BY ALL""",
+        "flat0",
+    ),
     "unnest_hits": with_ctes("SELECT visitId, hitNumber, eventCategory, eventAction FROM flat0", "flat0"),
     "kv_lookup": with_ctes(
         """SELECT visitId, hitNumber, CASE WHEN brand NOT IN ('15', '40') THEN member END AS key_178,
@@ -499,7 +525,9 @@ ORACLES: dict[str, str] = {
         "flat",
     ),
     "latest_snapshot": with_ctes(
-        "SELECT * FROM " + _LATEST.format("customers_a", "ExternalCustomerId"), "customers_a"
+        "SELECT *, 0 AS held_by FROM " + _LATEST.format("customers_a", "ExternalCustomerId")
+        + " UNION ALL SELECT *, 1 AS held_by FROM " + _LATEST.format("customers_b", "ExternalCustomerId"),
+        "customers_a", "customers_b",
     ),
     "union_distinct": with_ctes("SELECT * FROM stats", "stats"),
     "micros_to_units": with_ctes(
@@ -569,7 +597,18 @@ ORACLES: dict[str, str] = {
     "brand_sales": """SELECT p_brand AS brand, sum(l_quantity) AS sales
 FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
     "csv_load": with_ctes(_BEACON, "beacon"),
-    "append_by_day": with_ctes(_BEACON, "beacon"),
+    "append_by_day": with_ctes(
+        """SELECT *, CASE brand_id WHEN '01' THEN 'lan' WHEN '16' THEN 'gab' ELSE 'shu' END AS load_source,
+                  CASE WHEN event_time + INTERVAL 8 HOUR < '2024-01-15' THEN '2024-01-14' ELSE '2024-01-15' END AS load_day
+           FROM beacon""",
+        "beacon",
+    ),
+    "csv_bom_load": with_ctes(
+        """SELECT * REPLACE ('"' || event_type || '"' || chr(10) || event_name AS event_name) FROM beacon""", "beacon"
+    ),
+    "seed_load": """SELECT lpad(CAST(p_partkey AS VARCHAR), 12, '0') AS code, p_brand AS brand,
+       CAST(p_size AS VARCHAR) AS size FROM part""",
+    "catalog_table": with_ctes("SELECT keyword, date, hits FROM interest WHERE is_luxe", "interest"),
     "landed_append": with_ctes(_BEACON, "beacon"),
     "json_pages_flatten": with_ctes(
         "SELECT event_id, user_id AS who_user_id, k AS who_k, event_type FROM ev", "ev"
@@ -583,6 +622,24 @@ FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
         ),
         "faulty",
     ),
+    "beacon_check_list": with_ctes(
+        " UNION ALL ".join([
+            _check(
+                "unique",
+                "event_name-receiver_uid-event_type-event_time",
+                """(SELECT event_name, receiver_uid, event_type, day FROM faulty
+                    WHERE event_name IS NOT NULL AND receiver_uid IS NOT NULL
+                    GROUP BY ALL HAVING count(*) > 1)""",
+            ),
+            _rows_failing("not_null", "event_name", "event_name IS NULL"),
+            _rows_failing("value_lengths_to_equal", "receiver_uid", "length(receiver_uid) <> 33"),
+            _rows_failing("not_null", "receiver_uid", "receiver_uid IS NULL"),
+            _rows_failing("accepted_values", "event_type", "event_type NOT IN ('enter', 'push', 'banner')"),
+            _rows_failing("not_null", "brand_id", "brand_id IS NULL"),
+            _rows_failing("accepted_values", "brand_id", f"brand_id NOT IN ({_BRAND_LIST})"),
+        ]),
+        "faulty",
+    ),
     "check_not_null": with_ctes(
         " UNION ALL ".join(
             _rows_failing("not_null", c, f"{c} IS NULL") for c in ("event_name", "receiver_uid", "brand_id")

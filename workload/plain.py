@@ -14,7 +14,7 @@ from trailmark.fixed_values import (
     JOURNEY_MEDIUMS,
     TREND_HORIZONS,
 )
-from trailmark.functions import settled_round, utc_date
+from trailmark.functions import utc_date
 from trailmark.plans import journey, site
 
 
@@ -39,14 +39,14 @@ def plain_journey(hits, mediums):
     """The journey: identity by windows over hits, a distinct aggregate per column."""
     visits = journey.with_medium_group(hits.where(F.col("totals.visits") == 1), mediums)
     visits = plain_stitch(plain_first_day(visits))
-    session, time = F.col("sessionId"), site.per_hit(F.col("totals.timeOnSite"))
+    session, time = F.col("sessionId"), F.col("totals.timeOnSite") / F.col(site.HITS)
     category, action = F.col("hit.eventInfo.eventCategory"), F.col("hit.eventInfo.eventAction")
 
     def sessions(condition):
         return F.count_distinct(F.when(condition, session))
 
     def total(column):
-        return settled_round(F.sum(site.per_hit(F.col(f"totals.{column}"))))
+        return F.round(F.sum(F.col(f"totals.{column}") / F.col(site.HITS)))
 
     aggregates = {
         "isNewVisit": F.bool_or("isNewVisit"),
@@ -62,7 +62,7 @@ def plain_journey(hits, mediums):
         for name, value in values.items():
             match = F.col(column) == value
             aggregates[f"{name}_sessions"] = sessions(match)
-            aggregates[f"{name}_browsing_time"] = settled_round(F.sum(F.when(match, time).otherwise(F.lit(0))))
+            aggregates[f"{name}_browsing_time"] = F.round(F.sum(F.when(match, time).otherwise(F.lit(0))))
     for name, (c, a) in JOURNEY_EVENTS.items():
         aggregates[f"{name}_sessions"] = sessions((category == c) & (action == a))
     for name, (text, ignore_case) in JOURNEY_CATEGORY_TEXTS.items():

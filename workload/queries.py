@@ -1,7 +1,9 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``."""
 
 from collections.abc import Callable, Sequence
+from datetime import date
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,27 +27,30 @@ from trailmark.functions import (
     kv_lookup,
     micros,
     round_to_long,
-    settled_round,
     split_field,
     utc_date,
 )
 from trailmark.operators import checks, slopes
 from trailmark.operators.attach import full_outer_report
 from trailmark.operators.facets import Facet, Total, facet_report
-from trailmark.operators.hits import SESSION_STRUCTS, hit_ids, repack, unnest_hits
+from trailmark.operators.hits import HIT_FIELDS, SESSION_STRUCTS, hit_ids, repack, unnest_hits
 from trailmark.operators.identity import fill_identity, first_day_flag, stitch_identity
-from trailmark.operators.setops import union_distinct
+from trailmark.operators.setops import union_all, union_distinct
 from trailmark.operators.snapshots import latest_snapshot
 from trailmark.plans import ads, journey, site, tracking, trends
-from trailmark.plans.beacon import beacon_stage
+from trailmark.plans.beacon import beacon_checks, beacon_stage
 from trailmark.plans.sales import brand_sales
 from trailmark.sources import (
-    load_day,
+    LOAD_KEYS,
+    load_run,
+    publish_view,
     read_csv_positional,
     read_json_pages,
     read_shards,
     scratch_folder,
+    table_name,
     write_files,
+    write_table,
 )
 from trailmark.streaming.landing import append_new, landed_csv
 from workload import adapters as inputs
@@ -64,7 +69,7 @@ def query(function: Query) -> Query:
 
 
 def rounded(frame: DataFrame, names: Sequence[str], digits: int) -> DataFrame:
-    return frame.withColumns({n: settled_round(F.col(n), digits) for n in names})
+    return frame.withColumns({n: F.round(F.col(n), digits) for n in names})
 
 
 def civil_utc(instant: Column) -> Column:
@@ -75,13 +80,19 @@ def civil_utc(instant: Column) -> Column:
 # ---- session hits ----------------------------------------------------------------
 
 
-def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tracking.branded_hits(inputs.stored_sessions(spark, sf_dir))
+def flat(spark: SparkSession, sf_dir: str, hit_fields: Sequence[str] = HIT_FIELDS) -> DataFrame:
+    return tracking.branded_hits(inputs.sessions(spark, sf_dir), hit_fields=hit_fields)
 
 
-def anonymous(spark: SparkSession, sf_dir: str) -> DataFrame:
+def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tracking.branded_visits(inputs.sessions(spark, sf_dir))
+
+
+def anonymous(
+    spark: SparkSession, sf_dir: str, hit_fields: Sequence[str] = ("hitNumber", "eventInfo")
+) -> DataFrame:
     """Hits without member ids, for reports that do not use them."""
-    return tracking.branded_hits(inputs.sessions(spark, sf_dir), identify=False)
+    return tracking.branded_hits(inputs.sessions(spark, sf_dir), identify=False, hit_fields=hit_fields)
 
 
 def scalars(hits: DataFrame) -> DataFrame:
@@ -112,7 +123,7 @@ def flat_hits(spark, sf_dir):
 @query
 def union_all_brands(spark, sf_dir):
     """The same from a session table per brand."""
-    all_sessions = inputs.stored_sessions(spark, sf_dir)
+    all_sessions = inputs.sessions(spark, sf_dir)
     by_brand = {code: all_sessions.where(F.col("brand") == code).drop("brand") for code in BRAND_ID_KEYS}
     hits = tracking.all_hits(by_brand)
     return hits.select(
@@ -130,6 +141,18 @@ def shard_scan(spark, sf_dir):
     return stored.select("brand", "date", "visitId", "visitNumber", F.size("hits").alias("hits"))
 
 
+@query
+def shard_scan_bounded(spark, sf_dir):
+    """The shards of ten days only."""
+    root = scratch_folder(spark, "shards")
+    sharded = inputs.sessions(spark, sf_dir).withColumn("sessions_of", F.col("date"))
+    write_files(sharded, root, partition_by=["sessions_of"])
+    stored = read_shards(
+        spark, root, "sessions_of=", inputs.BRANDED_SESSIONS, date(2024, 1, 5), date(2024, 1, 14)
+    )
+    return stored.select("brand", "date", "visitId", F.size("hits").alias("hits"))
+
+
 @query
 def unnest_hits_query(spark, sf_dir):
     hits = unnest_hits(inputs.sessions(spark, sf_dir), ["hitNumber", "eventInfo"])
@@ -196,25 +219,28 @@ def epoch_ms_to_local(spark, sf_dir):
 
 @query
 def identity_fill(spark, sf_dir):
-    own = hit_ids(inputs.stored_sessions(spark, sf_dir), BRAND_ID_KEYS)
-    return fill_identity(own, "marsId", ["brand", "fullVisitorId"], ["visitNumber", "hitNumber"])
+    own = hit_ids(inputs.sessions(spark, sf_dir), BRAND_ID_KEYS)
+    order = ["visitNumber", "hitNumber"]
+    return fill_identity(own, "marsId", ["brand", "fullVisitorId"], order, spread_by=["fullVisitorId", *order])
 
 
 @query
 def identity_stitch(spark, sf_dir):
-    hits = flat(spark, sf_dir).select(
+    hits = flat(spark, sf_dir, ("hitNumber",)).select(
         "brand", "marsId", "sessionId", "fullVisitorId", "visitStartDateTime",
         F.col("hit.hitNumber").alias("hitNumber"),
     )
-    return stitch_identity(hits, "marsId", "fullVisitorId", "visitStartDateTime", ["sessionId"])
+    seen = visits(spark, sf_dir)
+    return stitch_identity(hits, "marsId", "fullVisitorId", "visitStartDateTime", ["sessionId"], seen)
 
 
 @query
 def first_day_flag_query(spark, sf_dir):
-    hits = flat(spark, sf_dir).select(
+    hits = flat(spark, sf_dir, ("hitNumber",)).select(
         "marsId", "sessionId", "visitStartDateTime", F.col("hit.hitNumber").alias("hitNumber")
     )
-    return first_day_flag(hits, "marsId", "visitStartDateTime", spread_by=["sessionId"])
+    seen = visits(spark, sf_dir)
+    return first_day_flag(hits, "marsId", "visitStartDateTime", spread_by=["sessionId"], seen=seen)
 
 
 @query
@@ -283,22 +309,25 @@ def composite_distinct(spark, sf_dir):
 
 @query
 def apportioned_totals(spark, sf_dir):
-    totals = anonymous(spark, sf_dir).groupBy("sessionId").agg(
-        *[F.sum(site.per_hit(F.col(f"totals.{n}"))).alias(n) for n in ("timeOnSite", "pageviews", "hits")]
+    names = ("timeOnSite", "pageviews", "hits")
+    session = Facet(F.col("sessionId"), totals={n: Total(n) for n in names})
+    measures = {n: F.col(f"totals.{n}") for n in names}
+    totals = facet_report(
+        anonymous(spark, sf_dir), {"sessionId": F.col("sessionId")}, [session], measures, divisor=F.col(site.HITS)
     )
-    return rounded(totals, ["timeOnSite", "pageviews", "hits"], 0)
+    return rounded(totals, names, 0)
 
 
 @query
 def ratio_metrics(spark, sf_dir):
-    return site.site_metrics(anonymous(spark, sf_dir))
+    return site.site_metrics(anonymous(spark, sf_dir, site.SITE_HIT_FIELDS))
 
 
 @query
 def pivot_sessions(spark, sf_dir):
     channel = F.col("channelGrouping")
     report = facet_report(
-        flat(spark, sf_dir),
+        flat(spark, sf_dir, ("eventInfo",)),
         {"brand": F.col("brand"), "marsId": F.col("marsId"), "date": civil_date(F.col("visitStartDateTime"))},
         [
             Facet(
@@ -313,14 +342,16 @@ def pivot_sessions(spark, sf_dir):
                 {f"{n}_browsing_time": Total("time", v) for n, v in JOURNEY_CHANNELS.items()},
             ),
         ],
-        {"time": site.per_hit(F.col("totals.timeOnSite"))},
+        {"time": F.col("totals.timeOnSite")},
+        divisor=F.col(site.HITS),
     )
     return rounded(report, [f"{n}_browsing_time" for n in JOURNEY_CHANNELS], 0)
 
 
 @query
 def customer_journey(spark, sf_dir):
-    return journey.customer_journey(flat(spark, sf_dir), inputs.mediums(spark))
+    hits = flat(spark, sf_dir, journey.JOURNEY_HIT_FIELDS)
+    return journey.customer_journey(hits, inputs.mediums(spark), visits(spark, sf_dir))
 
 
 # ---- ads -------------------------------------------------------------------------
@@ -351,13 +382,15 @@ def full_outer_daily(spark, sf_dir):
 @query
 def daily_report(spark, sf_dir):
     return site.daily_report(
-        anonymous(spark, sf_dir), inputs.basic_stats(spark, sf_dir), inputs.customers(spark, sf_dir)
+        anonymous(spark, sf_dir, site.SITE_HIT_FIELDS), inputs.basic_stats(spark, sf_dir), inputs.customers(spark, sf_dir)
     )
 
 
 @query
 def latest_snapshot_query(spark, sf_dir):
-    return latest_snapshot(inputs.customers(spark, sf_dir)[0], ["ExternalCustomerId"])
+    """The latest row of each account in each of the two tables."""
+    tables = [rows.withColumn("held_by", F.lit(no)) for no, rows in enumerate(inputs.customers(spark, sf_dir))]
+    return latest_snapshot(union_all(tables), ["held_by", "ExternalCustomerId"])
 
 
 @query
@@ -434,26 +467,27 @@ def date_window_filter(spark, sf_dir):
     return inputs.interest(spark, sf_dir).where(recent).select("keyword", "date", "hits")
 
 
-def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = inputs.interest(spark, sf_dir).select(
         F.col("keyword").alias("key"),
         F.col("date").alias("day"),
         utc_date(F.col("updated_datetime")).alias("as_of"),
         F.col("hits").alias("y"),
     )
-    return slopes.numbered_runs(points, HORIZON_DAYS)
+    return slopes.recent_points(points, HORIZON_DAYS)
 
 
 @query
 def sequence_number(spark, sf_dir):
-    return _runs(spark, sf_dir).select(
+    return slopes.numbered(_points(spark, sf_dir)).select(
         "horizon", F.col("key").alias("keyword"), F.col("day").alias("date"), (F.col("before") + 1).alias("x")
     )
 
 
 @query
 def global_mean(spark, sf_dir):
-    sums = slopes.with_means(slopes.series_sums(_runs(spark, sf_dir)), pooled=True)
+    points = _points(spark, sf_dir)
+    sums = slopes.with_means(slopes.series_sums(slopes.numbered(points)), slopes.pooled_means(points))
     means = sums.select("horizon", F.col("key").alias("keyword"), "x_bar", "y_bar")
     return rounded(means, ["x_bar", "y_bar"], 6)
 
@@ -509,7 +543,9 @@ def _beacon_values(frame: DataFrame) -> DataFrame:
 
 
 def _write_csv(rows: DataFrame, path: str) -> str:
-    writer = rows.write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+    # Quotes are doubled, as the reader takes them.
+    writer = rows.write.option("escape", '"')
+    writer = writer.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
     writer.csv(path)
     return path
 
@@ -520,6 +556,35 @@ def csv_load(spark, sf_dir):
     return _beacon_values(read_csv_positional(spark, path, schemas.BEACON, quoted_newlines=False))
 
 
+@query
+def csv_bom_load(spark, sf_dir):
+    """Files that start with a byte order mark and have newlines and quotes in quoted fields."""
+    name = F.concat(F.lit('"'), "event_type", F.lit('"\n'), "event_name")
+    rows = inputs.beacon(spark, sf_dir).withColumn("event_name", name)
+    path = _write_csv(rows.withColumnRenamed("event_name", "\ufeffevent_name"), scratch_folder(spark, "bom-csv"))
+    return _beacon_values(read_csv_positional(spark, path, schemas.BEACON))
+
+
+@query
+def seed_load(spark, sf_dir):
+    """A lookup kept as CSV, every column read as text, whatever it looks like."""
+    parts = inputs.table(spark, sf_dir, "part")
+    rows = parts.select(F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("code"), "p_brand", "p_size")
+    path = _write_csv(rows, scratch_folder(spark, "seed"))
+    return read_csv_positional(spark, path, schemas.texts("code brand size"), quoted_newlines=False)
+
+
+@query
+def catalog_table(spark, sf_dir):
+    """A table in a named schema, replaced once, and a view over it."""
+    spark.sql("CREATE SCHEMA IF NOT EXISTS marts")
+    name = f"interest_{uuid4().hex}"
+    for _ in range(2):
+        write_table(inputs.interest(spark, sf_dir), name, schema=" marts ", default_schema="default")
+    publish_view(spark.table(table_name(name, "marts")).where(F.col("is_luxe")), f"luxe_{name}")
+    return spark.table(f"luxe_{name}").select("keyword", "date", "hits")
+
+
 @query
 def json_pages_flatten(spark, sf_dir):
     """Pages of 1,000 events, each a nested record, landed as one document per line."""
@@ -543,12 +608,21 @@ def json_pages_flatten(spark, sf_dir):
 
 @query
 def append_by_day(spark, sf_dir):
-    """A day-partitioned load of which the later half is repeated."""
-    rows = inputs.beacon(spark, sf_dir).withColumn("load_day", utc_date(F.col("event_time")))
-    path = scratch_folder(spark, "beacon-days")
-    load_day(rows, path, "load_day")
-    load_day(rows.where(F.col("load_day") >= F.lit("2024-01-15").cast("date")), path, "load_day")
-    return _beacon_values(spark.read.parquet(path))
+    """Loads of three sources on two days into one table, one of them repeated.
+
+    A load's local day at +8 spans two UTC dates of events, of which the next load holds the
+    rest, and all sources load the same days.
+    """
+    rows = inputs.beacon(spark, sf_dir)
+    path = scratch_folder(spark, "beacon-loads")
+    source = F.when(F.col("brand_id") == "01", "lan").when(F.col("brand_id") == "16", "gab").otherwise("shu")
+    later = civil_date(epoch_to_civil(F.unix_micros("event_time"), "us", 8)) >= F.lit("2024-01-15").cast("date")
+    loads = [(code, day) for day in ("2024-01-14", "2024-01-15") for code in ("lan", "gab", "shu")]
+    for code, day in [*loads, loads[-1]]:
+        load_run(rows.where((source == code) & (later if day == "2024-01-15" else ~later)), path, code, day)
+    loaded = spark.read.parquet(path)
+    instants = {n: civil_utc(F.col(n)) for n in ("event_time", "first_follow")}
+    return loaded.withColumns(instants | {n: F.col(n).cast("string") for n in LOAD_KEYS})
 
 
 @query
@@ -583,10 +657,16 @@ def clustered_write(spark, sf_dir):
 
 @query
 def check_unique(spark, sf_dir):
-    key = joined_key(*[F.col(c) for c in ("event_name", "receiver_uid", "event_type")], utc_date(F.col("event_time")))
+    key = joined_key(*[F.col(c) for c in ("event_name", "receiver_uid", "event_type", "event_time")])
     return checks.run_checks(inputs.faulty_beacon(spark, sf_dir), [checks.unique(key, "key")])
 
 
+@query
+def beacon_check_list(spark, sf_dir):
+    """All checks of the beacon table in one pass."""
+    return checks.run_checks(inputs.faulty_beacon(spark, sf_dir), beacon_checks())
+
+
 @query
 def check_not_null(spark, sf_dir):
     columns = ("event_name", "receiver_uid", "brand_id")
