@@ -1,10 +1,11 @@
 """Quality rules as weak supervision.
 
 Each rule votes for a document (1), against it (-1) or abstains (0). Expectation-maximisation over
-the counts of vote patterns estimates each rule's accuracy and the share of good documents without
-any label, and a document's posterior probability of being good replaces "all rules must pass":
-
-    log-odds = logit(share) + sum over rules of vote * logit(accuracy)
+the counts of vote patterns estimates each rule's accuracies and the share of good documents without
+any label, and a document's posterior probability of being good replaces "all rules must pass".
+A rule has two accuracies among its votes: a on good documents, b on others. A vote for adds
+log(a / (1 - b)) to the log-odds, a vote against log((1 - a) / b). So a rule that votes for nearly
+all says little by it, and much when it votes against.
 
 All work on texts is column expressions. The driver sees the vote patterns only, at most 3 to the
 number of rules, whatever the number of documents.
@@ -22,9 +23,10 @@ from trailmark.llm.common import SPACE, stored
 
 #: Fixed by the contract: too few words, or over half of them in repeated windows.
 LEAST_WORDS, REPEATED_PER_CENT = 50, 50
-#: A rule is at least somewhat better than chance, and never certain.
-LEAST_ACCURACY, MOST_ACCURACY = 0.55, 0.99
-FIRST_ACCURACY, FIRST_SHARE = 0.8, 0.8
+#: Bounds of an accuracy; a rule is never taken for worse than chance (a + b >= 1), so a vote for
+#: never lowers the posterior.
+LEAST, MOST = 0.01, 0.99
+FIRST_ACCURACIES, FIRST_SHARE = (0.95, 0.5), 0.8
 ROUNDS, SETTLED = 200, 1e-9
 #: Kept if the posterior is at least this.
 KEEP = 0.5
@@ -53,6 +55,7 @@ RULES = (
     Rule("repeats", "n_words > 0 AND n_repeat_words <= 0.1 * n_words", "n_repeat_words > 0.3 * n_words"),
     Rule("capitals", "n_upper <= 0.15 * word_chars", "n_upper > 0.3 * word_chars"),
     Rule("sentences", "n_stops BETWEEN 0.02 * n_words AND 0.4 * n_words", "n_words >= 100 AND n_stops < 0.005 * n_words"),
+    Rule("plain_words", "n_plain_words >= 0.8 * n_words", "n_plain_words < 0.6 * n_words"),
     Rule("variety", "n_distinct_words >= 0.2 * least(n_words, 2000)", "n_distinct_words < 0.1 * least(n_words, 2000)"),
 )
 
@@ -85,6 +88,8 @@ def text_measures(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.length(F.regexp_replace("text", r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
         F.length(F.regexp_replace("text", r"[^.!?]+|[.!?]+(?=[^\s.!?])", "")).cast("long").alias("n_stops"),
         F.size(F.array_distinct("words")).cast("long").alias("n_distinct_words"),
+        # Letters, with at most one sign behind.
+        F.size(F.filter("words", lambda w: w.rlike(r"^\p{L}+[.,;:!?]?\z"))).cast("long").alias("n_plain_words"),
         F.coalesce(windows, F.array().cast("array<bigint>")).alias("windows"),
     )
     # Equal windows stand together when sorted; only texts that have some are sorted.
@@ -104,37 +109,48 @@ def text_measures(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return repeated.withColumn("n_repeat_words", total.cast("long")).drop("starts")
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[float]]:
-    """The share of good documents and each rule's accuracy, from vote patterns and their counts."""
+def vote_weights(accuracies: tuple[float, float]) -> tuple[float, float]:
+    """What a vote for, and a vote against, adds to the log-odds."""
+    a, b = accuracies
+    return math.log(a / (1 - b)), math.log((1 - a) / b)
+
+
+def estimate(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[tuple[float, float]]]:
+    """The share of good documents and each rule's two accuracies, from vote patterns and their counts."""
     rules = len(patterns[0][0]) if patterns else 0
-    share, accuracy = FIRST_SHARE, [FIRST_ACCURACY] * rules
+    share, accuracies = FIRST_SHARE, [FIRST_ACCURACIES] * rules
     before = -math.inf
     for _ in range(ROUNDS if patterns else 0):
-        good = 0.0
-        hits, cast = [0.0] * rules, [0.0] * rules
-        total = likelihood = 0.0
+        good = total = likelihood = 0.0
+        right = [[0.0, 0.0] for _ in range(rules)]  # votes that are right, on good documents and others
+        cast = [[0.0, 0.0] for _ in range(rules)]
         for votes, n in patterns:
-            odds = log_odds(share, accuracy, votes)
-            p = 1 / (1 + math.exp(-max(-700, min(700, odds))))
+            yes, no = math.log(share), math.log(1 - share)
+            for (a, b), v in zip(accuracies, votes, strict=True):
+                if v:
+                    yes += math.log(a if v > 0 else 1 - a)
+                    no += math.log(b if v < 0 else 1 - b)
+            top = max(yes, no)
+            sum_ = math.exp(yes - top) + math.exp(no - top)
+            p = math.exp(yes - top) / sum_
+            likelihood += n * (top + math.log(sum_))
             good += n * p
             total += n
-            yes = math.log(share) + sum(math.log(a if v > 0 else 1 - a) for a, v in zip(accuracy, votes, strict=True) if v)
-            no = math.log(1 - share) + sum(math.log(a if v < 0 else 1 - a) for a, v in zip(accuracy, votes, strict=True) if v)
-            likelihood += n * (max(yes, no) + math.log1p(math.exp(-abs(yes - no))))
             for k, v in enumerate(votes):
                 if v:
-                    hits[k] += n * (p if v > 0 else 1 - p)
-                    cast[k] += n
+                    cast[k][0] += n * p
+                    cast[k][1] += n * (1 - p)
+                    right[k][v < 0] += n * (p if v > 0 else 1 - p)
         share = min(0.999, max(0.001, good / total))
-        accuracy = [min(MOST_ACCURACY, max(LEAST_ACCURACY, h / c)) if c else FIRST_ACCURACY for h, c in zip(hits, cast, strict=True)]
+        accuracies = []
+        for r, c in zip(right, cast, strict=True):
+            a = min(MOST, max(0.5, r[0] / c[0])) if c[0] else FIRST_ACCURACIES[0]
+            b = min(MOST, max(LEAST, 1 - a, r[1] / c[1])) if c[1] else FIRST_ACCURACIES[1]
+            accuracies.append((a, b))
         if likelihood - before < SETTLED * total:
             break
         before = likelihood
-    return share, accuracy
-
-
-def log_odds(share: float, accuracy: list[float], votes: tuple[int, ...]) -> float:
-    return math.log(share / (1 - share)) + sum(v * math.log(a / (1 - a)) for a, v in zip(accuracy, votes, strict=True))
+    return share, accuracies
 
 
 def judge(documents: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -150,13 +166,14 @@ def judge(documents: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "
     votes = [f"vote_{r.name}" for r in rules]
     measured = text_measures(documents, doc_id, text)
     voted = stored(measured.select("*", *[r.vote().alias(v) for r, v in zip(rules, votes, strict=True)]), "rule-votes")
-    patterns = voted.groupBy(*votes).agg(F.count("*").alias("n")).orderBy(*votes).collect()
-    share, accuracy = estimate([(tuple(r[v] for v in votes), r["n"]) for r in patterns])
-    accuracy = accuracy or [FIRST_ACCURACY] * len(rules)
-    odds = F.lit(math.log(share / (1 - share)))
-    for vote, a in zip(votes, accuracy, strict=True):
-        odds = odds + F.col(vote) * F.lit(math.log(a / (1 - a)))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED_PER_CENT * F.col("n_words"))
+    # The rules are to tell apart what the fixed base leaves open.
+    patterns = voted.where(~failed).groupBy(*votes).agg(F.count("*").alias("n")).orderBy(*votes).collect()
+    share, accuracies = estimate([(tuple(r[v] for v in votes), r["n"]) for r in patterns])
+    odds = F.lit(math.log(share / (1 - share)))
+    for vote, accuracy in zip(votes, accuracies, strict=bool(accuracies)):
+        good, bad = vote_weights(accuracy)
+        odds = odds + F.when(F.col(vote) > 0, good).when(F.col(vote) < 0, bad).otherwise(0.0)
     return (
         voted.withColumn("posterior", 1 / (1 + F.exp(-odds)))
         .withColumn("base_failed", failed)
