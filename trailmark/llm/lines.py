@@ -174,20 +174,21 @@ def dedup_lines(
     replaced. An empty table gives an empty table.
     """
     gone = repeated_lines(documents, similarity, shingle, doc_id, text)
-    by_text = gone.groupBy(F.col("line.doc_id").alias("_id"), F.col("line.version").alias("_version")).agg(F.collect_list("line.no").alias("_gone"))
-    by_text = stored(by_text, "removed-lines")
     version, lines, left = (free_name(documents, n) for n in ("version", "lines", "left"))
+    of_id, of_version, nos = (free_name(documents, n) for n in ("gone_id", "gone_version", "gone_nos"))
+    by_text = gone.groupBy(F.col("line.doc_id").alias(of_id), F.col("line.version").alias(of_version))
+    by_text = stored(by_text.agg(F.collect_set("line.no").alias(nos)), "removed-lines")
     met = documents.withColumn(version, F.xxhash64(text)).join(
-        by_text, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col(version) == F.col("_version")), "left"
+        by_text, F.col(doc_id).eqNullSafe(F.col(of_id)) & (F.col(version) == F.col(of_version)), "left"
     )
     split = met.withColumn(lines, F.split(F.col(text), "\n"))
     places = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(places, F.col("_gone")), lambda i: F.get(F.col(lines), i))
-    whole = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    kept = F.transform(F.array_except(places, F.col(nos)), lambda i: F.get(F.col(lines), i))
+    whole = F.when(F.col(nos).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return (
         split.withColumn(left, whole)
         .withColumn("n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
+        .withColumn("n_removed", F.coalesce(F.size(nos), F.lit(0)).cast("long"))
         .withColumn(text, F.col(left))
-        .drop(version, lines, left, "_id", "_version", "_gone")
+        .drop(version, lines, left, of_id, of_version, nos)
     )
