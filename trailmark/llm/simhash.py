@@ -91,7 +91,9 @@ def with_partner(prints: DataFrame, radius: int) -> DataFrame:
 def ball_links(prints: DataFrame, radius: int) -> DataFrame:
     """Links (a, b) between distinct fingerprints fp that join those within the radius of each other."""
     near_radius = radius // 2
-    emitted = _emitted(prints, F.col("fp"), 64, radius - near_radius)
+    # Few rows become many: spread them first.
+    spread = prints.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    emitted = _emitted(spread, F.col("fp"), 64, radius - near_radius)
     near = F.when(F.col("flips") <= near_radius, F.col("fp"))
     groups = (
         emitted.groupBy("key")
@@ -105,8 +107,8 @@ def ball_links(prints: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(
     documents: DataFrame, radius: int = 3, shingle: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(doc_id, fp, component_id) for every document: its fingerprint, and the least doc_id that links
-    of at most radius differing bits reach from it, itself included.
+    """(doc_id, fp, component_id, component) for every document: its fingerprint, the least doc_id that
+    links of at most radius differing bits reach from it, itself included, and the least fingerprint.
 
     A null text or one without words has fingerprint zero and links like any other. Null ids are
     never a component's id (if all are null, the id is null); rows with repeated ids each get a
@@ -119,31 +121,42 @@ def near_duplicates(
     joined = components(ball_links(stored(with_partner(classes.select("fp"), radius), "partners"), radius))
     rooted = joined.join(classes, joined["node"] == classes["fp"]).select("fp", "root", "least")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    found = rooted.select("fp", "root").join(least, "root")
     of_class = stored(
-        classes.join(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp", "left").select(
-            "fp", F.coalesce("component_id", "least").alias("component_id")
+        classes.join(found, "fp", "left").select(
+            "fp",
+            F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
+            F.coalesce("root", "fp").alias("component"),
         ),
         "class-components",
     )
-    return prints.join(of_class, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(of_class, "fp").select("doc_id", "fp", "component_id", "component")
 
 
 def keep_one(documents: DataFrame, radius: int = 3, shingle: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without near-duplicates: of each component the document with the least id stays, and
-    one of its rows if there are several (least text first). Documents with a null id stay only if
-    their component has no other id, one of them. Columns are those of documents.
+    """Documents without near-duplicates: one of each component stays, that with the least id. Of several
+    rows with that id, or of rows with null ids where no other is there, the one with the least
+    fingerprint stays, then with the least text. Columns are those of documents.
     """
-    found = near_duplicates(documents, radius, shingle, doc_id, text)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("rows"))
-    ids = stored(kept.select(F.col("doc_id").alias("_kept"), "rows"), "kept-ids")
-
-    def rows_of(some: DataFrame) -> DataFrame:
-        return documents.join(some.select("_kept"), F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
-
-    repeated = ids.where("rows > 1")
+    found = stored(near_duplicates(documents, radius, shingle, doc_id, text), "near-duplicates")
+    kept_id, kept_fp, fp, rank = (free_name(documents, n) for n in ("kept_id", "kept_fp", "fp", "rank"))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("component").agg(F.min("doc_id").alias(kept_id), F.min("fp").alias(kept_fp))
+    rows = found.groupBy("doc_id").agg(F.count("*").alias("rows"))
+    repeats = (F.col("rows") > 1) | F.col(kept_id).isNull()
+    kept = chosen.join(rows, F.col(kept_id).eqNullSafe(F.col("doc_id"))).select(kept_id, kept_fp, repeats.alias("repeated"))
+    kept = stored(kept, "kept-ids")
+
+    def of_id(some: DataFrame) -> DataFrame:
+        return documents.join(some.select(kept_id).distinct(), F.col(doc_id).eqNullSafe(F.col(kept_id)), "left_semi")
+
+    repeated = kept.where("repeated").select(kept_id, kept_fp)
     if repeated.isEmpty():
-        return rows_of(ids)
-    rank = free_name(documents, "rank")
-    first = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_last(), *[F.col(c) for c in documents.columns if c not in (doc_id, text)])
-    one = rows_of(repeated).withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank)
-    return rows_of(ids.where("rows = 1")).unionByName(one)
+        return of_id(kept)
+    # An id alone does not tell these rows apart: their fingerprints do.
+    printed = of_id(repeated).withColumn(fp, fingerprints(F.col(text), shingle))
+    same = F.col(doc_id).eqNullSafe(F.col(kept_id)) & (F.col(fp) == F.col(kept_fp))
+    rest = [F.col(c) for c in documents.columns if c not in (doc_id, text)]
+    order = Window.partitionBy(doc_id, fp).orderBy(F.col(text).asc_nulls_last(), *rest)
+    ranked = printed.join(repeated, same, "left_semi").withColumn(rank, F.row_number().over(order))
+    return of_id(kept.where("NOT repeated")).unionByName(ranked.where(F.col(rank) == 1).drop(rank, fp))
