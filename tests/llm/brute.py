@@ -55,7 +55,7 @@ def repeated_lines(documents, similarity=0.8, shingle=5):
     seen, gone = [], set()
     for i, text in documents:
         for n, line in enumerate((text or "").split("\n")):
-            words = split(line.lower())
+            words = split(lowered(line))
             if not words:
                 continue
             tokens = {tuple(words[k : k + shingle]) for k in range(max(1, len(words) - shingle + 1))}

@@ -67,8 +67,3 @@ def test_odd_rows(spark):
     ]
     assert got.where("doc_id = 6").select(F.length("text")).first()[0] == 50_000 * 5 - 1
     assert dedup_lines(frame.limit(0)).count() == 0
-
-
-def test_no_python_in_the_plan(spark):
-    text = dedup_lines(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().toString()
-    assert not any(n in text for n in ("Python", "Arrow", "Pandas"))

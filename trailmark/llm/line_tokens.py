@@ -1,0 +1,134 @@
+"""Tokens of lines, for whole batches of texts at once, on their UTF-8 bytes.
+
+Words are runs of other bytes than ASCII white space, lower-cased A-Z. A word's hash is a polynomial
+in its bytes: the difference of two running sums, divided by a power of the base, so no word is ever
+cut out. A token is a run of `shingle` words of a line, or all words of a shorter line; its hash
+combines theirs.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from trailmark.llm.common import LOWER
+
+SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+LOWERED = np.frombuffer(LOWER, np.uint8)
+NEWLINE = 10
+#: Odd, so that it has an inverse among 64-bit numbers.
+BASE, MIX, FOLD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD
+#: UTF-8 bytes looked at together, about.
+BATCH_BYTES = 1 << 18
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(MIX)
+    return x ^ (x >> np.uint64(29))
+
+
+class Powers:
+    """Powers of the base and of its inverse, as many as were ever needed."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, 2 * len(self.up))
+            for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
+                factors = np.full(size, base, np.uint64)
+                factors[0] = 1
+                setattr(self, name, np.multiply.accumulate(factors))
+        return self.up[:n], self.down[:n]
+
+
+def slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive texts of about BATCH_BYTES together, or one."""
+    sizes = np.array(pc.fill_null(pc.binary_length(texts), 0), np.int64)
+    block = (np.cumsum(sizes) - sizes) // BATCH_BYTES
+    starts = np.flatnonzero(np.diff(block, prepend=-1))
+    for a, b in zip(starts, [*starts[1:], len(sizes)], strict=True):
+        yield texts.slice(a, b - a)
+
+
+def tokens_of(texts: pa.Array, shingle: int, powers: Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, line in it, token hash) of every token, in the order of documents and lines."""
+    bodies = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    body = pa.concat_arrays([bodies])
+    edges = np.frombuffer(body.buffers()[1], np.int64)[body.offset : body.offset + len(body) + 1]
+    begin, end = int(edges[0]), int(edges[-1])
+    none = np.zeros(0, np.int64)
+    if begin == end:
+        return none, none, none.astype(np.uint64)
+    data = LOWERED[np.frombuffer(body.buffers()[2], np.uint8)[begin:end]]
+    edges = edges - begin
+    space = SPACES[data]
+    before, after = np.empty(len(data), bool), np.empty(len(data), bool)
+    before[0] = after[-1] = True
+    before[1:], after[:-1] = space[:-1], space[1:]
+    inner = edges[(edges > 0) & (edges < len(data))]
+    before[inner] = after[inner - 1] = True
+    start = np.flatnonzero(~space & before)
+    stop = np.flatnonzero(~space & after) + 1
+    up, down = powers.upto(len(data))
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)])
+    word = mixed((running[stop] - running[start]) * down[start])
+
+    document = np.searchsorted(edges, start, side="right") - 1
+    newlines = np.concatenate([[0], np.cumsum(data == NEWLINE)])
+    line = newlines[start]
+    # A line's words stand together: where document or line changes, another begins.
+    first = np.flatnonzero(np.concatenate([[True], (np.diff(line) > 0) | (np.diff(document) > 0)])[: len(line)])
+    count = np.diff(np.append(first, len(line)))
+    fold = np.uint64(FOLD)
+    value, real = np.zeros(len(word), np.uint64), np.zeros(len(word), bool)
+    if len(word) >= shingle:
+        run = np.full(len(word) - shingle + 1, shingle, np.uint64)
+        for k in range(shingle):
+            run = run * fold + word[k : len(word) - shingle + 1 + k]
+        within = np.repeat(first + count - shingle, count)  # where a line's last run begins
+        real = np.arange(len(word)) <= within
+        value[: len(run)] = run
+    for size in range(1, shingle):
+        at = first[count == size]
+        short = np.full(len(at), size, np.uint64)
+        for k in range(size):
+            short = short * fold + word[at + k]
+        value[at], real[at] = short, True
+    places = np.flatnonzero(real)
+    return document[places], line[places] - newlines[edges[document[places]]], mixed(value[places])
+
+
+def ranked_sets(
+    document: np.ndarray, line: np.ndarray, hashes: np.ndarray, classes: np.ndarray, counted_bits: int, hash_bits: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Token sets of the lines: (document, line, number of tokens) of each, and their tokens one after
+    the other, rising; a token is the class of its count, then its hash's last bits.
+    """
+    last = hashes & np.uint64((1 << counted_bits) - 1)
+    tokens = (classes[last].astype(np.uint64) << np.uint64(hash_bits)) | (hashes & np.uint64((1 << hash_bits) - 1))
+    key = np.cumsum(np.concatenate([[0], (np.diff(document) > 0) | (np.diff(line) > 0)])[: len(line)])
+    order = np.argsort(tokens)
+    # Small numbers sort in linear time.
+    small = key.astype(np.uint16) if not len(key) or key[-1] < 1 << 16 else key
+    order = order[np.argsort(small[order], kind="stable")]
+    key, tokens = key[order], tokens[order]
+    fresh = np.concatenate([[True], (np.diff(key) > 0) | (tokens[1:] != tokens[:-1])])[: len(key)]
+    document, line, key, tokens = document[order][fresh], line[order][fresh], key[fresh], tokens[fresh]
+    begins = np.flatnonzero(np.concatenate([[True], np.diff(key) > 0])[: len(key)])
+    return document[begins], line[begins], np.diff(np.append(begins, len(key))), tokens.astype(np.int64)
+
+
+def set_keys(tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each token set, which do not depend on order."""
+    if not len(sizes):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begins = np.cumsum(sizes) - sizes
+    bits = tokens.astype(np.uint64)
+    one = np.add.reduceat(mixed(bits * np.uint64(FOLD)), begins)
+    other = np.add.reduceat(mixed((bits ^ np.uint64(MIX)) * np.uint64(BASE)), begins)
+    return one.astype(np.int64), other.astype(np.int64)

@@ -1,7 +1,7 @@
 """Near-duplicate lines by an exact set-similarity join; the first of them stays.
 
-A line's tokens are its runs of `shingle` words, lower-cased, without repeats (all words if there
-are fewer). Two lines match if the Jaccard similarity of their token sets is at least `similarity`.
+A line's tokens are its runs of `shingle` words, lower-cased A-Z, without repeats (all words if there
+are fewer); line_tokens.py hashes them. Two lines match if the Jaccard similarity of their token sets is at least `similarity`.
 The order of lines is that of (doc_id, hash of the text, number of the line); a line that matches
 any earlier line is removed.
 
@@ -16,67 +16,109 @@ are joined with all earlier lines of their tokens.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from trailmark.llm.common import SPACE, free_name, stored
+from trailmark.llm.common import free_name, shared, stored, text_function
+from trailmark.llm.line_tokens import Powers, ranked_sets, set_keys, slices, tokens_of
 
 #: Tokens are counted by their hash's last bits. Their order is by class of that count, then hash.
 COUNTED_BITS, CLASS_BITS = 16, 5
 HASH_BITS = 63 - CLASS_BITS
 
 
-def numbered_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(line, body) of every line that has a word. line: struct of doc_id, text's hash and number."""
-    # The outer forms of explode: the others filter by the array's size, and making the array again
-    # for that costs more than all else.
-    lines = documents.select(
-        F.col(doc_id).alias("doc_id"),
-        F.xxhash64(text).alias("version"),
-        F.posexplode_outer(F.split(F.col(text), "\n")).alias("no", "body"),
-    )
-    lines = lines.where(F.col("body").rlike(r"[^\x20\x09-\x0D]"))
-    return lines.select(F.struct("doc_id", "version", "no").alias("line"), "body")
-
-
-def with_hashes(lines: DataFrame, shingle: int) -> DataFrame:
-    """Lines with hashes, an array of their tokens' hashes, with repeats."""
-    # Plain replacing and splitting cost less than patterns.
-    body = F.lower("body")
-    for space in "\t\x0b\x0c\r":
-        body = F.replace(body, F.lit(space), F.lit(" "))
-    split = F.array_remove(F.split(body, " "), "")
-    worded = lines.withColumn("words", F.transform(split, lambda w: F.xxhash64(w))).drop("body")
-    words = F.col("words")
-    runs = F.transform(
-        F.slice(words, F.lit(1), F.greatest(F.size(words) - (shingle - 1), F.lit(0))),
-        lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, shingle)]),
-    )
-    return worded.withColumn("hashes", F.when(F.size(words) >= shingle, runs).otherwise(F.array(F.xxhash64(words)))).drop("words")
+SETS = ArrayType(
+    StructType([
+        StructField("no", IntegerType()),
+        StructField("k1", LongType()),
+        StructField("k2", LongType()),
+        StructField("n", IntegerType()),
+        StructField("prefix", ArrayType(LongType())),
+    ])
+)
 
 
-def rarity(lines: DataFrame) -> Column:
-    """The class of each value of a hash's last bits, as a constant: from the counts over all lines.
+def rarity(documents: DataFrame, text: str, shingle: int) -> np.ndarray:
+    """The class of each value of a token hash's last bits, from the counts over all lines.
 
     The counts are as many as the last bits have values, whatever the input.
     """
     places = 1 << COUNTED_BITS
-    last = F.col("hash").bitwiseAND(F.lit(places - 1)).cast("int")
-    counts = dict(lines.select(F.explode_outer("hashes").alias("hash")).groupBy(last.alias("last")).agg(F.count("*").alias("n")).collect())
-    top = math.log2(max(counts.values(), default=1) + 1)
-    classes = (int((2**CLASS_BITS - 1) * math.log2(counts.get(i, 0) + 1) / top) << HASH_BITS for i in range(places))
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, counts = Powers(), np.zeros(places, np.int64)
+        for batch in batches:
+            for texts in slices(batch.column(0)):
+                _, _, hashes = tokens_of(texts, shingle, powers)
+                counts += np.bincount((hashes & np.uint64(places - 1)).astype(np.int64), minlength=places)
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met])], names=["last", "n"])
+
+    each = documents.select(F.col(text).alias("text")).mapInArrow(run, "last int, n bigint")
+    found = dict(each.groupBy("last").agg(F.sum("n").alias("n")).collect())
+    counts = np.array([found.get(i, 0) for i in range(places)], float)
+    return ((2**CLASS_BITS - 1) * np.log2(counts + 1) / np.log2(counts.max() + 2)).astype(np.uint8)
+
+
+def line_sets(documents: DataFrame, doc_id: str, text: str, shingle: int, classes: np.ndarray, threshold: Threshold) -> DataFrame:
+    """(line, k1, k2, n, prefix) of every line that has a word: the line (a struct of doc_id, the text's
+    hash and the line's number), hashes of its token set, the set's size, and its prefix.
+    """
+    get = shared(documents.sparkSession, classes)
+
+    def make():
+        classes, powers = get(), Powers()
+
+        def sets(texts: pa.Array) -> pa.Array:
+            document, line, size, tokens = ranked_sets(*tokens_of(texts, shingle, powers), classes, COUNTED_BITS, HASH_BITS)
+            k1, k2 = set_keys(tokens, size)
+            cut = threshold.prefix_of(size)
+            begin = np.cumsum(size) - size
+            taken = np.repeat(begin - (np.cumsum(cut) - cut), cut) + np.arange(int(cut.sum()))
+            prefixes = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *cut]), pa.int32()), pa.array(tokens[taken]))
+            rows = pa.StructArray.from_arrays(
+                [pa.array(line, pa.int32()), pa.array(k1), pa.array(k2), pa.array(size, pa.int32()), prefixes],
+                names=["no", "k1", "k2", "n", "prefix"],
+            )
+            per_text = np.bincount(document, minlength=len(texts))
+            return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *per_text]), pa.int32()), rows)
+
+        return lambda texts: pa.concat_arrays([sets(t) for t in slices(texts)])
+
+    found = documents.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), text_function(SETS, make)(F.col(text)).alias("sets")
+    )
+    each = found.select("doc_id", "version", F.explode_outer("sets").alias("s")).where(F.col("s").isNotNull())
+    return each.select(F.struct("doc_id", "version", F.col("s.no").alias("no")).alias("line"), "s.k1", "s.k2", "s.n", "s.prefix")
 
 
-def with_tokens(lines: DataFrame, shingle: int, classes: Column) -> DataFrame:
-    """Lines with tokens: their different tokens as numbers that rise with their frequency."""
-    last, rest = F.lit((1 << COUNTED_BITS) - 1), F.lit((1 << HASH_BITS) - 1)
-    ranked = F.transform("hashes", lambda h: F.get(classes, h.bitwiseAND(last).cast("int")).bitwiseOR(h.bitwiseAND(rest)))
-    return with_hashes(lines, shingle).withColumn("tokens", F.sort_array(F.array_distinct(ranked))).drop("hashes")
+def token_sets(documents: DataFrame, wanted: DataFrame, doc_id: str, text: str, shingle: int, classes: np.ndarray) -> DataFrame:
+    """(line, tokens) of the wanted lines."""
+    get = shared(documents.sparkSession, classes)
+
+    def make():
+        classes, powers = get(), Powers()
+
+        def sets(bodies: pa.Array) -> pa.Array:
+            body, _, size, tokens = ranked_sets(*tokens_of(bodies, shingle, powers), classes, COUNTED_BITS, HASH_BITS)
+            sizes = np.zeros(len(bodies), np.int64)
+            sizes[body] = size
+            return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(tokens))
+
+        return lambda bodies: pa.concat_arrays([sets(b) for b in slices(bodies)])
+
+    lines = documents.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.posexplode_outer(F.split(F.col(text), "\n")).alias("no", "body")
+    )
+    bodies = lines.select(F.struct("doc_id", "version", "no").alias("line"), "body").join(wanted, "line", "left_semi")
+    return bodies.select("line", text_function(ArrayType(LongType()), make)(F.col("body")).alias("tokens"))
 
 
 class Threshold:
@@ -85,9 +127,9 @@ class Threshold:
     def __init__(self, similarity: float):
         self.a, self.b = Fraction(str(similarity)).as_integer_ratio()
 
-    def prefix(self, n: Column) -> Column:
+    def prefix_of(self, n: np.ndarray) -> np.ndarray:
         """Tokens in a prefix: n less the least overlap with a match, plus one."""
-        return (n - F.ceil(n * self.a / F.lit(self.b)) + 1).cast("int")
+        return n - -(-n * self.a // self.b) + 1
 
     def possible(self, x: Column, y: Column) -> Column:
         """Whether lines of n tokens that share the token at pos can match."""
@@ -114,46 +156,48 @@ def repeated_lines(
 ) -> DataFrame:
     """The struct line of every line to remove."""
     threshold = Threshold(similarity)
-    lines = numbered_lines(documents, doc_id, text)
-    classes = rarity(with_hashes(lines, shingle))
-    prefixed = with_tokens(lines, shingle, classes).select(
-        "line",
-        F.xxhash64("tokens").alias("k1"),
-        F.xxhash64(F.lit(7), "tokens").alias("k2"),
-        F.size("tokens").alias("n"),
-        F.slice("tokens", F.lit(1), threshold.prefix(F.size("tokens"))).alias("prefix"),
-    )
-    all_lines = stored(prefixed, "lines")
+    classes = rarity(documents, text, shingle)
+    all_lines = stored(line_sets(documents, doc_id, text, shingle, classes, threshold), "lines")
 
-    # One line of each token set, the first, meets others by the tokens of its prefix.
+    # One line of each token set, the first, meets others by the tokens of its prefix. The rows are many,
+    # so they are kept small: the line's number and the set's size in one number.
     sets = all_lines.groupBy("k1", "k2").agg(F.min(F.struct("line", "n", "prefix")).alias("s"))
-    tokens = sets.select(F.col("s.line").alias("line"), F.col("s.n").alias("n"), F.posexplode_outer("s.prefix").alias("pos", "token"))
-    of_token = Window.partitionBy("token").orderBy("line")
-    member = F.struct("line", "n", "pos")
+    no_n = F.shiftleft(F.col("s.line.no").cast("long"), 32).bitwiseOR(F.col("s.n").cast("long"))
+    tokens = sets.select(
+        F.col("s.line.doc_id").alias("doc_id"), F.col("s.line.version").alias("version"), no_n.alias("no_n"),
+        F.posexplode_outer("s.prefix").alias("pos", "token"),
+    )
+    of_token = Window.partitionBy("token").orderBy("doc_id", "version", "no_n")
+    packed = F.struct("doc_id", "version", "no_n", "pos")
     met = tokens.select(
-        "*",
+        "token",
+        packed.alias("own"),
         F.count("*").over(Window.partitionBy("token")).alias("members"),
-        F.first(member).over(of_token).alias("first"),
-        F.lag(member).over(of_token).alias("previous"),
-    )
-    met = stored(met.where("members > 1"), "line-prefixes")
+        F.first(packed).over(of_token).alias("first"),
+        F.lag(packed).over(of_token).alias("previous"),
+    ).where("members > 1")
+
+    def member_of(name: str) -> Column:
+        x = F.col(name)
+        no, n = F.shiftright(x["no_n"], 32).cast("int"), x["no_n"].bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+        line = F.struct(x["doc_id"].alias("doc_id"), x["version"].alias("version"), no.alias("no"))
+        return F.when(x.isNotNull(), F.struct(line.alias("line"), n.alias("n"), x["pos"].alias("pos"))).alias(name)
 
-    # Token sets of the lines that share a prefix token.
-    wanted = met.select("line").distinct()
-    bodies = lines.join(wanted, "line", "left_semi")
-    token_sets = stored(with_tokens(bodies, shingle, classes), "line-tokens")
+    met = stored(met.select("token", "members", *map(member_of, ("own", "first", "previous"))), "line-prefixes")
+    wanted = met.select("own.line").distinct()
+    found = stored(token_sets(documents, wanted, doc_id, text, shingle, classes), "line-tokens")
 
     later = met.where(F.col("previous").isNotNull())
-    near = later.select(member.alias("x"), F.explode(F.array_distinct(F.array("first", "previous"))).alias("y"))
+    near = later.select(F.col("own").alias("x"), F.explode(F.array_distinct(F.array("first", "previous"))).alias("y"))
     near = near.where(threshold.possible(F.col("x"), F.col("y")))
-    matched = stored(matches(near.select(F.col("x.line").alias("x"), F.col("y.line").alias("y")), token_sets, threshold), "matched-lines")
+    matched = stored(matches(near.select(F.col("x.line").alias("x"), F.col("y.line").alias("y")), found, threshold), "matched-lines")
 
     # A line that matches neither is compared with every earlier line of its tokens.
-    rest = later.where("members > 2").join(matched, F.col("line") == F.col("x"), "left_anti")
-    xs = rest.select("token", member.alias("xm"))
-    ys = met.select("token", member.alias("ym"))
+    rest = later.where("members > 2").join(matched, F.col("own.line") == F.col("x"), "left_anti")
+    xs = rest.select("token", F.col("own").alias("xm"))
+    ys = met.select("token", F.col("own").alias("ym"))
     pairs = xs.join(ys, (xs["token"] == ys["token"]) & (F.col("ym.line") < F.col("xm.line")) & threshold.possible(F.col("xm"), F.col("ym")))
-    others = matches(pairs.select(F.col("xm.line").alias("x"), F.col("ym.line").alias("y")), token_sets, threshold)
+    others = matches(pairs.select(F.col("xm.line").alias("x"), F.col("ym.line").alias("y")), found, threshold)
     matched = stored(matched.union(others), "all-matched-lines")
 
     # Copies go with their first, and after it.

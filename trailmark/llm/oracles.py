@@ -29,7 +29,7 @@ _SPACE = r"[\x20\x09-\x0D]+"
 LINE_DEDUP = rf"""
 WITH lines AS (
     SELECT doc_id, no, body,
-        list_filter(regexp_split_to_array(lower(body), '{_SPACE}'), lambda w: w <> '') AS words
+        list_filter(regexp_split_to_array(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}'), lambda w: w <> '') AS words
     FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM documents)
 ),
 shingled AS (
