@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +146,8 @@ class WordEncoder:
     SIGNS = ".,!?&*%$#"
     #: Below, letters are Latin, composed, and letters in every version of Unicode.
     LATIN = "\u0250"
+    #: Words remembered by a worker, some 250 bytes each.
+    REMEMBERED = 1_000_000
     ENDED = re.compile(rb"[.!?][\"')\]]*$")
 
     def __init__(self, path: str):
@@ -216,16 +219,22 @@ class WordEncoder:
         """For each text its ids, and the positions in them after which a sentence ends."""
         if self.model is None:
             self.load()
-        split = [t.split() for t in texts]
-        if len(self.place) > REMEMBERED:
+        if len(self.place) > self.REMEMBERED:
             self.forget()
-        new = {w for words in split for w in words if w not in self.place}
+        split = [t.split() for t in texts]
+        words = list(chain.from_iterable(split))
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0).tolist()
         if new:
-            self.learn(list(new))
-        for words in split:
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            size = self.size[at]
-            after = np.cumsum(size, dtype=np.int64)
-            total = int(after[-1]) if len(at) else 0
-            # Each word's ids lie together: their place moves on by one within a word.
-            yield self.ids[np.repeat(self.first[at] - (after - size), size) + np.arange(total)], after[self.ends[at]]
+            self.learn(list({words[i] for i in new}))
+            at[new] = [self.place[words[i]] for i in new]
+        size = self.size[at]
+        after = np.cumsum(size, dtype=np.int64)
+        # Each word's ids lie together: their place moves on by one within a word.
+        ids = self.ids[np.repeat(self.first[at] - (after - size), size) + np.arange(int(size.sum()))]
+        ends = self.ends[at]
+        edges = np.cumsum([0, *map(len, split)])
+        before = np.concatenate([[0], after])[edges]
+        for k in range(len(split)):
+            word, stop = edges[k], edges[k + 1]
+            yield ids[before[k] : before[k + 1]], after[word:stop][ends[word:stop]] - before[k]
