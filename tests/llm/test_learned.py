@@ -103,7 +103,7 @@ def test_quality_gradient():
 
     steps = np.eye(7) * 1e-5
     numeric = [(loss(params + s) - loss(params - s)) / 2e-5 for s in steps]
-    assert quality.QualityModel.gradient(None, params, x, y, 3) == pytest.approx(numeric, abs=1e-4)
+    assert quality.QualityModel.gradient(quality.QualityModel, params, x, y, 3) == pytest.approx(numeric, abs=1e-4)
 
 
 def test_quality_of_odd_rows(spark, documents, labels):

@@ -8,6 +8,7 @@ runs over the text's words, as numbers, once.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -16,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from trailmark.llm.common import free_name, shared, text_function, utf8
+from trailmark.llm.common import free_name, shared, stored, text_function, utf8
 
 #: Normalised byte of each byte: words are of digits, letters and all bytes from 0x80.
 NORMAL = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
-#: UTF-8 bytes of benchmark texts in one automaton. A larger benchmark makes more of them, each of
-#: which scans the documents.
-BLOCK_BYTES = 16 << 20
+#: UTF-8 bytes of benchmark texts in one automaton, which bounds what is broadcast at once. A larger
+#: benchmark makes more of them, so many in one pass over the documents.
+BLOCK_BYTES, BLOCKS_PER_PASS = 2 << 20, 4
 
 
 class Items:
@@ -140,11 +141,16 @@ def find_contamination(
 
         return text_function(FOUND, make)
 
-    scans = [scanner(shared(documents.sparkSession, b)) for b in blocks(benchmark, item_id, item_text, window)]
-    scans = scans or [scanner(None)]
-    held = free_name(documents, "found")
-    scanned = documents.withColumn(held, F.struct(*[s(F.col(text)).alias(f"f{i}") for i, s in enumerate(scans)]))
-    found = [F.col(held)[f"f{i}"] for i in range(len(scans))]
+    scanned, held = documents, []
+    for no, block in enumerate(chain(blocks(benchmark, item_id, item_text, window), [None])):
+        if block is None and no:
+            break
+        if no and no % BLOCKS_PER_PASS == 0:
+            scanned = stored(scanned, "contamination-pass")
+        scan_texts = scanner(shared(documents.sparkSession, block) if block else None)
+        held.append(free_name(scanned, f"found{no}"))
+        scanned = scanned.withColumn(held[-1], scan_texts(F.col(text)))
+    found = [F.col(name) for name in held]
 
     def merged(name: str):
         if len(found) == 1:
@@ -161,7 +167,7 @@ def find_contamination(
             merged("spans").alias("spans"),
             ((n_hit > 0) & (n_hit * share >= n_words)).alias("contaminated"),
         ),
-    ).drop(held)
+    ).drop(*held)
 
 
 FOUND_ARROW = pa.struct([
