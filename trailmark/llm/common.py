@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -32,22 +33,32 @@ def free_name(frame: DataFrame, name: str) -> str:
     return name
 
 
-#: Shuffle files of a written step are of no more use.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a step is written: its shuffle files are of no use afterwards, and batches that go to Python
+#: are small, since they stand beside the sorts of joins in an executor's memory.
+STEP_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
+
+
+@contextmanager
+def step_settings(spark: SparkSession) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in STEP_SETTINGS}
+    for key, value in STEP_SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """Written to the shared folder and read again: cuts lineage, survives lost executors. The step's
-    shuffle files are removed when it is written.
-    """
+    """Written to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = frame.sparkSession
     path = scratch_folder(spark, purpose)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with step_settings(spark):
         frame.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 

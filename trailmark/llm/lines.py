@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from trailmark.llm.common import free_name, shared, stored, text_function
+from trailmark.llm.common import free_name, shared, step_settings, stored, text_function
 from trailmark.llm.line_tokens import Powers, ranked_sets, set_keys, slices, tokens_of
 
 #: Tokens are counted by their hash's last bits. Their order is by class of that count, then hash.
@@ -62,7 +62,8 @@ def rarity(documents: DataFrame, text: str, shingle: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met])], names=["last", "n"])
 
     each = documents.select(F.col(text).alias("text")).mapInArrow(run, "last int, n bigint")
-    found = dict(each.groupBy("last").agg(F.sum("n").alias("n")).collect())
+    with step_settings(documents.sparkSession):
+        found = dict(each.groupBy("last").agg(F.sum("n").alias("n")).collect())
     counts = np.array([found.get(i, 0) for i in range(places)], float)
     return ((2**CLASS_BITS - 1) * np.log2(counts + 1) / np.log2(counts.max() + 2)).astype(np.uint8)
 
@@ -172,10 +173,11 @@ def repeated_lines(
     met = tokens.select(
         "token",
         packed.alias("own"),
-        F.count("*").over(Window.partitionBy("token")).alias("members"),
+        F.row_number().over(of_token).alias("rank"),
         F.first(packed).over(of_token).alias("first"),
         F.lag(packed).over(of_token).alias("previous"),
-    ).where("members > 1")
+        F.lead("token").over(of_token).alias("next"),
+    ).where("rank > 1 OR next IS NOT NULL")
 
     def member_of(name: str) -> Column:
         x = F.col(name)
@@ -183,17 +185,17 @@ def repeated_lines(
         line = F.struct(x["doc_id"].alias("doc_id"), x["version"].alias("version"), no.alias("no"))
         return F.when(x.isNotNull(), F.struct(line.alias("line"), n.alias("n"), x["pos"].alias("pos"))).alias(name)
 
-    met = stored(met.select("token", "members", *map(member_of, ("own", "first", "previous"))), "line-prefixes")
+    met = stored(met.select("token", "rank", *map(member_of, ("own", "first", "previous"))), "line-prefixes")
     wanted = met.select("own.line").distinct()
     found = stored(token_sets(documents, wanted, doc_id, text, shingle, classes), "line-tokens")
 
-    later = met.where(F.col("previous").isNotNull())
+    later = met.where("rank > 1")
     near = later.select(F.col("own").alias("x"), F.explode(F.array_distinct(F.array("first", "previous"))).alias("y"))
     near = near.where(threshold.possible(F.col("x"), F.col("y")))
     matched = stored(matches(near.select(F.col("x.line").alias("x"), F.col("y.line").alias("y")), found, threshold), "matched-lines")
 
-    # A line that matches neither is compared with every earlier line of its tokens.
-    rest = later.where("members > 2").join(matched, F.col("own.line") == F.col("x"), "left_anti")
+    # A line that matches neither is compared with every earlier line of its tokens, if there are more.
+    rest = later.where("rank > 3").join(matched, F.col("own.line") == F.col("x"), "left_anti")
     xs = rest.select("token", F.col("own").alias("xm"))
     ys = met.select("token", F.col("own").alias("ym"))
     pairs = xs.join(ys, (xs["token"] == ys["token"]) & (F.col("ym.line") < F.col("xm.line")) & threshold.possible(F.col("xm"), F.col("ym")))
