@@ -23,7 +23,7 @@ ROWS_PER_GRADE, LONGEST = 1500, 20_000
 MAX_GRADES = 20
 BUCKETS = 1 << 14
 #: Words remembered by a worker.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 STEPS, RATE, DECAY = 300, 0.1, 1e-4
 #: Selected if the probability of a good grade is at least this.
 SELECT = 0.5

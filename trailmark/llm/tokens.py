@@ -146,8 +146,8 @@ class WordEncoder:
     SIGNS = ".,!?&*%$#"
     #: Below, letters are Latin, composed, and letters in every version of Unicode.
     LATIN = "\u0250"
-    #: Words remembered by a worker, some 250 bytes each.
-    REMEMBERED = 1_000_000
+    #: Words remembered by a worker, some 160 bytes each.
+    REMEMBERED = 800_000
     ENDED = re.compile(rb"[.!?][\"')\]]*$")
 
     def __init__(self, path: str):
@@ -167,7 +167,6 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.known: dict[str, list[int]] = {}
         self.first = np.zeros(0, np.int64)  # of a word, where its ids start
         self.size = np.zeros(0, np.int32)
         self.ends = np.zeros(0, bool)
@@ -179,27 +178,25 @@ class WordEncoder:
 
     def part_ids(self, part: str) -> list[int]:
         """Ids of a part. Latin letters alone are one run: lower-cased, they go right to the merges."""
-        found = self.known.get(part)
-        if found is None:
-            lower = part.lower() if part.isalpha() and max(part) < self.LATIN else ""
-            if lower and lower.isalpha() and max(lower) < self.LATIN:
-                letters = lower if lower.isascii() else "".join(map(BYTE_LETTERS.__getitem__, lower.encode()))
-                found = [t.id for t in self.merge(letters)]
-            else:
-                found = self.encode(part)
-            self.known[part] = found
-        return found
+        lower = part.lower() if part.isalpha() and max(part) < self.LATIN else ""
+        if lower and lower.isalpha() and max(lower) < self.LATIN:
+            letters = lower if lower.isascii() else "".join(map(BYTE_LETTERS.__getitem__, lower.encode()))
+            return [t.id for t in self.merge(letters)]
+        return self.encode(part)
 
     def learn(self, words: list[bytes]) -> None:
         """Remember words not met before."""
-        ids, sizes, ends = [], [], []
+        ids, sizes, ends, tails = [], [], [], {}
         for word in words:
             whole = word.decode()
             body = whole.rstrip(self.SIGNS)
             before = len(ids)
             if body and body != whole and body[-1].isalpha() and body[-1] < self.LATIN:
                 ids += self.part_ids(body)
-                ids += self.part_ids(whole[len(body) :])
+                tail = whole[len(body) :]
+                if tail not in tails:
+                    tails[tail] = self.part_ids(tail)
+                ids += tails[tail]
             else:
                 ids += self.part_ids(whole)
             sizes.append(len(ids) - before)
