@@ -53,6 +53,36 @@ def test_kernel_is_presence_of_shared_runs():
     assert spectrum.presence([long]).sum() == spectrum.presence([long[:400]]).sum()
 
 
+def test_letters_of_all_scripts_are_told_apart():
+    """Few texts of nine languages beside many Latin ones; no letter is as frequent as the Latin ones."""
+    sentences = {
+        "zh": ["我们今天去学校学习", "他的书在桌子上面", "这个问题很重要", "中国有很多城市", "你们昨天去了那个城市", "这些书很重要"],
+        "ja": ["私たちは今日学校へ行きます", "彼の本は机の上にあります", "この問題は重要です", "日本には多くの町があります", "昨日その町へ行きました", "この本は重要です"],
+        "ko": ["우리는 오늘 학교에 갑니다", "그의 책은 책상 위에 있습니다", "이 문제는 중요합니다", "한국에는 도시가 많습니다", "어제 그 도시에 갔습니다", "이 책은 중요합니다"],
+        "hi": ["हम आज स्कूल जाते हैं", "उसकी किताब मेज पर है", "यह सवाल बहुत जरूरी है", "भारत में कई शहर हैं", "हम कल उस शहर गए", "यह किताब जरूरी है"],
+        "th": ["วันนี้เราไปโรงเรียน", "หนังสือของเขาอยู่บนโต๊ะ", "ปัญหานี้สำคัญมาก", "ประเทศไทยมีหลายเมือง", "เมื่อวานเราไปเมืองนั้น", "หนังสือนี้สำคัญ"],
+        "el": ["σήμερα πάμε στο σχολείο", "το βιβλίο του είναι στο τραπέζι", "το θέμα είναι σημαντικό", "η χώρα έχει πολλές πόλεις", "χθες πήγαμε στην πόλη", "το βιβλίο είναι σημαντικό"],
+        "ru": ["сегодня мы идём в школу", "его книга лежит на столе", "этот вопрос очень важен", "в стране много городов", "вчера мы были в городе", "эта книга очень важна"],
+        "he": ["היום אנחנו הולכים לבית הספר", "הספר שלו על השולחן", "השאלה הזאת חשובה מאוד", "בארץ יש הרבה ערים", "אתמול הלכנו לעיר", "הספר הזה חשוב"],
+    }
+    latin = [f"{w} abcdefghijklmnopqrstuvwxyz äöüßéèñçøåł the and of" for w in "one two three four five six seven eight".split()]
+    texts = latin * 4 + [s for some in sentences.values() for s in some[:4]]
+    model = language.LanguageModel(texts, ["en"] * 4 * len(latin) + [k for k, some in sentences.items() for _ in some[:4]])
+    for name, some in sentences.items():
+        best = model.scores(some[4:]).argmax(1)
+        assert [model.languages[k] for k in best] == [name] * 2
+    present = language.Spectrum(["我们今", "日本の", "한국", "𠀀𠀁"]).presence(["我们今", "日本の", "한국", "𠀀𠀁", "我"])
+    assert present.sum(1).tolist() == [6, 6, 3, 3, 1] and present.sum(0).max() == 2
+
+
+def test_common_runs_equal_the_product_of_presences(monkeypatch):
+    monkeypatch.setattr(language, "PLACES", 5)
+    landmarks, texts = ["abc ab", "bcd 日本", "", "zz zz"], ["ABC!", "日本 zz bcd", "qq", ""]
+    spectrum = language.Spectrum(landmarks)
+    product = spectrum.presence(texts).astype(int) @ spectrum.presence(landmarks).T
+    assert [spectrum.common(spectrum.places(t)).tolist() for t in texts] == product.tolist()
+
+
 def test_language_of_odd_rows(spark, documents):
     model = language.learn_languages(documents)
     rows = [(1, None, 5), (2, "", 5), (3, "123 !", 5), (None, "the and of that", 5), (None, "the and of that", 5), (4, "日本", 5)]

@@ -1,15 +1,15 @@
 """Language identification by a blended-spectrum string kernel.
 
 Two texts are as alike as the number of runs of one to three letters that occur in both, over the
-geometric mean of their own numbers (presence, not counts). The kernel's values against a few
-landmark texts are mapped by the Nystroem method, and a kernel ridge regression for each language
-against the rest scores them. Scoring a batch is two matrix products: presence by landmarks, then
-landmarks by languages.
+geometric mean of their own numbers (presence, not counts; of runs that a landmark has). Letters of
+all scripts are told apart. The kernel's values against a few landmark texts are mapped by the
+Nystroem method, and a kernel ridge regression for each language against the rest scores them.
+Scoring a text counts the landmarks of its runs, and a batch's counts are multiplied by the weights.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,53 +27,76 @@ MAX_LANGUAGES = 200
 RIDGE = 1e-3
 #: Texts scored by one product, and code points looked at at once.
 BATCH, RUN = 128, 1 << 20
+#: Runs whose landmarks are looked up at once.
+PLACES = 1 << 10
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
-#: Symbols: 0 no letter, 1 any other letter, from 2 the most frequent letters.
-SYMBOLS = 64
+#: The symbol of all code points that are no letter; letters and marks are their own.
+NO_LETTER = 1
 RETURNS = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
 
+@cache
+def kept_codes() -> np.ndarray:
+    """For each code point whether it keeps its identity: letters and the marks of letters."""
+    kept = np.zeros(0x110000, bool)
+    kept[[ord(c) for c in regex.findall(r"[\p{L}\p{M}]", "".join(map(chr, range(0x110000))))]] = True
+    return kept
+
+
 class Spectrum:
-    """Presence of the landmarks' runs of one to three symbols in a text."""
+    """The landmarks' runs of one to three symbols, and which landmarks have each."""
 
     def __init__(self, texts: list[str]):
-        letters = Counter(c for t in texts for c in t.lower() if c.isalpha())
-        self.letters = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[: SYMBOLS - 2]]
-        self.places = None
-        grams = np.unique(np.concatenate([np.unique(g) for t in texts for g in self.grams(t)]))
-        self.places = np.full(SYMBOLS + SYMBOLS**2 + SYMBOLS**3, len(grams), np.int32)
-        self.places[grams] = np.arange(len(grams))
-        self.width = len(grams)
+        self.codes = np.zeros(0, np.int64)
+        for at in range(0, len(texts), BATCH):
+            some = [g for t in texts[at : at + BATCH] for g in self.grams(t)]
+            self.codes = np.unique(np.concatenate([self.codes, *some]))
+        self.width = len(self.codes)
+        runs = [self.places(t).astype(np.int32) for t in texts]
+        self.size = np.array([len(r) for r in runs])
+        order = np.argsort(np.concatenate(runs), kind="stable")
+        # The landmarks of a run are owners from its start to the next run's.
+        self.owners = np.repeat(np.arange(len(texts), dtype=np.int32), self.size)[order]
+        self.starts = np.cumsum([0, *np.bincount(np.concatenate(runs), minlength=self.width)])
 
     def symbols(self, text: str) -> np.ndarray:
-        if not hasattr(self, "of_code"):
-            other = regex.compile(r"\p{L}")
-            self.of_code = np.array([1 if other.match(chr(c)) else 0 for c in range(0x3000)] + [1], np.uint8)
-            for i, c in enumerate(self.letters):
-                if ord(c) < 0x3000:
-                    self.of_code[ord(c)] = i + 2
         codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        return self.of_code[np.minimum(codes, 0x3000)].astype(np.int32)
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "of_code"}
+        return np.where(kept_codes()[codes], codes, NO_LETTER).astype(np.int64)
 
     def grams(self, text: str):
-        """The numbers of the text's runs, a stretch of the text at a time."""
+        """The text's runs, a stretch of the text at a time: each is the code points of its symbols, 21
+        bits each. No symbol is 0, so runs of different lengths differ.
+        """
         for at in range(0, max(1, len(text)), RUN):
             a = self.symbols(text[at : at + RUN + 2])  # runs go over the edge
-            yield a
-            pairs = a[:-1] * SYMBOLS + a[1:]
-            yield SYMBOLS + pairs
-            yield SYMBOLS + SYMBOLS**2 + pairs[:-1] * SYMBOLS + a[2:]
+            pairs = a[:-1] << 21 | a[1:]
+            yield np.unique(np.concatenate([a, pairs, pairs[:-1] << 21 | a[2:]]))
+
+    def places(self, text: str) -> np.ndarray:
+        """Which of the landmarks' runs the text has, rising."""
+        found = []
+        for g in self.grams(text):
+            at = np.searchsorted(self.codes, g)
+            at[at == self.width] = 0
+            found.append(at[self.codes[at] == g] if self.width else at[:0])
+        return found[0] if len(found) == 1 else np.unique(np.concatenate(found))
 
     def presence(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros((len(texts), self.width + 1), np.float32)
+        out = np.zeros((len(texts), self.width), bool)
         for row, text in zip(out, texts, strict=True):
-            for g in self.grams(text):
-                row[self.places[g]] = 1
-        return out[:, : self.width]
+            row[self.places(text)] = True
+        return out
+
+    def common(self, places: np.ndarray) -> np.ndarray:
+        """For each landmark the number of these runs that it has."""
+        out = np.zeros(len(self.size), np.int64)
+        for at in range(0, len(places), PLACES):
+            start, stop = self.starts[places[at : at + PLACES]], self.starts[places[at : at + PLACES] + 1]
+            size = stop - start
+            each = np.repeat(stop - np.cumsum(size), size) + np.arange(size.sum())
+            out += np.bincount(self.owners[each], minlength=len(out))
+        return out
 
 
 class LanguageModel:
@@ -82,8 +105,6 @@ class LanguageModel:
         of = np.array([self.languages.index(x) for x in languages])
         chosen = np.concatenate([np.flatnonzero(of == k)[:LANDMARKS_PER_LANGUAGE] for k in range(len(self.languages))])
         self.spectrum = Spectrum([texts[i] for i in chosen])
-        self.landmarks = self.spectrum.presence([texts[i] for i in chosen])
-        self.size = np.maximum(self.landmarks.sum(1), 1)
         among = self.kernel([texts[i] for i in chosen]).astype(np.float64)
         values, vectors = np.linalg.eigh(among)
         root = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
@@ -93,9 +114,11 @@ class LanguageModel:
         self.weights = (root @ np.linalg.solve(left, mapped.T @ target)).astype(np.float32)
 
     def kernel(self, texts: list[str]) -> np.ndarray:
-        present = self.spectrum.presence(texts)
-        own = np.maximum(present.sum(1, keepdims=True), 1)
-        return (present @ self.landmarks.T) / np.sqrt(own * self.size)
+        out = np.zeros((len(texts), len(self.spectrum.size)), np.float32)
+        for row, text in zip(out, texts, strict=True):
+            places = self.spectrum.places(text)
+            row[:] = self.spectrum.common(places) / np.sqrt(max(1, len(places)) * np.maximum(self.spectrum.size, 1))
+        return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
         return self.kernel(texts) @ self.weights
