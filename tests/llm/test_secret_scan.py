@@ -3,7 +3,7 @@ import re
 from pyspark.sql import functions as F
 
 from trailmark.llm.common import table
-from trailmark.llm.secret_scan import scan_secrets
+from trailmark.llm.secret_scan import candidates, format_labels, scan_secrets
 
 PLANTED = r"AKIA[A-Z0-9]{16}|token = \"([0-9a-f]{40})\"|password=([0-9a-f]{18})"
 
@@ -39,3 +39,37 @@ def test_odd_rows(spark):
     assert scan_secrets(frame.limit(0)).count() == 0
     text = scan_secrets(frame)._jdf.queryExecution().toString()
     assert not any(n in text for n in ("Python", "Arrow", "Pandas"))
+
+
+def test_values_after_a_name_are_candidates_whatever_their_length_and_signs(spark):
+    wanted = {
+        "so password=hunter2x ends": ["hunter2x"],
+        "password = p.w!7$x~9": ["p.w!7$x~9"],
+        "the PWD: 'a b' and": ["a"],
+        "{\"token\":\"x.7\"},": ["x.7"],
+        "secret=q, then": ["q"],
+        "u=1;pwd=s3!c;host=h": ["s3!c"],
+        "http://h/?key=k9&token=t.8": ["k9", "t.8"],
+        "password=correcthorseb": ["correcthorseb"],
+        "password=abc123abc123.x!": ["abc123abc123", "abc123abc123.x!"],
+        "key => é1": ["é1"],
+        "a key is short; no value: here": [],
+        "key=": [],
+    }
+    frame = spark.createDataFrame(list(enumerate(wanted)), "doc_id long, text string")
+    rows = candidates(frame, "doc_id", "text").orderBy("doc_id", "word_no", "part_no").collect()
+    assert {t: [r.value for r in rows if r.doc_id == i] for i, t in enumerate(wanted)} == wanted
+    scanned = scan_secrets(frame)
+    assert scanned.count() == len(rows)
+
+
+def test_urls_with_secrets_are_not_labelled_false(spark):
+    rows = [
+        ("zq81kd72mmx0", "https://me:zq81kd72mmx0@host/", "https://me:", None),
+        ("/services/T0AB12/B9X/k2Jd81", "https://hooks.host.org/services/T0AB12/B9X/k2Jd81", "https://hooks.host.org", None),
+        ("correcthorsebatterystaple", "https://me:correcthorsebatterystaple@host/", "https://me:", None),
+        ("/news/2021/05/plain-words", "https://host.org/news/2021/05/plain-words", "https://host.org", 0),
+        ("123-456-789-0", "123-456-789-0", "call", 0),
+    ]
+    frame = spark.createDataFrame([r[:3] for r in rows], "value string, word string, lead string")
+    assert {r.value: r.label for r in frame.withColumn("label", format_labels(frame)).collect()} == {r[0]: r[3] for r in rows}

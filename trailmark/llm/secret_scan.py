@@ -1,6 +1,7 @@
 """Secret scan: candidates by pattern, false ones removed by a random forest.
 
-A candidate is a run of key-like characters in a word. What the forest sees of it: its length, its
+A candidate is a run of key-like characters in a word, or what follows a secret's name and = or :,
+of any length and signs. What the forest sees of it: its length, its
 mix of characters and how often the kind changes, the likelihood of its letters' transitions in the
 corpus's words, how much of it the corpus's words cover, the path-like signs around it in its word,
 and its neighbouring words. It learns from labelled findings.
@@ -29,6 +30,16 @@ KNOWN_FORMATS = (r"^AKIA[A-Z0-9]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36}$", r"^xox[a
 ASSIGNED = r"(?i)(token|secret|password|passwd|pwd|key)\s*[=:]\s*[\"']?$"
 #: Bounds of what is learned from, and the forest.
 ROWS_PER_LABEL, TREES, DEPTH, SEED = 2000, 20, 6, 7
+#: What follows a secret's name, up to its closing quote, or to the end of the word or the next name in
+#: it, less closing signs. Looked for in a word and the two before it, so it has to end with the last.
+_LEAD = r"(?:key|token|secret|password|passwd|pwd|auth|authorization|credentials?|bearer)[\"']?\s?(?:=>|[=:]{1,2})\s?"
+_CLOSING, _NEXT = r"[,;.)\]}>\"'`]*", r"[&;,]\w+="
+NAMED_VALUE = (
+    rf"(?i)(?<={_LEAD}\")[^\s\"]+(?=\S*$)|(?<={_LEAD}')[^\s']+(?=\S*$)"
+    rf"|(?<={_LEAD})[^\s\"'=:>]\S*?(?=(?:{_CLOSING}|{_NEXT}\S*)$)"
+)
+#: Parts of paths that are words or numbers.
+PLAIN_PATH = r"^[/_\-]*([0-9]+|[A-Za-z]+)([/_\-]+([0-9]+|[A-Za-z]+))*[/_\-]*$"
 SECRET = 0.5
 #: Symbols of transitions: a to z, any digit, any other.
 SYMBOLS = 28
@@ -45,15 +56,22 @@ def candidates(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def hit(word: Column, i: Column) -> Column:
         near = [F.coalesce(F.get(words, i + k), F.lit("")) for k in (-2, -1, 1)]
+        separated = word.rlike("[=:]") | near[1].rlike("[=:]")
+        named = F.regexp_extract_all(F.concat_ws(" ", near[0], near[1], word), F.lit(NAMED_VALUE), F.lit(0))
         found = F.struct(
-            i.alias("word_no"), word.alias("word"), F.concat_ws(" ", near[0], near[1]).alias("before"), near[2].alias("after")
-        )
-        return F.when((F.length(word) >= 12) & word.rlike(RUN), found)
+            i.alias("word_no"), word.alias("word"), F.concat_ws(" ", near[0], near[1]).alias("before"), near[2].alias("after"),
+            F.when(separated, named).otherwise(F.array().cast("array<string>")).alias("named"),
+        )
+        return F.when(((F.length(word) >= 12) & word.rlike(RUN)) | separated, found)
 
     hits = F.filter(F.transform(words, hit), lambda h: h.isNotNull())
     each = worded.select("doc_id", F.explode_outer(hits).alias("h")).where(F.col("h").isNotNull()).select("doc_id", "h.*")
-    parts = each.select("*", F.posexplode_outer(F.regexp_extract_all("word", F.lit(f"({RUN})"))).alias("part_no", "value"))
-    return parts.where(F.col("value").rlike("[0-9]") | (F.length("value") >= LONG))
+    runs = each.withColumn("runs", F.regexp_extract_all("word", F.lit(f"({RUN})")))
+    # Named values come after the runs, unless they are one.
+    values = F.concat("runs", F.array_except("named", "runs"))
+    parts = runs.select("*", F.posexplode_outer(values).alias("part_no", "value"))
+    key_like = F.col("value").rlike(f"^{RUN}$") & (F.col("value").rlike("[0-9]") | (F.length("value") >= LONG))
+    return parts.where(key_like | F.array_contains("named", F.col("value"))).drop("runs", "named")
 
 
 def word_counts(documents: DataFrame, text: str) -> DataFrame:
@@ -100,8 +118,9 @@ def with_features(found: DataFrame, covered: DataFrame, table: Column) -> DataFr
         return F.coalesce(condition, F.lit(False)).cast("double")
 
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[a-z]+", "a"), "[A-Z]+", "A"), "[0-9]+", "9")
+    steps = F.when(n > 1, F.sequence(F.lit(1), n - 1)).otherwise(F.array().cast("array<int>"))
     likelihood = F.aggregate(
-        F.sequence(F.lit(1), n - 1), F.lit(0.0), lambda sum_, i: sum_ + F.get(table, symbol(lower, i) * SYMBOLS + symbol(lower, i + 1))
+        steps, F.lit(0.0), lambda sum_, i: sum_ + F.get(table, symbol(lower, i) * SYMBOLS + symbol(lower, i + 1))
     )
     hints = "(?i)(" + "|".join(HINTS) + ")"
     # What stands before the value: the two words before, and the start of its own.
@@ -114,7 +133,7 @@ def with_features(found: DataFrame, covered: DataFrame, table: Column) -> DataFr
         share("[^0-9a-f]").alias("hex_share"),
         ((F.length(kinds) - 1) / n).alias("kind_changes"),
         (F.size(F.array_distinct(F.split(value, ""))) / n).alias("distinct_share"),
-        (likelihood / (n - 1)).alias("transitions"),
+        (likelihood / F.greatest(n - 1, F.lit(1))).alias("transitions"),
         F.col("coverage").cast("double").alias("coverage"),
         F.length(F.regexp_replace(word, r"[^/\\.]+", "")).cast("double").alias("path_signs"),
         is_true(word.contains("://")).alias("in_url"),
@@ -128,15 +147,19 @@ def with_features(found: DataFrame, covered: DataFrame, table: Column) -> DataFr
 
 def format_labels(featured: DataFrame) -> Column:
     """Labels of findings that leave no doubt, where none are at hand: 1 for values of a known format or
-    assigned to a secret's name; 0 for plain numbers, plain letters and parts of addresses; else null.
+    assigned to a secret's name; 0 for plain numbers, plain letters and plain paths of addresses without
+    credentials; else null. So are short values and those with other signs, which are in doubt.
     """
-    value = F.col("value")
+    value, word = F.col("value"), F.col("word")
+    key_like = value.rlike(f"^{RUN}$") & (value.rlike("[0-9]") | (F.length(value) >= LONG))
     known = F.lit(False)
     for pattern in KNOWN_FORMATS:
         known = known | value.rlike(pattern)
     named = F.col("lead").rlike(ASSIGNED) & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    plain = value.rlike(r"^([0-9\-]+|[A-Za-z/_\-]+)$") | F.col("word").contains("://")
-    return F.when(known | named, 1).when(plain, 0)
+    in_url = word.contains("://")
+    plain = value.rlike(r"^([0-9\-]+|[A-Za-z/_\-]+)$") & ~in_url
+    plain_path = in_url & value.rlike(PLAIN_PATH) & ~word.rlike("://[^/]*@") & ~F.col("lead").rlike(ASSIGNED)
+    return F.when(known | (key_like & named), 1).when(key_like & (plain | plain_path), 0)
 
 
 def scan_secrets(
