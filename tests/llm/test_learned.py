@@ -192,6 +192,35 @@ def test_marginals_of_long_texts_equal_the_step_by_step_form():
     assert toxicity.marginals(odds, lengths, transition) == pytest.approx(expected)
 
 
+def test_expected_pairs_equal_all_label_paths():
+    chance = np.random.default_rng(5)
+    transition = np.array([[0.9, 0.1], [1.4, 2.6]])
+    lengths = np.array([1, 4, 0, 9])
+    odds = np.exp(chance.normal(size=lengths.sum()))
+    expected, at = np.zeros((2, 2)), 0
+    for n in lengths:
+        total, counts = 0.0, np.zeros((2, 2))
+        for path in itertools.product((0, 1), repeat=int(n)):
+            w, pairs, before = 1.0, np.zeros((2, 2)), 0
+            for k, label in enumerate(path):
+                w *= transition[before, label] * (odds[at + k] if label else 1)
+                pairs[before, label] += 1
+                before = label
+            total, counts = total + w, counts + w * pairs
+        expected += counts / total
+        at += n
+    p, pairs = toxicity.forward_backward(odds, lengths, transition, pairs=True)
+    assert pairs == pytest.approx(expected) and p.sum() == pytest.approx(expected[:, 1].sum())
+
+
+def test_transitions_follow_the_gradient():
+    """Fitted transitions are weights: unlike the counted shares they start at, they need not sum to 1."""
+    toxic = np.array([True, False] * 40)
+    texts = [f"some plain word {'vile foul ' * (1 + k % 3)}more words" if t else f"some plain word more words w{k}" for k, t in enumerate(toxic)]
+    model = toxicity.fit(texts, toxic, {1: 0.5, 0: 0.5})
+    assert np.abs(model.transition.sum(1) - 1).max() > 0.01
+
+
 def test_toxicity_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     documents, labels = table(spark, sf, "documents"), table(spark, sf, "labels")

@@ -54,10 +54,20 @@ def marginals(odds: np.ndarray, lengths: np.ndarray, transition: np.ndarray) ->
     """P(toxic) of each word of consecutive texts. odds: of the words alone; transition: weights
     [from][to]. A text starts as if after an outside word.
     """
+    return forward_backward(odds, lengths, transition)[0]
+
+
+def forward_backward(
+    odds: np.ndarray, lengths: np.ndarray, transition: np.ndarray, pairs: bool = False
+) -> tuple[np.ndarray, np.ndarray]:
+    """The marginals, and if asked for the expected number of each pair of labels [from][to], that of a
+    text's start and first word included.
+    """
+    expected = np.zeros((2, 2))
     (t00, t01), (t10, t11) = transition
     lengths = lengths[lengths > 0]
     if not len(lengths):
-        return np.zeros(0)
+        return np.zeros(0), expected
     per = -(-lengths // SEGMENT)
     rows = int(per.sum())
     first = np.cumsum(per) - per  # a text's first segment
@@ -92,14 +102,21 @@ def marginals(odds: np.ndarray, lengths: np.ndarray, transition: np.ndarray) ->
         a, b, c, d = back[:, j + 1]
         leave[j] = (a * leave[j + 1] + b) / (c * leave[j + 1] + d)
     x, before = enter, np.empty_like(e)
+    prior = np.empty_like(e) if pairs else None
     for t in range(SEGMENT):
+        if pairs:
+            prior[t] = x
         x = np.where(real[t], e[t] * (t01 + t11 * x) / (t00 + t10 * x), x)
         before[t] = x
     y, out = leave, np.empty_like(e)
     for t in range(SEGMENT - 1, -1, -1):
         out[t] = before[t] * y / (1 + before[t] * y)
+        if pairs:
+            toxic = e[t] * y
+            joint = np.stack([np.full(rows, t00), t01 * toxic, t10 * prior[t], t11 * prior[t] * toxic])
+            expected += (joint / joint.sum(0))[:, real[t]].sum(1).reshape(2, 2)
         y = np.where(real[t], (t10 + t11 * e[t] * y) / (t00 + t01 * e[t] * y), y)
-    return out.T.reshape(-1)[place]
+    return out.T.reshape(-1)[place], expected
 
 
 def summary(p: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -192,20 +209,25 @@ def fit(texts: list[str], toxic: np.ndarray, shares: dict[int, float]) -> Toxici
     lengths = np.array([len(ws) for ws, f in zip(words, field, strict=True) if f], np.int64)
     y = marked[at] & np.repeat(toxic[field], lengths) if len(at) else np.zeros(0, bool)
 
-    # Transitions by counting, words by gradient steps given them.
-    ends = np.cumsum(lengths[lengths > 0])
-    joined = np.ones(max(0, len(y) - 1), bool)
-    joined[ends[:-1] - 1] = False
-    pairs = np.bincount((2 * y[:-1] + y[1:])[joined], minlength=4) + [1.0, 1, 1, 1] if len(y) else np.ones(4)
-    transition = pairs.reshape(2, 2) / pairs.reshape(2, 2).sum(1, keepdims=True)
+    # Transitions start at their smoothed shares; words and transitions follow the field's gradient.
+    starts = np.cumsum(lengths[lengths > 0]) - lengths[lengths > 0]
+    previous = np.concatenate([[False], y[:-1]]) if len(y) else y
+    previous[starts] = False
+    observed = np.bincount(2 * previous + y, minlength=4).reshape(2, 2)
+    steps = np.log((observed + 1) / (observed + 1).sum(1, keepdims=True))
     weights, velocity = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8)
+    steps_velocity = np.full((2, 2), 1e-8)
     for _ in range(STEPS if y.any() else 0):
         odds = np.exp(np.clip(np.bincount(owner, weights[flat], len(vocabulary)), -20, 20))
-        p = marginals(odds[at], lengths, transition)
+        p, expected = forward_backward(odds[at], lengths, np.exp(steps), pairs=True)
         by_word = np.bincount(at, p - y, len(vocabulary))
         gradient = np.bincount(flat, by_word[owner], BUCKETS) / len(lengths) + DECAY * weights
         velocity += gradient**2
         weights -= RATE * gradient / np.sqrt(velocity)
+        gradient = (expected - observed) / len(lengths) + DECAY * steps
+        steps_velocity += gradient**2
+        steps = np.clip(steps - RATE * gradient / np.sqrt(steps_velocity), -20, 20)
+    transition = np.exp(steps)
     model = ToxicityModel(weights.astype(np.float32), transition, np.zeros(5))
 
     rest = np.flatnonzero(~field) if (~field).any() else np.arange(len(texts))
