@@ -83,6 +83,17 @@ def test_common_runs_equal_the_product_of_presences(monkeypatch):
     assert [spectrum.common(spectrum.places(t)).tolist() for t in texts] == product.tolist()
 
 
+def test_too_many_languages_do_not_go_to_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 3)
+    monkeypatch.setattr(language, "ROWS_PER_LANGUAGE", 2)
+    rows = spark.range(100).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))
+    sizes, collect = [], type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda frame: sizes.append(len(found := collect(frame))) or found)
+    with pytest.raises(ValueError, match="more than 3 languages"):
+        language.learn_languages(rows)
+    assert sizes == [7]
+
+
 def test_language_of_odd_rows(spark, documents):
     model = language.learn_languages(documents)
     rows = [(1, None, 5), (2, "", 5), (3, "123 !", 5), (None, "the and of that", 5), (None, "the and of that", 5), (4, "日本", 5)]

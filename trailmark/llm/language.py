@@ -137,11 +137,13 @@ def learn_languages(
         & F.col("text").rlike(r"\p{L}")
         & (F.length("text") <= LONGEST)
     )
-    rows = bounded_sample(usable, "lang", "id", ROWS_PER_LANGUAGE).orderBy("lang", "id", "text").collect()
+    most = ROWS_PER_LANGUAGE * MAX_LANGUAGES
+    rows = bounded_sample(usable, "lang", "id", ROWS_PER_LANGUAGE).limit(most + 1).collect()
     if not rows:
         return None
     if len({r.lang for r in rows}) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
+    rows.sort(key=lambda r: (r.lang, r.id, r.text))
     return LanguageModel([r.text for r in rows], [r.lang for r in rows])
 
 
