@@ -54,4 +54,43 @@ SELECT l.doc_id, count(*) AS n_lines, count(g.no) AS n_removed,
 FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.no = g.no GROUP BY l.doc_id
 """
 
-LLM_ORACLES: dict[str, str] = {"op7_line_dedup": LINE_DEDUP, "op9_decontamination": DECONTAMINATION}
+CONVERSATION_TRIE = """
+WITH RECURSIVE hashed AS (
+    -- CRC-32 of the decimal id, one bit at a time.
+    SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 1 AS i, CAST(4294967295 AS BIGINT) AS c
+    FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+    UNION ALL
+    SELECT conv_id, s, i + 1, list_reduce([xor(c, CAST(ascii(s[i]) AS BIGINT)), 1, 2, 3, 4, 5, 6, 7, 8],
+        lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)
+    FROM hashed WHERE i <= length(s)
+),
+kept AS (SELECT conv_id, xor(c, 4294967295) % 9 AS h FROM hashed WHERE i > length(s)),
+turns AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, ''))
+        ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+rebuilt AS (
+    SELECT k.conv_id, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+    FROM kept k JOIN turns o USING (conv_id) LEFT JOIN turns b ON b.conv_id = k.conv_id - k.conv_id % 5
+),
+starts AS (SELECT conv_id, turns, turns[1:d] AS node, d FROM rebuilt, unnest(range(0, len(turns) + 1)) AS x(d)),
+nodes AS (
+    SELECT node, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CASE WHEN len(turns) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+    FROM starts GROUP BY node
+),
+children AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.node = c.node),
+above AS (
+    SELECT node[1:k] AS node, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf,
+        CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(node[depth].t) END AS saved
+    FROM whole, unnest(range(0, depth + 1)) AS x(k)
+),
+totals AS (SELECT node, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY node)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(w.ends) AS ends_sha256
+FROM whole w JOIN totals t ON w.node = t.node LEFT JOIN whole p ON w.depth > 0 AND p.node = w.node[1:w.depth - 1]
+"""
+
+LLM_ORACLES: dict[str, str] = {"op11_conversation_trie": CONVERSATION_TRIE, "op7_line_dedup": LINE_DEDUP, "op9_decontamination": DECONTAMINATION}

@@ -19,6 +19,7 @@ from trailmark.llm.secret_scan import scan_secrets
 from trailmark.llm.simhash import near_duplicates
 from trailmark.llm.tokens import count_tokens
 from trailmark.llm.toxicity import learn_toxicity, score_toxicity
+from trailmark.llm.trie import forked, prefix_trie, turn_keys
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +105,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    conv = F.col("conv")
+    kept = F.crc32(conv.cast("string").cast("binary")) % 9
+    keys = forked(turn_keys(conversations), kept, base=conv - conv % 5, most=8)
+    return prefix_trie(keys, conversations.select(F.col("conv_id").alias("conv")).dropna().distinct())
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -117,5 +126,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_decontamination,
         op10_quality_rules,
+        op11_conversation_trie,
     )
 }
