@@ -25,7 +25,7 @@ def texts():
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{n}" for n in range(1, 12)}
+    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(LLM_QUERIES) | {"pipeline"} <= set(driver.queries()) and set(LLM_ORACLES) <= set(driver.oracle_sql())
 
 

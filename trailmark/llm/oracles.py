@@ -93,4 +93,55 @@ SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children,
 FROM whole w JOIN totals t ON w.node = t.node LEFT JOIN whole p ON w.depth > 0 AND p.node = w.node[1:w.depth - 1]
 """
 
-LLM_ORACLES: dict[str, str] = {"op11_conversation_trie": CONVERSATION_TRIE, "op7_line_dedup": LINE_DEDUP, "op9_decontamination": DECONTAMINATION}
+#: Texts as hexadecimal digits, two to a byte.
+PASSAGES = """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT r, doc_id, p, substr(h, 2 * p + 1, 100) AS w FROM docs, unnest(range(0, strlen(h) // 2 - 49)) AS t(p)),
+first AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w),
+gone AS (SELECT DISTINCT r, q FROM windows JOIN first USING (w), unnest(range(p, p + 50)) AS t(q) WHERE least < doc_id),
+bytes AS (SELECT r, q, substr(h, 2 * q + 1, 2) AS b FROM docs, unnest(range(0, strlen(h) // 2)) AS t(q)),
+kept AS (SELECT r, string_agg(b, '' ORDER BY q) AS h FROM bytes ANTI JOIN gone USING (r, q) GROUP BY r),
+runs AS (
+    SELECT r, count(*) AS n_removed, count(*) FILTER (WHERE q > before + 1 OR before IS NULL) AS n_spans
+    FROM (SELECT r, q, lag(q) OVER (PARTITION BY r ORDER BY q) AS before FROM gone) GROUP BY r
+)
+SELECT doc_id, CAST(strlen(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (r) LEFT JOIN runs USING (r)
+"""
+
+PHRASES = r"""
+WITH pieces AS (
+    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+),
+grams AS (
+    SELECT lang, m, array_to_string(words[i:i + m - 1], ' ') AS phrase, count(*) AS f
+    FROM pieces, unnest(range(1, 6)) AS s(m), unnest(range(1, len(words) - m + 2)) AS t(i) GROUP BY 1, 2, 3
+),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS words FROM grams WHERE m > 1 AND f >= 100),
+cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS one, array_to_string(words[k + 1:], ' ') AS other
+    FROM candidates, unnest(range(1, m)) AS t(k)
+),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n,
+        CAST(1000 * CAST(c.a AS HUGEINT) * n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = c.one JOIN grams y ON y.lang = c.lang AND y.phrase = c.other
+    JOIN totals t ON t.lang = c.lang
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+    SELECT DISTINCT s.lang, s.phrase FROM (
+        SELECT lang, a, array_to_string(words[i:j], ' ') AS phrase
+        FROM candidates, unnest(range(1, m)) AS t(i), unnest(range(i + 1, m + 1)) AS u(j) WHERE j - i + 1 < m
+    ) s JOIN candidates c USING (lang, phrase) WHERE s.a >= c.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best ANTI JOIN held USING (lang, phrase) QUALIFY rank <= 2000
+"""
+
+LLM_ORACLES: dict[str, str] = {"op11_conversation_trie": CONVERSATION_TRIE, "op12_passages": PASSAGES, "op13_phrases": PHRASES, "op7_line_dedup": LINE_DEDUP, "op9_decontamination": DECONTAMINATION}

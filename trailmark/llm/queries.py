@@ -13,6 +13,8 @@ from trailmark.llm.contamination import find_contamination
 from trailmark.llm.language import identify_language, learn_languages
 from trailmark.llm.lines import dedup_lines
 from trailmark.llm.packing import pack
+from trailmark.llm.passages import remove_passages
+from trailmark.llm.phrases import collocations
 from trailmark.llm.quality import learn_quality, rate_quality
 from trailmark.llm.rules import judge
 from trailmark.llm.secret_scan import scan_secrets
@@ -113,6 +115,23 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(keys, conversations.select(F.col("conv_id").alias("conv")).dropna().distinct())
 
 
+def op12_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.col("passages.removed")
+    total = F.aggregate(removed, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["begin"])
+    return found.select(
+        "doc_id",
+        F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
+        total.alias("n_removed"),
+        F.size(removed).cast("long").alias("n_spans"),
+        F.sha2("passages.kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -127,5 +146,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_quality_rules,
         op11_conversation_trie,
+        op12_passages,
+        op13_phrases,
     )
 }
