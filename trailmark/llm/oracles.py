@@ -93,39 +93,57 @@ SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children,
 FROM whole w JOIN totals t ON w.node = t.node LEFT JOIN whole p ON w.depth > 0 AND p.node = w.node[1:w.depth - 1]
 """
 
-#: Texts as hexadecimal digits, two to a byte.
+#: Texts as hexadecimal digits, two to a byte, in parts of 64 bytes and what windows from these reach.
 PASSAGES = """
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-windows AS (SELECT r, doc_id, p, substr(h, 2 * p + 1, 100) AS w FROM docs, unnest(range(0, strlen(h) // 2 - 49)) AS t(p)),
+places AS (SELECT r, doc_id, h, unnest(range(0, strlen(h) // 2, 64)) AS begin FROM docs),
+parts AS (SELECT r, doc_id, begin, substr(h, 2 * begin + 1, 226) AS part FROM places),
+offsets AS (SELECT *, unnest(range(0, least(64, strlen(part) // 2 - 49))) AS o FROM parts),
+windows AS (SELECT r, doc_id, begin + o AS p, substr(part, 2 * o + 1, 100) AS w FROM offsets),
 first AS (SELECT w, min(doc_id) AS least FROM windows GROUP BY w),
-gone AS (SELECT DISTINCT r, q FROM windows JOIN first USING (w), unnest(range(p, p + 50)) AS t(q) WHERE least < doc_id),
-bytes AS (SELECT r, q, substr(h, 2 * q + 1, 2) AS b FROM docs, unnest(range(0, strlen(h) // 2)) AS t(q)),
-kept AS (SELECT r, string_agg(b, '' ORDER BY q) AS h FROM bytes ANTI JOIN gone USING (r, q) GROUP BY r),
+gone AS (SELECT r, p, p + 50 AS e FROM windows JOIN first USING (w) WHERE least < doc_id),
 runs AS (
-    SELECT r, count(*) AS n_removed, count(*) FILTER (WHERE q > before + 1 OR before IS NULL) AS n_spans
-    FROM (SELECT r, q, lag(q) OVER (PARTITION BY r ORDER BY q) AS before FROM gone) GROUP BY r
+    SELECT r, min(p) AS a, max(e) AS e FROM (
+        SELECT *, sum(CASE WHEN p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS run
+        FROM (SELECT *, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM gone)
+    ) GROUP BY r, run
+),
+removed AS (SELECT r, CAST(sum(e - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r),
+edges AS (SELECT r, a AS stop, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) AS start FROM runs
+    UNION ALL SELECT r, NULL, max(e) FROM runs GROUP BY r),
+kept AS (
+    SELECT r, string_agg(substr(h, 2 * start + 1, 2 * (coalesce(stop, strlen(h) // 2) - start)), '' ORDER BY start) AS h
+    FROM edges JOIN docs USING (r) GROUP BY r
 )
 SELECT doc_id, CAST(strlen(d.h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-    sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
-FROM docs d LEFT JOIN kept k USING (r) LEFT JOIN runs USING (r)
+    sha256(unhex(CASE WHEN k.r IS NULL THEN d.h ELSE k.h END)) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (r) LEFT JOIN removed USING (r)
 """
 
 PHRASES = r"""
 WITH pieces AS (
-    SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words
+    SELECT row_number() OVER () AS piece, lang, list_filter(regexp_split_to_array(text, '[\x20\x09]+'), lambda w: w <> '') AS words
     FROM (SELECT coalesce(lang, 'und') AS lang,
-        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS text
         FROM documents)
 ),
+words AS (SELECT piece, lang, unnest(words) AS w, unnest(range(0, len(words))) AS i FROM pieces),
+leads AS (
+    SELECT lang, w AS a, lead(w, 1) OVER p AS b, lead(w, 2) OVER p AS c, lead(w, 3) OVER p AS d, lead(w, 4) OVER p AS e
+    FROM words WINDOW p AS (PARTITION BY piece ORDER BY i)
+),
 grams AS (
-    SELECT lang, m, array_to_string(words[i:i + m - 1], ' ') AS phrase, count(*) AS f
-    FROM pieces, unnest(range(1, 6)) AS s(m), unnest(range(1, len(words) - m + 2)) AS t(i) GROUP BY 1, 2, 3
+    SELECT lang, 1 AS m, a AS phrase, count(*) AS f FROM leads GROUP BY ALL
+    UNION ALL SELECT lang, 2, a || ' ' || b, count(*) FROM leads WHERE b IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c, count(*) FROM leads WHERE c IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 4, a || ' ' || b || ' ' || c || ' ' || d, count(*) FROM leads WHERE d IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 5, a || ' ' || b || ' ' || c || ' ' || d || ' ' || e, count(*) FROM leads WHERE e IS NOT NULL GROUP BY ALL
 ),
 totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE m = 1 GROUP BY lang),
 candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS words FROM grams WHERE m > 1 AND f >= 100),
 cuts AS (
     SELECT lang, phrase, a, k, array_to_string(words[1:k], ' ') AS one, array_to_string(words[k + 1:], ' ') AS other
-    FROM candidates, unnest(range(1, m)) AS t(k)
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)
 ),
 scored AS (
     SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, n,
