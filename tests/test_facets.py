@@ -99,3 +99,18 @@ def test_totals_do_not_depend_on_the_order_of_summation(spark):
     first = report(shares.withColumn("k", F.lit(0)))
     assert first == [(0, 100, float(sum(90000001 + n for n in range(100))))]
     assert all(report(shares.repartition(n)) == report(shares) for n in (1, 3, 7))
+
+
+def shares(spark, rows):
+    frame = spark.createDataFrame(rows, "k string, s string, amount double, parts long")
+    facet = Facet(F.col("s"), {"n": None}, {"total": Total("amount"), "of_a": Total("amount", "a")})
+    report = facet_report(frame, {"k": F.col("k")}, [facet], {"amount": F.col("amount")}, divisor=F.col("parts"))
+    return {r.k: (r.n, r.total, r.of_a) for r in report.collect()}
+
+
+def test_a_measure_over_zero_is_an_error(spark):
+    fine = [("k", "a", 6.0, 2), ("k", "a", 6.0, 2), ("k", "b", 1.0, None), ("l", "a", None, 0), ("l", "b", 2.0, 4)]
+    assert shares(spark, fine) == {"k": (2, 6.0, 6.0), "l": (2, 0.5, 0.0)}
+    for amount in (10.0, 0.0):
+        with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+            shares(spark, [*fine, ("m", "a", amount, 0)])

@@ -285,3 +285,19 @@ def test_beacon_stage(spark):
 def test_sales(spark):
     rows = spark.createDataFrame([("a", 1.5), ("a", 2.0), (None, 1.0)], schemas.BRAND_SALES)
     assert sorted(rows_of(sales.brand_sales(rows)), key=str) == [("a", 3.5), (None, 1.0)]
+
+
+@pytest.mark.parametrize("seconds", [10, None])
+def test_a_session_total_over_no_hits_is_an_error(spark, seconds):
+    """As the plain division of the reports is; a session without the total is none."""
+    sessions = [session("v1", 1, brand="01", timeOnSite=30), session("v2", 2, brand="01", timeOnSite=seconds)]
+    sessions[1]["totals"]["hits"] = 0
+    hits = tracking.branded_hits(session_frame(spark, sessions))
+    if seconds is None:
+        assert [r.time_on_site for r in site.site_counts(hits).collect()] == [30.0]
+    else:
+        with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+            daily(spark, sessions)
+    # The journey counts hits as a share of themselves, so there no total is needed for the error.
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        journey.customer_journey(hits, small_table(spark, MEDIUM_GROUPS, schemas.MEDIUM_LOOKUP)).collect()

@@ -56,7 +56,8 @@ def facet_report(
     """One row per ``keys``: the facets' counts (bigint) and totals.
 
     With ``divisor`` a row contributes measure / divisor to a total: measures are summed by
-    facet value and divisor in a copy of the row of its own, and divided afterwards.
+    facet value and divisor in a copy of the row of its own, and divided afterwards. A measure
+    over zero is an error; one over NULL, or no measure, adds nothing.
     """
     measures = measures or {}
     predicates = [item for facet in facets for item in facet.counts.items()]
@@ -111,8 +112,8 @@ def facet_report(
             outputs[name] = F.count_if(within(count_sets[no]) & F.col(value).isNotNull() & met)
         for name, total in facet.totals.items():
             amount = F.col(f"_sum_{total.measure}")
-            if split:
-                amount = F.try_divide(amount, F.col("_divisor"))
+            if split:  # a measure over zero is an error; rows of the other sets have no divisor
+                amount = F.when(within(total_sets[no]), amount / F.col("_divisor"))
             if total.when_value is not None:
                 amount = F.when(F.col(value) == total.when_value, amount).otherwise(F.lit(0))
             outputs[name] = F.sum(F.when(within(total_sets[no]), amount))
