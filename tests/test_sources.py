@@ -11,17 +11,26 @@ from trailmark.fixed_values import MEDIUM_GROUPS
 from trailmark.operators.tagging import tag_series
 from trailmark.plans import journey, tracking
 from trailmark.sources import (
+    SUFFIX,
+    current_files,
+    drop_table,
     load_run,
+    publish_load,
     publish_view,
+    published_loads,
     read_csv_positional,
     read_json_pages,
     read_shards,
+    replace_files,
+    scan_shards,
     scratch_folder,
     small_table,
+    sweep,
     table_name,
     write_files,
     write_table,
 )
+from trailmark.sources.layout import in_ranges
 from trailmark.streaming.landing import append_new, landed_csv, landed_json_pages
 
 CSV = '''name,whatever,c,d,e,f,g,h,i
@@ -240,3 +249,167 @@ def test_landed_pages_are_appended_once(spark, tmp_path):
         rows = landed_json_pages(spark, str(landing), RECORD).withColumnsRenamed({"who.name": "name", "who.home.city": "city"})
         append_new(rows, target, progress).awaitTermination()
         assert spark.read.parquet(target).count() == n + 1
+
+
+def failing(rows):
+    """Fails on the last of the rows, when others are written."""
+    last = rows.agg(F.max("id")).first()[0]
+    return rows.withColumn("id", F.when(F.col("id") == last, F.raise_error(F.lit("broken off"))).otherwise(F.col("id")))
+
+
+def ids(frame):
+    return sorted(r[0] for r in rows_of(frame.select("id")))
+
+
+def test_shards_by_suffix(spark, tmp_path):
+    days = ("20240101", "20240102", "20240105", "intraday_20240105")
+    for n, day in enumerate(days):
+        session_frame(spark, [session(visitor=f"v{n}")]).write.parquet(f"{tmp_path}/ga_sessions_{day}")
+    session_frame(spark, [session(visitor="other")]).write.parquet(f"{tmp_path}/other_20240101")
+
+    def scan(**bounds):
+        return scan_shards(spark, str(tmp_path), "ga_sessions_", schemas.SESSIONS, **bounds)
+
+    def found(frame):
+        return sorted(rows_of(frame.select("fullVisitorId", SUFFIX)))
+
+    every = [(f"v{n}", day) for n, day in enumerate(days)]
+    assert found(scan()) == every
+    assert found(scan(first="20240102")) == every[1:]
+    assert found(scan(last="20240102")) == every[:2]
+    assert found(scan(first="20240102", last="20240131")) == every[1:3]
+    assert scan(first="z").count() == 0 and scan(first="z").columns == [*schemas.SESSIONS.names, SUFFIX]
+    # Bounds list their shards only; a filter on the column reads their files only.
+    assert len(scan(first="20240105").inputFiles()) == sum("20240105" in f for f in scan().inputFiles())
+    pruned = scan().where(F.col(SUFFIX) >= "20240105")
+    pruned.collect()
+    assert found(pruned) == every[2:]
+    scans = pruned._jdf.queryExecution().executedPlan().collectLeaves()
+    assert scans.apply(0).metrics().get("numFiles").get().value() < len(scan().inputFiles())
+
+
+def test_published_loads(spark, tmp_path):
+    path = str(tmp_path / "loads")
+
+    def load(numbers, source, day="2024-01-01", schema="id int, brand string"):
+        publish_load(spark.createDataFrame([(n, "01") for n in numbers], schema), path, source, day)
+
+    with pytest.raises(ValueError, match="nothing is published"):
+        published_loads(spark, path)
+    load([1, 2], "07")
+    load([3], "7")
+    load([4], "15")
+    load([5, 6], "07", "2024-01-02")
+    loads = published_loads(spark, path)
+    assert dict(loads.dtypes)["load_source"] == dict(loads.dtypes)["load_day"] == "string"
+    keys = "id", "load_source", "load_day"
+    assert sorted(rows_of(loads.select(*keys))) == [
+        (1, "07", "2024-01-01"), (2, "07", "2024-01-01"), (3, "7", "2024-01-01"), (4, "15", "2024-01-01"),
+        (5, "07", "2024-01-02"), (6, "07", "2024-01-02"),
+    ]
+    assert ids(published_loads(spark, path, sources=["07"], days=["2024-01-02"])) == [5, 6]
+    # A repeat replaces, by no rows too; the other loads stay.
+    load([7], "07", "2024-01-02")
+    load([], "15")
+    assert ids(published_loads(spark, path)) == [1, 2, 3, 7]
+    # Half a load is never seen, and the former rows are.
+    with pytest.raises(Exception, match="broken off"):
+        publish_load(failing(spark.range(100, 200).withColumn("brand", F.lit("01"))), path, "07", "2024-01-02")
+    assert ids(published_loads(spark, path)) == [1, 2, 3, 7]
+    # Readers that began before a repeat keep their rows until a sweep.
+    before = published_loads(spark, path)
+    load([8], "7")
+    assert ids(before) == [1, 2, 3, 7]
+    assert sweep(spark, path) == []
+    assert len(sweep(spark, path, older_than_hours=0)) == 4 and sweep(spark, path, older_than_hours=0) == []
+    assert ids(published_loads(spark, path)) == [1, 2, 7, 8]
+    # Later columns are NULL in earlier loads.
+    load([9], "16", schema="id int, store string")
+    assert published_loads(spark, path).where("store IS NULL").count() == 4
+    with pytest.raises(ValueError, match="load_day"):
+        publish_load(published_loads(spark, path), path, "07", "d")
+    with pytest.raises(TypeError, match="text"):
+        publish_load(spark.range(1), path, 7, "d")
+
+
+def test_files_are_replaced_whole(spark, tmp_path):
+    path = str(tmp_path / "files")
+    replace_files(spark.range(5), path)
+    replace_files(current_files(spark, path).where("id > 1"), path)
+    assert ids(current_files(spark, path)) == [2, 3, 4]
+    with pytest.raises(Exception, match="broken off"):
+        replace_files(failing(current_files(spark, path)), path)
+    assert ids(current_files(spark, path)) == [2, 3, 4]
+    replace_files(spark.range(6).withColumn("k", F.col("id") % 2), path, partition_by=["k"])
+    assert sorted(rows_of(current_files(spark, path))) == [(i, i % 2) for i in range(6)]
+
+
+def test_a_table_is_replaced_whole(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS aside")
+
+    def tables():
+        return {r.tableName for r in spark.sql("SHOW TABLES IN aside").collect() if r.tableName.startswith("t")}
+
+    write_table(spark.range(3), "t", "aside")
+    began = spark.table("aside.t")
+    with pytest.raises(Exception, match="broken off"):
+        write_table(failing(spark.range(50)), "t", "aside")
+    assert ids(spark.table("aside.t")) == [0, 1, 2] and len(tables()) == 2
+    # From its own rows, and with other columns.
+    write_table(spark.table("aside.t").where("id > 0").withColumn("k", F.lit("x")), "t", "aside", partition_by=["k"])
+    assert rows_of(spark.table("aside.t").orderBy("id")) == [(1, "x"), (2, "x")]
+    assert ids(began) == [0, 1, 2]
+    write_table(spark.range(9, 10), "t", "aside")
+    write_table(spark.range(10, 11), "t", "aside", mode="append")
+    assert ids(spark.table("aside.t")) == [9, 10]
+    # The current and the former rows are kept, no others.
+    assert len(tables()) == 3
+    drop_table(spark, "t", "aside")
+    assert tables() == set()
+    # A table that came from elsewhere.
+    spark.range(2).write.saveAsTable("aside.t")
+    write_table(spark.range(4), "t", "aside", mode="append")
+    write_table(spark.range(7), "t", "aside")
+    assert spark.table("aside.t").count() == 7 and len(tables()) == 3
+    drop_table(spark, "t", "aside")
+    assert tables() == set()
+
+
+@pytest.mark.parametrize("merged", ["true", "false"])
+def test_a_clustered_write_computes_its_rows_once(spark, tmp_path, merged):
+    computed = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(n):
+        computed.add(1)
+        return n * 7919 % 1000
+
+    rows = spark.range(0, 3000, 1, 6).select(counted("id").alias("k"), "id", F.lit("x").alias("part"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+    try:
+        write_files(rows, str(tmp_path / "once"), cluster_by=["k"], partition_by=["part"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert computed.value == 3000
+    assert spark.read.parquet(str(tmp_path / "once")).count() == 3000
+
+
+def test_ranges_order_all_kinds_of_columns(spark):
+    chance_rows = [(None if n % 11 == 0 else f"ü{n % 7}", None if n % 5 == 0 else n % 3 == 0, datetime(2024, 1, 1) + timedelta(hours=n * 37 % 101), n) for n in range(700)]
+    rows = spark.createDataFrame(chance_rows, "a string, b boolean, c timestamp_ntz, n int").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        with in_ranges(rows, ["a", "b", "c"]) as ordered:
+            parts = ordered.withColumn("p", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).orderBy("at").collect()
+        with in_ranges(rows.limit(0), ["a"]) as none:
+            assert none.count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+    def key(r):
+        return [(v is not None, v) for v in (r.a, r.b, r.c)]
+
+    assert len(parts) == 700 and len({r.p for r in parts}) == 8
+    assert all(key(x) <= key(y) for x, y in zip(parts, parts[1:], strict=False))
+    sizes = [sum(r.p == p for r in parts) for p in range(8)]
+    assert max(sizes) < 2 * 700 / 8

@@ -1,5 +1,6 @@
 """Readers for day shards, headed CSV files and landed JSON pages."""
 
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -8,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trailmark.sources.folders import folder_names
+
 
 def shard_glob(root: str, prefix: str, date_from: date | None = None, date_to: date | None = None) -> str:
     """Path glob of ``<root>/<prefix>*``, or of the named days' shards only.
@@ -39,6 +42,35 @@ def read_shards(
     return spark.read.schema(schema).parquet(shard_glob(root, prefix, date_from, date_to))
 
 
+#: Column with what follows the prefix in the name of a row's shard.
+SUFFIX = "_TABLE_SUFFIX"
+
+
+def scan_shards(
+    spark: SparkSession,
+    root: str,
+    prefix: str,
+    schema: T.StructType,
+    first: str | None = None,
+    last: str | None = None,
+) -> DataFrame:
+    """A family of sharded parquet tables as one frame, with the shard's suffix as a text column.
+
+    ``first`` and ``last`` bound the suffix, either alone too, by text order: folders of other shards
+    are not listed. A filter on the column prunes the files of other shards ahead of the scan.
+    Suffixes of days are eight digits, so those of same-day shards come after all of them. Shards
+    that are not there are no rows.
+    """
+    names = [n for n in sorted(folder_names(spark, root)) if n.startswith(prefix)]
+    suffixes = [n.removeprefix(prefix) for n in names]
+    wanted = [s for s in suffixes if (first is None or s >= first) and (last is None or s <= last)]
+    suffix = F.regexp_extract("_metadata.file_path", f"/{re.escape(prefix)}([^/]+)/[^/]*$", 1)
+    if not wanted:
+        return spark.createDataFrame([], schema).withColumn(SUFFIX, F.lit(None).cast("string"))
+    shards = spark.read.schema(schema).parquet(*[f"{root}/{prefix}{s}" for s in wanted])
+    return shards.select(*schema.names, suffix.alias(SUFFIX))
+
+
 def read_csv_positional(
     spark: SparkSession, path: str | list[str], schema: T.StructType, quoted_newlines: bool = True
 ) -> DataFrame:

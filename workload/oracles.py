@@ -423,6 +423,11 @@ ORACLES: dict[str, str] = {
            FROM flat0 WHERE sessionId[1:8] BETWEEN '20240105' AND '20240114' GROUP BY ALL""",
         "flat0",
     ),
+    "shard_scan_from": with_ctes(
+        """SELECT brand, sessionId[1:8] AS date, visitId, CAST(count(*) AS INTEGER) AS hits, sessionId[1:8] AS shard
+           FROM flat0 WHERE sessionId[1:8] >= '20240105' AND sessionId[1:8] <> '20240110' GROUP BY ALL""",
+        "flat0",
+    ),
     "unnest_hits": with_ctes("SELECT visitId, hitNumber, eventCategory, eventAction FROM flat0", "flat0"),
     "kv_lookup": with_ctes(
         """SELECT visitId, hitNumber, CASE WHEN brand NOT IN ('15', '40') THEN member END AS key_178,
@@ -603,6 +608,14 @@ FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
            FROM beacon""",
         "beacon",
     ),
+    "publish_loads": with_ctes(
+        f"""SELECT * EXCLUDE (day), brand_id AS load_source, day AS load_day FROM (
+                SELECT *, CASE WHEN event_time + INTERVAL 8 HOUR < '2024-01-15' THEN '2024-01-14' ELSE '2024-01-15' END AS day
+                FROM beacon) AS dated
+            WHERE brand_id IN ({_BRAND_LIST}) AND NOT (brand_id = '15' AND day = '2024-01-15')""",
+        "beacon",
+    ),
+    "replace_aside": with_ctes("SELECT * FROM interest WHERE is_luxe", "interest"),
     "csv_bom_load": with_ctes(
         """SELECT * REPLACE ('"' || event_type || '"' || chr(10) || event_name AS event_name) FROM beacon""", "beacon"
     ),

@@ -3,7 +3,7 @@
 from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
-from uuid import uuid4
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,11 +42,17 @@ from trailmark.plans.beacon import beacon_checks, beacon_stage
 from trailmark.plans.sales import brand_sales
 from trailmark.sources import (
     LOAD_KEYS,
+    SUFFIX,
+    current_files,
     load_run,
+    publish_load,
     publish_view,
+    published_loads,
     read_csv_positional,
     read_json_pages,
     read_shards,
+    replace_files,
+    scan_shards,
     scratch_folder,
     table_name,
     write_files,
@@ -153,6 +159,17 @@ def shard_scan_bounded(spark, sf_dir):
     return stored.select("brand", "date", "visitId", F.size("hits").alias("hits"))
 
 
+@query
+def shard_scan_from(spark, sf_dir):
+    """The shards from a day on, with the day as a column; some of them by a filter on the column."""
+    root = scratch_folder(spark, "shards")
+    sharded = inputs.sessions(spark, sf_dir).withColumn("sessions_of", F.col("date"))
+    write_files(sharded, root, partition_by=["sessions_of"])
+    stored = scan_shards(spark, root, "sessions_of=", inputs.BRANDED_SESSIONS, first="20240105")
+    found = stored.where(F.col(SUFFIX) != "20240110")
+    return found.select("brand", "date", "visitId", F.size("hits").alias("hits"), F.col(SUFFIX).alias("shard"))
+
+
 @query
 def unnest_hits_query(spark, sf_dir):
     hits = unnest_hits(inputs.sessions(spark, sf_dir), ["hitNumber", "eventInfo"])
@@ -486,8 +503,8 @@ def sequence_number(spark, sf_dir):
 
 @query
 def global_mean(spark, sf_dir):
-    points = _points(spark, sf_dir)
-    sums = slopes.with_means(slopes.series_sums(slopes.numbered(points)), slopes.pooled_means(points))
+    each = slopes.series_sums(_points(spark, sf_dir))
+    sums = slopes.with_means(each, slopes.pooled_means(each))
     means = sums.select("horizon", F.col("key").alias("keyword"), "x_bar", "y_bar")
     return rounded(means, ["x_bar", "y_bar"], 6)
 
@@ -578,7 +595,8 @@ def seed_load(spark, sf_dir):
 def catalog_table(spark, sf_dir):
     """A table in a named schema, replaced once, and a view over it."""
     spark.sql("CREATE SCHEMA IF NOT EXISTS marts")
-    name = f"interest_{uuid4().hex}"
+    # One table for each input, so that calls leave no others behind.
+    name = f"interest_{crc32(sf_dir.encode()):08x}"
     for _ in range(2):
         write_table(inputs.interest(spark, sf_dir), name, schema=" marts ", default_schema="default")
     publish_view(spark.table(table_name(name, "marts")).where(F.col("is_luxe")), f"luxe_{name}")
@@ -625,6 +643,47 @@ def append_by_day(spark, sf_dir):
     return loaded.withColumns(instants | {n: F.col(n).cast("string") for n in LOAD_KEYS})
 
 
+@query
+def publish_loads(spark, sf_dir):
+    """Loads of each brand on two days through a ledger. Of the second day's, one is repeated, one is
+    repeated without rows, and one fails halfway.
+    """
+    rows = inputs.beacon(spark, sf_dir)
+    path = scratch_folder(spark, "published-loads")
+    later = civil_date(epoch_to_civil(F.unix_micros("event_time"), "us", 8)) >= F.lit("2024-01-15").cast("date")
+
+    def load(code: str, day: str, check: Column | None = None) -> None:
+        wanted = (F.col("brand_id") == code) & (later if day == "2024-01-15" else ~later)
+        publish_load(rows.where(wanted if check is None else wanted & check), path, code, day)
+
+    for day in ("2024-01-14", "2024-01-15"):
+        for code in BEACON_BRANDS:
+            load(code, day)
+    load("07", "2024-01-15")
+    load("15", "2024-01-15", F.lit(False))
+    try:
+        load("16", "2024-01-15", F.raise_error(F.lit("half a load")).cast("boolean"))
+    except Exception as error:
+        if "half a load" not in str(error):
+            raise
+    return published_loads(spark, path).withColumns({n: civil_utc(F.col(n)) for n in ("event_time", "first_follow")})
+
+
+@query
+def replace_aside(spark, sf_dir):
+    """A set of files replaced by rows made from it, then by a write that fails."""
+    path = scratch_folder(spark, "interest-files")
+    replace_files(inputs.interest(spark, sf_dir), path)
+    replace_files(current_files(spark, path).where(F.col("is_luxe")), path)
+    try:
+        replace_files(current_files(spark, path).withColumn("hits", F.raise_error(F.lit("half a write")).cast("int")), path)
+    except Exception as error:
+        if "half a write" not in str(error):
+            raise
+    stamp = civil_utc(F.col("updated_datetime"))
+    return current_files(spark, path).withColumn("updated_datetime", stamp)
+
+
 @query
 def landed_append(spark, sf_dir):
     """Exactly-once append of landed CSV files; the second run finds nothing new."""
@@ -658,7 +717,7 @@ def clustered_write(spark, sf_dir):
 @query
 def check_unique(spark, sf_dir):
     key = joined_key(*[F.col(c) for c in ("event_name", "receiver_uid", "event_type", "event_time")])
-    return checks.run_checks(inputs.faulty_beacon(spark, sf_dir), [checks.unique(key, "key")])
+    return checks.run_checks(inputs.faulty_beacon(spark, sf_dir), [checks.unique(key, "key", by_hash=True)])
 
 
 @query
