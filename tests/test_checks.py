@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import plan
 from tests.test_reports import beacons
+from trailmark.operators import checks
 from trailmark.operators.checks import (
     accepted_values,
     expression_is_true,
@@ -76,3 +77,23 @@ def test_row_checks_share_one_pass(spark, tmp_path):
     text = plan(run_checks(spark.read.parquet(path), checks))
     assert text.count("FileScan") == 1
     assert plan(run_checks(spark.read.parquet(path), [*checks, unique(F.col("event_name"), "n")])).count("FileScan") == 2
+
+
+def test_unique_verifies_hashes_that_clash(spark, monkeypatch):
+    rows = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), (None,), (None,), ("d",), ("d",), ("d",)], "k string")
+    check = checks.unique(F.col("k"), "k", by_hash=True)
+    assert check.failures(rows).first()[0] == 2
+    for hashes in ([F.lit(5).cast("bigint")] * 2, [F.lit(-1).cast("bigint"), F.length("_key").cast("bigint")]):
+        monkeypatch.setattr(checks, "key_hashes", lambda key, hashes=hashes: hashes)
+        assert check.failures(rows).first()[0] == 2
+    assert check.failures(rows.limit(0)).first()[0] == 0
+
+
+def test_unique_shuffles_text_of_suspects_only(spark):
+    rows = spark.range(20_000).select(F.concat(F.lit("key "), F.col("id").cast("string")).alias("_key"))
+    assert checks.suspects(rows).count() == 0
+    twice = rows.union(rows.where("_key LIKE '%77'"))
+    repeated = checks.suspects(twice)
+    # Each of the 200 repeated keys twice, and the few that share a bit with one.
+    assert 400 <= repeated.count() < 420
+    assert repeated.groupBy("_key").count().where("count > 1").count() == 200

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import final_plan, plan, random_hits, rows_of, same_rows
 from trailmark.operators.attach import attach_by_key, full_outer_report
-from trailmark.operators.identity import fill_identity, first_day_flag, stitch_identity
+from trailmark.operators.identity import fill_identity, first_day_flag, packed_order, stitch_identity
 from workload.plain import plain_first_day, plain_stitch, whole
 
 COLUMNS = ["brand", "marsId", "sessionId", "fullVisitorId", "visitStartDateTime"]
@@ -108,3 +108,26 @@ def test_full_outer_report_keeps_both_sides_of_null_keys(spark):
     assert sorted(rows_of(got), key=str) == sorted(
         [(None, 1, 10, None), (None, 1, None, 5), ("a", 1, 20, 6), ("b", 2, None, 7)], key=str
     )
+
+
+def test_packed_order_is_the_order_of_the_numbers(spark):
+    values = [None, 0, 1, 2, 500, 2**31 - 2]
+    pairs = [(a, b) for a in values for b in values]
+    frame = spark.createDataFrame(pairs, "a long, b int")
+    packed = {(r.a, r.b): r.p for r in frame.withColumn("p", packed_order([F.col("a"), F.col("b")])).collect()}
+    rank = {v: n for n, v in enumerate(values)}
+    by_rank = sorted(pairs, key=lambda p: (rank[p[0]], rank[p[1]]))
+    assert sorted(pairs, key=packed.get) == by_rank and len(set(packed.values())) == len(pairs)
+    for bad in (-1, 2**31 - 1):
+        with pytest.raises(Exception, match="no order below"):
+            spark.createDataFrame([(bad,)], "a long").select(packed_order([F.col("a")])).collect()
+
+
+def test_identity_fill_sorts_no_hits(spark):
+    """Rows meet in hash aggregates; only (visitor, member) pairs are compared as text."""
+    rows = spark.createDataFrame([("v", 1, 1, "m")], "v string, n long, h long, m string")
+    lines = plan(fill_identity(rows, "m", ["v"], ["n", "h"], spread_by=["n"])).splitlines()
+    grouped = [line for line in lines if "Aggregate(" in line]
+    assert any("HashAggregate(keys=[v" in line and ", m" in line and "partial_max(_packed" in line for line in grouped)
+    sorted_ = [line for line in grouped if "SortAggregate" in line]
+    assert sorted_ and all("struct(_packed" in line or "_last" in line for line in sorted_)

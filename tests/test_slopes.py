@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import final_plan, plan
 from trailmark import schemas
+from trailmark.operators.slopes import numbered, recent_points
 from trailmark.plans.trends import trend_report, trend_slopes
 from workload.plain import plain_slope
 
@@ -101,3 +102,25 @@ def test_runs_are_built_once_from_recent_points(spark, tmp_path):
     lines = final.splitlines()
     scan = next(n for n, line in enumerate(lines) if "FileScan" in line)
     assert any("Filter" in line and "date_sub" in line for line in lines[scan - 4 : scan])
+
+
+def test_numbers_follow_days_then_values(spark):
+    points = series("a", 20) + series("a", 20) + series("b", 5) + [("b", ASOF.date(), None, ASOF)]
+    rows = interest(spark, points).selectExpr("keyword AS key", "date AS day", "DATE'2022-06-30' AS as_of", "hits AS y")
+    found = numbered(recent_points(rows, {"all": 365}))
+    window = Window.partitionBy("key").orderBy("day", "y")
+    plain = sorted((r.key, r.day, r.x) for r in rows.withColumn("x", F.row_number().over(window)).collect())
+    assert sorted((r.key, r.day, r.before + 1 + k) for r in found.collect() for k in range(r.n)) == plain
+    windows = [line for line in plan(found).splitlines() if "Window [" in line]
+    assert windows and all(line.count("day") for line in windows)
+
+
+def test_one_scan_of_the_series_and_no_window_over_a_key(spark, tmp_path):
+    rows = interest(spark, series("a", 50) + series("b", 20) + [("old", date(2001, 1, 1), 3, ASOF)])
+    rows.write.parquet(str(tmp_path / "interest"))
+    report = trend_report(spark.read.parquet(str(tmp_path / "interest")))
+    assert {r.keyword for r in report.collect()} == {"a", "b", "old"}
+    final = final_plan(report).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    windows = [line for line in final.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "day" in windows[0].split("], [")[1]

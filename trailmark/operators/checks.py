@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trailmark.operators.bitfilter import bit_filter, passes
+
 
 @dataclass(frozen=True)
 class RowCheck:
@@ -38,17 +40,45 @@ class GroupCheck:
         return groups.agg(F.count_if(~F.col("_passes")).alias("failures"))
 
 
+#: 64-bit words of the filter of suspected keys: 128 KB, whatever the input.
+FILTER_WORDS = 1 << 14
+
+
+def key_hashes(key: Column) -> list[Column]:
+    """128 bits of a key."""
+    return [F.xxhash64(F.lit(seed), key) for seed in (1, 2)]
+
+
+def suspects(keyed: DataFrame) -> DataFrame:
+    """The rows of ``_key`` that may have an equal: all that have, and few others.
+
+    Keys are counted by their hashes. The hashes that repeat set bits of an array of fixed size, which
+    enters the plan as a scalar subquery; rows without their bit are unique. So of keys that do not
+    repeat only hashes are shuffled, not text.
+    """
+    first, second = key_hashes(F.col("_key"))
+    hashed = keyed.select(first.alias("_h1"), second.alias("_h2"))
+    repeated = hashed.groupBy("_h1", "_h2").agg(F.count("*").alias("_n")).where("_n > 1")
+    filled = bit_filter(repeated, F.col("_h1"), FILTER_WORDS)
+    return keyed.where(passes(filled, first, FILTER_WORDS))
+
+
 @dataclass(frozen=True)
 class UniqueCheck:
-    """Fails once per value of ``key`` that occurs on several rows; NULL is no value."""
+    """Fails once per value of ``key`` that occurs on several rows; NULL is no value.
+
+    ``by_hash`` is for wide keys of many rows, of which few repeat: a second scan saves the shuffle
+    of the keys that do not.
+    """
 
     name: str
     column: str
     key: Column
+    by_hash: bool = False
 
     def failures(self, rows: DataFrame) -> DataFrame:
         keyed = rows.select(self.key.alias("_key")).where("_key IS NOT NULL")
-        repeated = keyed.groupBy("_key").agg(F.count("*").alias("_n"))
+        repeated = (suspects(keyed) if self.by_hash else keyed).groupBy("_key").agg(F.count("*").alias("_n"))
         return repeated.agg(F.count_if(F.col("_n") > 1).alias("failures"))
 
 
@@ -76,8 +106,8 @@ def expression_is_true(
     return RowCheck("expression_is_true", column, passes, where)
 
 
-def unique(key: Column, column: str) -> UniqueCheck:
-    return UniqueCheck("unique", column, key)
+def unique(key: Column, column: str, by_hash: bool = False) -> UniqueCheck:
+    return UniqueCheck("unique", column, key, by_hash)
 
 
 def run_checks(rows: DataFrame, checks: Sequence[Check]) -> DataFrame:

@@ -17,19 +17,43 @@ from trailmark.operators.attach import attach_by_key
 UNDATED = "0001-01-01"
 
 
-def last_known(rows: DataFrame, value: str, by: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per ``by`` group, the last non-NULL ``value`` in ``order``; ties take the largest value.
+#: Numbers that order rows are below this, so that two fit in one.
+ORDER_LIMIT = (1 << 31) - 1
+
+
+def packed_order(numbers: Sequence[Column]) -> Column:
+    """One or two whole numbers as one of 64 bits with the same order, NULL first. It fits in a hash
+    aggregate's row, which a struct does not. A number out of range is an error.
+    """
+    if len(numbers) > 2:
+        raise ValueError("an order of at most two numbers")
+
+    def raised(number: Column) -> Column:
+        fits = number.between(0, ORDER_LIMIT - 1)
+        wrong = F.raise_error(F.concat(F.lit("no order below 2^31: "), number.cast("string"))).cast("bigint")
+        return F.when(number.isNull(), F.lit(0)).when(fits, number.cast("bigint") + 1).otherwise(wrong)
+
+    first, *second = map(raised, numbers)
+    return F.shiftleft(first, 32).bitwiseOR(second[0]) if second else first
+
+
+def _value_of_last(rows: DataFrame, value: str, by: Sequence[str], packed: str) -> DataFrame:
+    """Per ``by`` group, the non-NULL ``value`` of the largest ``packed`` number; ties take the largest value.
 
+    The first grouping, by value too, needs numbers only; text is compared among a group's values.
     Groups without one are left out behind the aggregate: a filter ahead of it would
     evaluate the expression behind ``value`` a second time for every row.
     """
-    known = F.when(F.col(value).isNotNull(), F.struct(*order, value))
-    return (
-        rows.groupBy(*by)
-        .agg(F.max(known).alias("_last"))
-        .where(F.col("_last").isNotNull())
-        .select(*by, F.col(f"_last.{value}").alias(value))
-    )
+    last = rows.groupBy(*by, value).agg(F.max(packed).alias(packed)).where(F.col(value).isNotNull())
+    return last.groupBy(*by).agg(F.max(F.struct(packed, value)).alias("_last")).select(*by, F.col(f"_last.{value}").alias(value))
+
+
+def last_known(rows: DataFrame, value: str, by: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Per ``by`` group, the last non-NULL ``value`` in ``order``, one or two whole numbers; ties take the
+    largest value. Groups without one are left out.
+    """
+    packed = packed_order([F.col(name) for name in order]).alias("_packed")
+    return _value_of_last(rows.select(*by, value, packed), value, by, "_packed")
 
 
 def fill_identity(
@@ -58,13 +82,8 @@ def last_known_of_sessions(
     """
     known = F.filter(candidates, lambda c: c["value"].isNotNull())
     rows = sessions.select(*by, F.col(order).alias("_order"), F.array_max(known).alias("_last"))
-    last = F.when(F.col("_last").isNotNull(), F.struct("_order", "_last.number", "_last.value"))
-    return (
-        rows.groupBy(*by)
-        .agg(F.max(last).alias("_last"))
-        .where(F.col("_last").isNotNull())
-        .select(*by, F.col("_last.value").alias(value))
-    )
+    packed = packed_order([F.col("_order"), F.col("_last.number")]).alias("_packed")
+    return _value_of_last(rows.select(*by, F.col("_last.value").alias(value), packed), value, by, "_packed")
 
 
 def ranked_day(at: Column) -> Column:

@@ -27,7 +27,7 @@ def beacon_stage(beacon: DataFrame) -> DataFrame:
 def beacon_checks() -> list[Check]:
     event_key = joined_key(*[F.col(c) for c in ("event_name", "receiver_uid", "event_type", "event_time")])
     return [
-        unique(event_key, "event_name-receiver_uid-event_type-event_time"),
+        unique(event_key, "event_name-receiver_uid-event_type-event_time", by_hash=True),
         not_null("event_name"),
         value_lengths_to_equal("receiver_uid", BEACON_UID_LENGTH),
         not_null("receiver_uid"),
