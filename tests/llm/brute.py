@@ -80,7 +80,7 @@ def contamination(text, items, window=13):
         for k in range(len(words) - n + 1):
             if n and tuple(words[k : k + n]) in wanted:
                 hit.update(range(k, k + n))
-                named.add(str(i))
+                named |= {str(i)} - {"None"}
     return len(words), len(hit), sorted(named)
 
 

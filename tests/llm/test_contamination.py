@@ -25,8 +25,9 @@ def test_equals_brute_force_in_one_block_and_in_many(spark, monkeypatch):
     items, documents = corpus()
     frame = spark.createDataFrame(documents, "doc_id long, text string")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    known = [(i, t) for i, t in items if i is not None and t is not None]
-    for size in (contamination.BLOCK_BYTES, 200):
+    known = [(i, t) for i, t in items if t is not None]
+    # One block, one pass of several, and several passes.
+    for size in (contamination.BLOCK_BYTES, 700, 120):
         monkeypatch.setattr(contamination, "BLOCK_BYTES", size)
         found = find_contamination(frame, benchmark)
         assert found.columns == ["doc_id", "text", "contamination"]

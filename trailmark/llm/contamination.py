@@ -8,7 +8,8 @@ runs over the text's words, as numbers, once.
 from __future__ import annotations
 
 import re
-from itertools import chain
+from functools import reduce
+from itertools import islice
 
 import ahocorasick
 import numpy as np
@@ -34,13 +35,15 @@ class Items:
         self.windows: dict[tuple[int, ...], set[str]] = {}
         self.size = 0
 
-    def add(self, item: str, text: str, window: int) -> None:
+    def add(self, item: str | None, text: str, window: int) -> None:
         body = text.encode()
         self.size += len(body)
         words = body.translate(NORMAL).split()
         ids = tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in words)
         for i in range(max(1, len(ids) - window + 1) if ids else 0):
-            self.windows.setdefault(ids[i : i + window], set()).add(item)
+            names = self.windows.setdefault(ids[i : i + window], set())
+            if item is not None:
+                names.add(item)
 
     def automaton(self):
         """Number of each word, and the automaton; built where it runs, once in a worker."""
@@ -64,7 +67,7 @@ class Items:
 def blocks(benchmark: DataFrame, item_id: str, text: str, window: int):
     """The benchmark's items in bounded blocks, one at a time."""
     block = Items()
-    rows = benchmark.select(F.col(item_id).cast("string"), F.col(text)).dropna()
+    rows = benchmark.select(F.col(item_id).cast("string"), F.col(text).alias("body")).dropna(subset=["body"])
     for item, body in rows.toLocalIterator():
         block.add(item, body, window)
         if block.size >= BLOCK_BYTES:
@@ -81,6 +84,8 @@ FOUND = StructType([
     StructField("items", ArrayType(StringType())),
 ])
 
+PARTS = ("words", "spans", "items")
+
 
 def scan(body: bytes, numbers: dict, machine) -> dict:
     """What FOUND holds; spans are code points of the original text, one for each run of hit words."""
@@ -126,9 +131,12 @@ def find_contamination(
     in share).
 
     A window is so many consecutive words of an item, or all words of a shorter item. Items with a null
-    id or text take no part; items with the same id count as one. A null or empty text has no words and
-    is not contaminated. Rows stay as they are; a column named like the result is replaced. An empty
-    benchmark finds nothing.
+    text take no part; the windows of one with a null id mark words, but it has no name to list; items
+    with the same id count as one. A null or empty text has no words and is not contaminated. Rows stay
+    as they are; a column named like the result is replaced. An empty benchmark finds nothing.
+
+    A benchmark of more blocks than one pass takes is scanned in several. Each stores what it finds by
+    the text's key, two 64-bit xxHashes, once for equal texts; documents are joined with it at the end.
     """
     def scanner(block):
         def make():
@@ -141,23 +149,41 @@ def find_contamination(
 
         return text_function(FOUND, make)
 
+    spark = documents.sparkSession
+    texts = documents.select(F.col(text).alias("text"))
+    keys = [F.xxhash64(F.lit(seed), "text").alias(f"k{seed}") for seed in (1, 2)]
+    all_blocks = blocks(benchmark, item_id, item_text, window)
+    first = list(islice(all_blocks, BLOCKS_PER_PASS))
+    earlier: list[DataFrame] = []
+    while (more := next(all_blocks, None)) is not None:
+        found = texts.select(*keys, *[scanner(shared(spark, x))(F.col("text")).alias(f"found{k}") for k, x in enumerate(first)])
+        each = found.select("k1", "k2", F.explode(F.array(*[F.struct(*[F.col(f"found{k}")[n].alias(n) for n in PARTS]) for k in range(len(first))])).alias("x"))
+        hits = each.where(F.size("x.words") > 0).select("k1", "k2", "x.*")
+        earlier.append(stored(hits.dropDuplicates(["k1", "k2", "words", "items"]), "contamination-pass"))
+        first = [more, *islice(all_blocks, BLOCKS_PER_PASS - 1)]
     scanned, held = documents, []
-    for no, block in enumerate(chain(blocks(benchmark, item_id, item_text, window), [None])):
-        if block is None and no:
-            break
-        if no and no % BLOCKS_PER_PASS == 0:
-            scanned = stored(scanned, "contamination-pass")
-        scan_texts = scanner(shared(documents.sparkSession, block) if block else None)
-        held.append(free_name(scanned, f"found{no}"))
-        scanned = scanned.withColumn(held[-1], scan_texts(F.col(text)))
+    for block in first or [None]:
+        held.append(free_name(scanned, f"found{len(held)}"))
+        scanned = scanned.withColumn(held[-1], scanner(shared(spark, block) if block else None)(F.col(text)))
+    n_words = F.col(held[0])["n_words"]
     found = [F.col(name) for name in held]
+    if earlier:
+        other, k1, k2 = (free_name(scanned, n) for n in ("earlier", "k1", "k2"))
+        hits = reduce(DataFrame.unionByName, earlier)
+        lists = hits.groupBy("k1", "k2").agg(*[F.flatten(F.collect_list(n)).alias(n) for n in PARTS])
+        lists = stored(lists.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.struct(*PARTS).alias(other)), "contamination-hits")
+        of_text = [F.xxhash64(F.lit(seed), F.col(text)) for seed in (1, 2)]
+        scanned = scanned.join(lists, (of_text[0] == F.col(k1)) & (of_text[1] == F.col(k2)), "left").drop(k1, k2)
+        held.append(other)
+        found.append(F.col(other))
 
     def merged(name: str):
         if len(found) == 1:
             return found[0][name]
-        return F.array_sort(F.array_distinct(F.flatten(F.array(*[x[name] for x in found]))))
+        lists = [F.coalesce(x[name], F.array().cast(FOUND[name].dataType)) for x in found]
+        return F.array_sort(F.array_distinct(F.flatten(F.array(*lists))))
 
-    n_hit, n_words = F.size(merged("words")).cast("long"), found[0]["n_words"]
+    n_hit = F.size(merged("words")).cast("long")
     return scanned.withColumn(
         result,
         F.struct(

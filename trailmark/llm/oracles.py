@@ -5,7 +5,7 @@ _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCD
 
 DECONTAMINATION = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS words FROM documents),
-items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark WHERE item_id IS NOT NULL),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS words FROM benchmark WHERE text IS NOT NULL),
 windows AS (
     SELECT DISTINCT item, least(len(words), 13) AS n, array_to_string(words[i:i + least(len(words), 13) - 1], ' ') AS w
     FROM items, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS t(i) WHERE len(words) > 0
