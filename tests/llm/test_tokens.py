@@ -71,3 +71,61 @@ def test_odd_rows(spark):
     found = sorted(tuple(r) for r in got.select(F.coalesce("doc_id", F.lit(0)), "n_bytes", "n_tokens", "over_limit", "found").collect())
     assert found == [(0, 0, 0, False, 7), (1, 0, 0, False, 7), (2, 3, 2, False, 7), (2, 3, 2, False, 7), (3, 10000, 5001, True, 7)]
     assert count_tokens(frame.limit(0), path).count() == 0
+
+
+def test_ids_of_every_latin_letter_before_every_sign():
+    """U+0130 lower-cases to a letter and a sign; so its run of signs is another."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model, encoder = Tokenizer.from_file(path), WordEncoder(path)
+    letters = [chr(c) for c in range(0x21, ord(WordEncoder.LATIN)) if not chr(c).isspace()]
+    words = ["TEDAVİSİ.", "İ!", "Aİ,", "ABİ?", "İstanbul", "İİ..", "iİ!?"]
+    words += [a + s for a in letters for s in WordEncoder.SIGNS] + [f"x{a}{s}{s}" for a in letters for s in ".!"]
+    found = [ids.tolist() for ids, _ in encoder.batch_ids([w.encode() for w in words])]
+    wrong = [w for w, ids in zip(words, found, strict=True) if ids != model.encode(w, add_special_tokens=False).ids]
+    assert wrong == []
+
+
+def test_long_words_are_not_remembered():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    model, encoder = Tokenizer.from_file(path), WordEncoder(path)
+    chance = random.Random(8)
+    long = ["".join(chance.choice("abcXYZ019+/") for _ in range(20_000)) for _ in range(30)]
+    texts = [f"the {x} word. {x[:70]} end" for x in long]
+    want = [model.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [ids.tolist() for ids, _ in encoder.batch_ids([t.encode() for t in texts])] == want
+    assert set(encoder.place) == {b"the", b"word", b".", b"end"} and len(encoder.first) == 4 and encoder.used < 10
+
+
+def test_batches_go_to_the_library_by_bytes(texts, monkeypatch):
+    """Few calls for many texts, and none above the limit."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    counter, plain = PieceCounter(path), PieceCounter(path)
+    want = [plain.count(t) for t in texts]
+    calls = []
+
+    class Model:
+        def encode(self, batch, num_threads):
+            calls.append(sum(len(x.encode()) for x in batch))
+            return plain.model.encode(batch, num_threads=num_threads)
+
+    counter.model = Model()
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 2000)
+    monkeypatch.setattr(tokens.by_bytes, "__defaults__", (2000,))
+    short = [t for t in texts if len(t) < 400]
+    assert counter.counts(short) == [n for t, n in zip(texts, want, strict=True) if len(t) < 400]
+    assert len(calls) < len(short) / 2 and max(calls) <= 2000 + 400
+
+
+def test_a_text_of_several_slices():
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    chance = random.Random(6)
+    text = " ".join(chance.choice(["the", "Straße", "x  y", "日本語", "end.\n", "#", "0123456789" * 9]) for _ in range(90_000))
+    assert len(text) > tokens.BATCH_BYTES // 4
+    assert PieceCounter(path).counts([text, None, text[:10]])[0] == len(sentencepiece.SentencePieceProcessor(model_file=path).encode(text))

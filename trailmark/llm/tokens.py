@@ -1,4 +1,7 @@
-"""Token counts and ids by a public tokenizer, whole texts, in batches balanced by bytes.
+"""Token counts and ids by a public tokenizer, whole texts.
+
+For counts, the parts of all texts of an Arrow batch that are not remembered go to the library in
+batches balanced by UTF-8 bytes, and lengths only come back.
 
 Texts are cut where no token can span the cut: for the sentence-piece model at single spaces
 between other characters (no piece has a space mark after its first character), for the word
@@ -19,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from trailmark.llm.common import shared, text_function
+from trailmark.llm.common import LOWER, shared, text_function
 
 #: Parts remembered by a worker; the memory is emptied when it is full.
 REMEMBERED = 600_000
@@ -53,14 +56,15 @@ def parts(text: str) -> list[str]:
 
 
 def by_bytes(texts: list[str], limit: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """Consecutive texts in batches of at most limit characters, or of one text."""
+    """The texts in batches of at most limit UTF-8 bytes, or of one text."""
     batch, size = [], 0
     for text in texts:
-        if batch and size + len(text) > limit:
+        n = len(text) if text.isascii() else len(text.encode())
+        if batch and size + n > limit:
             yield batch
             batch, size = [], 0
         batch.append(text)
-        size += len(text)
+        size += n
     if batch:
         yield batch
 
@@ -77,6 +81,7 @@ class PieceCounter:
         return {"path": self.path, "model": None, "known": {}}
 
     def encode_lengths(self, texts: list[str]) -> list[int]:
+        """The library's token counts, texts of about the same bytes to a call."""
         if self.model is None:
             import sentencepiece
 
@@ -86,24 +91,55 @@ class PieceCounter:
             out += map(len, self.model.encode(batch, num_threads=1))
         return out
 
-    def part_lengths(self, units: list[str]) -> int:
-        found = list(map(self.known.get, units))
-        if None not in found:
-            return sum(found)
-        new = list({u for u, n in zip(units, found, strict=True) if n is None})
+    def part_lengths(self, units: list[list[str]]) -> list[int]:
+        """The tokens of each list of parts. What no list's parts are known for goes to the library together."""
+        get = self.known.get
+        found = [list(map(get, u)) for u in units]
+        new = list({x for u, f in zip(units, found, strict=True) if None in f for x, n in zip(u, f, strict=True) if n is None})
+        if not new:
+            return list(map(sum, found))
         lengths = dict(zip(new, self.encode_lengths(new), strict=True))
-        total = sum(lengths[u] if n is None else n for u, n in zip(units, found, strict=True))
+        totals = [
+            sum(lengths[x] if n is None else n for x, n in zip(u, f, strict=True)) if None in f else sum(f)
+            for u, f in zip(units, found, strict=True)
+        ]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        self.known.update((u, n) for u, n in lengths.items() if len(u) <= LONG_PART)
-        return total
+        self.known.update((x, n) for x, n in lengths.items() if len(x) <= LONG_PART)
+        return totals
+
+    def units(self, texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+        """The number of a text and parts of it, a slice's at a time."""
+        for i, text in enumerate(texts):
+            if text and SPACE_MARK in text:  # the mark stands for a space: such a text is not cut
+                yield i, [text]
+            elif text:
+                for piece in slices(text):
+                    yield i, parts(piece)
 
     def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if SPACE_MARK in text:  # the mark stands for a space: such a text is not cut
-            return self.encode_lengths([text])[0]
-        return sum(self.part_lengths(parts(piece)) for piece in slices(text))
+        return self.counts([text])[0]
+
+    def counts(self, texts: list[str | None]) -> list[int]:
+        """The tokens of each text. Slices are looked at together up to a batch's bytes, so memory is bounded
+        by a batch, or by a text that cannot be cut.
+        """
+        totals = [0] * len(texts)
+        held: list[tuple[int, list[str]]] = []
+        size = 0
+
+        def add() -> None:
+            for (i, _), n in zip(held, self.part_lengths([u for _, u in held]), strict=True):
+                totals[i] += n
+
+        for i, unit in self.units(texts):
+            held.append((i, unit))
+            size += sum(map(len, unit)) + len(unit)
+            if size >= BATCH_BYTES:
+                add()
+                held, size = [], 0
+        add()
+        return totals
 
 
 def count_tokens(
@@ -117,10 +153,10 @@ def count_tokens(
     counter = shared(documents.sparkSession, PieceCounter(model_path))
 
     def make():
-        count = counter().count
+        counts = counter().counts
 
         def work(texts: pa.Array) -> pa.Array:
-            return pa.array([count(t.as_py()) for t in texts], pa.int64())
+            return pa.array(counts(texts.to_pylist()), pa.int64())
 
         return work
 
@@ -146,9 +182,11 @@ class WordEncoder:
     SIGNS = ".,!?&*%$#"
     #: Below, letters are Latin, composed, and letters in every version of Unicode.
     LATIN = "\u0250"
-    #: Words remembered by a worker, some 160 bytes each.
-    REMEMBERED = 800_000
+    #: Words remembered by a worker, and the bytes of the longest: 300 bytes each at most.
+    REMEMBERED, LONG_WORD = 800_000, 64
     ENDED = re.compile(rb"[.!?][\"')\]]*$")
+    #: Such a run behind a plain letter, which may as well be a word of its own.
+    BEHIND = re.compile(rb"(?<=[a-z])([.,!?&*%$#]+)(?=\s|\Z)")
 
     def __init__(self, path: str):
         self.path = path
@@ -173,6 +211,21 @@ class WordEncoder:
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
 
+    def forget_from(self, place: int, used: int) -> None:
+        """Forget the words learned last."""
+        while len(self.place) > place:
+            self.place.popitem()
+        self.first, self.size, self.ends = self.first[:place], self.size[:place], self.ends[:place]
+        self.used = used
+        if len(self.ids) > 1 << 22 and len(self.ids) > 4 * used:
+            self.ids = self.ids[: 2 * used + 1].copy()
+
+    def parted(self, text: bytes) -> bytes:
+        """The text with fewer different words and the same ids: the model lower-cases, and drops white space.
+        Its special strings are matched as they stand, so a text that may hold one is left.
+        """
+        return text if b"<|" in text else self.BEHIND.sub(rb" \1", text.translate(LOWER))
+
     def encode(self, text: str) -> list[int]:
         return self.model.encode(text, add_special_tokens=False).ids
 
@@ -188,14 +241,22 @@ class WordEncoder:
         """Remember words not met before."""
         ids, sizes, ends, tails = [], [], [], {}
         for word in words:
+            if word.isalpha():  # plain letters, most words
+                found = [t.id for t in self.merge(word.lower().decode())]
+                ids += found
+                sizes.append(len(found))
+                ends.append(False)
+                continue
             whole = word.decode()
             body = whole.rstrip(self.SIGNS)
             before = len(ids)
-            if body and body != whole and body[-1].isalpha() and body[-1] < self.LATIN:
+            # A capital may become a letter and a sign, as U+0130 does; then the sign joins the run.
+            last = body[-1:].lower()[-1:]
+            if body and body != whole and last.isalpha() and last < self.LATIN:
                 ids += self.part_ids(body)
                 tail = whole[len(body) :]
                 if tail not in tails:
-                    tails[tail] = self.part_ids(tail)
+                    tails[tail] = self.encode(tail)
                 ids += tails[tail]
             else:
                 ids += self.part_ids(whole)
@@ -218,18 +279,24 @@ class WordEncoder:
             self.load()
         if len(self.place) > self.REMEMBERED:
             self.forget()
-        split = [t.split() for t in texts]
+        split = [self.parted(t).split() for t in texts]
         words = list(chain.from_iterable(split))
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(at < 0).tolist()
+        remembered = None
         if new:
-            self.learn(list({words[i] for i in new}))
+            distinct = {words[i] for i in new}
+            self.learn([w for w in distinct if len(w) <= self.LONG_WORD])
+            remembered = len(self.place), self.used
+            self.learn([w for w in distinct if len(w) > self.LONG_WORD])
             at[new] = [self.place[words[i]] for i in new]
         size = self.size[at]
         after = np.cumsum(size, dtype=np.int64)
         # Each word's ids lie together: their place moves on by one within a word.
         ids = self.ids[np.repeat(self.first[at] - (after - size), size) + np.arange(int(size.sum()))]
         ends = self.ends[at]
+        if remembered:
+            self.forget_from(*remembered)
         edges = np.cumsum([0, *map(len, split)])
         before = np.concatenate([[0], after])[edges]
         for k in range(len(split)):
