@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trailmark.llm import language, quality, toxicity
-from trailmark.llm.common import bounded_sample, held_out, table
+from trailmark.llm.common import MERGES, bounded_sample, held_out, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -259,3 +259,32 @@ def test_toxicity_of_odd_rows(spark, documents, labels):
     assert toxicity.score_toxicity(frame.limit(0), model).count() == 0
     assert toxicity.learn_toxicity(documents, labels.where("toxic = 0")) is None
     assert toxicity.score_toxicity(frame, None).first().toxicity.score == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 8, 64])
+def test_a_bounded_sample_is_the_same_whatever_the_partitions(spark, partitions):
+    rows = spark.range(0, 6000, 1, partitions).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"), F.lit(1).alias("part"))
+    found = bounded_sample(rows, "g", "id", 40)
+    assert found.columns == ["id", "g", "part"]
+    by_hash = rows.select("g", "id", F.xxhash64(F.lit(11), F.col("id")).alias("h")).collect()
+    want = {g: {r.id for r in sorted((r for r in by_hash if r.g == g), key=lambda r: r.h)[:40]} for g in "ab"}
+    assert {g: {r.id for r in found.collect() if r.g == g} for g in "ab"} == want
+
+
+def test_no_task_of_a_bounded_sample_reads_more_with_more_partitions(spark):
+    """The first merge brings together 64 map tasks' rows of a group at most: with 256, four tasks each."""
+    rows = spark.range(0, 25_600, 1, 256).select("id", F.lit("a").alias("g"))
+    found = bounded_sample(rows, "g", "id", 10)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    limits = [line for line in text.splitlines() if "WindowGroupLimit" in line]
+    assert len(limits) == 2 * (MERGES + 1) and sum("Partial" in line for line in limits) == MERGES + 1
+    assert found.count() == 10
+
+
+def test_quality_counts_long_words_and_forgets_them():
+    features = quality.Features()
+    text = " ".join(["a", "x" * 5000, "X" * 300 + "1", "b", "x" * 5000, "x" * 5000])
+    first, n = features.counts(text)
+    again, m = features.counts(text)
+    assert set(features.place) == {"a", "b"} and n == m == 6 and (first == again).all()
+    assert first[0] == 1 and first.sum() == 3 * 6 + 1

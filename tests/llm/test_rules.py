@@ -63,3 +63,37 @@ def test_own_rules_and_plan(spark):
         judge(frame, RULES * 2)
     text = judge(frame)._jdf.queryExecution().toString()
     assert not any(n in text for n in ("Python", "Arrow", "Pandas"))
+
+
+def test_posterior_is_bayes_rule_over_the_votes(spark):
+    """As a plain product of chances, with the accuracies estimated from the plain vote patterns."""
+    chance = random.Random(4)
+
+    def text(i):
+        prose = [f"{'abcdefgh'[n % 8]}{chr(97 + n // 8 % 26)}{chance.choice('xyz')}w" + "." * (n % 9 == 8) for n in range(60 + i)]
+        return " ".join(prose + [f"X{n}***" for n in range(i % 4 * 25)])
+
+    rows = [(i, text(i)) for i in range(120)]
+    found = judge(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    names = [f"vote_{r.name}" for r in RULES]
+    patterns = {}
+    for r in found:
+        if not r.base_failed:
+            votes = tuple(r[n] for n in names)
+            patterns[votes] = patterns.get(votes, 0) + 1
+    assert len(patterns) > 2
+    share, accuracies = estimate(sorted(patterns.items()))
+    for r in found:
+        yes, no = share, 1 - share
+        for (a, b), n in zip(accuracies, names, strict=True):
+            yes *= {1: a, -1: 1 - a, 0: 1}[r[n]]
+            no *= {1: 1 - b, -1: b, 0: 1}[r[n]]
+        assert r.posterior == pytest.approx(yes / (yes + no), rel=1e-9, abs=1e-12)
+        assert r.kept == (not r.base_failed and r.posterior >= 0.5)
+
+
+def test_a_very_long_text(spark):
+    chance = random.Random(3)
+    text = " ".join(chance.choice(["alpha", "beta", "Gamma.", "d\nd", "#x"]) + str(chance.randrange(400)) for _ in range(120_000))
+    (r,) = judge(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == brute.base_rules(text)

@@ -1,9 +1,19 @@
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from trailmark.llm.common import table
-from trailmark.llm.secret_scan import candidates, format_labels, scan_secrets
+from trailmark.llm.secret_scan import (
+    FEATURES,
+    candidates,
+    coverage,
+    format_labels,
+    scan_secrets,
+    transition_table,
+    with_features,
+    word_counts,
+)
 
 PLANTED = r"AKIA[A-Z0-9]{16}|token = \"([0-9a-f]{40})\"|password=([0-9a-f]{18})"
 
@@ -73,3 +83,55 @@ def test_urls_with_secrets_are_not_labelled_false(spark):
     ]
     frame = spark.createDataFrame([r[:3] for r in rows], "value string, word string, lead string")
     assert {r.value: r.label for r in frame.withColumn("label", format_labels(frame)).collect()} == {r[0]: r[3] for r in rows}
+
+
+def plain_features(rows, documents):
+    """What the forest sees, in plain code. rows: candidates."""
+    import math
+    from collections import Counter
+
+    terms = Counter(t for _, text in documents for t in re.split(r"[\W\d_]+", (text or "").lower()) if len(t) >= 3)
+
+    def symbol(c):
+        return ord(c) - 97 if "a" <= c <= "z" else 26 if "0" <= c <= "9" else 27
+
+    pairs = Counter()
+    for t, n in terms.items():
+        for a, b in zip(t, t[1:], strict=False):
+            pairs[symbol(a), symbol(b)] += n
+    log = {}
+    for a in range(28):
+        total = sum(pairs[a, b] + 1 for b in range(28))
+        log |= {(a, b): round(math.log((pairs[a, b] + 1) / total), 6) for b in range(28)}
+    hints = re.compile("key|token|secret|password|passwd|pwd|auth|credential|bearer", re.I)
+    found = {}
+    for r in rows:
+        v, low, n = r.value, r.value.lower(), len(r.value)
+        lead = f"{r.before} {r.word[: r.word.index(v)]}"
+        kinds = re.sub("[0-9]+", "9", re.sub("[A-Z]+", "A", re.sub("[a-z]+", "a", v)))
+        steps = [log[symbol(a), symbol(b)] for a, b in zip(low, low[1:], strict=False)]
+        found[r.doc_id, r.word_no, r.part_no] = (
+            n, sum("0" <= c <= "9" for c in v) / n, sum("A" <= c <= "Z" for c in v) / n, sum(c in "0123456789abcdef" for c in v) / n,
+            (len(kinds) - 1) / n, len(set(v)) / n, sum(steps) / max(1, n - 1),
+            sum(len(t) for t in re.findall("[a-z]{3,}", low) if terms[t] >= 3) / n,
+            sum(c in "/\\." for c in r.word), "://" in r.word, bool(re.search("[\"']$", lead)), bool(re.search(r"[=:]\s*[\"']?$", lead)),
+            bool(hints.search(r.before)), bool(hints.search(r.word)), bool(re.search(r"^[^\W\d_]+[.,]?$", r.after)),
+        )
+    return found
+
+
+def test_features_equal_plain_code(spark):
+    rows = [
+        (1, "the key is abc1def2ghi3 here. The word word word key"), (2, "see https://host.org/news/2021/05/key-words-09 now, key"),
+        (3, "token = \"AB12cd34EF56gh78\" then"), (4, "password=p.w!7$x~9 ends"), (5, "secret: q9 Straße"), (6, None), (7, "pwd=a"),
+        (8, "key here here here AAAAAAAAAAAAAAAAAAAAAAAA 0000-0000-0000-0000"),
+    ]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = candidates(documents, "doc_id", "text")
+    counts = word_counts(documents, "text")
+    featured = with_features(found, coverage(found, counts), transition_table(counts))
+    want = plain_features(found.collect(), rows)
+    got = {(r.doc_id, r.word_no, r.part_no): tuple(r[n] for n in FEATURES) for r in featured.collect()}
+    assert set(got) == set(want) and len(got) >= 8
+    for key, values in want.items():
+        assert got[key] == pytest.approx(tuple(map(float, values)), abs=1e-9), key

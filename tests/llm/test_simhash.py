@@ -1,5 +1,6 @@
 import random
 
+from trailmark.llm import simhash
 from trailmark.llm.components import components
 from trailmark.llm.simhash import ball, fingerprint, keep_one, near_duplicates
 
@@ -73,3 +74,9 @@ def test_odd_rows(spark):
         (3, "a text that repeats the id three", 7), (9, "", 5),
     ]
     assert near_duplicates(frame.limit(0)).count() == 0 and keep_one(frame.limit(0)).count() == 0
+
+
+def test_a_text_of_more_shingles_than_are_counted_at_once():
+    chance = random.Random(12)
+    text = " ".join(chance.choice(["a", "Bc", "é", "word"]) + str(chance.randrange(900)) for _ in range(simhash.RUN + 5000))
+    assert simhash.fingerprint(text.encode(), 3) % (1 << 64) == brute.fingerprint(text)

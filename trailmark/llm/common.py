@@ -13,6 +13,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import DataType
 from pyspark.sql.window import Window
 
+from trailmark.sources.folders import delete_folder
 from trailmark.sources.scratch import scratch_folder
 
 #: Maps A-Z to a-z and leaves every other byte, so that offsets stay.
@@ -59,7 +60,15 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     path = scratch_folder(spark, purpose)
     with step_settings(spark):
         frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    written = spark.read.schema(frame.schema).parquet(path)
+    written.stored_at = path
+    return written
+
+
+def discard(*steps: DataFrame) -> None:
+    """Deletes stored steps. Only for those that nothing but stored steps was made from."""
+    for step in steps:
+        delete_folder(step.sparkSession, step.stored_at)
 
 
 def shared(spark: SparkSession, thing: object) -> Callable[[], object]:
@@ -100,10 +109,20 @@ def held_out(doc_id: Column | str) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+#: Map tasks whose rows of a group meet in one task, a power of two, and how often they are merged so.
+MERGED_BITS, MERGES = 6, 2
+
+
 def bounded_sample(rows: DataFrame, group: str, order: str, per_group: int) -> DataFrame:
     """At most per_group rows of each group, the same whatever the partitions: those that come
-    first by a hash of the order column. A task hands on at most per_group rows of a group.
+    first by a hash of the order column. A task hands on at most per_group rows of a group, and those
+    of 64 tasks meet, then those of 64 such, so no task's share grows with the number of tasks.
     """
-    first = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(11), F.col(order)), F.col(order))
-    ranked = rows.withColumn("_rank", F.row_number().over(first))
-    return ranked.where(F.col("_rank") <= per_group).drop("_rank")
+    by_hash = [F.xxhash64(F.lit(11), F.col(order)), F.col(order)]
+    part, rank = free_name(rows, "part"), free_name(rows, "rank")
+    found = rows.withColumn(part, F.spark_partition_id())
+    levels = [[F.shiftright(part, MERGED_BITS * (k + 1))] for k in range(MERGES)]
+    for level in [*levels, []]:
+        first = Window.partitionBy(group, *level).orderBy(*by_hash)
+        found = found.withColumn(rank, F.row_number().over(first)).where(F.col(rank) <= per_group).drop(rank)
+    return found.drop(part)

@@ -137,14 +137,19 @@ def learn_languages(
         & F.col("text").rlike(r"\p{L}")
         & (F.length("text") <= LONGEST)
     )
+    # Ids are sampled, and their texts fetched afterwards: a text is told apart by its 64-bit hash.
+    ids = usable.select("id", "lang", F.xxhash64("text").alias("version")).distinct()
     most = ROWS_PER_LANGUAGE * MAX_LANGUAGES
-    rows = bounded_sample(usable, "lang", "id", ROWS_PER_LANGUAGE).limit(most + 1).collect()
-    if not rows:
+    chosen = bounded_sample(ids, "lang", "id", ROWS_PER_LANGUAGE).limit(most + 1).collect()
+    if not chosen:
         return None
-    if len({r.lang for r in rows}) > MAX_LANGUAGES:
+    if len({r.lang for r in chosen}) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages to learn")
-    rows.sort(key=lambda r: (r.lang, r.id, r.text))
-    return LanguageModel([r.text for r in rows], [r.lang for r in rows])
+    # Bounded by the lines above, so the documents are not shuffled for it.
+    few = F.broadcast(documents.sparkSession.createDataFrame(chosen, ids.schema))
+    met = usable.withColumn("version", F.xxhash64("text")).join(few, ["id", "lang", "version"])
+    rows = {(r.lang, r.id, r.text) for r in met.select("lang", "id", "text").collect()}
+    return LanguageModel([r[2] for r in sorted(rows)], [r[0] for r in sorted(rows)])
 
 
 def identify_language(documents: DataFrame, model: LanguageModel | None, text: str = "text") -> DataFrame:

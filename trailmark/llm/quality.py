@@ -22,8 +22,8 @@ from trailmark.llm.common import bounded_sample, free_name, shared, text_functio
 ROWS_PER_GRADE, LONGEST = 1500, 20_000
 MAX_GRADES = 20
 BUCKETS = 1 << 14
-#: Words remembered by a worker.
-REMEMBERED = 250_000
+#: Words remembered by a worker, and the characters of the longest.
+REMEMBERED, LONG_WORD = 250_000, 64
 STEPS, RATE, DECAY = 300, 0.1, 1e-4
 #: Selected if the probability of a good grade is at least this.
 SELECT = 0.5
@@ -35,7 +35,7 @@ RETURNS = StructType([StructField("expected_grade", DoubleType()), StructField("
 
 def shape(word: str) -> str:
     """Letters as A and a, digits as 9, other characters as they are; runs of one are one."""
-    kinds = ["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:64]]
+    kinds = ["A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word]
     return RUNS.sub(r"\1", "".join(kinds))
 
 
@@ -65,12 +65,15 @@ class Features:
         if len(self.place) > REMEMBERED:
             self.forget()
         for word in words:
-            n = len(self.place)
-            if n == len(self.table):
-                self.table = np.resize(self.table, (2 * n, self.PER_WORD))
-            bare = word.rstrip(".,!?;:*%$#&|\"')")
-            self.table[n] = bucket("word", bare.lower()), bucket("shape", shape(word)), bucket("end", word[len(bare) :][:8])
-            self.place[word] = n
+            self.add(word)
+
+    def add(self, word: str) -> None:
+        n = len(self.place)
+        if n == len(self.table):
+            self.table = np.resize(self.table, (2 * n, self.PER_WORD))
+        bare = word.rstrip(".,!?;:*%$#&|\"')")
+        self.table[n] = bucket("word", bare.lower()), bucket("shape", shape(word)), bucket("end", word[len(bare) :])
+        self.place[word] = n
 
     def counts(self, text: str) -> tuple[np.ndarray, int]:
         """Number of each feature, and of words."""
@@ -87,8 +90,15 @@ class Features:
             if new:
                 if len(self.place) > REMEMBERED:
                     new = set(words)
-                self.learn(new)
+                self.learn({w for w in new if len(w) <= LONG_WORD})
+                kept = len(self.place)
+                for w in new:
+                    if len(w) > LONG_WORD:
+                        self.add(w)
             at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+            if new:
+                while len(self.place) > kept:  # long words are forgotten at once
+                    self.place.popitem()
             total += np.bincount(self.table[at].ravel(), minlength=BUCKETS)
             total[0] += int((at[1:] == at[:-1]).sum())
             n += len(words)

@@ -176,7 +176,9 @@ def scan_secrets(
     """
     found = stored(candidates(documents, doc_id, text), "secret-candidates")
     counts = stored(word_counts(documents, text), "word-counts")
-    featured = with_features(found, coverage(found, counts), transition_table(counts))
+    # Stored, so that the join with it is one of two tables, which a very common value does not hold up.
+    covered = stored(coverage(found, counts), "secret-coverage")
+    featured = with_features(found, covered, transition_table(counts))
     if findings is None:
         featured = featured.withColumn("label", format_labels(featured))
     else:
