@@ -16,31 +16,49 @@ from trailmark.llm.quality import learn_quality, rate_quality
 from trailmark.llm.simhash import keep_one
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all columns but the text in one, so that none clashes with an operator's."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns if c.lower() != "text"]).alias("carried"))
+
+
+def restored(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("text").alias(c) if c.lower() == "text" else F.col("carried").getField(c).alias(c) for c in columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier selects."""
-    rated = rate_quality(docs, learn_quality(docs, table(spark, sf_dir, "labels")))
-    return rated.where("selected").select(*docs.columns)
+    """Documents that the quality classifier selects, as they are. Null and empty texts go, if there are
+    ratings to learn from; else all stay. Repeated rows stay or go alike.
+    """
+    rated = rate_quality(carried(docs), learn_quality(docs.select("doc_id", "text"), table(spark, sf_dir, "labels")))
+    return restored(rated.where("selected"), docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that match an earlier one; n_chars follows the text."""
-    cleaned = dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return cleaned.select(*docs.columns)
+    """All documents, without lines that match an earlier one; n_chars, if there, follows the text. Null
+    texts stay null; repeated rows stay and lose the same lines; null ids come first in the order.
+    """
+    cleaned = restored(dedup_lines(carried(docs)), docs.columns)
+    lengths = {c: F.length("text").cast("long") for c in docs.columns if c.lower() == "n_chars"}
+    return cleaned.withColumns(lengths) if lengths else cleaned
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, as it is: that of the least id. Texts without words
+    are alike, null ones too; of rows that repeat an id, one stays.
+    """
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark passage."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(~F.col("contamination.contaminated")).select(*docs.columns)
+    """Documents that hold no benchmark passage, as they are. Null and empty texts hold none."""
+    found = find_contamination(carried(docs), table(spark, sf_dir, "benchmark"))
+    return restored(found.where(~F.col("contamination.contaminated")), docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in sequences of at most 4,096 tokens."""
+    """The pieces of the documents in sequences of at most 4,096 tokens; other columns are left out. A null
+    or empty text is a piece of one token.
+    """
     pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
