@@ -2,9 +2,11 @@
 
 A passage is a string of `width` bytes; it is removed where a document of a smaller id holds it too.
 Sorting every suffix of a corpus would shuffle each byte many times, so suffixes are first cut down
-to those that can matter. Of the grams (2/5 of the width) inside a window, the one of least hash is
-the window's anchor: equal windows have equal anchors at equal places, so a window can only repeat if
-its anchor does. Anchors are one in sixteen bytes; those of a single document go.
+to those that can matter. Copies of a whole text with a larger id go as a whole, and only the first takes
+part. Of the grams (over half of the width) inside a window, the one of least hash is the window's
+anchor: equal windows have equal anchors at equal places, so a window can only repeat if its anchor
+does. Anchors are one in twelve bytes. Their hashes are counted, and anchors that
+occur once go, most of them by a filter of fixed size, the rest by an exact join.
 
 The rest are gathered with their surroundings, all bytes that any of their windows covers. Equal
 surroundings are one row with the least document id, so that copies by the thousand are reduced ahead
@@ -31,7 +33,8 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, IntegerType, LongType, StructField, StructType,
 )
 
-from trailmark.llm.common import free_name, stored, utf8
+from trailmark.llm.common import discard, free_name, stored, utf8
+from trailmark.operators.bitfilter import bit_filter, passes
 
 BASE = 0x9E3779B97F4A7C15
 MIX = 0xD6E8FEB86659FD93
@@ -39,6 +42,8 @@ MIX = 0xD6E8FEB86659FD93
 BLOCK_BYTES, PLACE_BITS = 1 << 17, 20
 #: Surroundings sorted together, about, and of one anchor at most; above that their windows are grouped.
 SORTED_TOGETHER, SORTED_AT_MOST = 1 << 13, 1 << 14
+#: 64-bit words of the filters of shared anchors (4 MB) and of copies (2 MB), whatever the input.
+FILTER_WORDS, COPY_WORDS = 1 << 19, 1 << 18
 #: Numbers that share a column have so many bits each.
 PACKED_BITS = 10
 
@@ -214,12 +219,12 @@ def least_rows(texts: list[bytes], group: np.ndarray, left: np.ndarray, low: np.
     return row, found
 
 
-def _anchor_rows(documents: DataFrame, doc_id: str, text: str, width: int, gram: int) -> DataFrame:
-    """(row, doc_id, version, hashes, ats) of each document with a window: its anchors' hashes, and their
+def _anchor_rows(bodies: DataFrame, width: int, gram: int) -> DataFrame:
+    """(row, doc_id, version, hashes, ats) of (doc_id, version, text): the hashes of the text's anchors, and their
     places with the offsets packed behind. Rows are numbered.
     """
     schema = StructType([
-        StructField("row", LongType()), StructField("doc_id", documents.schema[doc_id].dataType),
+        StructField("row", LongType()), StructField("doc_id", bodies.schema["doc_id"].dataType),
         StructField("version", LongType()), StructField("hashes", ArrayType(LongType())), StructField("ats", ArrayType(LongType())),
     ])
 
@@ -247,9 +252,7 @@ def _anchor_rows(documents: DataFrame, doc_id: str, text: str, width: int, gram:
             )
             number += len(with_any)
 
-    long_enough = F.col(doc_id).isNotNull() & (F.octet_length(text) >= width)
-    narrow = documents.where(long_enough).select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, schema)
+    return bodies.select("doc_id", "version", "text").mapInArrow(run, schema)
 
 
 def _surroundings(width: int, gram: int):
@@ -277,12 +280,12 @@ def _surroundings(width: int, gram: int):
 
 
 def _sorted_parts(groups: DataFrame, width: int) -> DataFrame:
-    """(k1, k2, parts): for the surroundings (anchor, span, around, least, k1, k2) of whole anchors, the
-    offsets from..to of windows with the same least id.
+    """(k1, k2, most, parts): for the surroundings (anchor, span, around, least, k1, k2, most) of whole anchors,
+    the offsets from..to of windows with the same least id.
     """
     id_type = groups.schema["least"].dataType
     part = StructType([StructField("from", IntegerType()), StructField("to", IntegerType()), StructField("least", id_type)])
-    schema = StructType([StructField("k1", LongType()), StructField("k2", LongType()), StructField("parts", ArrayType(part))])
+    schema = StructType([*(StructField(k, LongType()) for k in ("k1", "k2")), StructField("most", id_type), StructField("parts", ArrayType(part))])
     few = (1 << PACKED_BITS) - 1
 
     def work(rows: pa.Table) -> pa.RecordBatch:
@@ -300,7 +303,7 @@ def _sorted_parts(groups: DataFrame, width: int) -> DataFrame:
         )
         edges = np.searchsorted(row[new], np.arange(len(rows) + 1))
         lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), parts)
-        return pa.RecordBatch.from_arrays([rows["k1"].combine_chunks(), rows["k2"].combine_chunks(), lists], names=schema.names)
+        return pa.RecordBatch.from_arrays([*(rows[c].combine_chunks() for c in ("k1", "k2", "most")), lists], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None
@@ -320,7 +323,7 @@ def _sorted_parts(groups: DataFrame, width: int) -> DataFrame:
             yield work(waiting)
 
     gathered = groups.repartition("anchor").sortWithinPartitions("anchor", "least")
-    return gathered.select("anchor", "span", "around", "least", "k1", "k2").mapInArrow(run, schema)
+    return gathered.select("anchor", "span", "around", "least", "k1", "k2", "most").mapInArrow(run, schema)
 
 
 def _grouped_parts(groups: DataFrame, width: int) -> DataFrame:
@@ -328,13 +331,33 @@ def _grouped_parts(groups: DataFrame, width: int) -> DataFrame:
     few = (1 << PACKED_BITS) - 1
     span = F.col("span")
     low, high = F.shiftright(span, PACKED_BITS).bitwiseAND(F.lit(few)), span.bitwiseAND(F.lit(few))
-    windows = groups.select("k1", "k2", "least", "around", "span", F.explode(F.sequence(low, high)).alias("offset"))
+    windows = groups.select("k1", "k2", "least", "most", "around", "span", F.explode(F.sequence(low, high)).alias("offset"))
     start = F.shiftright("span", 2 * PACKED_BITS) - F.col("offset") + 1
-    windows = stored(windows.select("k1", "k2", "least", "offset", F.substring("around", start, F.lit(width)).alias("window")), "windows")
+    windows = stored(windows.select("k1", "k2", "least", "most", "offset", F.substring("around", start, F.lit(width)).alias("window")), "windows")
     least = stored(windows.groupBy("offset", "window").agg(F.min("least").alias("of_window")), "least-windows")
     met = windows.join(least, ["offset", "window"])
     part = F.struct(F.col("offset").alias("from"), F.col("offset").alias("to"), F.col("of_window").alias("least"))
-    return met.groupBy("k1", "k2").agg(F.collect_list(part).alias("parts"))
+    return met.groupBy("k1", "k2", "most").agg(F.collect_list(part).alias("parts"))
+
+
+def _firsts_and_copies(documents: DataFrame, width: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, version, text) of the first documents of each text that has a window, and (doc_id, version, spans)
+    of the others, which go as a whole. Texts are equal if 128 bits of xxHash are.
+
+    The others are told by a filter of fixed size first, so only the texts it lets through are shuffled.
+    """
+    whole = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
+    whole = whole.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= width)).withColumn("other", F.xxhash64(F.lit(2), "text"))
+    keys = ["version", "other"]
+    keyed = stored(whole.select("doc_id", *keys, F.octet_length("text").cast("long").alias("n")), "text-keys")
+    least = stored(keyed.groupBy(*keys).agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "repeated-texts")
+    copies = stored(keyed.join(least, keys).where("doc_id > least").select("doc_id", *keys, "n").distinct(), "copies")
+    discard(keyed, least)
+    key = F.xxhash64("doc_id", "version")
+    maybe = passes(bit_filter(copies, key, COPY_WORDS), key, COPY_WORDS)
+    doubtful = stored(whole.where(maybe).join(copies.drop("n"), ["doc_id", *keys], "left_anti"), "doubtful-texts")
+    firsts = whole.where(~maybe).unionByName(doubtful).drop("other")
+    return firsts, copies.select("doc_id", "version", F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("n").alias("end"))).alias("spans"))
 
 
 def repeated_spans(
@@ -345,48 +368,59 @@ def repeated_spans(
     """
     if not 8 <= width < 1 << PACKED_BITS:
         raise ValueError(f"width must be 8 to {(1 << PACKED_BITS) - 1}")
-    gram = 2 * width // 5
-    rows = stored(_anchor_rows(documents, doc_id, text, width, gram), "anchors")
-    each = rows.select("row", F.explode("hashes").alias("anchor"))
-    shared = each.groupBy("anchor").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b").select("anchor")
-    shared = stored(shared, "shared-anchors")
-    each = rows.select("row", F.explode(F.arrays_zip(F.col("hashes").alias("anchor"), F.col("ats").alias("at"))).alias("x"))
-    each = each.select("row", "x.anchor", "x.at").join(shared, "anchor", "left_semi")
+    gram = 14 * width // 25
+    bodies, copies = _firsts_and_copies(documents, width, doc_id, text)
+    # The anchors are made twice rather than stored: they are more than the texts.
+    rows = _anchor_rows(bodies, width, gram)
+    counted = rows.select(F.explode("hashes").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n"))
+    shared = stored(counted.where("n > 1").select("anchor"), "shared-anchors")
+    each = rows.select("row", "doc_id", "version", F.explode(F.arrays_zip(F.col("hashes").alias("anchor"), F.col("ats").alias("at"))).alias("x"))
+    each = each.select("row", "doc_id", "version", "x.anchor", "x.at")
+    each = each.where(passes(bit_filter(shared, F.col("anchor"), FILTER_WORDS), F.col("anchor"), FILTER_WORDS))
     # A document's anchors are fewer than its bytes, so its list is no longer than its text.
-    listed = stored(each.groupBy("row").agg(F.collect_list("at").alias("ats")), "document-anchors")
-    wanted = rows.select("row", "doc_id", "version").join(listed, "row")
-    bodies = documents.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.col(text).alias("text"))
+    listed = each.join(shared, "anchor", "left_semi").groupBy("row", "doc_id", "version").agg(F.collect_list("at").alias("ats"))
+    listed = stored(listed, "document-anchors")
+    discard(shared)
     # Equal rows are one document: once is enough, and which does not matter.
-    once = wanted.groupBy("doc_id", "version").agg(F.min("row").alias("row"))
-    wanted = stored(wanted.join(once.select("row"), "row", "left_semi"), "wanted-anchors")
+    once = listed.groupBy("doc_id", "version").agg(F.min("row").alias("row"))
+    wanted = stored(listed.join(once.select("row"), "row", "left_semi"), "wanted-anchors")
+    discard(listed)
     met = bodies.join(wanted, ["doc_id", "version"]).select("row", "doc_id", _surroundings(width, gram)("text", "ats").alias("s"))
     around = stored(met.select("row", "doc_id", F.inline("s")), "surroundings")
     keys = [F.xxhash64(F.lit(1), "span", "around").alias("k1"), F.xxhash64(F.lit(2), "around", "span").alias("k2")]
 
-    distinct = around.groupBy("span", "around").agg(F.min("doc_id").alias("least"))
+    distinct = around.groupBy("span", "around").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     size = F.shiftright("span", 2 * PACKED_BITS)
     anchor = F.xxhash64(F.substring("around", size + 1, F.lit(gram))).alias("anchor")
-    distinct = stored(distinct.select("span", "around", "least", *keys, anchor), "distinct-surroundings")
+    distinct = stored(distinct.select("span", "around", "least", "most", *keys, anchor), "distinct-surroundings")
     if distinct.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
         raise ValueError("two surroundings have the same 128-bit key")
     sizes = stored(distinct.groupBy("anchor").agg(F.count("*").alias("n")), "anchor-sizes")
     sized = distinct.join(sizes, "anchor")
     few = (1 << PACKED_BITS) - 1
     low, high = F.shiftright("span", PACKED_BITS).bitwiseAND(F.lit(few)), F.col("span").bitwiseAND(F.lit(few))
-    alone = sized.where("n = 1").select("k1", "k2", F.array(F.struct(low.alias("from"), high.alias("to"), "least")).alias("parts"))
+    whole = F.array(F.struct(low.alias("from"), high.alias("to"), "least")).alias("parts")
+    alone = sized.where("n = 1 AND least < most").select("k1", "k2", "most", whole)
     in_order = _sorted_parts(sized.where(F.col("n").between(2, sorted_at_most)), width)
     parts = alone.unionByName(in_order)
     many = sized.where(F.col("n") > sorted_at_most)
     if many.limit(1).count():
         parts = parts.unionByName(_grouped_parts(many, width))
-    parts = stored(parts, "window-parts")
+    # Surroundings that no document loses a window for go: most that met in an anchor only.
+    parts = parts.withColumn("parts", F.filter("parts", lambda p: p["least"] < F.col("most"))).where(F.size("parts") > 0)
+    parts = stored(parts.drop("most"), "window-parts")
+    discard(distinct, sizes)
 
-    members = around.select("row", "doc_id", "place", *keys).join(parts, ["k1", "k2"])
+    members = around.select("row", "doc_id", "place", *keys)
+    members = members.where(passes(bit_filter(parts, F.col("k1"), FILTER_WORDS), F.col("k1"), FILTER_WORDS)).join(parts, ["k1", "k2"])
     spans = members.select("row", "doc_id", "place", F.inline("parts")).where(F.col("least") < F.col("doc_id"))
     begin, end = F.col("place") - F.col("to"), F.col("place") - F.col("from") + width
     spans = stored(spans.select("row", F.struct(begin.alias("begin"), end.alias("end")).alias("span")), "spans")
+    discard(around, parts)
     of_row = spans.groupBy("row").agg(F.collect_list("span").alias("spans"))
-    return wanted.select("row", "doc_id", "version").join(of_row, "row").drop("row")
+    found = stored(wanted.select("row", "doc_id", "version").join(of_row, "row").drop("row"), "document-spans")
+    discard(wanted, spans)
+    return found.unionByName(copies)
 
 
 def _kept():
@@ -430,6 +464,6 @@ def remove_passages(
     version, of_id, of_version, spans = (free_name(documents, n) for n in ("version", "span_id", "span_version", "spans"))
     found = found.select(F.col("doc_id").alias(of_id), F.col("version").alias(of_version), F.col("spans").alias(spans))
     met = documents.withColumn(version, F.xxhash64(text)).join(
-        stored(found, "document-spans"), (F.col(doc_id) == F.col(of_id)) & (F.col(version) == F.col(of_version)), "left"
+        found, (F.col(doc_id) == F.col(of_id)) & (F.col(version) == F.col(of_version)), "left"
     )
     return met.withColumn(name, _kept()(F.col(text), F.col(spans))).drop(version, of_id, of_version, spans)
