@@ -268,7 +268,8 @@ def collocations(
     for part, f in (("left_part", "l"), ("right_part", "r")):
         cuts = stored(cuts.join(phrases.select("lang", F.col("phrase").alias(part), F.col("f").alias(f)), ["lang", part]), f"cuts-{f}")
     totals = counts.where("size = 0").select("lang", F.col("f").alias("n"))
-    scored = cuts.join(totals, "lang").withColumn("score", exact_score("a", "n", "l", "r"))
+    # Stored, so that a language of most phrases does not hold up the join.
+    scored = stored(cuts.join(totals, "lang").withColumn("score", exact_score("a", "n", "l", "r")), "scored-cuts")
     best = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("best"))
     # If a longer phrase holds all occurrences, so does one that is longer by a word.
     longer = candidates.where("size > 2").select(
