@@ -67,3 +67,36 @@ def test_odd_rows(spark):
     ]
     assert got.where("doc_id = 6").select(F.length("text")).first()[0] == 50_000 * 5 - 1
     assert dedup_lines(frame.limit(0)).count() == 0
+
+
+def thue_morse(n):
+    return "".join("ab"[i.bit_count() & 1] for i in range(n))
+
+
+def test_words_that_a_polynomial_hash_takes_for_equal(spark):
+    one = thue_morse(2048)
+    other = one.translate(str.maketrans("ab", "ba"))
+    documents = [(1, f"{one} x\nsame line"), (2, f"{other} x\n{one}  X"), (3, f"{other}\n{other.upper()} X\nsame  LINE")]
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in dedup_lines(frame).collect()}
+    assert found == cleaned(documents, brute.repeated_lines(documents)) == {1: documents[0][1], 2: f"{other} x", 3: other}
+
+
+def test_tokens_that_meet_in_a_hash_are_verified(spark, monkeypatch):
+    """With a few bits of each hash, and one class, nearly all tokens meet."""
+    from trailmark.llm import lines
+
+    monkeypatch.setattr(lines, "HASH_BITS", 3)
+    monkeypatch.setattr(lines, "FILTER_WORDS", 1)
+    documents = corpus(25)
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in dedup_lines(frame, 0.8, 1).collect()}
+    gone = brute.repeated_lines(documents, 0.8, 1)
+    # Sets of such tokens differ from the lines', so some pairs may be missed, but none is made up.
+    assert all(set(t.split("\n")) >= set(cleaned(documents, gone)[i].split("\n")) - {""} for i, t in found.items())
+
+
+def test_plan_is_native(spark):
+    frame = spark.createDataFrame(corpus(4), "doc_id long, text string")
+    text = dedup_lines(frame)._jdf.queryExecution().toString()
+    assert not any(n in text for n in ("Python", "InArrow", "Pandas"))

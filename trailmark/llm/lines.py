@@ -1,212 +1,232 @@
 """Near-duplicate lines by an exact set-similarity join; the first of them stays.
 
 A line's tokens are its runs of `shingle` words, lower-cased A-Z, without repeats (all words if there
-are fewer); line_tokens.py hashes them. Two lines match if the Jaccard similarity of their token sets is at least `similarity`.
+are fewer). Two lines match if the Jaccard similarity of their token sets is at least `similarity`.
 The order of lines is that of (doc_id, hash of the text, number of the line); a line that matches
 any earlier line is removed.
 
-Copies (equal token sets) are found by grouping on a hash of the set. Of the different sets, two
-that match share one of their first few tokens in any common order (prefix filter); the order is by
-rarity, so these tokens are shared by few lines. A pair that shares a token is a candidate if the
-sizes (length filter) and the tokens' places in both lines (positional filter) leave room for
-enough others. To keep large groups of variants from being paired with each other, each line is
-verified against the first and the previous line of a token first; only lines that match neither
-are joined with all earlier lines of their tokens.
+Lines of equal words are one to the join, the first of them; they are known by two 64-bit xxHashes of
+their words, the only place where a hash decides. Of the different lines, two that match share one
+of their first few tokens in any common order (prefix filter); the order is by rarity, that of a
+token's first word, so these tokens are shared by few lines. Tokens are 64-bit xxHashes, less some bits, until a pair is
+verified on its words; tokens that meet in a hash are one more candidate.
+
+Most prefix tokens stand in one line only. The others' hashes make a filter of fixed size, so that
+rows of the first kind go ahead of the shuffle. A pair that shares a token is a candidate if the
+sizes (length filter) and the tokens' places in both lines (positional filter) leave room for enough
+others. To keep large groups of variants from being paired with each other, each line is verified
+against earlier lines of its token at hand first; only lines that match none of them are joined with
+all earlier lines of their tokens.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from fractions import Fraction
+from math import log2
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
-from trailmark.llm.common import free_name, shared, step_settings, stored, text_function
-from trailmark.llm.line_tokens import Powers, ranked_sets, set_keys, slices, tokens_of
+from trailmark.llm.common import discard, free_name, step_settings, stored
+from trailmark.operators.bitfilter import bit_filter, passes
 
-#: Tokens are counted by their hash's last bits. Their order is by class of that count, then hash.
+#: Words are counted by their hash's last bits. Tokens' order is by class of their first's count, then hash.
 COUNTED_BITS, CLASS_BITS = 16, 5
 HASH_BITS = 63 - CLASS_BITS
+#: 64-bit words of the filter of shared tokens: 2 MB, whatever the input.
+FILTER_WORDS = 1 << 18
+#: Parts in which the lines of a token are looked through.
+PARTS = 64
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WHITE = "\t\n\x0b\x0c\r"
+KEY = ["k1", "k2"]
 
 
-SETS = ArrayType(
-    StructType([
-        StructField("no", IntegerType()),
-        StructField("k1", LongType()),
-        StructField("k2", LongType()),
-        StructField("n", IntegerType()),
-        StructField("prefix", ArrayType(LongType())),
-    ])
-)
+class Threshold:
+    """Jaccard similarity of at least a / b, in whole numbers."""
 
+    def __init__(self, similarity: float):
+        self.a, self.b = Fraction(str(similarity)).as_integer_ratio()
 
-def rarity(documents: DataFrame, text: str, shingle: int) -> np.ndarray:
-    """The class of each value of a token hash's last bits, from the counts over all lines.
+    def prefix_of(self, n: Column) -> Column:
+        """Tokens in a prefix: n less the least overlap with a match, plus one."""
+        return (n - F.ceil(n * self.a / self.b) + 1).cast("int")
+
+    def possible(self, x: Column, y: Column) -> Column:
+        """Whether lines of n tokens that share the token at pos can match."""
+        sizes = (self.b * F.least(x["n"], y["n"])) >= (self.a * F.greatest(x["n"], y["n"]))
+        most = 1 + F.least(x["n"] - x["pos"] - 1, y["n"] - y["pos"] - 1)
+        return sizes & ((self.a + self.b) * most >= self.a * (x["n"] + y["n"]))
+
+    def met(self, overlap: Column, n: Column) -> Column:
+        """n: tokens of both lines together, shared ones twice."""
+        return self.b * overlap >= self.a * (n - overlap)
 
-    The counts are as many as the last bits have values, whatever the input.
-    """
-    places = 1 << COUNTED_BITS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, counts = Powers(), np.zeros(places, np.int64)
-        for batch in batches:
-            for texts in slices(batch.column(0)):
-                _, _, hashes = tokens_of(texts, shingle, powers)
-                counts += np.bincount((hashes & np.uint64(places - 1)).astype(np.int64), minlength=places)
-        met = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), pa.array(counts[met])], names=["last", "n"])
-
-    each = documents.select(F.col(text).alias("text")).mapInArrow(run, "last int, n bigint")
-    with step_settings(documents.sparkSession):
-        found = dict(each.groupBy("last").agg(F.sum("n").alias("n")).collect())
-    counts = np.array([found.get(i, 0) for i in range(places)], float)
-    return ((2**CLASS_BITS - 1) * np.log2(counts + 1) / np.log2(counts.max() + 2)).astype(np.uint8)
-
-
-def line_sets(documents: DataFrame, doc_id: str, text: str, shingle: int, classes: np.ndarray, threshold: Threshold) -> DataFrame:
-    """(line, k1, k2, n, prefix) of every line that has a word: the line (a struct of doc_id, the text's
-    hash and the line's number), hashes of its token set, the set's size, and its prefix.
+def words_of(body: Column) -> Column:
+    """Words of a line, lower-cased A-Z. All white space is made spaces, as one sign parts faster than a pattern;
+    texts of ASCII alone are lower-cased as a whole, which is faster than sign by sign.
     """
-    get = shared(documents.sparkSession, classes)
-
-    def make():
-        classes, powers = get(), Powers()
-
-        def sets(texts: pa.Array) -> pa.Array:
-            document, line, size, tokens = ranked_sets(*tokens_of(texts, shingle, powers), classes, COUNTED_BITS, HASH_BITS)
-            k1, k2 = set_keys(tokens, size)
-            cut = threshold.prefix_of(size)
-            begin = np.cumsum(size) - size
-            taken = np.repeat(begin - (np.cumsum(cut) - cut), cut) + np.arange(int(cut.sum()))
-            prefixes = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *cut]), pa.int32()), pa.array(tokens[taken]))
-            rows = pa.StructArray.from_arrays(
-                [pa.array(line, pa.int32()), pa.array(k1), pa.array(k2), pa.array(size, pa.int32()), prefixes],
-                names=["no", "k1", "k2", "n", "prefix"],
-            )
-            per_text = np.bincount(document, minlength=len(texts))
-            return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *per_text]), pa.int32()), rows)
-
-        return lambda texts: pa.concat_arrays([sets(t) for t in slices(texts)])
-
-    found = documents.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), text_function(SETS, make)(F.col(text)).alias("sets")
+    spaced = F.when(body.rlike(r"[\x09-\x0D]"), F.translate(body, WHITE, " " * len(WHITE))).otherwise(body)
+    plain = F.octet_length(body) == F.length(body)
+    return F.array_remove(F.split(F.when(plain, F.lower(spaced)).otherwise(F.translate(spaced, UPPER, LOWER)), " "), "")
+
+
+def worded_lines(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, version, no, body, words) of every line with a word."""
+    lines = documents.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.posexplode_outer(F.split(F.col(text), "\n")).alias("no", "body")
     )
-    each = found.select("doc_id", "version", F.explode_outer("sets").alias("s")).where(F.col("s").isNotNull())
-    return each.select(F.struct("doc_id", "version", F.col("s.no").alias("no")).alias("line"), "s.k1", "s.k2", "s.n", "s.prefix")
+    return lines.where(F.col("body").rlike(r"[^\x20\x09-\x0D]")).withColumn("words", words_of(F.col("body")))
 
 
-def token_sets(documents: DataFrame, wanted: DataFrame, doc_id: str, text: str, shingle: int, classes: np.ndarray) -> DataFrame:
-    """(line, tokens) of the wanted lines."""
-    get = shared(documents.sparkSession, classes)
+def rarity(worded: DataFrame) -> Column:
+    """The class of each value of a word hash's last bits, from the counts of words over all lines, as a constant.
 
-    def make():
-        classes, powers = get(), Powers()
+    The counts are as many as the last bits have values, whatever the input.
+    """
+    places = 1 << COUNTED_BITS
+    words = worded.select(F.explode("words").alias("word"))
+    counted = words.groupBy(F.xxhash64("word").bitwiseAND(F.lit(places - 1)).alias("last")).agg(F.count("*").alias("n"))
+    with step_settings(worded.sparkSession):
+        found = dict(counted.collect())
+    most = log2(max(found.values(), default=0) + 2)
+    classes = [int((2**CLASS_BITS - 1) * log2(found.get(i, 0) + 1) / most) for i in range(places)]
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+
+
+def run_hashes(hashes: DataFrame, shingle: int) -> DataFrame:
+    """``runs``: a hash of each run of so many of the column ``hashed``. Runs of two, four and so on are made of
+    pairs of shorter ones, a step over whole arrays each, and put together to the length asked for.
+    """
 
-        def sets(bodies: pa.Array) -> pa.Array:
-            body, _, size, tokens = ranked_sets(*tokens_of(bodies, shingle, powers), classes, COUNTED_BITS, HASH_BITS)
-            sizes = np.zeros(len(bodies), np.int64)
-            sizes[body] = size
-            return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(tokens))
+    def joined(left: str, right: str, shift: int) -> Column:
+        """Runs of left and, shift later, of right, where both are whole."""
+        count = F.greatest(F.size(right) - shift, F.lit(0))
+        return F.zip_with(F.slice(left, F.lit(1), count), F.slice(right, F.lit(shift + 1), count), lambda x, y: F.xxhash64(x, y))
+
+    found, size, power, width, done = None, shingle, "hashed", 1, 0
+    while size:
+        if size & 1:
+            if found is None:
+                hashes, found = hashes.withColumn("runs", F.col(power)), "runs"
+            else:
+                hashes = hashes.withColumn("runs", joined("runs", power, done))
+            done += width
+        size >>= 1
+        if size:
+            hashes = hashes.withColumn(f"of{2 * width}", joined(power, power, width))
+            power, width = f"of{2 * width}", 2 * width
+    return hashes
+
+
+def line_sets(worded: DataFrame, shingle: int, classes: Column, threshold: Threshold) -> DataFrame:
+    """(doc_id, version, no, body, k1, k2, n, prefix): hashes of the line's words, the number of its tokens, and
+    the rarest of them, by their first word.
+    """
+    keys = [F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(2), "words").alias("k2")]
+    hashed = worded.select("doc_id", "version", "no", "body", *keys, F.transform("words", lambda w: F.xxhash64(w)).alias("hashed"))
+    whole = F.when(F.size("runs") > 0, F.col("runs")).otherwise(F.array(F.xxhash64("hashed")))
+    tokens = run_hashes(hashed, shingle).withColumn("tokens", whole)
 
-        return lambda bodies: pa.concat_arrays([sets(b) for b in slices(bodies)])
+    def ranked(token: Column, word: Column) -> Column:
+        place = word.bitwiseAND(F.lit((1 << COUNTED_BITS) - 1)).cast("int")
+        return F.shiftleft(F.get(classes, place), HASH_BITS).bitwiseOR(token.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
-    lines = documents.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("version"), F.posexplode_outer(F.split(F.col(text), "\n")).alias("no", "body")
-    )
-    bodies = lines.select(F.struct("doc_id", "version", "no").alias("line"), "body").join(wanted, "line", "left_semi")
-    return bodies.select("line", text_function(ArrayType(LongType()), make)(F.col("body")).alias("tokens"))
+    firsts = F.slice("hashed", F.lit(1), F.size("tokens"))
+    ordered = F.sort_array(F.array_distinct(F.zip_with("tokens", firsts, ranked))).alias("ordered")
+    sized = tokens.select("doc_id", "version", "no", "body", *KEY, ordered).withColumn("n", F.size("ordered"))
+    return sized.withColumn("prefix", F.slice("ordered", F.lit(1), threshold.prefix_of(F.col("n")))).drop("ordered")
 
 
-class Threshold:
-    """Jaccard similarity of at least a / b, in whole numbers."""
+def matches(pairs: DataFrame, bodies: DataFrame, shingle: int, threshold: Threshold) -> DataFrame:
+    """(k1, k2) of the lines x of the pairs (x1, x2, y1, y2) whose sets of word runs match."""
+    ends = pairs.select(F.explode(F.array("x1", "y1")).alias("k1"))
+    paired = passes(bit_filter(ends, F.col("k1"), FILTER_WORDS), F.col("k1"), FILTER_WORDS)
+    bodies = bodies.where(paired)  # lines of no pair are not shuffled
 
-    def __init__(self, similarity: float):
-        self.a, self.b = Fraction(str(similarity)).as_integer_ratio()
+    def named(side: str) -> DataFrame:
+        return bodies.select(F.col("k1").alias(f"{side}1"), F.col("k2").alias(f"{side}2"), words_of(F.col("body")).alias(side))
 
-    def prefix_of(self, n: np.ndarray) -> np.ndarray:
-        """Tokens in a prefix: n less the least overlap with a match, plus one."""
-        return n - -(-n * self.a // self.b) + 1
+    def runs(words: str) -> Column:
+        places = F.sequence(F.lit(1), F.size(words) - (shingle - 1))
+        several = F.transform(places, lambda i: F.array_join(F.slice(words, i, shingle), " "))
+        return F.array_distinct(F.when(F.size(words) < shingle, F.array(F.array_join(words, " "))).otherwise(several))
 
-    def possible(self, x: Column, y: Column) -> Column:
-        """Whether lines of n tokens that share the token at pos can match."""
-        sizes = (self.b * F.least(x["n"], y["n"])) >= (self.a * F.greatest(x["n"], y["n"]))
-        most = 1 + F.least(x["n"] - x["pos"] - 1, y["n"] - y["pos"] - 1)
-        return sizes & ((self.a + self.b) * most >= self.a * (x["n"] + y["n"]))
+    both = pairs.join(named("x"), ["x1", "x2"]).join(named("y"), ["y1", "y2"]).withColumns({side: runs(side) for side in "xy"})
+    met = threshold.met(F.size(F.array_intersect("x", "y")), F.size("x") + F.size("y"))
+    # The condition stands in an aggregate: as a filter it would move ahead of the runs, and make them anew.
+    judged = both.groupBy(F.col("x1").alias("k1"), F.col("x2").alias("k2")).agg(F.bool_or(met).alias("met"))
+    return judged.where("met").select(*KEY)
 
-    def met(self, overlap: Column, n: Column) -> Column:
-        """n: tokens of both lines together, shared ones twice."""
-        return self.b * overlap >= self.a * (n - overlap)
+
+def pairs_at_hand(rows: DataFrame, threshold: Threshold) -> DataFrame:
+    """Candidates (x1, x2, y1, y2) of each line with the first and the previous line in its part of a token's
+    lines, and of each part's first line with those of the parts that come first and before it.
+    """
+    member = F.struct("line", "n", "pos", *KEY)
+    in_part = Window.partitionBy("token", "part").orderBy("line", *KEY)
+    parted = rows.withColumn("part", F.pmod(F.col("k1"), F.lit(PARTS)))
+    met = parted.select(
+        "token", member.alias("x"), F.first(member).over(in_part).alias("first"), F.lag(member).over(in_part).alias("previous")
+    )
+    of_token = Window.partitionBy("token").orderBy("x.line", "x.k1", "x.k2")
+    heads = met.where("previous IS NULL").select(
+        "x", F.first("x").over(of_token).alias("first"), F.lag("x").over(of_token).alias("previous")
+    )
+    near = met.select("x", "first", "previous").unionByName(heads)
+    near = near.select("x", F.explode(F.array("first", "previous")).alias("y")).where(F.col("y").isNotNull())
+    return possible_pairs(near, threshold)
 
 
-def matches(pairs: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame:
-    """The lines x of the pairs (x, y) whose token sets match."""
-    of_x = sets.select(F.col("line").alias("x"), F.col("tokens").alias("tokens_x"))
-    of_y = sets.select(F.col("line").alias("y"), F.col("tokens").alias("tokens_y"))
-    both = pairs.distinct().join(of_x, "x").join(of_y, "y")
-    shared = F.size(F.array_intersect("tokens_x", "tokens_y"))
-    return both.where(threshold.met(shared, F.size("tokens_x") + F.size("tokens_y"))).select("x").distinct()
+def possible_pairs(pairs: DataFrame, threshold: Threshold) -> DataFrame:
+    x, y = F.col("x"), F.col("y")
+    kept = pairs.where((y["line"] < x["line"]) & threshold.possible(x, y))
+    return kept.select(x["k1"].alias("x1"), x["k2"].alias("x2"), y["k1"].alias("y1"), y["k2"].alias("y2")).distinct()
 
 
 def repeated_lines(
     documents: DataFrame, similarity: float = 0.8, shingle: int = 5, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The struct line of every line to remove."""
+    """(doc_id, version, no) of every line to remove."""
     threshold = Threshold(similarity)
-    classes = rarity(documents, text, shingle)
-    all_lines = stored(line_sets(documents, doc_id, text, shingle, classes, threshold), "lines")
-
-    # One line of each token set, the first, meets others by the tokens of its prefix. The rows are many,
-    # so they are kept small: the line's number and the set's size in one number.
-    sets = all_lines.groupBy("k1", "k2").agg(F.min(F.struct("line", "n", "prefix")).alias("s"))
-    no_n = F.shiftleft(F.col("s.line.no").cast("long"), 32).bitwiseOR(F.col("s.n").cast("long"))
-    tokens = sets.select(
-        F.col("s.line.doc_id").alias("doc_id"), F.col("s.line.version").alias("version"), no_n.alias("no_n"),
-        F.posexplode_outer("s.prefix").alias("pos", "token"),
-    )
-    of_token = Window.partitionBy("token").orderBy("doc_id", "version", "no_n")
-    packed = F.struct("doc_id", "version", "no_n", "pos")
-    met = tokens.select(
-        "token",
-        packed.alias("own"),
-        F.row_number().over(of_token).alias("rank"),
-        F.first(packed).over(of_token).alias("first"),
-        F.lag(packed).over(of_token).alias("previous"),
-        F.lead("token").over(of_token).alias("next"),
-    ).where("rank > 1 OR next IS NOT NULL")
-
-    def member_of(name: str) -> Column:
-        x = F.col(name)
-        no, n = F.shiftright(x["no_n"], 32).cast("int"), x["no_n"].bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-        line = F.struct(x["doc_id"].alias("doc_id"), x["version"].alias("version"), no.alias("no"))
-        return F.when(x.isNotNull(), F.struct(line.alias("line"), n.alias("n"), x["pos"].alias("pos"))).alias(name)
-
-    met = stored(met.select("token", "rank", *map(member_of, ("own", "first", "previous"))), "line-prefixes")
-    wanted = met.select("own.line").distinct()
-    found = stored(token_sets(documents, wanted, doc_id, text, shingle, classes), "line-tokens")
-
-    later = met.where("rank > 1")
-    near = later.select(F.col("own").alias("x"), F.explode(F.array_distinct(F.array("first", "previous"))).alias("y"))
-    near = near.where(threshold.possible(F.col("x"), F.col("y")))
-    matched = stored(matches(near.select(F.col("x.line").alias("x"), F.col("y.line").alias("y")), found, threshold), "matched-lines")
-
-    # A line that matches neither is compared with every earlier line of its tokens, if there are more.
-    rest = later.where("rank > 3").join(matched, F.col("own.line") == F.col("x"), "left_anti")
-    xs = rest.select("token", F.col("own").alias("xm"))
-    ys = met.select("token", F.col("own").alias("ym"))
-    pairs = xs.join(ys, (xs["token"] == ys["token"]) & (F.col("ym.line") < F.col("xm.line")) & threshold.possible(F.col("xm"), F.col("ym")))
-    others = matches(pairs.select(F.col("xm.line").alias("x"), F.col("ym.line").alias("y")), found, threshold)
-    matched = stored(matched.union(others), "all-matched-lines")
+    worded = worded_lines(documents, doc_id, text)
+    all_lines = stored(line_sets(worded, shingle, rarity(worded), threshold), "lines")
+    line = F.struct("doc_id", "version", "no")
+    firsts = stored(all_lines.groupBy(*KEY).agg(F.min(line).alias("first")), "first-lines")
+
+    # Tokens in the prefixes of different lines, as a filter.
+    tokens = all_lines.select("k1", F.explode("prefix").alias("token")).groupBy("token")
+    shared = tokens.agg(F.min("k1").alias("least"), F.max("k1").alias("most")).where("least <> most")
+    each = all_lines.select(*KEY, line.alias("line"), "n", F.posexplode("prefix").alias("pos", "token"))
+    each = each.where(passes(bit_filter(shared, F.col("token"), FILTER_WORDS), F.col("token"), FILTER_WORDS))
+    # One line of each key, the first, meets others by its tokens.
+    rows = stored(each.join(firsts, KEY).where("line = first").drop("first"), "line-tokens")
+    met = bit_filter(rows, F.col("k1"), FILTER_WORDS)
+    bodies = all_lines.where(passes(met, F.col("k1"), FILTER_WORDS)).select(*KEY, line.alias("line"), "body")
+    bodies = stored(bodies.join(firsts, KEY).where("line = first").select(*KEY, "body"), "line-bodies")
+
+    near = stored(pairs_at_hand(rows, threshold), "line-pairs")
+    matched = stored(matches(near, bodies, shingle, threshold), "matched-lines")
+    # A line that matches none of these is compared with every earlier line of its tokens.
+    member = F.struct("line", "n", "pos", *KEY)
+    xs = rows.join(matched, KEY, "left_anti").select("token", member.alias("x"))
+    ys = rows.select(F.col("token").alias("of"), member.alias("y"))
+    met = xs.join(ys, (F.col("token") == F.col("of")) & (F.col("y.line") < F.col("x.line")) & threshold.possible(F.col("x"), F.col("y")))
+    rest = possible_pairs(met.select("x", "y"), threshold).join(near, ["x1", "x2", "y1", "y2"], "left_anti")
+    more = stored(rest, "more-line-pairs")
+    others = matches(more, bodies, shingle, threshold)
 
     # Copies go with their first, and after it.
-    keys = ["k1", "k2"]
-    firsts = all_lines.groupBy(*keys).agg(F.min("line").alias("first"))
-    firsts = firsts.join(matched, F.col("first") == F.col("x"), "left").select(*keys, "first", F.col("x").isNotNull().alias("gone"))
-    return all_lines.select("line", *keys).join(firsts, keys).where(F.col("gone") | (F.col("line") != F.col("first"))).select("line")
+    gone = matched.unionByName(others).withColumn("gone", F.lit(True))
+    judged = stored(firsts.join(gone, KEY, "left"), "judged-lines")
+    discard(firsts, rows, bodies, near, matched, more)
+    found = all_lines.select(*KEY, "doc_id", "version", "no").join(judged, KEY)
+    found = found.where(F.col("gone") | (line != F.col("first"))).select("doc_id", "version", "no")
+    found = stored(found, "repeated-lines")
+    discard(all_lines, judged)
+    return found
 
 
 def dedup_lines(
@@ -222,8 +242,8 @@ def dedup_lines(
     gone = repeated_lines(documents, similarity, shingle, doc_id, text)
     version, lines, left = (free_name(documents, n) for n in ("version", "lines", "left"))
     of_id, of_version, nos = (free_name(documents, n) for n in ("gone_id", "gone_version", "gone_nos"))
-    by_text = gone.groupBy(F.col("line.doc_id").alias(of_id), F.col("line.version").alias(of_version))
-    by_text = stored(by_text.agg(F.collect_set("line.no").alias(nos)), "removed-lines")
+    by_text = gone.groupBy(F.col("doc_id").alias(of_id), F.col("version").alias(of_version))
+    by_text = stored(by_text.agg(F.collect_set("no").alias(nos)), "removed-lines")
     met = documents.withColumn(version, F.xxhash64(text)).join(
         by_text, F.col(doc_id).eqNullSafe(F.col(of_id)) & (F.col(version) == F.col(of_version)), "left"
     )
