@@ -120,7 +120,9 @@ class QualityModel:
         self.features = Features()
         self.grades = sorted(set(grades))
         y = np.array([self.grades.index(g) for g in grades])
-        x = np.stack([self.features.vector(t) for t in texts])
+        x = np.empty((len(texts), BUCKETS), np.float32)
+        for row, body in zip(x, texts, strict=True):
+            row[:] = self.features.vector(body)
         self.features = Features()
         levels = len(self.grades)
         # Thresholds are a first one and the logarithms of the gaps that follow.
