@@ -30,6 +30,7 @@ from trailmark.sources import (
     write_files,
     write_table,
 )
+from trailmark.sources import layout
 from trailmark.sources.layout import in_ranges
 from trailmark.streaming.landing import append_new, landed_csv, landed_json_pages
 
@@ -413,3 +414,20 @@ def test_ranges_order_all_kinds_of_columns(spark):
     assert all(key(x) <= key(y) for x, y in zip(parts, parts[1:], strict=False))
     sizes = [sum(r.p == p for r in parts) for p in range(8)]
     assert max(sizes) < 2 * 700 / 8
+
+def test_a_clustered_write_has_ranges_for_all_bytes(spark):
+    """However few partitions a shuffle starts with, no range is over the advised size."""
+    advised = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advised)
+    spark.conf.set(advised, "1m")
+    try:
+        assert layout.range_count(spark, 1000 << 20) == 1000
+        assert layout.range_count(spark, 1) == 1
+    finally:
+        spark.conf.set(advised, before)
+
+
+def test_a_task_hands_on_its_share_of_the_sample(spark):
+    rows = spark.range(0, 400_000, 1, 40)
+    met = layout.sampled(rows, F.col("id"), 20, 400_000).groupBy(F.spark_partition_id()).count().collect()
+    assert 1500 < sum(r["count"] for r in met) < 2500 and max(r["count"] for r in met) < 200

@@ -2,9 +2,8 @@
 
 Spark's range partitioning samples its input for bounds, which computes it a second time. Here the
 rows are written aside once, as they come. The bounds are quantiles of a sample of the layout
-columns only: the rows of least random number, of which every task keeps its own least and
-the merge keeps the least of all, so it costs a narrow scan and its size does not grow with the
-rows. They enter the plan as a scalar subquery; a binary search finds each row's range.
+columns only, so many rows for each range, chosen one by one with the same chance: so it costs a narrow scan,
+and a task hands on its share of the sample alone. They enter the plan as a scalar subquery; a binary search finds each row's range.
 """
 
 from __future__ import annotations
@@ -26,22 +25,29 @@ SPREAD, BOUNDS, RANGE = "_spread", "_bounds", "_range"
 
 
 def range_count(spark: SparkSession, size: int) -> int:
-    """Ranges for so many bytes: what a shuffle starts with, merged to the advised size if adaptive
-    execution merges partitions.
+    """Ranges for so many bytes: each of the advised size at most, however many that makes; if adaptive execution
+    does not merge partitions, at least what a shuffle starts with.
     """
     conf = spark.conf
-    most = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions"))
-    merged = conf.get("spark.sql.adaptive.enabled") == "true" and conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
-    if not merged:
-        return most
     advised = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
-    return max(1, min(most, ceil(size / advised)))
+    ranges = max(1, ceil(size / advised))
+    if conf.get("spark.sql.adaptive.enabled") == "true" and conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true":
+        return ranges
+    least = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    return max(ranges, int(least))
 
 
-def quantile_bounds(rows: DataFrame, key: Column, ranges: int) -> Column:
+def sampled(rows: DataFrame, key: Column, ranges: int, count: int) -> DataFrame:
+    """(key) of about SAMPLED rows for each range, of so many rows: each row with the same chance, so that a task
+    hands on its share only, however many tasks there are.
+    """
+    chance = min(1.0, SAMPLED * ranges / max(1, count))
+    return rows.where(F.rand(seed=7) < chance).select(key.alias("key"))
+
+
+def quantile_bounds(rows: DataFrame, key: Column, ranges: int, count: int) -> Column:
     """The keys that part the rows in so many ranges of about equal size, as one rising array."""
-    sample = rows.select(key.alias("key")).orderBy(F.rand(seed=7)).limit(SAMPLED * ranges)
-    met = sample.agg(F.sort_array(F.collect_list("key")).alias("met"))
+    met = sampled(rows, key, ranges, count).agg(F.sort_array(F.collect_list("key")).alias("met"))
     place = lambda i: F.floor(i * F.size("met") / ranges).cast("int")
     return met.select(F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("met", place(i)))).scalar()
 
@@ -80,7 +86,7 @@ def in_ranges(rows: DataFrame, layout: Sequence[str]) -> Iterator[DataFrame]:
             parted = written.coalesce(1)
         else:
             key = F.struct(*layout, SPREAD)
-            bounded = written.withColumn(BOUNDS, quantile_bounds(written, key, ranges))
+            bounded = written.withColumn(BOUNDS, quantile_bounds(written, key, ranges, written.count()))
             parted = bounded.withColumn(RANGE, range_of(F.col(BOUNDS), key, ranges)).repartitionById(ranges, RANGE)
         yield parted.select(*rows.columns).sortWithinPartitions(*layout)
     finally:
