@@ -100,3 +100,25 @@ def test_plan_is_native(spark):
     frame = spark.createDataFrame(corpus(4), "doc_id long, text string")
     text = dedup_lines(frame)._jdf.queryExecution().toString()
     assert not any(n in text for n in ("Python", "InArrow", "Pandas"))
+
+
+def test_long_lines_that_share_a_passage_are_not_paired(spark, monkeypatch):
+    """Long lines with a common passage, no two alike, and one variant: pairs are few, none is lost."""
+    from trailmark.llm import lines
+
+    counts = {}
+    kept = lines.stored
+
+    def counting(frame, purpose):
+        found = kept(frame, purpose)
+        counts[purpose] = counts.get(purpose, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(lines, "stored", counting)
+    passage = " ".join(f"p{i}" for i in range(40))
+    documents = [(i, f"{passage} " + " ".join(f"x{i}y{k}" for k in range(200))) for i in range(60)]
+    documents.append((99, documents[7][1] + " end"))
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in dedup_lines(frame).collect()}
+    assert found == cleaned(documents, brute.repeated_lines(documents)) and found[99] == ""
+    assert sum(n for p, n in counts.items() if p.endswith("line-pairs")) < 60
