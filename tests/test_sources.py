@@ -421,7 +421,7 @@ def test_a_clustered_write_has_ranges_for_all_bytes(spark):
     before = spark.conf.get(advised)
     spark.conf.set(advised, "1m")
     try:
-        assert layout.range_count(spark, 1000 << 20) == 1000
+        assert layout.range_count(spark, 1000 << 20) == 1000 * layout.SHUFFLED
         assert layout.range_count(spark, 1) == 1
     finally:
         spark.conf.set(advised, before)

@@ -20,17 +20,19 @@ from trailmark.sources.scratch import scratch_folder
 
 #: Sampled rows for each range.
 SAMPLED = 100
+#: Bytes of shuffled rows for each byte of their files, for rows whose values repeat.
+SHUFFLED = 4
 #: Columns added for a while.
 SPREAD, BOUNDS, RANGE = "_spread", "_bounds", "_range"
 
 
 def range_count(spark: SparkSession, size: int) -> int:
-    """Ranges for so many bytes: each of the advised size at most, however many that makes; if adaptive execution
+    """Ranges for files of so many bytes: each of the advised size when shuffled, however many that makes; if adaptive execution
     does not merge partitions, at least what a shuffle starts with.
     """
     conf = spark.conf
     advised = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
-    ranges = max(1, ceil(size / advised))
+    ranges = max(1, ceil(SHUFFLED * size / advised))
     if conf.get("spark.sql.adaptive.enabled") == "true" and conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true":
         return ranges
     least = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
