@@ -60,7 +60,8 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     or empty text is a piece of one token.
     """
     pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    # Stored, as a stored step hands small batches to Python; without the ids it is small.
+    return stored(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), "pipeline-packing")
 
 
 STAGES = [

@@ -129,3 +129,12 @@ def test_a_text_of_several_slices():
     text = " ".join(chance.choice(["the", "Straße", "x  y", "日本語", "end.\n", "#", "0123456789" * 9]) for _ in range(90_000))
     assert len(text) > tokens.BATCH_BYTES // 4
     assert PieceCounter(path).counts([text, None, text[:10]])[0] == len(sentencepiece.SentencePieceProcessor(model_file=path).encode(text))
+
+
+def test_an_encoder_remembers_a_bounded_number_of_words():
+    encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    for k in range(0, 600_000, 20_000):
+        for _ in encoder.batch_ids([" ".join(f"q{i:x}" for i in range(k, k + 20_000)).encode()]):
+            pass
+        assert len(encoder.place) <= 520_000
+        assert max(map(len, (encoder.first, encoder.size, encoder.ends))) <= 1 << 20

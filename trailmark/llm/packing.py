@@ -91,7 +91,7 @@ def tail_cost(size: int, capacity: int) -> float:
     return min(capacity - size, (size.bit_count() - 1) * INSIDE) if size else 0.0
 
 
-def by_bytes(batch: pa.RecordBatch, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def by_bytes(batch: pa.RecordBatch, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """Slices of the batch with at most about limit bytes of texts (column 1), or one row."""
     sizes = np.array(pc.fill_null(pc.binary_length(batch.column(1)), 0), np.int64)
     block = (np.cumsum(sizes) - sizes) // limit

@@ -183,7 +183,7 @@ class WordEncoder:
     #: Below, letters are Latin, composed, and letters in every version of Unicode.
     LATIN = "\u0250"
     #: Words remembered by a worker, and the bytes of the longest: 300 bytes each at most.
-    REMEMBERED, LONG_WORD = 800_000, 64
+    REMEMBERED, LONG_WORD = 500_000, 64
     ENDED = re.compile(rb"[.!?][\"')\]]*$")
     #: Such a run behind a plain letter, which may as well be a word of its own.
     BEHIND = re.compile(rb"(?<=[a-z])([.,!?&*%$#]+)(?=\s|\Z)")
@@ -205,9 +205,8 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.first = np.zeros(0, np.int64)  # of a word, where its ids start
-        self.size = np.zeros(0, np.int32)
-        self.ends = np.zeros(0, bool)
+        # By a word's place, with room for more: where its ids start, their number, whether a sentence ends.
+        self.first, self.size, self.ends = (np.zeros(1 << 14, kind) for kind in (np.int64, np.int32, bool))
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
 
@@ -215,7 +214,6 @@ class WordEncoder:
         """Forget the words learned last."""
         while len(self.place) > place:
             self.place.popitem()
-        self.first, self.size, self.ends = self.first[:place], self.size[:place], self.ends[:place]
         self.used = used
         if len(self.ids) > 1 << 22 and len(self.ids) > 4 * used:
             self.ids = self.ids[: 2 * used + 1].copy()
@@ -262,16 +260,17 @@ class WordEncoder:
                 ids += self.part_ids(whole)
             sizes.append(len(ids) - before)
             ends.append(bool(self.ENDED.search(word)))
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words)), strict=True))
+        place, stop = len(self.place), len(self.place) + len(words)
+        self.place.update(zip(words, range(place, stop), strict=True))
         size = np.array(sizes, np.int32)
         start = self.used + np.cumsum(size, dtype=np.int64) - size
         while self.used + len(ids) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.ids[self.used : self.used + len(ids)] = ids
         self.used += len(ids)
-        self.first = np.concatenate([self.first, start])
-        self.size = np.concatenate([self.size, size])
-        self.ends = np.concatenate([self.ends, np.array(ends, bool)])
+        while stop > len(self.first):
+            self.first, self.size, self.ends = (np.resize(x, 2 * len(x)) for x in (self.first, self.size, self.ends))
+        self.first[place:stop], self.size[place:stop], self.ends[place:stop] = start, size, ends
 
     def batch_ids(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids, and the positions in them after which a sentence ends."""
