@@ -122,3 +122,51 @@ def test_long_lines_that_share_a_passage_are_not_paired(spark, monkeypatch):
     found = {r.doc_id: r.text for r in dedup_lines(frame).collect()}
     assert found == cleaned(documents, brute.repeated_lines(documents)) and found[99] == ""
     assert sum(n for p, n in counts.items() if p.endswith("line-pairs")) < 60
+
+
+def test_variants_that_do_not_match_are_not_paired(spark, monkeypatch):
+    """Lines of some eighty tokens with four words of a common line changed: few of the pairs are verified."""
+    from trailmark.llm import lines
+
+    counts = {}
+    kept = lines.stored
+
+    def counting(frame, purpose):
+        found = kept(frame, purpose)
+        counts[purpose] = counts.get(purpose, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(lines, "stored", counting)
+    chance = random.Random(4)
+    documents = []
+    for i in range(80):
+        line = [f"t{k}" for k in range(87)]
+        for k in chance.sample(range(87), 4):
+            line[k] = f"v{i}x{k}"
+        documents.append((i, " ".join(line)))
+    frame = spark.createDataFrame(documents, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in dedup_lines(frame).collect()}
+    assert found == cleaned(documents, brute.repeated_lines(documents))
+    assert sum(n for p, n in counts.items() if p.endswith("line-pairs")) < 40
+
+
+def test_words_of_odd_lines(spark):
+    """Capitals beyond ASCII stay; every kind of white space parts words."""
+    from trailmark.llm.lines import words_of
+
+    bodies = [
+        "", " ", "  A  b ", "Été ÉTÉ été", "İI ıK ΟΣ ǅ Ⅷ Ⓐ ÀB", "ñandú NIÑO", "a\tB\x0bC\x0cd\re", "\tA", "A\r", "Ünder  ÜBER\té", "ß SS", " A  B",
+    ]
+    frame = spark.createDataFrame(list(enumerate(bodies)), "i int, body string")
+    found = dict(frame.select("i", words_of(F.col("body"))).collect())
+    assert [found[i] for i in range(len(bodies))] == [brute.split(brute.lowered(b)) for b in bodies]
+
+
+def test_copies_of_a_line_read_the_texts_of_pairs_only(spark):
+    """Equal rows are one line; a copy goes if its first stays, and if it goes."""
+    line = [f"t{k}" for k in range(40)]
+    near = " ".join([*line[:-1], "other"])
+    rows = [(None, near), (None, near), (1, " ".join(line)), (1, " ".join(line)), (2, f"{near}\n{' '.join(line)}\nnew"), (3, "new\nNEW")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((r.doc_id or 0, r.text, r.n_removed) for r in dedup_lines(frame).collect())
+    assert found == [(0, near, 0), (0, near, 0), (1, "", 1), (1, "", 1), (2, "new", 2), (3, "", 2)]

@@ -36,12 +36,14 @@ from trailmark.operators.bitfilter import bit_filter, passes
 #: Bits of a token's hash, and 64-bit words of the filters of lines: 2 MB, whatever the input.
 HASH_BITS = 48
 #: Lines of more tokens have four words of parities.
-SHORT = 90
+SHORT = 30
 FILTER_WORDS = 1 << 18
 #: Parts in which the lines of a token are looked through.
 PARTS = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WHITE = "\t\n\x0b\x0c\r"
+#: Letters beyond ASCII that lower() changes.
+CAPITALS = r"[\p{javaUpperCase}\p{javaTitleCase}&&[^A-Z]]"
 KEY, LINE = ["k1", "k2"], ["doc_id", "version", "no"]
 
 
@@ -85,11 +87,15 @@ def replaced(body: Column, signs: str, others: str) -> Column:
 
 def words_of(body: Column) -> Column:
     """Words of a line, lower-cased A-Z. All white space is made spaces, as one sign parts faster than a pattern;
-    texts of ASCII alone are lower-cased as a whole.
+    lines without capitals beyond ASCII are lower-cased as a whole. To look for a sign costs less than to replace it.
     """
-    spaced = replaced(body, WHITE, " " * len(WHITE))
-    plain = F.octet_length(body) == F.length(body)
-    return F.array_remove(F.split(F.when(plain, F.lower(spaced)).otherwise(replaced(spaced, UPPER, LOWER)), " "), "")
+    white = reduce(lambda a, b: a | b, [F.contains(body, F.lit(sign)) for sign in WHITE])
+    spaced = F.when(white, replaced(body, WHITE, " " * len(WHITE))).otherwise(body)
+    plain = (F.octet_length(body) == F.length(body)) | ~F.rlike(body, F.lit(CAPITALS))
+    lower = F.when(plain, F.lower(spaced)).otherwise(replaced(spaced, UPPER, LOWER))
+    several = white | F.contains(body, F.lit("  ")) | F.startswith(body, F.lit(" ")) | F.endswith(body, F.lit(" "))
+    parted = F.split(lower, " ")
+    return F.when(several | (body == ""), F.array_remove(parted, "")).otherwise(parted)
 
 
 def lines_of(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -124,23 +130,25 @@ def line_sets(worded: DataFrame, shingle: int, threshold: Threshold) -> DataFram
     def turned(bits: Column, token: Column) -> Column:
         return bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), token.bitwiseAND(F.lit(63)).cast("int")))
 
-    bits = F.aggregate("ordered", F.lit(0).cast("bigint"), turned).alias("bits")
     n = F.size("ordered")
 
     def part(k: int) -> Column:
         own = F.filter("ordered", lambda token: F.shiftright(token, 6).bitwiseAND(F.lit(3)) == k)
         return F.aggregate(own, F.lit(0).cast("bigint"), turned)
 
-    parts = F.when(n > SHORT, F.array(*map(part, range(4)))).alias("parts")
-    return ordered.select(*LINE, *KEY, n.alias("n"), bits, parts, F.slice("ordered", F.lit(1), threshold.prefix_of(n)).alias("prefix"))
+    parted = ordered.withColumn("parts", F.when(n > SHORT, F.array(*map(part, range(4)))))
+    whole = reduce(lambda a, b: a.bitwiseXOR(b), [F.get("parts", i) for i in range(4)])
+    bits = F.when(F.col("parts").isNull(), F.aggregate("ordered", F.lit(0).cast("bigint"), turned)).otherwise(whole).alias("bits")
+    return parted.select(*LINE, *KEY, n.alias("n"), bits, "parts", F.slice("ordered", F.lit(1), threshold.prefix_of(n)).alias("prefix"))
 
 
-def bodies_of(pairs: DataFrame, firsts: DataFrame, lines: DataFrame) -> DataFrame:
-    """(k1, k2, body) of the lines of the pairs, from all lines; those of no pair go ahead of the shuffle, but for some."""
+def bodies_of(pairs: DataFrame, firsts: DataFrame, documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(k1, k2, body) of the lines of the pairs, from the documents; texts and lines of no pair go ahead of the shuffle, but for some."""
     ends = pairs.select(F.col("x1").alias("k1"), F.col("x2").alias("k2")).unionByName(pairs.select(F.col("y1").alias("k1"), F.col("y2").alias("k2")))
-    wanted = stored(firsts.join(ends.distinct(), KEY).select(*KEY, "first.*"), "wanted-lines")
-    of_line = F.xxhash64("version", "no")
-    found = lines.where(passes(bit_filter(wanted, of_line, FILTER_WORDS), of_line, FILTER_WORDS))
+    wanted = stored(firsts.join(ends.distinct(), KEY).select(*KEY, *LINE), "wanted-lines")
+    of_text, of_line = F.xxhash64(text), F.xxhash64("version", "no")
+    near = documents.where(passes(bit_filter(wanted, F.col("version"), FILTER_WORDS), of_text, FILTER_WORDS))
+    found = lines_of(near, doc_id, text).where(passes(bit_filter(wanted, of_line, FILTER_WORDS), of_line, FILTER_WORDS))
     same = F.col("doc_id").eqNullSafe(F.col("x_doc_id")) & (F.col("version") == F.col("x_version")) & (F.col("no") == F.col("x_no"))
     found = found.join(wanted.withColumnsRenamed({c: f"x_{c}" for c in LINE}), same)
     bodies = stored(found.select(*KEY, "body"), "line-bodies")
@@ -214,22 +222,20 @@ def repeated_lines(
 ) -> DataFrame:
     """(doc_id, version, no) of every line to remove."""
     threshold = Threshold(similarity)
-    sets = stored(line_sets(worded_lines(documents, doc_id, text), shingle, threshold), "line-sets")
-    line = F.struct(*LINE)
-    # One line of each key, the first, meets others by its tokens.
-    first = F.min(F.struct(*LINE, "n", "bits", "parts", "prefix")).alias("first")
-    first_sets = stored(sets.groupBy(*KEY).agg(first).select(*KEY, "first.*"), "first-sets")
-    # What goes on without the tokens is stored without them.
-    all_lines = stored(sets.select(*KEY, *LINE), "lines")
-    discard(sets)
-    rows = stored(shared_tokens(first_sets, threshold), "line-tokens")
-    firsts = stored(first_sets.select(*KEY, line.alias("first")), "first-lines")
-    discard(first_sets)
-
-    lines = lines_of(documents, doc_id, text)
+    sets = line_sets(worded_lines(documents, doc_id, text), shingle, threshold)
+    # One line of each key, the first, meets others by its tokens; its copies go. Equal rows are one line.
+    of_key = Window.partitionBy(*KEY).orderBy(*LINE)
+    first, own = F.first(F.struct(*LINE)).over(of_key), F.struct(*LINE)
+    told = sets.withColumns({"copy": ~own.eqNullSafe(first), "before": F.lag("k1").over(of_key)})
+    told = told.where("copy OR before IS NULL").drop("before")
+    # Of the copies, no tokens are of use.
+    without = {c: F.when(~F.col("copy"), F.col(c)) for c in ("bits", "parts", "prefix")}
+    all_lines = stored(told.withColumns(without), "lines")
+    firsts = all_lines.where("NOT copy")
+    rows = stored(shared_tokens(firsts, threshold), "line-tokens")
 
     def matched_of(pairs: DataFrame) -> DataFrame:
-        bodies = bodies_of(pairs, firsts, lines)
+        bodies = bodies_of(pairs, firsts, documents, doc_id, text)
         found = stored(matches(pairs, bodies, shingle, threshold), "matched-lines")
         discard(bodies)
         return found
@@ -258,14 +264,12 @@ def repeated_lines(
     last = matched_of(rest)
     discard(rest)
 
-    # Copies go with their first, and after it.
-    gone = matched.unionByName(others).unionByName(last).withColumn("gone", F.lit(True))
-    judged = stored(firsts.join(gone, KEY, "left"), "judged-lines")
-    discard(firsts, matched, others, last)
-    found = all_lines.join(judged, KEY)
-    found = found.where(F.col("gone") | (line != F.col("first"))).select(*LINE)
+    # Copies go whether or not their first does.
+    gone = stored(matched.unionByName(others).unionByName(last).select(*KEY), "gone-lines")
+    discard(matched, others, last)
+    found = all_lines.where("copy").select(*LINE).unionByName(firsts.join(gone, KEY, "left_semi").select(*LINE))
     found = stored(found, "repeated-lines")
-    discard(all_lines, judged)
+    discard(all_lines, gone)
     return found
 
 
