@@ -37,6 +37,8 @@ from trailmark.operators.bitfilter import bit_filter, passes
 WORD_BITS, HASH_BITS = 20, 44
 #: 64-bit words of the filters of lines: 2 MB, whatever the input.
 FILTER_WORDS = 1 << 18
+#: A line that shares fewer tokens of its prefix with others matches none.
+LEAST = 2
 #: Lines of more tokens have four words of parities.
 SHORT = 30
 #: Parts in which the lines of a token are looked through.
@@ -56,7 +58,11 @@ class Threshold:
 
     def prefix_of(self, n: Column) -> Column:
         """Tokens in a prefix: n less the least overlap with a match, plus one."""
-        return (n - F.ceil(n * self.a / self.b) + 1).cast("int")
+        return (n - self.least_shared(n) + 1).cast("int")
+
+    def least_shared(self, n: Column) -> Column:
+        """The least overlap with a match."""
+        return F.ceil(n * self.a / self.b)
 
     def size_class(self, n: Column) -> Column:
         """A class of sizes; lines that match are at most one class apart. The base is a little more than the
@@ -141,11 +147,11 @@ def token_at(word: Column, i: Column, shingle: int) -> Column:
 
 
 def _first_bits(word: Column) -> Column:
-    return F.shiftright(word, 64 - WORD_BITS)
+    return word.bitwiseAND(F.lit(-(1 << (64 - WORD_BITS))))
 
 
 def _ranked(word: Column, run: Column) -> Column:
-    return F.shiftleft(_first_bits(word), HASH_BITS).bitwiseOR(F.shiftrightunsigned(run, 64 - HASH_BITS))
+    return _first_bits(word).bitwiseOR(F.shiftrightunsigned(run, 64 - HASH_BITS))
 
 
 def short_token() -> Column:
@@ -154,20 +160,24 @@ def short_token() -> Column:
 
 
 def first_tokens(firsts: DataFrame, shingle: int, threshold: Threshold) -> DataFrame:
-    """(k1, token): at least the prefix of each line, by rows, so that only these tokens are made. Tokens are in the order of their
-    first words' hashes. A line has as many different tokens as it has different first words, or more: those with the
-    least hashes, as many as the prefix of a line without repeats has, are enough, with all tokens that they start.
+    """(k1, need, token): at least the prefix of each line, by rows, so that only these tokens are made. Tokens are in the order
+    of their first words' hashes. A line has as many different tokens as it has different first words, or more: those
+    with the least hashes, as many as the prefix of a line without repeats has, are enough, with all tokens that they start.
+
+    Prefixes are longer by LEAST - 1, so that a line shares LEAST of their tokens with each match, or all it has to share.
+    need: as many, by the least number of tokens that the line can have.
     """
     hashed = word_hashes(firsts, "k1")
     runs = F.greatest(F.size("hashed") - (shingle - 1), F.lit(1))
     starts = F.sort_array(F.array_distinct(F.slice("hashed", F.lit(1), runs)))
     ordered = hashed.select("k1", "hashed", runs.alias("runs"), starts.alias("starts"))
-    last = F.coalesce(F.get("starts", threshold.prefix_of(F.col("runs")) - 1), F.lit(2**63 - 1))
-    bounded = ordered.select("k1", "hashed", "runs", _first_bits(last).alias("last"))
-    each = bounded.select("k1", "hashed", "last", F.explode_outer(F.sequence(F.lit(0), F.col("runs") - 1)).alias("i"))
+    last = F.coalesce(F.get("starts", threshold.prefix_of(F.col("runs")) + LEAST - 2), F.lit(2**63 - 1))
+    need = F.least(F.lit(LEAST), threshold.least_shared(F.size("starts"))).cast("int")
+    bounded = ordered.select("k1", "hashed", "runs", _first_bits(last).alias("last"), need.alias("need"))
+    each = bounded.select("k1", "need", "hashed", "last", F.explode_outer(F.sequence(F.lit(0), F.col("runs") - 1)).alias("i"))
     word = F.get("hashed", F.col("i"))
     token = F.when(F.size("hashed") < shingle, short_token()).otherwise(token_at(word, F.col("i"), shingle))
-    return each.where(surely(_first_bits(word) <= F.col("last"))).select("k1", token.alias("token"))
+    return each.where(surely(_first_bits(word) <= F.col("last"))).select("k1", "need", token.alias("token"))
 
 
 def line_sets(lines: DataFrame, shingle: int, *columns: str) -> DataFrame:
@@ -186,7 +196,7 @@ def line_sets(lines: DataFrame, shingle: int, *columns: str) -> DataFrame:
     n = F.size("ordered")
 
     def part(k: int) -> Column:
-        own = F.filter("ordered", lambda token: F.shiftright(token, 6).bitwiseAND(F.lit(3)) == k)
+        own = F.filter("ordered", lambda token: token.bitwiseAND(F.lit(3 << 6)) == k << 6)
         return F.aggregate(own, F.lit(0).cast("bigint"), turned)
 
     parted = ordered.withColumn("parts", F.when(n > SHORT, F.array(*map(part, range(4)))))
@@ -229,7 +239,8 @@ def shared_tokens(firsts: DataFrame, shingle: int, threshold: Threshold) -> Data
     met = each.withColumns({"before": F.lag("k1").over(of_token), "after": F.lead("k1").over(of_token)})
     # A token that a line repeats stands beside itself; the first or the last of its rows stands beside another line's.
     met = met.where("before <> k1 OR after <> k1")
-    shared = stored(met.groupBy("k1").agg(F.collect_set("token").alias("shared")), "shared-tokens")
+    of_line = met.groupBy("k1").agg(F.collect_set("token").alias("shared"), F.min("need").alias("need"))
+    shared = stored(of_line.where(F.size("shared") >= F.col("need")).drop("need"), "shared-tokens")
     near = firsts.where(passes(bit_filter(shared, F.col("k1"), FILTER_WORDS), F.col("k1"), FILTER_WORDS))
     # The first hash alone may be that of several lines: each is a candidate.
     sets = line_sets(near.join(shared, "k1"), shingle, *KEY, *LINE, "shared")
