@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -79,6 +80,36 @@ def test_long_texts_are_cut_in_slices(spark, monkeypatch):
     assert sorted(found) == [(0, [], long.encode()), (1, [(1, 200_001)], b"xy"), (2, [(0, 60)], b"")]
 
 
+def test_a_text_over_several_chunks(spark):
+    """Its slices are in chunks of their own, and passages over their edges are found."""
+    long = np.random.default_rng(4).choice(np.frombuffer(b"abcdefgh ", np.uint8), passages.CHUNK_BYTES + 6 * passages.BLOCK_BYTES).tobytes().decode()
+    edge = passages.CHUNK_BYTES + 2 * passages.BLOCK_BYTES
+    documents = [(0, long), (1, "x" + long[edge - passages.BLOCK_BYTES * 3 : edge] + "y"), (2, long[-60:]), (3, "z" + long[passages.BLOCK_BYTES - 30 :][:60])]
+    found = cleaned(spark.createDataFrame(documents, "doc_id long, text string").repartition(1))
+    assert sorted(found) == [(0, [], long.encode()), (1, [(1, 1 + 3 * passages.BLOCK_BYTES)], b"xy"), (2, [(0, 60)], b""), (3, [(1, 61)], b"z")]
+
+
+def test_only_passages_of_several_documents_are_gathered(spark, monkeypatch):
+    """What a document repeats within itself is no work, whatever the number of such documents."""
+    gathered = []
+
+    def stored(frame, purpose):
+        gathered.append((purpose, step := original(frame, purpose)))
+        return step
+
+    original = passages.stored
+    monkeypatch.setattr(passages, "stored", stored)
+    monkeypatch.setattr(passages, "discard", lambda *steps: None)
+    lines = [hashlib.sha256(b"%d" % i).hexdigest() + "\n" for i in range(200)]
+    shared = "a passage of over fifty bytes that stands in two of the documents"
+    documents = [(i, line * 3 + shared * (i in (50, 120))) for i, line in enumerate(lines)]
+    found = cleaned(spark.createDataFrame(documents, "doc_id long, text string").repartition(3))
+    assert sorted(found) == sorted(brute(documents, 50)) and [i for i, runs, _ in found if runs] == [120]
+    steps = dict(gathered)
+    assert {r.doc_id for r in steps["document-anchors"].collect()} == {50, 120}
+    assert steps["surroundings"].count() < 30
+
+
 def test_each_window_has_one_anchor():
     chance = random.Random(3)
     texts = [bytes(chance.choice(b"abc") for _ in range(chance.randrange(200))) for _ in range(40)]

@@ -5,8 +5,9 @@ Sorting every suffix of a corpus would shuffle each byte many times, so suffixes
 to those that can matter. Copies of a whole text with a larger id go as a whole, and only the first takes
 part. Of the grams (over half of the width) inside a window, the one of least hash is the window's
 anchor: equal windows have equal anchors at equal places, so a window can only repeat if its anchor
-does. Anchors are one in twelve bytes. Their hashes are counted, and anchors that
-occur once go, most of them by a filter of fixed size, the rest by an exact join.
+does. Anchors are one in twelve bytes. Their hashes meet by a bucket of each, packed in rows of a chunk
+of texts, each with the place it came from; those of a hash that two documents hold are sent back to
+their chunk, the others go. So no filter or join has to tell them, whatever the input's size.
 
 The rest are gathered with their surroundings, all bytes that any of their windows covers. Equal
 surroundings are one row with the least document id, so that copies by the thousand are reduced ahead
@@ -21,6 +22,7 @@ An anchor with very many surroundings is not sorted in one task: its windows are
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +44,18 @@ MIX = 0xD6E8FEB86659FD93
 BLOCK_BYTES, PLACE_BITS = 1 << 17, 20
 #: Surroundings sorted together, about, and of one anchor at most; above that their windows are grouped.
 SORTED_TOGETHER, SORTED_AT_MOST = 1 << 13, 1 << 14
-#: 64-bit words of the filters of shared anchors (4 MB) and of copies (2 MB), whatever the input.
-FILTER_WORDS, COPY_WORDS = 1 << 19, 1 << 18
+#: 64-bit words of the filter of copies (2 MB), whatever the input.
+COPY_WORDS = 1 << 18
 #: Numbers that share a column have so many bits each.
 PACKED_BITS = 10
+#: Bytes of text, and documents at most, whose anchors are packed together; a bucket's row of them.
+CHUNK_BYTES, CHUNK_TEXTS = 1 << 23, 1 << 16
+#: Buckets of anchors, a power of two: so many at least, and so many times the shuffle's partitions.
+LEAST_BUCKETS, BUCKETS_EACH = 1 << 10, 4
+#: A packed anchor: bytes of its hash (beside the bucket's bits), of its document's number in the chunk, and of
+#: its place in the chunk with the offsets.
+HASH_BYTES, NUMBER_BYTES, AT_BYTES = 5, 2, 6
+ANCHOR_BYTES = HASH_BYTES + NUMBER_BYTES + AT_BYTES
 
 
 class Powers:
@@ -219,60 +229,229 @@ def least_rows(texts: list[bytes], group: np.ndarray, left: np.ndarray, low: np.
     return row, found
 
 
-def _anchor_rows(bodies: DataFrame, width: int, gram: int) -> DataFrame:
-    """(row, doc_id, version, hashes, ats) of (doc_id, version, text): the hashes of the text's anchors, and their
-    places with the offsets packed behind. Rows are numbered.
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, least: int) -> Iterator[pa.Table]:
+    """The rows, which come sorted by the key, in tables of whole groups, of so many rows or more but the last."""
+    waiting = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        more = pa.Table.from_batches([batch])
+        waiting = pa.concat_tables([waiting, more]) if waiting is not None else more
+        if len(waiting) < least:
+            continue
+        keys = waiting[key].to_numpy()
+        whole = int(np.searchsorted(keys, keys[-1]))  # the last group may go on
+        if whole:
+            yield waiting.slice(0, whole)
+            waiting = waiting.slice(whole)
+    if waiting is not None and len(waiting):
+        yield waiting
+
+
+def bytes_of(numbers: np.ndarray, size: int) -> np.ndarray:
+    """The numbers' lowest bytes, a row each."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]
+
+
+def numbers_of(rows: np.ndarray) -> np.ndarray:
+    """The numbers whose lowest bytes are the rows."""
+    whole = np.zeros((len(rows), 8), np.uint8)
+    whole[:, : rows.shape[1]] = rows
+    return whole.view("<u8").reshape(-1).astype(np.uint64)
+
+
+def packed_rows(sizes: np.ndarray, records: np.ndarray) -> pa.Array:
+    """Binaries of so many records each."""
+    edges = np.concatenate([[0], np.cumsum(sizes)]) * records.shape[1]
+    if edges[-1] >= 1 << 31:
+        raise ValueError("a batch's texts are too long to be handled together")
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(records))])
+
+
+def unpacked(column: pa.ChunkedArray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(records in each binary, all records as rows of bytes)."""
+    values = column.to_pylist()
+    return np.array([len(x) // size for x in values], np.int64), np.frombuffer(b"".join(values), np.uint8).reshape(-1, size)
+
+
+def bucketed(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, the bits beside it) of anchors' hashes, which are small as the least of many."""
+    x = hashes * np.uint64(BASE)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(MIX)
+    return (x >> np.uint64(64 - bits)).astype(np.int64), x << np.uint64(bits) >> np.uint64(64 - 8 * HASH_BYTES)
+
+
+class Chunk:
+    """The anchors of some texts, and whose texts they are."""
+
+    def __init__(self) -> None:
+        self.size, self.number, self.ids, self.versions, self.starts, self.begins, self.anchors = 0, 0, [], [], [], [], []
+
+    def add(self, block: list[tuple[int, int, bytes]], continues: bool, batch: pa.RecordBatch, found: tuple[np.ndarray, ...]) -> None:
+        """A block of the batch's texts with its anchors; continues: its first text is the last block's last."""
+        which, hashes, place, low, high = found
+        text = np.array([i for i, _, _ in block])
+        numbers = self.number + np.cumsum(np.concatenate([[0 if continues else 1], text[1:] != text[:-1]]))
+        begins = self.size + np.cumsum([0, *(len(part) for _, _, part in block)])
+        at = (begins[which] + place) << 2 * PACKED_BITS | low << PACKED_BITS | high
+        self.anchors.append((hashes, numbers[which], at))
+        self.ids.append(batch.column(0).take(pa.array(text)))
+        self.versions.append(batch.column(1).take(pa.array(text)))
+        self.starts += [start for _, start, _ in block]
+        self.begins += begins[:-1].tolist()
+        self.size, self.number = int(begins[-1]), int(numbers[-1])
+
+    def rows(self, number: int, bits: int, names: list[str]) -> pa.RecordBatch:
+        """A row for each bucket, and one of the texts. number: that of the chunk."""
+        texts = [pa.concat_arrays(self.ids), pa.concat_arrays(self.versions), pa.array(self.starts, pa.int64()), pa.array(self.begins, pa.int64())]
+        # A task that runs again may meet its rows in another order: its chunks are others then.
+        known = hashlib.blake2b(repr((number, [x.to_pylist() for x in texts])).encode(), digest_size=8)
+        chunk = int.from_bytes(known.digest(), "little", signed=True)
+        hashes, numbers, at = (np.concatenate(x) for x in zip(*self.anchors, strict=True))
+        bucket, rest = bucketed(hashes, bits)
+        order = np.argsort(bucket.astype(np.uint16 if bits <= 16 else np.int64), kind="stable")
+        records = np.concatenate([bytes_of(rest, HASH_BYTES), bytes_of(numbers, NUMBER_BYTES), bytes_of(at, AT_BYTES)], 1)[order]
+        sizes = np.bincount(bucket, minlength=1)
+        some = np.flatnonzero(sizes)
+        edges = pa.array(np.append(0, np.full(len(some) + 1, len(self.starts))), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.append(chunk & ((1 << bits) - 1), some), pa.int32()), pa.array(np.full(len(some) + 1, chunk)),
+                packed_rows(np.append(0, sizes[some]), records), *(pa.ListArray.from_arrays(edges, x) for x in texts),
+            ],
+            names=names,
+        )
+
+
+def _chunk_type(bodies: DataFrame) -> StructType:
+    id_type = bodies.schema["doc_id"].dataType
+    lists = {"ids": id_type, "versions": LongType(), "starts": LongType(), "begins": LongType()}
+    texts = [StructField(k, ArrayType(kind)) for k, kind in lists.items()]
+    return StructType([StructField("chunk", LongType()), StructField("anchors", BinaryType()), *texts])
+
+
+def _packed_anchors(bodies: DataFrame, width: int, gram: int, bits: int) -> DataFrame:
+    """(bucket, chunk, anchors, ids, versions, starts, begins) of (doc_id, version, text): the packed anchors of a
+    chunk of texts in a bucket, and a row without anchors of each chunk's texts: whose, from where in the
+    text, from where in the chunk.
     """
-    schema = StructType([
-        StructField("row", LongType()), StructField("doc_id", bodies.schema["doc_id"].dataType),
-        StructField("version", LongType()), StructField("hashes", ArrayType(LongType())), StructField("ats", ArrayType(LongType())),
-    ])
+    schema = StructType([StructField("bucket", IntegerType()), *_chunk_type(bodies).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, number = Powers(), TaskContext.get().partitionId() << 40
+        powers, chunk, number = Powers(), Chunk(), TaskContext.get().partitionId() << 40
         for batch in batches:
-            parts = []
+            last = -1
             for block in blocks(utf8(batch.column(2)), width):
-                which, hashes, place, low, high = anchors([b for _, _, b in block], width, gram, powers)
-                text = np.array([i for i, _, _ in block])[which]
-                place = place + np.array([s for _, s, _ in block])[which]
-                parts.append((text, hashes, place << 2 * PACKED_BITS | low << PACKED_BITS | high))
-            if not parts:
-                continue
-            text, hashes, at = (np.concatenate(x) for x in zip(*parts, strict=True))
-            with_any, first = np.unique(text, return_index=True)
-            edges = pa.array(np.append(first, len(text)), pa.int32())
-            rows = pa.array(with_any)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(number + np.arange(len(with_any))), batch.column(0).take(rows), batch.column(1).take(rows),
-                    pa.ListArray.from_arrays(edges, pa.array(hashes.view(np.int64))), pa.ListArray.from_arrays(edges, pa.array(at)),
-                ],
-                names=schema.names,
-            )
-            number += len(with_any)
+                if chunk.size and (chunk.size >= CHUNK_BYTES or chunk.number + len(block) >= CHUNK_TEXTS):
+                    yield chunk.rows(number, bits, schema.names)
+                    chunk, number, last = Chunk(), number + 1, -1
+                chunk.add(block, block[0][0] == last, batch, anchors([b for _, _, b in block], width, gram, powers))
+                last = block[-1][0]
+        if chunk.size:
+            yield chunk.rows(number, bits, schema.names)
 
     return bodies.select("doc_id", "version", "text").mapInArrow(run, schema)
 
 
+def _shared_anchors(packed: DataFrame) -> DataFrame:
+    """(chunk, anchors, ids, versions, starts, begins): the places and offsets of anchors whose hash two documents
+    of the chunks hold; the rows of texts as they are.
+    """
+    schema = StructType([f for f in packed.schema.fields if f.name != "bucket"])
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        bucket = rows["bucket"].to_numpy()
+        group = np.cumsum(np.concatenate([[0], bucket[1:] != bucket[:-1]])).astype(np.uint64)
+        sizes, records = unpacked(rows["anchors"], ANCHOR_BYTES)
+        row = np.repeat(np.arange(len(rows)), sizes)
+        key = numbers_of(records[:, :HASH_BYTES]) | group[row] << np.uint64(8 * HASH_BYTES)
+        order = np.argsort(key)
+        ordered = key[order]
+        same = np.concatenate([[False], ordered[1:] == ordered[:-1]])
+        # Of the hashes that come twice or more, the documents; a row is all that a chunk has in a bucket.
+        again = np.flatnonzero(same | np.append(same[1:], False))
+        order, first = order[again], np.flatnonzero(~same[again])
+        wanted = np.zeros(len(row), bool)
+        if len(order):
+            numbers = numbers_of(records[order, HASH_BYTES : HASH_BYTES + NUMBER_BYTES])
+            document = row[order] << 8 * NUMBER_BYTES | numbers.astype(np.int64)
+            several = np.minimum.reduceat(document, first) < np.maximum.reduceat(document, first)
+            wanted[order] = np.repeat(several, np.diff(np.append(first, len(order))))
+        found = np.bincount(row[wanted], minlength=len(rows))
+        rows = rows.set_column(rows.schema.get_field_index("anchors"), "anchors", packed_rows(found, records[wanted, HASH_BYTES + NUMBER_BYTES :]))
+        rows = rows.filter(pa.array((found > 0) | (sizes == 0))).select(schema.names).combine_chunks()
+        return pa.RecordBatch.from_arrays([c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in rows.columns], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(work, whole_groups(batches, "bucket", 1))
+
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+
+
+def _document_anchors(shared: DataFrame) -> DataFrame:
+    """(row, doc_id, version, ats) of the chunks' shared anchors: their places in the text with the offsets
+    packed behind. Rows are numbered; a text in several slices has several.
+    """
+    id_type = shared.schema["ids"].dataType.elementType
+    schema = StructType([
+        StructField("row", LongType()), StructField("doc_id", id_type), StructField("version", LongType()), StructField("ats", ArrayType(LongType())),
+    ])
+
+    def work(rows: pa.Table, number: int) -> pa.RecordBatch:
+        """Of one chunk."""
+        if np.count_nonzero(np.diff(rows["ids"].combine_chunks().offsets.to_numpy())) != 1:
+            raise RuntimeError("a chunk's texts are not there once: its task ran again with rows in another order")
+        _, records = unpacked(rows["anchors"], AT_BYTES)
+        at = np.sort(numbers_of(records).astype(np.int64))
+        ids, versions, starts, begins = (rows[k].combine_chunks().flatten() for k in ("ids", "versions", "starts", "begins"))
+        starts, begins = starts.to_numpy(), begins.to_numpy()
+        text = np.searchsorted(begins, at >> 2 * PACKED_BITS, "right") - 1
+        at = at + ((starts - begins)[text] << 2 * PACKED_BITS)
+        with_any, first = np.unique(text, return_index=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(at)), pa.int32()), pa.array(at))
+        which = pa.array(with_any)
+        return pa.RecordBatch.from_arrays([pa.array(number + np.arange(len(with_any))), ids.take(which), versions.take(which), lists], names=schema.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 40
+        for rows in whole_groups(batches, "chunk", 1):
+            chunk = rows["chunk"].to_numpy()
+            edges = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1], [True]]))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                found = work(rows.slice(a, b - a), number)
+                number += found.num_rows
+                yield found
+
+    return shared.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, schema)
+
+
 def _surroundings(width: int, gram: int):
     """A column function of texts and their anchors' places: (place, span, bytes) of each."""
     shape = StructType([StructField("place", LongType()), StructField("span", IntegerType()), StructField("around", BinaryType())])
-    mask = (1 << 2 * PACKED_BITS) - 1
+    mask, few, most = (1 << 2 * PACKED_BITS) - 1, (1 << PACKED_BITS) - 1, width - gram
 
     def cut(texts: pa.Array, ats: pa.Array) -> pa.Array:
         bodies = utf8(texts)
         flat = ats.flatten().to_numpy()
-        size = np.array([0 if x is None else len(x) for x in ats])
+        size = np.diff(ats.offsets.to_numpy())
         owner = np.repeat(np.arange(len(bodies)), size)
         place = flat >> 2 * PACKED_BITS
-        begin = np.maximum(place - (width - gram), 0)
-        around = [bodies[i][a:b] for i, a, b in zip(owner.tolist(), begin.tolist(), (place + width).tolist(), strict=True)]
+        low, high = flat >> PACKED_BITS & few, flat & few
+        # The bytes that windows of any offset cover, of which those of these offsets stay.
+        data = np.frombuffer(b"".join([bytes(most), *bodies, bytes(width)]), np.uint8)
+        begin = np.cumsum([0, *map(len, bodies)])[:-1][owner] + place
+        sizes = high + width - low
+        around = np.empty((int(sizes.sum()), 1), np.uint8)
+        column, done = np.arange(most + width), 0
+        for i in range(0, len(begin), 1 << 14):
+            here = slice(i, i + (1 << 14))
+            covered = (column >= most - high[here, None]) & (column < most + width - low[here, None])
+            kept = np.lib.stride_tricks.sliding_window_view(data, most + width)[begin[here]][covered]
+            around[done : done + len(kept), 0] = kept
+            done += len(kept)
         # A span is the bytes before the anchor, then the offsets.
-        span = (place - begin) << 2 * PACKED_BITS | flat & mask
-        rows = pa.StructArray.from_arrays(
-            [pa.array(place), pa.array(span, pa.int32()), pa.array(around, pa.binary())], names=[f.name for f in shape.fields]
-        )
+        span = high << 2 * PACKED_BITS | flat & mask
+        rows = pa.StructArray.from_arrays([pa.array(place), pa.array(span, pa.int32()), packed_rows(sizes, around)], names=[f.name for f in shape.fields])
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *size]), pa.int32()), rows)
 
     cut.__annotations__ = {"texts": pa.Array, "ats": pa.Array, "return": pa.Array}
@@ -292,35 +471,29 @@ def _sorted_parts(groups: DataFrame, width: int) -> DataFrame:
         anchor, span = rows["anchor"].to_numpy(), rows["span"].to_numpy().astype(np.int64)
         group = np.cumsum(np.concatenate([[0], anchor[1:] != anchor[:-1]]))
         left, low, high = span >> 2 * PACKED_BITS, span >> PACKED_BITS & few, span & few
-        row, found = least_rows(rows["around"].to_pylist(), group, left, low, high, width)
-        new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (found[1:] != found[:-1])]))
-        first = np.searchsorted(row, row[new])
-        start = new - first + low[row[new]]
-        end = np.append(new[1:], len(row)) - 1 - first + low[row[new]]
+        several = np.bincount(group)[group] > 1
+        alone, those = np.flatnonzero(~several), np.flatnonzero(several)
+        row = least = start = end = np.zeros(0, np.int64)
+        if len(those):
+            around = rows["around"].take(pa.array(those)).to_pylist()
+            row, found = least_rows(around, group[those], left[those], low[those], high[those], width)
+            new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (found[1:] != found[:-1])]))
+            first, end = np.searchsorted(row, row[new]), np.append(new[1:], len(row)) - 1
+            row, least = those[row[new]], those[found[new]]
+            start, end = new - first + low[row], end - first + low[row]
+        row, least = np.concatenate([row, alone]), np.concatenate([least, alone])
+        start, end = np.concatenate([start, low[alone]]), np.concatenate([end, high[alone]])
+        order = np.argsort(row, kind="stable")
         parts = pa.StructArray.from_arrays(
-            [pa.array(start, pa.int32()), pa.array(end, pa.int32()), rows["least"].combine_chunks().take(pa.array(found[new]))],
+            [pa.array(start[order], pa.int32()), pa.array(end[order], pa.int32()), rows["least"].combine_chunks().take(pa.array(least[order]))],
             names=[f.name for f in part.fields],
         )
-        edges = np.searchsorted(row[new], np.arange(len(rows) + 1))
+        edges = np.searchsorted(row[order], np.arange(len(rows) + 1))
         lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), parts)
         return pa.RecordBatch.from_arrays([*(rows[c].combine_chunks() for c in ("k1", "k2", "most")), lists], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            more = pa.Table.from_batches([batch])
-            waiting = pa.concat_tables([waiting, more]) if waiting is not None else more
-            if len(waiting) < SORTED_TOGETHER:
-                continue
-            anchor = waiting["anchor"].to_numpy()
-            whole = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
-            if whole:
-                yield work(waiting.slice(0, whole))
-                waiting = waiting.slice(whole)
-        if waiting is not None and len(waiting):
-            yield work(waiting)
+        yield from map(work, whole_groups(batches, "anchor", SORTED_TOGETHER))
 
     gathered = groups.repartition("anchor").sortWithinPartitions("anchor", "least")
     return gathered.select("anchor", "span", "around", "least", "k1", "k2", "most").mapInArrow(run, schema)
@@ -370,21 +543,12 @@ def repeated_spans(
         raise ValueError(f"width must be 8 to {(1 << PACKED_BITS) - 1}")
     gram = 14 * width // 25
     bodies, copies = _firsts_and_copies(documents, width, doc_id, text)
-    # The anchors are made twice rather than stored: they are more than the texts.
-    rows = _anchor_rows(bodies, width, gram)
-    counted = rows.select(F.explode("hashes").alias("anchor")).groupBy("anchor").agg(F.count("*").alias("n"))
-    shared = stored(counted.where("n > 1").select("anchor"), "shared-anchors")
-    each = rows.select("row", "doc_id", "version", F.explode(F.arrays_zip(F.col("hashes").alias("anchor"), F.col("ats").alias("at"))).alias("x"))
-    each = each.select("row", "doc_id", "version", "x.anchor", "x.at")
-    each = each.where(passes(bit_filter(shared, F.col("anchor"), FILTER_WORDS), F.col("anchor"), FILTER_WORDS))
-    # A document's anchors are fewer than its bytes, so its list is no longer than its text.
-    listed = each.join(shared, "anchor", "left_semi").groupBy("row", "doc_id", "version").agg(F.collect_list("at").alias("ats"))
-    listed = stored(listed, "document-anchors")
-    discard(shared)
-    # Equal rows are one document: once is enough, and which does not matter.
-    once = listed.groupBy("doc_id", "version").agg(F.min("row").alias("row"))
-    wanted = stored(listed.join(once.select("row"), "row", "left_semi"), "wanted-anchors")
-    discard(listed)
+    buckets = max(LEAST_BUCKETS, BUCKETS_EACH * int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    packed = _packed_anchors(bodies, width, gram, (buckets - 1).bit_length())
+    # Equal rows are one document: once is enough, and which does not matter. A long text's slices meet here.
+    listed = _document_anchors(_shared_anchors(packed)).groupBy("doc_id", "version").agg(F.min("row").alias("row"), F.collect_list("ats").alias("all"))
+    ats = F.when(F.size("all") > 1, F.array_distinct(F.flatten("all"))).otherwise(F.get("all", F.lit(0)))
+    wanted = stored(listed.select("row", "doc_id", "version", ats.alias("ats")), "document-anchors")
     met = bodies.join(wanted, ["doc_id", "version"]).select("row", "doc_id", _surroundings(width, gram)("text", "ats").alias("s"))
     around = stored(met.select("row", "doc_id", F.inline("s")), "surroundings")
     keys = [F.xxhash64(F.lit(1), "span", "around").alias("k1"), F.xxhash64(F.lit(2), "around", "span").alias("k2")]
@@ -395,24 +559,17 @@ def repeated_spans(
     distinct = stored(distinct.select("span", "around", "least", "most", *keys, anchor), "distinct-surroundings")
     if distinct.groupBy("k1", "k2").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
         raise ValueError("two surroundings have the same 128-bit key")
-    sizes = stored(distinct.groupBy("anchor").agg(F.count("*").alias("n")), "anchor-sizes")
-    sized = distinct.join(sizes, "anchor")
-    few = (1 << PACKED_BITS) - 1
-    low, high = F.shiftright("span", PACKED_BITS).bitwiseAND(F.lit(few)), F.col("span").bitwiseAND(F.lit(few))
-    whole = F.array(F.struct(low.alias("from"), high.alias("to"), "least")).alias("parts")
-    alone = sized.where("n = 1 AND least < most").select("k1", "k2", "most", whole)
-    in_order = _sorted_parts(sized.where(F.col("n").between(2, sorted_at_most)), width)
-    parts = alone.unionByName(in_order)
-    many = sized.where(F.col("n") > sorted_at_most)
+    many = stored(distinct.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > sorted_at_most).select("anchor"), "frequent-anchors")
     if many.limit(1).count():
-        parts = parts.unionByName(_grouped_parts(many, width))
+        parts = _sorted_parts(distinct.join(many, "anchor", "left_anti"), width).unionByName(_grouped_parts(distinct.join(many, "anchor"), width))
+    else:
+        parts = _sorted_parts(distinct, width)
     # Surroundings that no document loses a window for go: most that met in an anchor only.
     parts = parts.withColumn("parts", F.filter("parts", lambda p: p["least"] < F.col("most"))).where(F.size("parts") > 0)
     parts = stored(parts.drop("most"), "window-parts")
-    discard(distinct, sizes)
+    discard(distinct, many)
 
-    members = around.select("row", "doc_id", "place", *keys)
-    members = members.where(passes(bit_filter(parts, F.col("k1"), FILTER_WORDS), F.col("k1"), FILTER_WORDS)).join(parts, ["k1", "k2"])
+    members = around.select("row", "doc_id", "place", *keys).join(parts, ["k1", "k2"])
     spans = members.select("row", "doc_id", "place", F.inline("parts")).where(F.col("least") < F.col("doc_id"))
     begin, end = F.col("place") - F.col("to"), F.col("place") - F.col("from") + width
     spans = stored(spans.select("row", F.struct(begin.alias("begin"), end.alias("end")).alias("span")), "spans")
